@@ -5,9 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fields by event type, picked by k.
+_FIELDS = {
+    "signup": ("statecode", "statuscode", "ownerid", "exchangerate"),
+    "click": ("stepname",),
+    "view": ("statuscode", "statecode", "msdyn_forecastcategory"),
+    "purchase": ("developproposal", "the000g_revenuetype", "purchaseprocess"),
+    "error": ("ownerid", "customerid", "exchangerate", "ExchangeRate", "zz_unmapped"),
+}
+_STAGES = ("14-Qualify", "15-Develop", "16-Propose", "17-Close", "Qualify", "")
+# Ways to write the time, picked by the last digit of the event id.
+_TIMES = (
+    "DD/MM/YYYY HH:00", "YYYY/MM/DD HH:00:00", "DD/MM/YYYY hh:00:00 PP",
+    "DD/MM/YYYY hh:00 PP", "DD/MM/YYYY HH:00:00", "MM/DD/YY HH:00",
+    "YYYY-MM-DDTHH:00:00Z", "YYYY-MM-DDTHH:00:00+05:30", "YYYY-MM-DDTHH:00:00",
+)
+_NO_TIMES = ("", "null", "garbage", "31/02/2024 10:00")
+_FORENSIC_TIMES = ("DD/MM/YYYY HH:00", "DD/MM/YY HH:00")
 
-def _pick(number: Column, *values: str) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), number % len(values))
+
+def _pick(place: Column, values: tuple[str, ...]) -> Column:
+    return F.get(F.array(*[F.lit(v) for v in values]), place)
+
+
+def _field() -> Column:
+    names = [name for fields in _FIELDS.values() for name in fields]
+    place, start = None, 0
+    for kind, fields in _FIELDS.items():
+        here = start + F.col("k") % len(fields)
+        match = F.col("event_type") == kind
+        place = F.when(match, here) if place is None else place.when(match, here)
+        start += len(fields)
+    return _pick(place, tuple(names))
+
+
+def _written(template: Column) -> Column:
+    """Fill a template; the time is cut to six hours, which makes ties and duplicates."""
+    slot = F.floor(F.hour("ts") / 6).cast("int")
+    parts = {
+        "YYYY": F.substring("date", 1, 4),
+        "YY": F.substring("date", 3, 2),
+        "MM": F.substring("date", 6, 2),
+        "DD": F.substring("date", 9, 2),
+        "HH": _pick(slot, ("00", "06", "12", "18")),
+        "hh": _pick(slot, ("12", "06", "12", "06")),
+        "PP": _pick(slot, ("AM", "AM", "PM", "PM")),
+    }
+    for name, value in parts.items():
+        template = F.replace(template, F.lit(name), value)
+    return template
 
 
 def audit_log(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
@@ -15,71 +61,36 @@ def audit_log(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame
 
     grain: ``"day"`` makes one case per user and day, ``"user"`` one per user.
     """
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("k", k)
-    kind = F.col("event_type")
-    k = F.col("k")
-    field = (
-        F.when(kind == "signup", _pick(k, "statecode", "statuscode", "ownerid", "exchangerate"))
-        .when(kind == "click", F.lit("stepname"))
-        .when(kind == "view", _pick(k, "statuscode", "statecode", "msdyn_forecastcategory"))
-        .when(
-            kind == "purchase",
-            _pick(k, "developproposal", "the000g_revenuetype", "purchaseprocess"),
-        )
-        .otherwise(
-            _pick(k, "ownerid", "customerid", "exchangerate", "ExchangeRate", "zz_unmapped")
-        )
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumns(
+        {
+            "k": F.get_json_object("props", "$.k").cast("bigint"),
+            "date": F.to_date("ts").cast("string"),
+        }
     )
-    stage = _pick(k, "14-Qualify", "15-Develop", "16-Propose", "17-Close", "Qualify", "")
+    k, signup = F.col("k"), F.col("event_type") == "signup"
+    field = F.col("field")
     value = (
-        F.when(field == "stepname", stage)
+        F.when(field == "stepname", _pick(k % 6, _STAGES))
         .when(field == "statecode", (k % 4).cast("string"))
         .when(field == "statuscode", (k % 7).cast("string"))
         .otherwise(k.cast("string"))
     )
-    old = F.when(
-        (kind != "signup") & (k % 3 > 0),
-        F.when(field == "stepname", _pick(k + 1, "14-Qualify", "15-Develop", "16-Propose"))
-        .otherwise((k % 5).cast("string")),
+    former = F.when(field == "stepname", _pick((k + 1) % 3, _STAGES)).otherwise(
+        (k % 5).cast("string")
     )
-    # The time is cut to six hours, which makes ties and duplicates.
-    date = F.to_date("ts").cast("string")
-    year, month, day = (F.substring(date, *span) for span in ((1, 4), (6, 2), (9, 2)))
-    slot = F.floor(F.hour("ts") / 6).cast("int")
-    hour, half = _pick(slot, "00", "06", "12", "18"), _pick(slot, "12", "06", "12", "06")
-    noon = _pick(slot, "AM", "AM", "PM", "PM")
-
-    def shown(*parts: Column | str) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
     form = F.col("event_id") % 10
-    logged = (
-        F.when(form == 0, shown(day, "/", month, "/", year, " ", hour, ":00"))
-        .when(form == 1, shown(year, "/", month, "/", day, " ", hour, ":00:00"))
-        .when(form == 2, shown(day, "/", month, "/", year, " ", half, ":00:00 ", noon))
-        .when(form == 3, shown(day, "/", month, "/", year, " ", half, ":00 ", noon))
-        .when(form == 4, shown(day, "/", month, "/", year, " ", hour, ":00:00"))
-        .when(form == 5, shown(month, "/", day, "/", F.substring(year, 3, 2), " ", hour, ":00"))
-        .when(form == 6, shown(date, "T", hour, ":00:00Z"))
-        .when(form == 7, shown(date, "T", hour, ":00:00+05:30"))
-        .when(form == 8, shown(date, "T", hour, ":00:00"))
-        .otherwise(_pick(k, "", "null", "garbage", "31/02/2024 10:00"))
-    )
-    short = F.when(F.col("event_id") % 2 == 0, year).otherwise(F.substring(year, 3, 2))
-    forensic = shown(day, "/", month, "/", short, " ", hour, ":00")
-    case_key = shown(
-        "ITEM-", F.lpad(F.col("user_id").cast("string"), 6, "0"),
-        *(["-", day] if grain == "day" else []),
-    )
-    return events.select(
+    template = F.when(form < 9, _pick(form, _TIMES)).otherwise(_pick(k % 4, _NO_TIMES))
+    case_key = F.concat(F.lit("ITEM-"), F.lpad(F.col("user_id").cast("string"), 6, "0"))
+    if grain == "day":
+        case_key = F.concat(case_key, F.lit("-"), F.substring("date", 9, 2))
+    return events.withColumn("field", _field()).select(
         F.col("event_id").alias("ingest_ord"),
         case_key.alias("case_key"),
-        F.when(kind == "signup", "Create").otherwise("Update").alias("operation"),
-        field.alias("field"),
-        old.alias("old_value"),
+        F.when(signup, "Create").otherwise("Update").alias("operation"),
+        "field",
+        F.when(~signup & (k % 3 > 0), former).alias("old_value"),
         value.alias("new_value"),
-        F.concat(F.lit("ACTOR-"), F.lpad((k % 9).cast("string"), 4, "0")).alias("actor"),
-        logged.alias("logged_at"),
-        forensic.alias("logged_at_forensic"),
+        F.concat(F.lit("ACTOR-000"), (k % 9).cast("string")).alias("actor"),
+        _written(template).alias("logged_at"),
+        _written(_pick(form % 2, _FORENSIC_TIMES)).alias("logged_at_forensic"),
     )

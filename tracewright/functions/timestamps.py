@@ -63,7 +63,8 @@ def _pattern_and_rewrite(fmt: str, century: str, short_year: str) -> tuple[str,
     hour = group.get("%H") or group.get("%I", "0")
     date = f"{year}-{group['%m']}-{group['%d']}"
     rewrite = f"{date} {hour}:{group.get('%M', '0')}:{group.get('%S', '0')}"
-    return rf"(?i)^{pattern}\z", rewrite
+    flags = "(?i)" if "%p" in group else ""
+    return rf"{flags}^{pattern}\z", rewrite
 
 
 def strptime(value: Column, fmt: str) -> Column:
@@ -77,7 +78,7 @@ def strptime(value: Column, fmt: str) -> Column:
         moment = text.try_cast("timestamp_ntz")
         if "%I" in fmt:
             noon = F.regexp_like(value, F.lit(rf"{WHITESPACE_CLASS}12:"))
-            later = F.regexp_like(value, F.lit(r"(?i)pm\z"))
+            later = F.lower(F.right(value, F.lit(2))) == "pm"
             shift = F.when(noon & ~later, -12).when(~noon & later, 12).otherwise(0)
             moment = moment + F.make_dt_interval(hours=shift)
         attempt = F.when(value.rlike(pattern), moment)

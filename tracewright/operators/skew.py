@@ -51,9 +51,14 @@ def by_group_size(
     keys: Sequence[str],
     build: Callable[[DataFrame, bool], DataFrame],
     limit: int = LARGE_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``build(rows, False)`` on ordinary groups, ``build(rows, True)`` on large ones."""
-    large = large_groups(rows, keys, limit)
+    """``build(rows, False)`` on ordinary groups, ``build(rows, True)`` on large ones.
+
+    counted: what to count instead of ``rows``, for callers with a cheaper frame
+    whose groups are at least as large.
+    """
+    large = large_groups(rows if counted is None else counted, keys, limit)
     if large is None:
         return build(rows, False)
     ordinary, rest = split_by_size(rows, keys, large)

@@ -53,7 +53,8 @@ def event_log(
         log = ordering.deduplicated(ordering.collapse_creates(named, large=large))
         return log.drop("is_create")
 
-    return by_group_size(rows, ["case_id"], build, limit)
+    # Counting the unparsed rows reads one column and bounds the sizes from above.
+    return by_group_size(rows, ["case_id"], build, limit, ev.with_case_ids(audit))
 
 
 def exported_events(
@@ -74,7 +75,8 @@ def exported_events(
             limit=limit,
         )
 
-    return by_group_size(rows, ["case_id"], build, limit)
+    # Counting the unparsed rows reads one column and bounds the sizes from above.
+    return by_group_size(rows, ["case_id"], build, limit, ev.with_case_ids(audit))
 
 
 def step_counts(
