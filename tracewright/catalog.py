@@ -53,6 +53,11 @@ def _utc(frame: DataFrame) -> DataFrame:
     return frame.withColumn("timestamp_utc", iso_utc(F.col("ts"))).drop("ts")
 
 
+def _plain(frame: DataFrame) -> DataFrame:
+    """Show the nullable sequence as text, so that no reader turns it into a float."""
+    return frame.withColumn("sequence", F.col("sequence").cast("string"))
+
+
 def _on_events(build: Callable[[DataFrame], DataFrame], *times: str, grain: str = "day") -> Query:
     """A report over the rows with a time."""
     return lambda spark, sf: _text(build(_forensic(spark, sf, grain).events), *times)
@@ -75,7 +80,7 @@ def _raw_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = audit_log(spark, sf_dir)
     return rows.select(
         "ingest_ord",
-        F.concat(F.lit("\t"), "case_key", F.lit(" ")).alias("﻿Anon  Item ID"),
+        F.concat(F.lit("\t"), "case_key", F.lit(" ")).alias("\ufeffAnon  Item ID"),
         F.col("operation").alias("action"),
         F.concat(F.lit(" "), "field").alias("Field_Name"),
         F.coalesce("old_value", F.lit("NaN")).alias("Previous value"),
@@ -126,7 +131,7 @@ def _bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = _audit(spark, sf_dir)
-    return _utc(log.event_log(audit, classify.default_rules(spark)))
+    return _plain(_utc(log.event_log(audit, classify.default_rules(spark))))
 
 
 def _exported(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,11 +150,8 @@ def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _created(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _utc(
-        _collapsed(spark, sf_dir).select(
-            "case_id", "ingest_ord", "operation", "activity_name", "level", "sequence", "ts"
-        )
-    )
+    columns = ["case_id", "ingest_ord", "operation", "activity_name", "level", "sequence", "ts"]
+    return _plain(_utc(_collapsed(spark, sf_dir).select(*columns)))
 
 
 def _deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,14 +172,12 @@ def _strategy(events: DataFrame) -> DataFrame:
     return summary.bucket_strategy(fields.field_coverage(events), _noise(events))
 
 
-def _on_suggestions(build: Callable[[DataFrame], DataFrame]) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(audit_rows_for_buckets(spark, sf_dir))
+def _on_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A report over all rows, unparsed."""
+    return lambda spark, sf: build(_unparsed(spark, sf))
 
-    return query
 
-
-def audit_rows_for_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All audit rows, unparsed, nulls as empty texts."""
     rows = _audit(spark, sf_dir).withColumnRenamed("case_key", "case_id")
     return rows.withColumn("old_value", F.coalesce("old_value", F.lit("")))
@@ -225,8 +225,8 @@ def queries() -> dict[str, Query]:
         "bucketed_events": _rules_query(classify.bucketed),
         "bucket_counts": _bucket_counts,
         "translated_events": _rules_query(classify.translated),
-        "sequence_numbers": lambda s, d: classify.sequenced(_audit(s, d)),
-        "activity_names": lambda s, d: _named(s, d).select(
+        "sequence_numbers": lambda s, d: _plain(classify.sequenced(_audit(s, d))),
+        "activity_names": lambda s, d: _plain(_named(s, d)).select(
             "ingest_ord", "bucket", "level", "translated_value", "sequence", "activity_name"
         ),
         "create_aggregated": _created,
@@ -286,7 +286,9 @@ def queries() -> dict[str, Query]:
         ),
         "single_event_samples": _on_singles(singles.single_samples, "ts"),
         "single_event_hypotheses": _on_singles(singles.hypotheses),
-        "bulk_dates": _on_singles(singles.bulk_dates),
+        "bulk_dates": _on_singles(
+            lambda rows: singles.bulk_dates(rows).withColumn("date", F.col("date").cast("string"))
+        ),
         "recent_single_event": _latest,
         "creation_summary": _on_events(singles.creation_summary),
         "creation_fields": _on_events(lambda e: singles.creation_top(e, "field", 20)),
@@ -308,9 +310,9 @@ def queries() -> dict[str, Query]:
             profile.date_profile(_audit(s, d), "logged_at"), "min_timestamp", "max_timestamp"
         ),
         "value_frequencies": lambda s, d: profile.value_frequencies(_profile_table(s, d)),
-        "field_characteristics": _on_suggestions(suggest.field_characteristics),
-        "bucket_suggestions": _on_suggestions(suggest.bucket_suggestions),
-        "suggested_bucket_counts": _on_suggestions(
+        "field_characteristics": _on_raw(suggest.field_characteristics),
+        "bucket_suggestions": _on_raw(suggest.bucket_suggestions),
+        "suggested_bucket_counts": _on_raw(
             lambda rows: suggest.suggested_counts(suggest.bucket_suggestions(rows))
         ),
     }

@@ -26,4 +26,5 @@ def top_per_group(
     Spark keeps k rows per group and task before it shuffles.
     """
     order = Window.partitionBy(*groups).orderBy(F.desc(name), *value)
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = counts.withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).withColumn("rank", F.col("rank").cast("bigint"))
