@@ -46,13 +46,18 @@ def not_strict_utc(events: DataFrame, column: str) -> DataFrame:
 def multi_event(
     rows: DataFrame, *, large: bool = False, order: Sequence[str] = ()
 ) -> DataFrame:
-    """Keep the rows of cases with two rows or more; large cases pass as they are.
+    """Keep the rows of cases with two rows or more.
 
     ``order`` sorts the rows inside a case for the benefit of a following window,
     which then needs no sort of its own.
+    ``large`` counts by aggregation. A case may be large by its raw rows and have
+    few with a time, so it is counted like any other. There is one row per large
+    case, fewer than (all rows / limit), which bounds the broadcast.
     """
     if large:
-        return rows
+        sizes = rows.groupBy(F.col("case_id").alias("_case")).agg(F.count("*").alias("_size"))
+        kept = F.broadcast(sizes.where(F.col("_size") >= 2))
+        return rows.join(kept, F.col("case_id").eqNullSafe(F.col("_case")), "left_semi")
     case = Window.partitionBy("case_id")
     if order:
         case = case.orderBy(*order).rowsBetween(
