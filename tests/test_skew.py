@@ -30,8 +30,8 @@ def rows(spark):
 
 
 def test_large_groups(rows):
-    found = skew.large_groups(rows, ["g"], 1000)
-    assert [r.g for r in found.collect()] == ["hot"]
+    found, total = skew.large_groups(rows, ["g"], 1000)
+    assert [r.g for r in found.collect()] == ["hot"] and total == 2000
     assert skew.large_groups(rows, ["g"], 10_000) is None
 
 

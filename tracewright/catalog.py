@@ -34,8 +34,14 @@ def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.named(classify.without_kill_fields(_timed(spark, sf_dir), rules), rules)
 
 
+def _unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows by case id. Sizing cases by them needs no parsing."""
+    return ev.with_case_ids(_audit(spark, sf_dir))
+
+
 def _collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ordering.create_aggregated(ordering.with_create_flag(_named(spark, sf_dir)))
+    named = ordering.with_create_flag(_named(spark, sf_dir))
+    return ordering.create_aggregated(named, counted=_unparsed(spark, sf_dir))
 
 
 def _forensic(spark: SparkSession, sf_dir: str, grain: str = "day") -> forensic.ForensicInput:
@@ -72,7 +78,19 @@ def _on_singles(build: Callable[[DataFrame], DataFrame], *times: str) -> Query:
 
 
 def _on_moves(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_events(lambda events: build(stages.transition_counts(events)), grain="user")
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = _forensic(spark, sf_dir, "user")
+        return build(stages.transition_counts(source.events, counted=source.timed))
+
+    return query
+
+
+def _on_steps_back(build: Callable[[DataFrame], DataFrame], *times: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = _forensic(spark, sf_dir, "user")
+        return _text(build(stages.stage_violations(source.events, counted=source.timed)), *times)
+
+    return query
 
 
 def _raw_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,8 +125,8 @@ def _parse_forensic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _multi_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Unparsed rows bound the case sizes and need no parsing to be counted.
-    return _utc(ev.multi_event_rows(_timed(spark, sf_dir)))
+    counted = _unparsed(spark, sf_dir)
+    return _utc(ev.multi_event_rows(_timed(spark, sf_dir), counted=counted))
 
 
 def _case_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +142,8 @@ def _rules_query(build: Callable[[DataFrame, classify.Rules], DataFrame]) -> Que
 def _bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per bucket after the single-event and noise filters."""
     rules = classify.default_rules(spark)
-    kept = classify.without_kill_fields(ev.multi_event_rows(_timed(spark, sf_dir)), rules)
+    multi = ev.multi_event_rows(_timed(spark, sf_dir), counted=_unparsed(spark, sf_dir))
+    kept = classify.without_kill_fields(multi, rules)
     buckets = classify.bucketed(kept, rules)
     return buckets.groupBy("bucket", "level").agg(F.count("*").alias("rows"))
 
@@ -145,7 +164,8 @@ def _events_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = ordering.with_event_pos(_collapsed(spark, sf_dir))
+    counted = _unparsed(spark, sf_dir)
+    placed = ordering.with_event_pos(_collapsed(spark, sf_dir), counted=counted)
     return _utc(placed.select("case_id", "event_pos", "ts", "activity_name", "ingest_ord"))
 
 
@@ -174,10 +194,10 @@ def _strategy(events: DataFrame) -> DataFrame:
 
 def _on_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
     """A report over all rows, unparsed."""
-    return lambda spark, sf: build(_unparsed(spark, sf))
+    return lambda spark, sf: build(_filled(spark, sf))
 
 
-def _unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All audit rows, unparsed, nulls as empty texts."""
     rows = _audit(spark, sf_dir).withColumnRenamed("case_key", "case_id")
     return rows.withColumn("old_value", F.coalesce("old_value", F.lit("")))
@@ -257,10 +277,8 @@ def queries() -> dict[str, Query]:
         # stages and transitions
         "stage_order": _on_events(stages.stage_order, grain="user"),
         "stepname_totals": _on_events(stages.stepname_totals, grain="user"),
-        "stage_violations": _on_events(stages.stage_violations, "ts", grain="user"),
-        "stage_violation_summary": _on_events(
-            lambda e: stages.violation_summary(stages.stage_violations(e)), grain="user"
-        ),
+        "stage_violations": _on_steps_back(lambda steps: steps, "ts"),
+        "stage_violation_summary": _on_steps_back(stages.violation_summary),
         "transition_counts": _on_moves(lambda moves: moves),
         "transition_totals": _on_moves(stages.transition_totals),
         "top_transitions": _on_moves(stages.top_transitions),

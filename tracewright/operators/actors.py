@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..functions.timestamps import seconds_between
-from .fields import total_cases, total_rows
+from .fields import totals
 from .topk import top_per_group, value_counts
 
 
@@ -25,12 +25,13 @@ def actor_behavior(events: DataFrame) -> DataFrame:
         F.min("ts").alias("first_activity"),
         F.max("ts").alias("last_activity"),
     )
+    whole = totals(events)
     return actors.select(
         "actor",
         "event_count",
-        percent(F.col("event_count"), total_rows(events)).alias("percentage_of_events"),
+        percent(F.col("event_count"), whole["rows"]).alias("percentage_of_events"),
         "cases_handled",
-        percent(F.col("cases_handled"), total_cases(events)).alias("percentage_of_cases"),
+        percent(F.col("cases_handled"), whole["cases"]).alias("percentage_of_cases"),
         "unique_fields_modified", "first_activity", "last_activity",
         whole_days("first_activity", "last_activity").alias("activity_span_days"),
     )

@@ -44,7 +44,7 @@ def not_strict_utc(events: DataFrame, column: str) -> DataFrame:
 
 
 def multi_event(
-    rows: DataFrame, *, large: bool = False, order: Sequence[str] = ()
+    rows: DataFrame, *, large: int = 0, order: Sequence[str] = ()
 ) -> DataFrame:
     """Keep the rows of cases with two rows or more.
 
@@ -67,11 +67,15 @@ def multi_event(
     return sized.where(F.col("_size") >= 2).drop("_size")
 
 
-def multi_event_rows(events: DataFrame, limit: int = LARGE_GROUP_ROWS) -> DataFrame:
+def multi_event_rows(
+    events: DataFrame, limit: int = LARGE_GROUP_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """``multi_event`` for cases of any size."""
-    return by_group_size(
-        events, ["case_id"], lambda rows, large: multi_event(rows, large=large), limit
-    )
+
+    def build(rows: DataFrame, large: int) -> DataFrame:
+        return multi_event(rows, large=large)
+
+    return by_group_size(events, ["case_id"], build, limit, counted)
 
 
 def single_event_rows(events: DataFrame) -> DataFrame:

@@ -11,14 +11,10 @@ from .topk import top_per_group, value_counts
 PREFIX = r"^\d+-"
 
 
-def total_rows(events: DataFrame) -> Column:
-    """The number of rows as a scalar subquery."""
-    return events.agg(F.count("*")).scalar()
-
-
-def total_cases(events: DataFrame) -> Column:
-    """The number of cases as a scalar subquery."""
-    return events.agg(F.countDistinct("case_id")).scalar()
+def totals(events: DataFrame) -> Column:
+    """Number of rows and of cases, as a scalar subquery with fields rows and cases."""
+    both = F.struct(F.count("*").alias("rows"), F.countDistinct("case_id").alias("cases"))
+    return events.agg(both).scalar()
 
 
 def field_semantics(events: DataFrame, prefix_field: str = "stepname") -> DataFrame:
@@ -33,12 +29,13 @@ def field_semantics(events: DataFrame, prefix_field: str = "stepname") -> DataFr
         F.count_if(F.col("new_value") == "").alias("empty_new_count"),
         prefixed.alias("_prefixed"),
     )
+    whole = totals(events)
     return fields.select(
         "field",
         "occurrence_count",
-        percent(F.col("occurrence_count"), total_rows(events)).alias("percentage_of_events"),
+        percent(F.col("occurrence_count"), whole["rows"]).alias("percentage_of_events"),
         "cases_affected",
-        percent(F.col("cases_affected"), total_cases(events)).alias("percentage_of_cases"),
+        percent(F.col("cases_affected"), whole["cases"]).alias("percentage_of_cases"),
         "unique_old_values", "unique_new_values", "empty_old_count", "empty_new_count",
         F.when(F.col("field") == prefix_field, F.col("_prefixed")).alias("has_prefix"),
     )
@@ -59,7 +56,7 @@ def field_coverage(events: DataFrame) -> DataFrame:
     """Share of cases per field and its band; rows without a field do not count."""
     known = events.where(F.col("field").isNotNull())
     cases = known.groupBy("field").agg(F.countDistinct("case_id").alias("cases"))
-    share = ratio(F.col("cases"), total_cases(known)) * 100
+    share = ratio(F.col("cases"), totals(known)["cases"]) * 100
     band = (
         F.when(F.col("case_pct") > 50, "fields_above_50pct")
         .when(F.col("case_pct") > 25, "fields_25_to_50pct")

@@ -23,7 +23,7 @@ def with_create_flag(events: DataFrame, create: str = CREATE) -> DataFrame:
     return events.withColumn("is_create", F.col("operation").eqNullSafe(F.lit(create)))
 
 
-def collapse_creates(events: DataFrame, *, large: bool = False) -> DataFrame:
+def collapse_creates(events: DataFrame, *, large: int = 0) -> DataFrame:
     """Reduce the create rows (is_create) of each case to one "Case Created" event.
 
     The earliest row is kept. If it has a sequence it takes the smallest one
@@ -55,11 +55,15 @@ def _as_case_created(events: DataFrame) -> DataFrame:
     return events.withColumns({"sequence": least, "activity_name": name})
 
 
-def create_aggregated(events: DataFrame, limit: int = LARGE_GROUP_ROWS) -> DataFrame:
+def create_aggregated(
+    events: DataFrame, limit: int = LARGE_GROUP_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """``collapse_creates`` for cases of any size."""
-    return by_group_size(
-        events, ["case_id"], lambda rows, large: collapse_creates(rows, large=large), limit
-    )
+
+    def build(rows: DataFrame, large: int) -> DataFrame:
+        return collapse_creates(rows, large=large)
+
+    return by_group_size(events, ["case_id"], build, limit, counted)
 
 
 def order_keys() -> dict[str, Column]:
@@ -84,9 +88,12 @@ def in_canonical_order(events: DataFrame) -> DataFrame:
     return events.orderBy("case_id", *order_keys().values())
 
 
-def with_event_pos(events: DataFrame, limit: int = LARGE_GROUP_ROWS) -> DataFrame:
+def with_event_pos(
+    events: DataFrame, limit: int = LARGE_GROUP_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Add event_pos, the place of an event in its case in canonical order."""
-    return with_position(events, ["case_id"], [*order_keys().values()], "event_pos", limit)
+    order = [*order_keys().values()]
+    return with_position(events, ["case_id"], order, "event_pos", limit, counted)
 
 
 def deduplicated(

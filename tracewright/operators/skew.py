@@ -23,15 +23,20 @@ from pyspark.sql import functions as F
 LARGE_GROUP_ROWS = 5_000_000
 
 
-def large_groups(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
-    """The keys with more than ``limit`` rows as a local table, or None.
+def large_groups(
+    rows: DataFrame, keys: Sequence[str], limit: int
+) -> tuple[DataFrame, int] | None:
+    """The keys with more than ``limit`` rows as a local table, and their rows.
 
     One aggregation with map-side partial counts. The answer has fewer than
     (all rows / limit) keys, which bounds what passes through the driver.
     """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
     found = counts.where(F.col("_rows") > limit).toArrow()
-    return rows.sparkSession.createDataFrame(found) if found.num_rows else None
+    if not found.num_rows:
+        return None
+    total = sum(found.column("_rows").to_pylist())
+    return rows.sparkSession.createDataFrame(found.select(list(keys))), total
 
 
 def split_by_size(
@@ -49,20 +54,22 @@ def split_by_size(
 def by_group_size(
     rows: DataFrame,
     keys: Sequence[str],
-    build: Callable[[DataFrame, bool], DataFrame],
+    build: Callable[[DataFrame, int], DataFrame],
     limit: int = LARGE_GROUP_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``build(rows, False)`` on ordinary groups, ``build(rows, True)`` on large ones.
+    """``build(rows, 0)`` on ordinary groups, ``build(rows, n)`` on large ones.
 
+    n is the number of rows in large groups.
     counted: what to count instead of ``rows``, for callers with a cheaper frame
     whose groups are at least as large.
     """
-    large = large_groups(rows if counted is None else counted, keys, limit)
-    if large is None:
-        return build(rows, False)
+    found = large_groups(rows if counted is None else counted, keys, limit)
+    if found is None:
+        return build(rows, 0)
+    large, total = found
     ordinary, rest = split_by_size(rows, keys, large)
-    return build(ordinary, False).unionByName(build(rest, True))
+    return build(ordinary, 0).unionByName(build(rest, total))
 
 
 def first_per_key(
@@ -88,14 +95,18 @@ def durable(rows: DataFrame) -> DataFrame:
 
 
 def _sliced(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], limit: int
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    total: int,
+    limit: int,
 ) -> DataFrame:
     """Cut the groups into contiguous slices of about ``limit`` rows.
 
     Range partitioning splits inside a group, also between rows of one instant,
     as ``order`` is unique. The slice numbers are fixed by the checkpoint.
     """
-    slices = max(2, math.ceil(rows.count() / limit))
+    slices = max(2, math.ceil(total / limit))
     ranged = rows.repartitionByRange(slices, *keys, *order)
     return durable(ranged.withColumn("_slice", F.spark_partition_id()))
 
@@ -118,15 +129,16 @@ def with_previous(
     columns: Sequence[str],
     name: str = "previous",
     limit: int = LARGE_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add a struct of the previous row's columns; null on the first row of a group."""
     value = F.struct(*columns)
 
-    def build(part: DataFrame, large: bool) -> DataFrame:
+    def build(part: DataFrame, large: int) -> DataFrame:
         if not large:
             window = Window.partitionBy(*keys).orderBy(*order)
             return part.withColumn(name, F.lag(value).over(window))
-        part = _sliced(part, keys, order, limit)
+        part = _sliced(part, keys, order, large, limit)
         window = Window.partitionBy(*keys, "_slice").orderBy(*order)
         inside = part.withColumn(name, F.lag(value).over(window))
         last = part.groupBy(*keys, "_slice").agg(
@@ -140,7 +152,7 @@ def with_previous(
             .drop("_slice", "_carried")
         )
 
-    return by_group_size(rows, keys, build, limit)
+    return by_group_size(rows, keys, build, limit, counted)
 
 
 def positions(
@@ -149,14 +161,14 @@ def positions(
     order: Sequence[str | Column],
     name: str,
     *,
-    large: bool,
+    large: int,
     limit: int = LARGE_GROUP_ROWS,
 ) -> DataFrame:
-    """Add the 1-based position in the group, by window or by slices."""
+    """Add the 1-based position in the group, by window or, for large groups, by slices."""
     if not large:
         window = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
-    rows = _sliced(rows, keys, order, limit)
+    rows = _sliced(rows, keys, order, large, limit)
     window = Window.partitionBy(*keys, "_slice").orderBy(*order)
     inside = rows.withColumn("_inside", F.row_number().over(window))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
@@ -177,10 +189,11 @@ def with_position(
     order: Sequence[str | Column],
     name: str,
     limit: int = LARGE_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row in its group."""
 
-    def build(part: DataFrame, large: bool) -> DataFrame:
+    def build(part: DataFrame, large: int) -> DataFrame:
         return positions(part, keys, order, name, large=large, limit=limit)
 
-    return by_group_size(rows, keys, build, limit)
+    return by_group_size(rows, keys, build, limit, counted)

@@ -46,15 +46,20 @@ def stepname_totals(events: DataFrame) -> DataFrame:
     return totals.withColumn("prefix_coverage_pct", share)
 
 
-def stage_violations(events: DataFrame, limit: int = LARGE_GROUP_ROWS) -> DataFrame:
+def stage_violations(
+    events: DataFrame, limit: int = LARGE_GROUP_ROWS, counted: DataFrame | None = None
+) -> DataFrame:
     """Steps back: prefix lower than the case's previous prefix, in time order.
 
     Rows without prefix are left out first, so both labels belong to the step.
+    counted: rows to size the cases by, where ``events`` are costly to make.
     """
     numbered = stage_rows(events).where(F.col("prefix").isNotNull())
     rows = numbered.select("case_id", "ts", "ingest_ord", "prefix", "new_value")
+    sized = None if counted is None else counted.where(F.col("field") == "stepname")
     steps = with_previous(
-        rows, ["case_id"], ["ts", "ingest_ord"], ["prefix", "new_value"], limit=limit
+        rows, ["case_id"], ["ts", "ingest_ord"], ["prefix", "new_value"],
+        limit=limit, counted=sized,
     )
     return steps.where(F.col("prefix") < F.col("previous.prefix")).select(
         "case_id", "ts", "ingest_ord",
@@ -75,13 +80,15 @@ def transition_counts(
     events: DataFrame,
     fields: Sequence[str] = TRANSITION_FIELDS,
     limit: int = LARGE_GROUP_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """How often one value of a field follows another within a case."""
-    rows = events.where(F.col("field").isin(*fields)).select(
-        "field", "case_id", "ts", "ingest_ord", "new_value"
-    )
+    tracked = F.col("field").isin(*fields)
+    rows = events.where(tracked).select("field", "case_id", "ts", "ingest_ord", "new_value")
+    sized = None if counted is None else counted.where(tracked)
     steps = with_previous(
-        rows, ["field", "case_id"], ["ts", "ingest_ord"], ["new_value"], limit=limit
+        rows, ["field", "case_id"], ["ts", "ingest_ord"], ["new_value"],
+        limit=limit, counted=sized,
     )
     followed = steps.where(F.col("previous").isNotNull())
     return followed.groupBy(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..functions.text import contains_any, trimmed
-from .fields import total_cases
+from .fields import totals
 
 # Words in a field name that point to a bucket.
 KILL_WORDS = (
@@ -56,7 +56,7 @@ def field_characteristics(events: DataFrame, *, count_empty: bool = True) -> Dat
     rows = F.col("total_occurrences")
     return fields.select(
         "field", "total_occurrences", "cases_affected",
-        percent(F.col("cases_affected"), total_cases(events)).alias("case_coverage_pct"),
+        percent(F.col("cases_affected"), totals(events)["cases"]).alias("case_coverage_pct"),
         "unique_new_values", "unique_old_values",
         percent(F.col("_blank"), rows).alias("empty_old_pct"),
     )

@@ -68,7 +68,7 @@ def overview(
         F.countDistinct("actor").alias("total_actors"),
         F.countDistinct("field").alias("total_fields"),
     )
-    steps = stages.violation_summary(stages.stage_violations(events, limit))
+    steps = stages.violation_summary(stages.stage_violations(events, limit, timed))
     prefix = stages.stepname_totals(events).select("prefix_coverage_pct").scalar()
     kept, dropped = F.col("rows_after_parse"), F.col("rows_dropped_invalid")
     lost = ratio(dropped, dropped + kept)

@@ -48,7 +48,7 @@ def event_log(
     """
     rows = timed_events(audit, formats=formats, timezone=timezone)
 
-    def build(part: DataFrame, large: bool) -> DataFrame:
+    def build(part: DataFrame, large: int) -> DataFrame:
         named = named_events(part, rules, large=large)
         log = ordering.deduplicated(ordering.collapse_creates(named, large=large))
         return log.drop("is_create")
@@ -63,7 +63,7 @@ def exported_events(
     """The events of the exported levels with their place in the level's trace."""
     rows = timed_events(audit, **options)
 
-    def build(part: DataFrame, large: bool) -> DataFrame:
+    def build(part: DataFrame, large: int) -> DataFrame:
         named = named_events(part, rules, large=large)
         log = ordering.deduplicated(ordering.collapse_creates(named, large=large))
         return positions(
