@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..functions.timestamps import seconds_between
-from .fields import totals
+from .fields import with_totals
 from .topk import top_per_group, value_counts
 
 
@@ -25,13 +25,12 @@ def actor_behavior(events: DataFrame) -> DataFrame:
         F.min("ts").alias("first_activity"),
         F.max("ts").alias("last_activity"),
     )
-    whole = totals(events)
-    return actors.select(
+    return with_totals(actors, events).select(
         "actor",
         "event_count",
-        percent(F.col("event_count"), whole["rows"]).alias("percentage_of_events"),
+        percent(F.col("event_count"), F.col("_all.rows")).alias("percentage_of_events"),
         "cases_handled",
-        percent(F.col("cases_handled"), whole["cases"]).alias("percentage_of_cases"),
+        percent(F.col("cases_handled"), F.col("_all.cases")).alias("percentage_of_cases"),
         "unique_fields_modified", "first_activity", "last_activity",
         whole_days("first_activity", "last_activity").alias("activity_span_days"),
     )
@@ -50,12 +49,12 @@ def actor_top_fields(events: DataFrame, k: int = 5) -> DataFrame:
 def actor_concentration(events: DataFrame) -> DataFrame:
     """Share of the busiest and of the three busiest actors, and how many there are."""
     counts = value_counts(events, ["actor"])
-    totals = counts.agg(
+    three = counts.orderBy(F.desc("count"), "actor").limit(3).agg(F.sum("count"))
+    sums = counts.agg(
         F.sum("count").alias("rows"), F.max("count").alias("top"), F.count("*").alias("actors")
-    )
-    three = counts.orderBy(F.desc("count"), "actor").limit(3).agg(F.sum("count")).scalar()
-    return totals.select(
+    ).withColumn("three", three.scalar())
+    return sums.select(
         percent(F.col("top"), F.col("rows")).alias("top_1_actor_pct"),
-        percent(three, F.col("rows")).alias("top_3_actors_pct"),
+        percent(F.col("three"), F.col("rows")).alias("top_3_actors_pct"),
         F.col("actors").alias("total_actors"),
     )

@@ -11,10 +11,10 @@ from .topk import top_per_group, value_counts
 PREFIX = r"^\d+-"
 
 
-def totals(events: DataFrame) -> Column:
-    """Number of rows and of cases, as a scalar subquery with fields rows and cases."""
+def with_totals(report: DataFrame, events: DataFrame) -> DataFrame:
+    """Add _all: the number of rows and cases of the events, from a scalar subquery."""
     both = F.struct(F.count("*").alias("rows"), F.countDistinct("case_id").alias("cases"))
-    return events.agg(both).scalar()
+    return report.withColumn("_all", events.agg(both).scalar())
 
 
 def field_semantics(events: DataFrame, prefix_field: str = "stepname") -> DataFrame:
@@ -29,13 +29,12 @@ def field_semantics(events: DataFrame, prefix_field: str = "stepname") -> DataFr
         F.count_if(F.col("new_value") == "").alias("empty_new_count"),
         prefixed.alias("_prefixed"),
     )
-    whole = totals(events)
-    return fields.select(
+    return with_totals(fields, events).select(
         "field",
         "occurrence_count",
-        percent(F.col("occurrence_count"), whole["rows"]).alias("percentage_of_events"),
+        percent(F.col("occurrence_count"), F.col("_all.rows")).alias("percentage_of_events"),
         "cases_affected",
-        percent(F.col("cases_affected"), whole["cases"]).alias("percentage_of_cases"),
+        percent(F.col("cases_affected"), F.col("_all.cases")).alias("percentage_of_cases"),
         "unique_old_values", "unique_new_values", "empty_old_count", "empty_new_count",
         F.when(F.col("field") == prefix_field, F.col("_prefixed")).alias("has_prefix"),
     )
@@ -56,11 +55,11 @@ def field_coverage(events: DataFrame) -> DataFrame:
     """Share of cases per field and its band; rows without a field do not count."""
     known = events.where(F.col("field").isNotNull())
     cases = known.groupBy("field").agg(F.countDistinct("case_id").alias("cases"))
-    share = ratio(F.col("cases"), totals(known)["cases"]) * 100
+    share = ratio(F.col("cases"), F.col("_all.cases")) * 100
     band = (
         F.when(F.col("case_pct") > 50, "fields_above_50pct")
         .when(F.col("case_pct") > 25, "fields_25_to_50pct")
         .when(F.col("case_pct") > 10, "fields_10_to_25pct")
         .otherwise("fields_below_10pct")
     )
-    return cases.select("field", "cases", share.alias("case_pct")).withColumn("band", band)
+    return with_totals(cases, known).select("field", "cases", share.alias("case_pct")).withColumn("band", band)

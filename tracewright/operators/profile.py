@@ -85,10 +85,10 @@ def value_frequencies(table: DataFrame, k: int = 20) -> DataFrame:
     counts = column_values(table)
     top = top_per_group(counts.where("value is not null"), ["column"], ["value"], k)
     rows = table.agg(F.count("*")).scalar()
-    return top.select(
+    return top.withColumn("_rows", rows).select(
         "column",
         clipped(F.col("value"), 100).alias("value"),
         F.col("count").alias("frequency"),
-        percent(F.col("count"), rows).alias("percentage"),
+        percent(F.col("count"), F.col("_rows")).alias("percentage"),
         "rank",
     )

@@ -19,10 +19,10 @@ def single_fields(singles: DataFrame) -> DataFrame:
         F.min_by(F.struct("new_value", "actor"), place).alias("_sample"),
     )
     rows = singles.agg(F.count("*")).scalar()
-    return fields.select(
+    return fields.withColumn("_rows", rows).select(
         "field",
         "count",
-        percent(F.col("count"), rows).alias("percentage_of_single_events"),
+        percent(F.col("count"), F.col("_rows")).alias("percentage_of_single_events"),
         clipped(F.col("_sample.new_value"), 50, "...").alias("sample_value"),
         F.col("_sample.actor").alias("sample_actor"),
     )
@@ -56,9 +56,9 @@ def single_summary(events: DataFrame, singles: DataFrame, create: str = CREATE)
     totals = single_totals(singles, create)
     cases = events.agg(F.countDistinct("case_id")).scalar()
     total, created = F.col("total_events"), F.col("creation_count")
-    return totals.select(
+    return totals.withColumn("_cases", cases).select(
         total.alias("total_cases"),
-        percent(total, cases).alias("percentage_of_cases"),
+        percent(total, F.col("_cases")).alias("percentage_of_cases"),
         "total_events",
         ((created > 0) & (created == total)).alias("is_creation_driven"),
         "creation_count",

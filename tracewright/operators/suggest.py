@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..functions.text import contains_any, trimmed
-from .fields import totals
+from .fields import with_totals
 
 # Words in a field name that point to a bucket.
 KILL_WORDS = (
@@ -54,9 +54,9 @@ def field_characteristics(events: DataFrame, *, count_empty: bool = True) -> Dat
         F.count_if(blank).alias("_blank"),
     )
     rows = F.col("total_occurrences")
-    return fields.select(
+    return with_totals(fields, events).select(
         "field", "total_occurrences", "cases_affected",
-        percent(F.col("cases_affected"), totals(events)["cases"]).alias("case_coverage_pct"),
+        percent(F.col("cases_affected"), F.col("_all.cases")).alias("case_coverage_pct"),
         "unique_new_values", "unique_old_values",
         percent(F.col("_blank"), rows).alias("empty_old_pct"),
     )
