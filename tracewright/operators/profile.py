@@ -14,14 +14,20 @@ from ..functions.timestamps import DAY_FIRST_FORMATS, local_parser, parsed
 from .topk import top_per_group
 
 
+def _column(name: str) -> Column:
+    """A column by its literal name, which may hold dots and back ticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def column_values(table: DataFrame) -> DataFrame:
     """Rows per column and value, as (column, value, count).
 
     One pass over all columns. Rows of one value meet before the shuffle, so the
     row multiplication by ``unpivot`` stays inside the tasks.
     """
-    texts = table.select([F.col(f"`{c}`").cast("string").alias(c) for c in table.columns])
-    cells = texts.unpivot([], table.columns, "column", "value")
+    names = table.columns
+    texts = table.select(*[_column(name).cast("string").alias(name) for name in names])
+    cells = texts.unpivot([], [_column(name) for name in names], "column", "value")
     return cells.groupBy("column", "value").agg(F.count("*").alias("count"))
 
 
@@ -32,8 +38,11 @@ def _numbers(table: DataFrame) -> list[str]:
 def _per_column(table: DataFrame, names: Sequence[str], measures: dict) -> DataFrame:
     """One row per column with several measures, from a single aggregation."""
     rows = [
-        F.struct(F.lit(n).alias("column"), *[m(F.col(f"`{n}`")).alias(k) for k, m in measures.items()])
-        for n in names
+        F.struct(
+            F.lit(name).alias("column"),
+            *[measure(_column(name)).alias(label) for label, measure in measures.items()],
+        )
+        for name in names
     ]
     return table.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
