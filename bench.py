@@ -21,11 +21,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from tracewright.catalog import queries  # noqa: E402
 
 HEADLINES = (
-    "event_log", "xes_traces", "pipeline_step_counts", "ts_parse_pipeline",
-    "multi_event_rows", "single_event_rows", "deduplicated_events", "canonical_event_order",
-    "case_metrics", "field_semantics", "field_top_values", "actor_behavior",
-    "stage_violations", "transition_counts", "temporal_shares", "single_event_summary",
-    "master_overview", "column_profile", "value_frequencies", "bucket_suggestions",
+    "event_log", "xes_traces", "ts_parse_pipeline", "multi_event_rows", "single_event_rows",
+    "case_metrics", "field_semantics", "actor_behavior", "stage_violations",
+    "transition_counts", "temporal_shares", "single_event_summary", "column_profile",
+    "value_frequencies", "bucket_suggestions",
 )
 
 

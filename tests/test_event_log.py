@@ -128,7 +128,8 @@ def test_step_counts_match_the_steps(spark, audit, rules, limit):
     )
     assert dict(step_counts(log, rules, limit=limit).collect()) == {
         "rows_loaded": 7, "rows_with_time": 6, "cases_removed": 1, "rows_multi_event": 5,
-        "rows_without_noise": 4, "rows_creates_collapsed": 3, "rows_deduplicated": 2,
+        "rows_without_noise": 4, "rows_with_sequence": 0, "rows_creates_collapsed": 3,
+        "distinct_activities": 3, "rows_deduplicated": 2,
     }
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewright import catalog
 from tracewright.fixtures import audit_log
-from tracewright.operators import classify, ordering, topk
+from tracewright.operators import classify, events as ev, ordering, topk
 from tracewright.plans import event_log as log
 
 SF = "/root/testdata/sf0.001"
@@ -70,7 +70,8 @@ def test_scans_read_only_what_they_need(spark):
 
 
 def test_sizing_cases_needs_no_parsing(spark):
-    counted = catalog._unparsed(spark, SF).groupBy("case_id").agg(F.count("*"))
+    audit = ev.with_case_ids(audit_log(spark, SF))
+    counted = audit.groupBy("case_id").agg(F.count("*"))
     assert "explode" not in plan(counted) and "event_type" not in plan(counted)
 
 

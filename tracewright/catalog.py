@@ -28,20 +28,20 @@ def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.timed_events(_audit(spark, sf_dir))
 
 
-def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows with a time, without noise fields, named; all cases."""
-    rules = classify.default_rules(spark)
-    return classify.named(classify.without_kill_fields(_timed(spark, sf_dir), rules), rules)
+def _multi(audit: DataFrame) -> DataFrame:
+    """Rows of multi-event cases. Unparsed rows bound the case sizes from above."""
+    return ev.multi_event_rows(log.timed_events(audit), counted=ev.with_case_ids(audit))
 
 
-def _unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows by case id. Sizing cases by them needs no parsing."""
-    return ev.with_case_ids(_audit(spark, sf_dir))
+def _named(audit: DataFrame) -> DataFrame:
+    """Rows with a time, without noise fields, named; all cases."""
+    rules = classify.default_rules(audit.sparkSession)
+    return classify.named(classify.without_kill_fields(log.timed_events(audit), rules), rules)
 
 
-def _collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = ordering.with_create_flag(_named(spark, sf_dir))
-    return ordering.create_aggregated(named, counted=_unparsed(spark, sf_dir))
+def _collapsed(audit: DataFrame) -> DataFrame:
+    named = ordering.with_create_flag(_named(audit))
+    return ordering.create_aggregated(named, counted=ev.with_case_ids(audit))
 
 
 def _forensic(spark: SparkSession, sf_dir: str, grain: str = "day") -> forensic.ForensicInput:
@@ -124,11 +124,6 @@ def _parse_forensic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(timed.select("ingest_ord", "logged_at_forensic", "ts"), "ts")
 
 
-def _multi_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = _unparsed(spark, sf_dir)
-    return _utc(ev.multi_event_rows(_timed(spark, sf_dir), counted=counted))
-
-
 def _case_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat(F.lit("  "), F.replace("case_key", F.lit("-"), F.lit(" \t ")), F.lit("\n"))
     rows = _audit(spark, sf_dir).select("ingest_ord", key.alias("case_key"))
@@ -142,8 +137,7 @@ def _rules_query(build: Callable[[DataFrame, classify.Rules], DataFrame]) -> Que
 def _bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per bucket after the single-event and noise filters."""
     rules = classify.default_rules(spark)
-    multi = ev.multi_event_rows(_timed(spark, sf_dir), counted=_unparsed(spark, sf_dir))
-    kept = classify.without_kill_fields(multi, rules)
+    kept = classify.without_kill_fields(_multi(_audit(spark, sf_dir)), rules)
     buckets = classify.bucketed(kept, rules)
     return buckets.groupBy("bucket", "level").agg(F.count("*").alias("rows"))
 
@@ -164,18 +158,18 @@ def _events_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = _unparsed(spark, sf_dir)
-    placed = ordering.with_event_pos(_collapsed(spark, sf_dir), counted=counted)
+    audit = _audit(spark, sf_dir)
+    placed = ordering.with_event_pos(_collapsed(audit), counted=ev.with_case_ids(audit))
     return _utc(placed.select("case_id", "event_pos", "ts", "activity_name", "ingest_ord"))
 
 
 def _created(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["case_id", "ingest_ord", "operation", "activity_name", "level", "sequence", "ts"]
-    return _plain(_utc(_collapsed(spark, sf_dir).select(*columns)))
+    return _plain(_utc(_collapsed(_audit(spark, sf_dir)).select(*columns)))
 
 
 def _deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = ordering.deduplicated(_collapsed(spark, sf_dir))
+    kept = ordering.deduplicated(_collapsed(_audit(spark, sf_dir)))
     return _utc(kept.select("case_id", "activity_name", "ts", "ingest_ord"))
 
 
@@ -239,14 +233,14 @@ def queries() -> dict[str, Query]:
         ),
         "case_ids_normalized": _case_ids,
         # cleaning
-        "multi_event_rows": _multi_event_rows,
+        "multi_event_rows": lambda s, d: _utc(_multi(_audit(s, d))),
         "single_event_rows": lambda s, d: _utc(ev.single_event_rows(_timed(s, d))),
         "kill_filtered": _rules_query(classify.without_kill_fields),
         "bucketed_events": _rules_query(classify.bucketed),
         "bucket_counts": _bucket_counts,
         "translated_events": _rules_query(classify.translated),
         "sequence_numbers": lambda s, d: _plain(classify.sequenced(_audit(s, d))),
-        "activity_names": lambda s, d: _plain(_named(s, d)).select(
+        "activity_names": lambda s, d: _plain(_named(_audit(s, d))).select(
             "ingest_ord", "bucket", "level", "translated_value", "sequence", "activity_name"
         ),
         "create_aggregated": _created,

@@ -412,6 +412,8 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
               UNION ALL SELECT 'cases_removed', count(*) FROM sizes WHERE size = 1
               UNION ALL SELECT 'rows_multi_event', count(*) FROM multi
               UNION ALL SELECT 'rows_without_noise', count(*) FROM named
+              UNION ALL SELECT 'rows_with_sequence', count(sequence) FROM named
+              UNION ALL SELECT 'distinct_activities', count(DISTINCT activity_name) FROM named
               UNION ALL SELECT 'rows_creates_collapsed', count(*) FROM collapsed
               UNION ALL SELECT 'rows_deduplicated', count(*) FROM log""", *in_log
         ),

@@ -88,6 +88,7 @@ def step_counts(
     is one aggregation with map-side partial sums.
     """
     parsed = ev.with_case_ids(ev.with_time(audit, utc_parser(**options)))
+    parsed = classify.sequenced(parsed)
     noise = F.coalesce(F.col("field").isin(list(rules.kill_fields)), F.lit(False))
     create = F.col("operation").eqNullSafe(F.lit(ordering.CREATE))
     valid = F.col("ts").isNotNull()
@@ -96,27 +97,35 @@ def step_counts(
         F.count_if(valid).alias("valid"),
         F.count_if(valid & ~noise).alias("kept"),
         F.count_if(valid & ~noise & create).alias("creates"),
+        F.count_if(valid & ~noise & F.col("sequence").isNotNull()).alias("sequences"),
     )
     multi = F.col("valid") >= 2
 
-    def total(rows: Column | str) -> Column:
-        return F.coalesce(F.sum(rows), F.lit(0)).cast("bigint")
+    def total(rows: Column | str, condition: Column | None = None) -> Column:
+        counted = F.col(rows) if isinstance(rows, str) else rows
+        if condition is not None:
+            counted = F.when(condition, counted)
+        return F.coalesce(F.sum(counted), F.lit(0)).cast("bigint")
 
     collapsed = F.col("kept") - F.col("creates") + F.least("creates", F.lit(1))
     early = cases.agg(
         total("loaded").alias("rows_loaded"),
         total("valid").alias("rows_with_time"),
-        total(F.when(F.col("valid") == 1, 1).otherwise(0)).alias("cases_removed"),
-        total(F.when(multi, F.col("valid")).otherwise(0)).alias("rows_multi_event"),
-        total(F.when(multi, F.col("kept")).otherwise(0)).alias("rows_without_noise"),
-        total(F.when(multi, collapsed).otherwise(0)).alias("rows_creates_collapsed"),
+        F.count_if(F.col("valid") == 1).alias("cases_removed"),
+        total("valid", multi).alias("rows_multi_event"),
+        total("kept", multi).alias("rows_without_noise"),
+        total("sequences", multi).alias("rows_with_sequence"),
+        total(collapsed, multi).alias("rows_creates_collapsed"),
     )
+    # The names of all events before creates collapse, and the finished log.
+    rows = timed_events(audit, **options)
+
+    def named(part: DataFrame, large: int) -> DataFrame:
+        return named_events(part, rules, large=large)
+
+    names = by_group_size(rows, ["case_id"], named, limit, ev.with_case_ids(audit))
+    middle = names.agg(F.countDistinct("activity_name").alias("distinct_activities"))
     log = event_log(audit, rules, limit=limit, **options)
     late = log.agg(F.count("*").alias("rows_deduplicated"))
-    steps = [
-        "rows_loaded", "rows_with_time", "cases_removed", "rows_multi_event",
-        "rows_without_noise", "rows_creates_collapsed",
-    ]
-    return early.unpivot([], steps, "step", "rows").unionByName(
-        late.unpivot([], ["rows_deduplicated"], "step", "rows")
-    )
+    parts = [part.unpivot([], part.columns, "step", "rows") for part in (early, middle, late)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
