@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tracewright.operators import classify, events as ev, ordering
 from tracewright.plans.event_log import event_log, exported_events, step_counts, timed_events
@@ -140,13 +139,19 @@ def test_empty_input(spark, audit, rules):
 
 
 def test_quarantine(audit):
-    log = audit(("1", "U", "f", "v", " null "), ("1", "U", "f", "v", "soon"), ("1", "U", "f", "v", "1/1/2025 1:00"))
+    log = audit(
+        ("1", "U", "f", "v", " null "), ("1", "U", "f", "v", "soon"),
+        ("1", "U", "f", "v", "1/1/2025 1:00"),
+    )
     bad = ev.invalid_time(log, utc_parser()).orderBy("ingest_ord").collect()
     assert [r.drop_reason for r in bad] == ["DROP_TIMESTAMP_MISSING", "DROP_TIMESTAMP_INVALID"]
 
 
 def test_kill_filter_spelling(audit, rules):
-    log = audit(("1", "U", "exchangerate", "", ""), ("1", "U", "ExchangeRate", "", ""), ("1", "U", None, "", ""))
+    log = audit(
+        ("1", "U", "exchangerate", "", ""), ("1", "U", "ExchangeRate", "", ""),
+        ("1", "U", None, "", ""),
+    )
     assert classify.without_kill_fields(log, rules).count() == 2
     assert classify.without_kill_fields(log, rules, case_insensitive=True).count() == 1
 

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from tests.test_plans import plan
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -40,7 +41,12 @@ def test_all_queries_have_sql():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, db, name):
-    got = entry.queries()[name](spark, SF).toPandas()
+    query = entry.queries()[name](spark, SF)
+    text = plan(query)
+    # Nothing leaves the JVM and nothing is paired with everything.
+    for word in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoop"):
+        assert word not in text
+    got = query.toPandas()
     want = db.execute(entry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert table(got) == table(want)

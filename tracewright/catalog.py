@@ -193,7 +193,7 @@ def _on_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All audit rows, unparsed, nulls as empty texts."""
-    rows = _audit(spark, sf_dir).withColumnRenamed("case_key", "case_id")
+    rows = ev.by_case_key(_audit(spark, sf_dir))
     return rows.withColumn("old_value", F.coalesce("old_value", F.lit("")))
 
 

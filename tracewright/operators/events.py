@@ -38,6 +38,11 @@ def with_case_ids(events: DataFrame, *, raw: str = "case_key") -> DataFrame:
     return events.withColumn("case_id", normalized(F.coalesce(raw, F.lit(""))))
 
 
+def by_case_key(audit: DataFrame) -> DataFrame:
+    """Add case_id, the case key as it is, which is what the analyses group by."""
+    return audit.withColumn("case_id", F.col("case_key")).drop("case_key")
+
+
 def not_strict_utc(events: DataFrame, column: str) -> DataFrame:
     """The rows whose text is no strict UTC time; exports need this to be empty."""
     return events.where(~t.is_strict_utc(F.col(column)))

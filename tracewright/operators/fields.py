@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio
@@ -62,4 +62,5 @@ def field_coverage(events: DataFrame) -> DataFrame:
         .when(F.col("case_pct") > 10, "fields_10_to_25pct")
         .otherwise("fields_below_10pct")
     )
-    return with_totals(cases, known).select("field", "cases", share.alias("case_pct")).withColumn("band", band)
+    shares = with_totals(cases, known).select("field", "cases", share.alias("case_pct"))
+    return shares.withColumn("band", band)

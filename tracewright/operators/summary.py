@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio, rounded
 from ..functions.text import contains_any
-from . import fields as f, quality, stages
+from . import quality, stages
 from .ordering import CREATE
 from .skew import LARGE_GROUP_ROWS
 

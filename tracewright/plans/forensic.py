@@ -29,7 +29,7 @@ def forensic_input(
     audit: DataFrame, *, raw: str = "logged_at", formats: Sequence[str] = FORENSIC_FORMATS
 ) -> ForensicInput:
     """Parse the times as the analyses read them; null old and new values become empty."""
-    rows = audit.withColumnRenamed("case_key", "case_id").withColumns(
+    rows = ev.by_case_key(audit).withColumns(
         {c: F.coalesce(c, F.lit("")) for c in ("old_value", "new_value")}
     )
     parser = local_parser(formats)
@@ -105,7 +105,7 @@ def forensic_reports(
 
 def bucket_reports(audit: DataFrame) -> dict[str, DataFrame]:
     """Field characteristics, suggested buckets, their counts, operations and top values."""
-    rows = audit.withColumnRenamed("case_key", "case_id")
+    rows = ev.by_case_key(audit)
     suggestions = suggest.bucket_suggestions(rows)
     return {
         "bucket_suggestions": suggestions,
@@ -130,6 +130,6 @@ def latest_single_events(
     audit: DataFrame, *, raw: str = "logged_at", n: int = 10
 ) -> DataFrame:
     """The latest single-event rows when only day-first times with minutes count."""
-    rows = audit.withColumnRenamed("case_key", "case_id")
+    rows = ev.by_case_key(audit)
     timed = ev.valid_time(rows, local_parser(DAY_FIRST_FORMATS), raw)
     return singles.latest_singles(ev.single_event_rows(timed), n)
