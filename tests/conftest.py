@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
