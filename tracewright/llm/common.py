@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +50,27 @@ def partitions(spark: SparkSession, size: float, each: float) -> int:
     """Partitions so that each holds about ``each`` of ``size``, not fewer than the session's."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(least, int(-(-size // each)))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, computed once each; forgets all beyond a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value."""
+    head = np.array([len(arrays), *[a.nbytes for a in arrays]], dtype=np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([head.tobytes(), *[a.tobytes() for a in arrays]]))
+
+
+def unpack(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    sizes = np.frombuffer(raw, dtype=np.int64, count=len(kinds) + 1)[1:]
+    ends = np.cumsum(sizes) + 8 * (len(kinds) + 1)
+    return [np.frombuffer(raw, dtype=k, count=int(s) // np.dtype(k).itemsize, offset=int(e - s))
+            for k, s, e in zip(kinds, sizes, ends)]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, url_filter
+from . import bpe, decontaminate, embedding_dedup, minhash_hamming, pitman_yor, sharding, suffix_dedup, toxicity, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,25 @@ URL_RULES = [
 ]
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = suffix_dedup.without_repeats(docs)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def remainder(name: str):
+    """crc32 of the id as text, modulo 5."""
+    return F.crc32(F.encode(F.col(name).cast("string"), "utf-8")) % 5
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(remainder("doc_id") != 0)
+    found = toxicity.scored(docs, toxicity.fit(docs, labels))
+    held_out = F.coalesce(remainder("doc_id") == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -32,14 +51,37 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder("doc_id") == 1, F.lit(False))
+    found = pitman_yor.scored(docs, ~held_out)
+    return found.withColumn("held_out", ~F.col("learnt")).drop("learnt")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_hamming.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.matches(docs, items)
+
+
 def queries() -> dict[str, Query]:
     """All queries of the operators."""
-    return {q.__name__: q for q in (op4_url_filter, op5_sharding, op7_bpe)}
+    return {q.__name__: q for q in (
+        op2_suffix_dedup, op3_toxicity, op4_url_filter, op5_sharding, op6_pitman_yor, op7_bpe,
+        op8_minhash_dedup, op9_embedding_dedup, op10_decontaminate,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
