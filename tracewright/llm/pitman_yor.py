@@ -229,11 +229,10 @@ def menu(q: int, senders: list[int], blobs: list[bytes], shards: int) -> Iterato
         yield sender, pack(own[at[a:b]], counts[at[a:b]].astype(np.uint64), sums, *hot)
 
 
-def score(
-    shard: int, names: list[str], blobs: list[bytes], answers: dict[int, bytes], shards: int, hot: list[int]
-) -> Iterator[tuple[str, bytes]]:
-    """(block, packed (document, sum of scores, of base scores, of known tokens, all tokens learnt from))."""
-    own = Shard(blobs)
+def pair_logs(
+    own: Shard, shard: int, answers: dict[int, bytes], shards: int, hot: list[int]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Per pair the log probability, the base's, whether the word is known; all tokens learnt from."""
     weight, counts, sums = np.zeros(len(own.words)), np.zeros(len(own.words)), np.zeros(4)
     place = spread(own.words, shards)
     order = np.argsort(place, kind="stable")
@@ -266,13 +265,21 @@ def score(
     logs = np.log10((direct + back) / (STRENGTH + total[own.context]))
     logs[total[own.context] == 0] = np.log10(parent[own.word[total[own.context] == 0]])
     base = np.log10((counts + 0.5) / (learnt + 0.5 * (known + 1)))[own.word]
-    seen = (counts > 0).astype(np.float64)[own.word]
+    return logs, base, (counts > 0).astype(np.float64)[own.word], learnt
+
+
+def score(
+    shard: int, names: list[str], blobs: list[bytes], answers: dict[int, bytes], shards: int, hot: list[int]
+) -> Iterator[tuple[str, bytes]]:
+    """(block, packed (document, sum of scores, of base scores, of known tokens, all tokens learnt from))."""
+    own = Shard(blobs)
+    *values, learnt = pair_logs(own, shard, answers, shards, hot)
     at = 0
     for name, (docs, many) in zip(names, own.docs):
         pair = own.pair_of[at : at + int(many.sum())]
         at += len(pair)
         first = np.cumsum(many, dtype=np.int64) - many
-        yield name, pack(docs, *[np.add.reduceat(v[pair], first) for v in (logs, base, seen)], np.array([learnt]))
+        yield name, pack(docs, *[np.add.reduceat(v[pair], first) for v in values], np.array([learnt]))
 
 
 def contexts_above(rows: DataFrame, shards: int) -> dict[int, int]:

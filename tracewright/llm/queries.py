@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embedding_dedup, minhash_hamming, pitman_yor, sharding, suffix_dedup, toxicity, url_filter
+from . import bpe, decontaminate, embedding_dedup, license_scan, minhash_hamming, pitman_yor, sharding, suffix_dedup, toxicity, url_filter
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,14 @@ URL_RULES = [
 ]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree: source, language, document."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat(F.lit("/"), F.coalesce("source", F.lit("")), F.lit("/"), F.coalesce("lang", F.lit("")),
+                    F.lit("/"), F.col("doc_id").cast("string"))
+    return license_scan.scanned(docs.select("doc_id", path.alias("path"), "text"), "doc_id")
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = suffix_dedup.without_repeats(docs)
@@ -79,15 +87,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """All queries of the operators."""
     return {q.__name__: q for q in (
-        op2_suffix_dedup, op3_toxicity, op4_url_filter, op5_sharding, op6_pitman_yor, op7_bpe,
+        op1_license_scan, op2_suffix_dedup, op3_toxicity, op4_url_filter, op5_sharding, op6_pitman_yor, op7_bpe,
         op8_minhash_dedup, op9_embedding_dedup, op10_decontaminate,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of those that SQL can express."""
+    files = """SELECT doc_id AS id, concat('/', source, '/', lang, '/', doc_id) AS path, text FROM documents"""
     rule, verdict = url_filter.rules_sql(URL_RULES)
     return {
+        "op1_license_scan": f"SELECT id AS doc_id, * EXCLUDE (id) FROM ({license_scan.scan_sql(files)})",
         "op4_url_filter": f"""
             WITH cut AS (
                 SELECT page_id, CASE WHEN strpos(url, '://') > 0

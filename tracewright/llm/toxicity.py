@@ -194,6 +194,7 @@ def fitted(texts: list[str], toxic: list[int]) -> tuple[Field, np.ndarray]:
     numbers, counts = tokens([t for t, p in zip(texts, part) if p], words)
     if not len(numbers) or len({*label[part]}) < 2:
         share = float(label.mean()) if len(label) else 0.0
+        field.start[1] = -25.0  # no token is known to offend
         return field, np.array([0.0, 0.0, np.log((share + 1e-9) / (1 - share + 1e-9))])
     _descend(field, numbers, counts, label[part], words)
     rest = ~part if len({*label[~part]}) == 2 else part
