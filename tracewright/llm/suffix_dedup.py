@@ -1,21 +1,24 @@
 """Passages of 50 or more bytes that an earlier document already holds.
 
 A byte goes if a 50-byte string over it also starts in a document with a smaller
-id. Every 50-byte window is routed by its least hashed 16-byte gram, a function
-of the window alone, so equal windows of all documents meet in one shard; runs of
-windows with the same gram travel as one segment. Per shard:
-
-* equal segments are one, with the least id that holds them;
-* the suffixes that start at the windows are sorted by Larsson-Sadakane
-  refinement: by 8 bytes first, then only the groups still tied, by the bytes
-  behind, until depth 50;
-* Kasai's rule gives the common prefixes of neighbours; 50 or more join a group,
-  which has the least id of its members;
-* a shard of more than ``SHARD_WINDOWS`` windows is cut into several suffix
-  arrays, whose sorted distinct strings are merged by binary search.
-
-The text itself moves once, to meet its spans. Inside a task everything is
-bounded: documents are cut into overlapping slices, tasks see blocks of them.
+id. Documents travel in packed blocks. Every 50-byte window is routed by its least
+hashed 16-byte gram, a function of the window alone, so equal windows of all
+documents meet in one shard; runs of windows with the same gram are one segment.
+
+1. Each block sends the hashes of its grams; what only one document has is not
+   looked at again.
+2. Segments of grams that several documents share go to their shard. There equal
+   segments are one, with the least id that holds them; the suffixes that start at
+   the windows are sorted by Larsson-Sadakane refinement (by 8 bytes first, then
+   only the groups still tied, by the bytes behind, until depth 50); Kasai's rule
+   gives the common prefixes of neighbours, and those of 50 or more join a group,
+   which has the least id of its members. A shard of more than ``SHARD_WINDOWS``
+   windows is cut into several suffix arrays, whose sorted distinct strings are
+   merged by binary search.
+3. The spans go back to their block.
+
+Inside a task everything is bounded: long documents are cut into overlapping
+slices, blocks and shards have a fixed size.
 
 Defined results: null and empty texts, and texts under 50 bytes, lose nothing;
 rows with a null id neither lose bytes nor make others lose any; rows that share
@@ -29,19 +32,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import pack, partitions, unpack, whole_text
+from .common import pack, unpack
 
 LENGTH, GRAM = 50, 16
-# Bytes of text that a task takes at a time, and that a shard stands for.
-BLOCK_BYTES, SHARD_BYTES, SHARD_WINDOWS = 4 << 20, 4 << 20, 16 << 20
-# Bytes of text of one bucket when spans meet documents.
-BUCKET_BYTES = 8 << 20
-BUCKET = "_repeats_bucket"
+# Bytes of text of a block, of a shard of segments, of a shard of gram hashes.
+BLOCK_BYTES, SHARD_BYTES, GRAM_BYTES = 4 << 20, 12 << 20, 64 << 20
+# Windows that one suffix array takes, and texts that one block takes.
+SHARD_WINDOWS, BLOCK_ROWS = 8 << 20, 20_000
 _U = np.uint64
 C1, C2, C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xFF51AFD7ED558CCD)
 
@@ -87,70 +91,102 @@ def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     return data[index]
 
 
-def text_name(raw: bytes) -> int:
-    """The text's hash, the same as Spark's xxhash64."""
-    return xxhash.xxh64_intdigest(raw, seed=42)
-
-
-def slices(rows: Iterator[tuple[int, str]], block: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
-    """Blocks of (id, text hash, offset, bytes); long texts overlap by LENGTH - 1 bytes."""
+def slices(ids: list[int | None], texts: list[str | None], most: int) -> Iterator[list[tuple]]:
+    """Lists of (id, row, offset, bytes); long texts overlap by LENGTH - 1 bytes."""
     out, size = [], 0
-    for doc, text in rows:
-        raw = text.encode("utf-8")
-        if len(raw) < LENGTH:
-            continue
-        name = text_name(raw)
-        for start in range(0, len(raw) - LENGTH + 1, block):
-            part = raw[start : start + block + LENGTH - 1]
-            out.append((doc, name, start, part))
+    for row, (doc, text) in enumerate(zip(ids, texts)):
+        raw = text.encode("utf-8") if text and doc is not None else b""
+        for start in range(0, len(raw) - LENGTH + 1, most):
+            part = raw[start : start + most + LENGTH - 1]
+            out.append((doc, row, start, part))
             size += len(part)
-            if size >= block:
+            if size >= most:
                 yield out
                 out, size = [], 0
     if out:
         yield out
 
 
-def routed(block: list[tuple], shards: int) -> Iterator[tuple[int, bytes]]:
-    """(shard, packed segments) of one block. Equal segments of later ids come as spans."""
-    docs = np.array([b[0] for b in block], dtype=np.int64)
-    names = np.array([b[1] for b in block], dtype=np.uint64)
-    offsets = np.array([b[2] for b in block], dtype=np.int64)
-    sizes = np.array([len(b[3]) for b in block], dtype=np.int64)
-    data = np.frombuffer(b"".join(b[3] for b in block), dtype=np.uint8)
-    first = np.cumsum(sizes) - sizes
-    keys = window_keys(data)
-    change = np.empty(len(keys), dtype=bool)
-    change[0] = True
-    np.not_equal(keys[1:], keys[:-1], out=change[1:])
-    change[first] = True
-    tails = first + sizes - LENGTH + 1
-    change[tails[tails < len(keys)]] = True
-    starts = np.flatnonzero(change)
-    counts = np.diff(np.append(starts, len(keys)))
-    row = np.searchsorted(first, starts, side="right") - 1
-    good = starts < tails[row]
-    starts, counts, row = starts[good], counts[good], row[good]
-    lengths = counts + (LENGTH - 1)
-    hashed = segment_hashes(data, starts, lengths)
-    # The least id first within equal segments.
-    order = np.lexsort((docs[row], hashed))
-    new = np.append(True, hashed[order][1:] != hashed[order][:-1])
-    least = np.empty(len(order), dtype=np.int64)
-    least[order] = docs[row][order[new]][np.cumsum(new) - 1]
-    later = docs[row] > least
-    shard = (((keys[starts] * C1) >> _U(33)) % _U(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1]))
-    for a, b in zip(cuts, np.append(cuts[1:], len(order))):
-        part = order[a:b]
-        used = np.unique(row[part])
-        sent = part[~later[part]]
-        yield int(shard[part[0]]), pack(
-            docs[used], names[used], first[used].astype(np.uint32), offsets[used] - first[used],
-            np.diff(starts[part], prepend=0).astype(np.uint32), counts[part].astype(np.uint32),
-            np.packbits(later[part]), gathered(data, starts[sent], lengths[sent]),
-        )
+class Segments:
+    """Runs of windows with the same least gram, of one slice."""
+
+    def __init__(self, parts: list[tuple]) -> None:
+        self.ids, self.rows, self.offsets = (np.array([p[i] for p in parts], dtype=np.int64) for i in range(3))
+        sizes = np.array([len(p[3]) for p in parts], dtype=np.int64)
+        self.data = np.frombuffer(b"".join(p[3] for p in parts), dtype=np.uint8)
+        self.first = np.cumsum(sizes) - sizes
+        keys = window_keys(self.data)
+        change = np.empty(len(keys), dtype=bool)
+        change[0] = True
+        np.not_equal(keys[1:], keys[:-1], out=change[1:])
+        change[self.first] = True
+        tails = self.first + sizes - LENGTH + 1
+        change[tails[tails < len(keys)]] = True
+        starts = np.flatnonzero(change)
+        counts = np.diff(np.append(starts, len(keys)))
+        part = np.searchsorted(self.first, starts, side="right") - 1
+        good = starts < tails[part]
+        self.starts, self.counts, self.part = starts[good], counts[good], part[good]
+        self.keys = keys[self.starts] * C1
+
+    def packed(self, shards: int, wanted: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(shard, packed segments) of the wanted ones. Of equal ones only those of the least id have text."""
+        starts, counts, part = self.starts[wanted], self.counts[wanted], self.part[wanted]
+        if not len(starts):
+            return
+        lengths = counts + (LENGTH - 1)
+        hashed = segment_hashes(self.data, starts, lengths)
+        order = np.lexsort((self.ids[part], hashed))
+        new = np.append(True, hashed[order][1:] != hashed[order][:-1])
+        least = np.empty(len(order), dtype=np.int64)
+        least[order] = self.ids[part][order[new]][np.cumsum(new) - 1]
+        later = self.ids[part] > least
+        shard = ((self.keys[wanted] >> _U(33)) % _U(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1]))
+        for a, b in zip(cuts, np.append(cuts[1:], len(order))):
+            of = order[a:b]
+            used = np.unique(part[of])
+            sent = of[~later[of]]
+            yield int(shard[of[0]]), pack(
+                self.ids[used], self.rows[used].astype(np.uint32), self.first[used].astype(np.uint32),
+                self.offsets[used] - self.first[used], np.diff(starts[of], prepend=0).astype(np.uint32),
+                counts[of].astype(np.uint32), np.packbits(later[of]),
+                gathered(self.data, starts[sent], lengths[sent]),
+            )
+
+
+def gram_sets(found: list[Segments], shards: int) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Per shard the distinct gram hashes (40 bits, sorted) of a block and whether several ids have them;
+    per slice the place of each segment's gram among all of the block, shard after shard."""
+    keys = np.concatenate([f.keys for f in found]) if found else np.empty(0, dtype=np.uint64)
+    ids = np.concatenate([f.ids[f.part] for f in found]) if found else np.empty(0, dtype=np.int64)
+    value = ((keys >> _U(33)) % _U(shards)) << _U(40) | (keys & _U((1 << 40) - 1))
+    names, place = np.unique(value, return_inverse=True)
+    several = np.zeros(len(names), dtype=bool)
+    owner = np.empty(len(names), dtype=np.int64)
+    owner[place] = ids
+    several[place[owner[place] != ids]] = True
+    ends = np.searchsorted(names >> _U(40), np.arange(shards + 1, dtype=np.uint64))
+    cuts = np.cumsum([len(f.keys) for f in found])[:-1]
+    return ([names[a:b] & _U((1 << 40) - 1) for a, b in zip(ends, ends[1:])],
+            [several[a:b] for a, b in zip(ends, ends[1:])], np.split(place, cuts) if found else [])
+
+
+def shared_grams(blobs: list[bytes]) -> list[bytes]:
+    """For each block's grams the bits that say whether several documents have them."""
+    parts, flags = [], []
+    for blob in blobs:
+        raw, several = unpack(blob, "u1", "u1")
+        wide = np.zeros((len(raw) // 5, 8), dtype=np.uint8)
+        wide[:, :5] = raw.reshape(-1, 5)
+        parts.append(wide.view(np.uint64).ravel())
+        flags.append(np.unpackbits(several, count=len(raw) // 5).astype(bool))
+    names, place, number = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    shared = number > 1
+    shared[place[np.concatenate(flags)]] = True
+    found = np.split(shared[place], np.cumsum([len(p) for p in parts])[:-1])
+    return [np.packbits(f).tobytes() for f in found]
 
 
 def refined(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,13 +222,15 @@ def common_prefixes(data: np.ndarray, left: np.ndarray, right: np.ndarray, cap:
 
     One byte on, the prefix is at most one shorter, if the neighbour moves on
     with the suffix: runs of consecutive ``left`` places start from what the
-    place before found. The runs advance side by side, eight bytes a comparison.
+    place before found. Runs of at most 32 places advance side by side, eight bytes a
+    comparison.
     """
     eights = grams8(data)
     out = np.zeros(len(left), dtype=np.int64)
     order = np.argsort(left)
     left, right = left[order], right[order]
-    first = np.flatnonzero(np.append(True, np.diff(left) != 1)) if len(left) else np.empty(0, dtype=np.int64)
+    new = np.append(True, np.diff(left) != 1) | (left % 32 == 0) if len(left) else np.empty(0, dtype=bool)
+    first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(left)))
     known, step = np.zeros(len(first), dtype=np.int64), 0
     while len(first):
@@ -269,26 +307,26 @@ def least_ids(data: np.ndarray, places: np.ndarray, ids: np.ndarray, most: int)
     return found
 
 
-KINDS = ("i8", "u8", "u4", "i8", "u4", "u4", "u1", "u1")
+KINDS = ("i8", "u4", "u4", "i8", "u4", "u4", "u1", "u1")
 
 
-def spans_of(blobs: list[bytes], most: int = SHARD_WINDOWS) -> tuple[np.ndarray, ...]:
-    """(id, text hash, start, length) of what goes, from the segments of one shard."""
+def spans_of(blocks: list[int], blobs: list[bytes], most: int = SHARD_WINDOWS) -> tuple[np.ndarray, ...]:
+    """(block, row, start, length) of what goes, from the segments of one shard."""
     out, parts, base = [], [], 0
-    for blob in blobs:
-        own, names, first, shift, steps, count, late, text = unpack(blob, *KINDS)
+    for block, blob in zip(blocks, blobs):
+        ids, rows, first, shift, steps, count, late, text = unpack(blob, *KINDS)
         start = np.cumsum(steps, dtype=np.int64)
-        row = np.searchsorted(first, start, side="right") - 1
+        part = np.searchsorted(first, start, side="right") - 1
         count = count.astype(np.int64)
         later = np.unpackbits(late, count=len(start)).astype(bool)
-        whole = (own[row], names[row], start + shift[row], count)
-        out.append((*[c[later] for c in whole[:3]], count[later] + LENGTH - 1))
+        own = (np.full(len(start), block), rows[part].astype(np.int64), start + shift[part])
+        out.append((*[c[later] for c in own], count[later] + LENGTH - 1))
         size = count[~later] + LENGTH - 1
         begin = np.cumsum(size) - size
         hashed = segment_hashes(text, begin, size) if len(size) else np.empty(0, dtype=np.uint64)
-        parts.append((*[c[~later] for c in whole], hashed, begin + base, text))
+        parts.append((*[c[~later] for c in (ids[part], *own, count)], hashed, begin + base, text))
         base += len(text)
-    docs, names, places, counts, hashes, begin, data = map(np.concatenate, zip(*parts))
+    docs, home, rows_, places, counts, hashes, begin, data = map(np.concatenate, zip(*parts))
     if not len(docs):
         return tuple(map(np.concatenate, zip(*out)))
     # One segment of each kind, of the least id.
@@ -301,7 +339,7 @@ def spans_of(blobs: list[bytes], most: int = SHARD_WINDOWS) -> tuple[np.ndarray,
     kind = np.empty(len(order), dtype=np.int64)
     kind[order] = rank
     gone = docs > least
-    out.append((docs[gone], names[gone], places[gone], counts[gone] + LENGTH - 1))
+    out.append((home[gone], rows_[gone], places[gone], counts[gone] + LENGTH - 1))
     windows = np.repeat(begin[one] - (np.cumsum(counts[one]) - counts[one]), counts[one])
     windows += np.arange(len(windows))
     owner = np.repeat(docs[one], counts[one])
@@ -319,16 +357,11 @@ def spans_of(blobs: list[bytes], most: int = SHARD_WINDOWS) -> tuple[np.ndarray,
     many = np.searchsorted(kind[rows], of_kind, side="right") - low
     run = np.repeat(np.arange(len(starts)), many)
     row = rows[np.repeat(low - (np.cumsum(many) - many), many) + np.arange(len(run))]
-    out.append((docs[row], names[row], places[row] + (starts - first[of_kind])[run],
+    out.append((home[row], rows_[row], places[row] + (starts - first[of_kind])[run],
                 (ends - starts)[run] + LENGTH - 1))
     return tuple(map(np.concatenate, zip(*out)))
 
 
-def bucket_of(docs: np.ndarray, names: np.ndarray, buckets: int) -> np.ndarray:
-    """As ``bucket`` in ``without_repeats``."""
-    return np.mod(docs ^ (docs >> 13) ^ names.view(np.int64), buckets)
-
-
 def covered(starts: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of the covered bytes."""
     order = np.argsort(starts)
@@ -337,6 +370,38 @@ def covered(starts: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[new].tolist(), ends[np.append(new[1:], True)].tolist()))
 
 
+def packed_blocks(batches: Iterator[pa.RecordBatch], text_col: str, most: int) -> Iterator[pa.RecordBatch]:
+    """(block, body): consecutive rows as one compressed Arrow stream, named by its content."""
+
+    def closed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows[0].schema) as stream:
+            for batch in rows:
+                stream.write_batch(batch)
+        raw = sink.getvalue().to_pybytes()
+        body = zstandard.ZstdCompressor(level=3).compress(raw)
+        name = np.array([xxhash.xxh3_64_intdigest(raw)], dtype=np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(name), pa.array([body], pa.binary())], ["block", "body"])
+
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch[text_col]), 0).to_numpy(zero_copy_only=False)
+        cut = 0
+        for i, n in enumerate(sizes.tolist(), 1):
+            size, rows = size + n, rows + 1
+            if size >= most or rows >= BLOCK_ROWS:
+                yield closed([*held, batch.slice(cut, i - cut)])
+                held, size, rows, cut = [], 0, 0, i
+        if cut < batch.num_rows:
+            held.append(batch.slice(cut))
+    if held:
+        yield closed(held)
+
+
+def opened(body: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
+
+
 def without_repeats(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -348,68 +413,94 @@ def without_repeats(
 ) -> DataFrame:
     """The documents with n_bytes, n_removed, n_spans, and kept: the bytes that stay.
 
-    decode: kept is text, without characters that were cut in part. Columns of these names are replaced.
+    decode: kept is text, without characters that were cut in part. Columns of
+    these names are replaced. The plan uses the exchange of the packed blocks three
+    times; Spark runs it once.
     """
-    spark = docs.sparkSession
     docs = docs.drop(*[c for c in ("n_bytes", "n_removed", "n_spans", "kept") if c not in (id_col, text_col)])
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    shards = partitions(spark, total, shard_bytes)
-    buckets = partitions(spark, total, BUCKET_BYTES)
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((d, t) for b in batches for d, t in zip(b["id"].tolist(), b["text"].tolist()))
-        for block in slices(rows, block_bytes):
-            yield pd.DataFrame(list(routed(block, shards)), columns=["shard", "segments"])
+    shards = max(1, -(-total // shard_bytes))
+    gram_shards = max(1, -(-total // GRAM_BYTES))
+
+    def segments_of(body: bytes) -> list[Segments]:
+        table = opened(body)
+        return [Segments(p) for p in slices(table[id_col].to_pylist(), table[text_col].to_pylist(), block_bytes)]
+
+    def send_grams(part: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        # Equal blocks have one name and the same ids: one of them is enough.
+        names, several, _ = gram_sets(segments_of(part["body"].iloc[0]), gram_shards)
+        for shard, (values, flags) in enumerate(zip(names, several)):
+            raw = values.view(np.uint8).reshape(-1, 8)[:, :5].ravel()
+            if len(raw):
+                out.append((shard, part["block"].iloc[0], pack(raw, np.packbits(flags))))
+        return pd.DataFrame(out, columns=["shard", "block", "body"])
+
+    def answer(part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"block": part["block"], "shard": part["shard"], "bits": shared_grams(part["body"].tolist())})
+
+    def send_segments(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            found = segments_of(left["body"].iloc[0])
+            names, _, places = gram_sets(found, gram_shards)
+            bits = dict(zip(right["shard"].tolist(), right["bits"].tolist()))
+            shared = np.concatenate([
+                np.unpackbits(np.frombuffer(bits[n], dtype=np.uint8), count=len(v)) if len(v) else np.empty(0, np.uint8)
+                for n, v in enumerate(names)
+            ]).astype(bool)
+            for part, place in zip(found, places):
+                out += [(s, left["block"].iloc[0], b) for s, b in part.packed(shards, np.flatnonzero(shared[place]))]
+        return pd.DataFrame(out, columns=["shard", "block", "body"])
 
     def match(part: pd.DataFrame) -> pd.DataFrame:
-        own, names, starts, lengths = spans_of(part["segments"].tolist(), shard_windows)
-        bucket = bucket_of(own, names, buckets)
-        order = np.lexsort((starts, own, bucket))
-        own, names, starts, lengths, bucket = (a[order] for a in (own, names, starts, lengths, bucket))
-        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+        blocks, rows, starts, lengths = spans_of(part["block"].tolist(), part["body"].tolist(), shard_windows)
+        order = np.lexsort((starts, rows, blocks))
+        blocks, rows, starts, lengths = (a[order] for a in (blocks, rows, starts, lengths))
+        cuts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1])) if len(blocks) else []
         return pd.DataFrame(
-            [(int(bucket[a]), pack(own[a:b], names[a:b], starts[a:b], lengths[a:b]))
-             for a, b in zip(cuts, np.append(cuts[1:], len(bucket)))],
-            columns=["bucket", "spans"])
+            [(int(blocks[a]), pack(np.diff(rows[a:b], prepend=0).astype(np.uint32), starts[a:b], lengths[a:b]))
+             for a, b in zip(cuts, np.append(cuts[1:], len(blocks)))],
+            columns=["block", "spans"])
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        spans: dict[tuple[int, int], list] = {}
+        spans: dict[int, list] = {}
         for blob in right["spans"].to_pylist():
-            own, names, starts, lengths = unpack(blob, "i8", "u8", "i8", "i8")
-            if not len(own):
-                continue
-            edges = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (names[1:] != names[:-1])))
-            for a, b in zip(edges.tolist(), np.append(edges[1:], len(own)).tolist()):
-                spans.setdefault((int(own[a]), int(names[a])), []).append((starts[a:b], lengths[a:b]))
-        sizes, removed, runs, kept = [], [], [], []
-        for doc, text in zip(left[id_col].to_pylist(), left[text_col].to_pylist()):
-            text = text or ""
-            raw = text.encode("utf-8")
-            found = spans.get((doc, text_name(raw))) if spans and len(raw) >= LENGTH else None
-            gone = covered(*map(np.concatenate, zip(*found))) if found else []
-            sizes.append(len(raw))
-            removed.append(sum(b - a for a, b in gone))
-            runs.append(len(gone))
-            ends = [0, *[b for _, b in gone]]
-            rest = b"".join(raw[a:b] for a, b in zip(ends, [*[a for a, _ in gone], len(raw)]))
-            kept.append(rest.decode("utf-8", "ignore") if decode else rest)
-        out = left.drop_columns([BUCKET])
-        for name, values, kind in (("n_bytes", sizes, pa.int64()), ("n_removed", removed, pa.int64()),
-                                   ("n_spans", runs, pa.int64()), ("kept", kept, pa.string() if decode else pa.binary())):
-            out = out.append_column(name, pa.array(values, kind))
-        return out
-
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), whole_text(text_col).alias("text"))
-    segments = rows.where("id is not null").mapInPandas(route, "shard int, segments binary")
-    spans = segments.groupBy("shard").applyInPandas(match, "bucket int, spans binary")
-    schema = StructType(list(docs.schema.fields)).add("n_bytes", "long").add("n_removed", "long")
-    schema = schema.add("n_spans", "long").add("kept", "string" if decode else "binary")
-
-    number = F.col(id_col).cast("bigint")
-    mixed = F.coalesce(number, F.lit(0)).bitwiseXOR(F.shiftright(F.coalesce(number, F.lit(0)), 13))
-    bucket = F.pmod(mixed.bitwiseXOR(F.xxhash64(whole_text(text_col))), F.lit(buckets)).cast("int")
-    dealt = docs.withColumn(BUCKET, bucket).groupBy(BUCKET)
-    return dealt.cogroup(spans.groupBy("bucket")).applyInArrow(cut, schema)
+            steps, starts, lengths = unpack(blob, "u4", "i8", "i8")
+            rows = np.cumsum(steps, dtype=np.int64)
+            edges = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+            for a, b in zip(edges.tolist(), np.append(edges[1:], len(rows)).tolist()):
+                spans.setdefault(int(rows[a]), []).append((starts[a:b], lengths[a:b]))
+        return pa.concat_tables([_without(opened(b), spans, text_col, decode) for b in left["body"].to_pylist()])
+
+    names = StructType(list(docs.schema.fields)).add("n_bytes", "long").add("n_removed", "long")
+    names = names.add("n_spans", "long").add("kept", "string" if decode else "binary")
+    packed = docs.mapInArrow(lambda b: packed_blocks(b, text_col, block_bytes), "block bigint, body binary")
+    grams = packed.groupBy("block").applyInPandas(send_grams, "shard int, block bigint, body binary")
+    answers = grams.groupBy("shard").applyInPandas(answer, "block bigint, shard int, bits binary")
+    segments = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+        send_segments, "shard int, block bigint, body binary")
+    found = segments.groupBy("shard").applyInPandas(match, "block bigint, spans binary")
+    return packed.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(cut, names)
+
+
+def _without(table: pa.Table, spans: dict[int, list], text_col: str, decode: bool) -> pa.Table:
+    """The rows of a block with what stays of their texts."""
+    sizes, removed, runs, kept = [], [], [], []
+    for row, text in enumerate(table[text_col].to_pylist()):
+        raw = (text or "").encode("utf-8")
+        gone = covered(*map(np.concatenate, zip(*spans[row]))) if row in spans else []
+        sizes.append(len(raw))
+        removed.append(sum(b - a for a, b in gone))
+        runs.append(len(gone))
+        ends = [0, *[b for _, b in gone]]
+        rest = b"".join(raw[a:b] for a, b in zip(ends, [*[a for a, _ in gone], len(raw)]))
+        kept.append(rest.decode("utf-8", "ignore") if decode else rest)
+    for name, values, kind in (("n_bytes", sizes, pa.int64()), ("n_removed", removed, pa.int64()),
+                               ("n_spans", runs, pa.int64()), ("kept", kept, pa.string() if decode else pa.binary())):
+        table = table.append_column(name, pa.array(values, kind))
+    return table
 
 
 def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
