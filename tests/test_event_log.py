@@ -1,7 +1,9 @@
 import pytest
 
 from tracewright.operators import classify, events as ev, ordering
-from tracewright.plans.event_log import event_log, exported_events, step_counts, timed_events
+from tracewright.plans.event_log import (
+    event_log, event_log_of, exported_events, step_counts, timed_events,
+)
 from tracewright.functions.timestamps import utc_parser
 
 
@@ -171,10 +173,13 @@ def test_own_rules(spark, audit):
 def test_rule_keys_must_be_unique(spark):
     with pytest.raises(ValueError, match="twice"):
         classify.rule_table(spark, ("field", "bucket"), 1, [("a", "x"), ("a", "y")])
-    table = spark.createDataFrame([("a", "x"), ("a", "y")], "field string, bucket string")
-    with pytest.raises(ValueError, match="twice"):
-        classify.require_unique(table, ["field"])
-    assert classify.require_unique(table, ["field", "bucket"]) is table
+
+
+def test_the_first_rule_of_a_key_counts(spark):
+    table = spark.createDataFrame([("a", "x", 2), ("a", "y", 1), ("b", "z", 3)], "field string, bucket string, rule_order int")
+    assert sorted(tuple(r)[:2] for r in classify.first_rules(table, ["field"]).collect()) == [("a", "y"), ("b", "z")]
+    plain = table.drop("rule_order").coalesce(1)
+    assert sorted(map(tuple, classify.first_rules(plain, ["field"]).collect())) == [("a", "x"), ("b", "z")]
 
 
 def test_every_default_field_has_one_bucket():
@@ -189,3 +194,16 @@ def test_sequence_needs_the_stage_field(spark, audit):
     )
     rows = classify.sequenced(log).orderBy("ingest_ord").collect()
     assert [r.sequence for r in rows] == [14, None, None, 7]
+
+
+def test_log_of_named_sources(spark, audit):
+    log = audit(("1", "U", "ownerid", "x", "1/1/2025 1:00"), ("1", "U", "statecode", "1", "1/1/2025 2:00"))
+    rules = classify.default_rules(spark)
+    wanted = names(event_log(log, rules))
+    assert names(event_log_of({"audit_log": log}, rules)) == wanted
+    raw = log.selectExpr(
+        "case_key as `Item ID`", "operation as Operation", "field as Field", "old_value as `Old value`",
+        "new_value as `New value`", "actor as `Anon Actor`", "logged_at as `Date logged`")
+    assert names(event_log_of({"audit_log": raw, "main_case_table": log}, rules)) == wanted
+    with pytest.raises(ValueError, match="audit_log"):
+        event_log_of({"activity_table": log}, rules)

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from tracewright import catalog, oracle
 from tests.test_plans import plan
 
 SF = "/root/testdata/sf0.001"
@@ -36,18 +37,19 @@ def table(frame):
 
 
 def test_all_queries_have_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.queries()))
 def test_query(spark, db, name):
-    query = entry.queries()[name](spark, SF)
+    query = catalog.queries()[name](spark, SF)
     text = plan(query)
     # Nothing leaves the JVM and nothing is paired with everything.
     for word in ("Python", "Pandas", "ArrowEval", "CartesianProduct", "BroadcastNestedLoop"):
         assert word not in text
     got = query.toPandas()
-    want = db.execute(entry.oracle_sql()[name]).df()
+    want = db.execute(oracle.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert table(got) == table(want)
 

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -31,9 +32,23 @@ def test_event_log_shuffles_once(event_log_plan):
     assert "hashpartitioning(case_id" in event_log_plan
 
 
-def test_event_log_sorts_twice(event_log_plan):
-    # One sort serves the case sizes and the create rows, one the duplicates.
-    assert event_log_plan.count("Sort [") == 2
+def test_event_log_sorts_three_times(event_log_plan):
+    # One sort serves the case sizes and the create rows, one the duplicates, one the places.
+    assert event_log_plan.count("Sort [") == 3
+
+
+@pytest.mark.parametrize("name", ["single_event_rows", "single_event_summary", "recent_single_event"])
+def test_single_events_need_no_sort_aggregate(spark, name):
+    # A total over few actors may be one; it sorts nothing. Rows must not be sorted by a key.
+    assert not re.search(r"SortAggregate\(key=\[\w", plan(catalog.queries()[name](spark, SF)))
+
+
+def test_doubled_rules_do_not_double_events(spark):
+    rules = classify.default_rules(spark)
+    twice = classify.Rules(rules.buckets.union(rules.buckets), rules.codes.union(rules.codes))
+    rows = audit_log(spark, SF)
+    assert classify.named(rows, twice).exceptAll(classify.named(rows, rules)).isEmpty()
+    assert classify.named(rows, twice).count() == rows.count()
 
 
 def test_event_log_joins_rules_without_shuffling(event_log_plan):

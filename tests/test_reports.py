@@ -119,8 +119,10 @@ def test_temporal_reports(source):
 def test_single_event_reports(source):
     single = ev.single_event_rows(source.events)
     assert rows(single, "case_id") == [("2",), ("3",)]
-    found = {r.field: r for r in singles.single_fields(single).collect()}
+    found = {r.field: r for r in singles.single_fields(single, 50).collect()}
     assert found["the000g_revenuetype"].sample_value == "x" * 50 + "..."
+    whole = {r.field: r.sample_value for r in singles.single_fields(single).collect()}
+    assert set(whole["the000g_revenuetype"]) == {"x"} and len(whole["the000g_revenuetype"]) > 50
     assert found["ownerid"].sample_actor is None and found["ownerid"].percentage_of_single_events == 50.0
     assert rows(singles.single_summary(source.events, single)) == [
         (2, 66.67, 2, False, 0, 2, 1, "A", 1)
@@ -266,5 +268,25 @@ def test_other_jobs(audit):
     log = audit(("1", "Update", "statecode", "1", "1/1/2025 1:00"), ("2", "Update", "zz", "1", "x"))
     found = forensic.bucket_reports(log)
     assert dict(rows(found["suggested_bucket_counts"])) == {"L1_STAGE": 1, "L3_ADMIN": 1}
+    assert rows(found["suggested_bucket_fields"], "suggested_bucket", "place", "field") == [
+        ("L1_STAGE", 1, "statecode"), ("L3_ADMIN", 1, "zz")]
+    assert ("statecode", "operation", "Update", 1, 1) in rows(found["field_characteristics_values"])
     reports = forensic.profile_reports(log.drop("ingest_ord"), "logged_at")
     assert reports["date_profile"].first().parse_failure_count == 1
+
+
+def test_documents_and_abandoned_cases(source, audit, tmp_path):
+    reports = forensic.forensic_reports(source)
+    made = forensic.documents(reports)
+    assert len(made) == 10 and all(parts for parts in made.values())
+    wanted = {"creation_patterns": made["creation_patterns"], "temporal_patterns": made["temporal_patterns"]}
+    tables.write_documents(wanted, str(tmp_path / "documents"))
+    text = source.events.sparkSession.read.text(str(tmp_path / "documents" / "temporal_patterns")).first().value
+    parsed = json.loads(text)
+    assert set(parsed) == set(forensic.DOCUMENTS["temporal_patterns"])
+    assert len(parsed["temporal_weekday"]) >= 1 and len(parsed["temporal_shares"]) == 1
+    log = audit(("1", "U", "f", "v", "1/1/2025 1:00"), ("2", "U", "f", "v", "2/1/2025 1:00"),
+                ("2", "U", "g", "v", "3/1/2025 1:00"), ("3", "U", "g", "v", "no time"))
+    gone = forensic.abandoned_cases(log)
+    tables.write_removed_cases(gone, str(tmp_path / "gone"))
+    assert [r.case_id for r in gone.collect()] == ["1"]

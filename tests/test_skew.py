@@ -90,3 +90,21 @@ def test_input_partitions_do_not_matter(spark):
     audit, rules = audit_log(spark, SF), classify.default_rules(spark)
     shuffled = audit.repartition(13, F.rand(7))
     same(log.event_log(shuffled, rules), log.event_log(audit, rules))
+
+
+def test_a_large_case_is_read_twice_and_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    audit_log(spark, SF, "user").write.parquet(path)
+    audit, rules = spark.read.parquet(path), classify.default_rules(spark)
+    found = log.event_log(audit, rules, limit=25)
+    text = found._jdf.queryExecution().toString()
+    assert path not in text and "rows-" in text  # only the written rows are read from here on
+    same(found, log.event_log(audit, rules))
+
+
+def test_event_positions_count_from_one(spark):
+    rows = log.event_log(audit_log(spark, SF), classify.default_rules(spark)).collect()
+    places = {}
+    for r in rows:
+        places.setdefault(r.case_id, []).append(r.event_pos)
+    assert all(sorted(p) == list(range(1, len(p) + 1)) for p in places.values())

@@ -1,6 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tracewright.operators.classify import default_rules
+from tracewright.plans.event_log import event_log
+from tracewright.sinks.tables import write_event_log
 from tracewright.sources.audit import audit_rows, event_sources, read_audit_csv, resolve_columns
 
 HEADER = ["Anon Item ID", "Operation", "Field", "Previous value", "New value", "Anon Actor", "Date logged"]
@@ -43,7 +46,7 @@ def test_csv_scan(spark, tmp_path):
     )
     path = tmp_path / "audit.csv"
     path.write_text(text, encoding="utf-8")
-    rows = read_audit_csv(spark, str(path)).orderBy("ingest_ord").collect()
+    rows = read_audit_csv(spark, str(path), multi_line=True).orderBy("ingest_ord").collect()
     first, second = rows[0].asDict(), rows[1].asDict()
     assert first.pop("ingest_ord") < second.pop("ingest_ord")
     assert first == {
@@ -51,7 +54,7 @@ def test_csv_scan(spark, tmp_path):
         "new_value": 'a "b",\nc', "actor": "ACTOR-1", "logged_at": "7/10/25 10:45", "Note": "x",
     }
     assert second["new_value"] == "" and second["logged_at"] == "" and second["actor"] == "ACTOR-2"
-    kept = read_audit_csv(spark, str(path), nulls="keep").orderBy("ingest_ord").collect()[1]
+    kept = read_audit_csv(spark, str(path), nulls="keep", multi_line=True).orderBy("ingest_ord").collect()[1]
     assert kept["logged_at"] is None and kept["old_value"] == "" and kept["Note"] is None
 
 
@@ -63,6 +66,37 @@ def test_several_files_are_ordered_by_file(spark, tmp_path):
     assert [r[0] for r in rows] == ["1", "2", "3"]
 
 
+def test_files_with_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "a 1.csv").write_text(",".join(HEADER) + "\nI1,Update,f,o,v,A,1/1/2025 1:00\n")
+    (tmp_path / "b.csv").write_text(
+        "Date logged,New value,Previous value,Field,Operation,Anon Item ID\r\n27/10/2025 11:18,n,p,g,Create,I2\r\n")
+    (tmp_path / "c.csv").write_text("\ufeff" + ",".join([*HEADER, "Note"]) + "\nI3,Update,f,,,B,2/1/2025 1:00,x\n")
+    (tmp_path / "d.csv").write_text("")
+    rows = read_audit_csv(spark, str(tmp_path)).orderBy("ingest_ord")
+    assert dict(rows.dtypes)["ingest_ord"] == "bigint"
+    assert [(r.case_key, r.operation, r.field, r.old_value, r.new_value, r.actor, r.logged_at, r.Note)
+            for r in rows.collect()] == [
+        ("I1", "Update", "f", "o", "v", "A", "1/1/2025 1:00", None),
+        ("I2", "Create", "g", "p", "n", None, "27/10/2025 11:18", None),
+        ("I3", "Update", "f", "", "", "B", "2/1/2025 1:00", "x"),
+    ]
+    out = str(tmp_path / "out")
+    write_event_log(event_log(rows, default_rules(spark)), out, "csv")
+    assert spark.read.option("header", True).csv(out).count() == 0  # three cases of one event each
+
+
+def test_large_files_are_split_in_order(spark, tmp_path):
+    lines = [f"C{i},Update,f,,v{i},A,1/1/2025 1:00" for i in range(20_000)]
+    for name, part in (("x", lines[:12_000]), ("y", lines[12_000:])):
+        (tmp_path / f"{name}.csv").write_text("\n".join([",".join(HEADER), *part]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        rows = read_audit_csv(spark, str(tmp_path)).orderBy("ingest_ord").select("case_key").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r[0] for r in rows] == [f"C{i}" for i in range(20_000)]
+
+
 def test_null_policy_is_checked(spark):
     table = spark.createDataFrame([("",) * 7], HEADER)
     with pytest.raises(ValueError, match="nulls"):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tracewright.fixtures import audit_log
 from tracewright.operators import classify
 from tracewright.plans.event_log import exported_events
-from tracewright.sinks.xes import checked_utc, flat_traces, require_columns, traces, write_xes
+from tracewright.sinks.xes import checked_utc, require_columns, trace_events, write_xes
 from tracewright.sources.xes import NAMESPACE, read_xes
 
 SF = "/root/testdata/sf0.001"
@@ -23,33 +23,64 @@ def as_rows(frame):
     return sorted(tuple(r) for r in frame.select(columns).collect())
 
 
-@pytest.mark.parametrize("per_trace", [50_000, 2])
-def test_round_trip(spark, events, tmp_path, per_trace):
+@pytest.mark.parametrize("files", [1, 3, None])
+def test_round_trip(spark, events, tmp_path, files):
     path = str(tmp_path / "log.xes")
-    nested = traces(events, per_trace)
-    write_xes(nested, path, files_per_level=2)
-    assert as_rows(read_xes(spark, path, per_trace).withColumn("level", F.lit("L1")).limit(0)) == []
+    write_xes(events, path, files_per_level=files)
     back = None
     for level in ("L1", "L2", "L3"):
-        part = read_xes(spark, f"{path}/level={level}", per_trace).withColumn("level", F.lit(level))
+        part = read_xes(spark, f"{path}/level={level}").withColumn("level", F.lit(level))
         back = part if back is None else back.unionByName(part)
-    assert as_rows(back) == as_rows(flat_traces(nested))
+    assert as_rows(back) == as_rows(trace_events(events))
 
 
-def test_files_are_plain_xes(spark, events, tmp_path):
+def test_files_are_plain_xes(events, tmp_path):
     path = str(tmp_path / "log.xes")
-    write_xes(traces(events), path)
+    write_xes(events, path, files_per_level=2)
     cases = []
-    for file in sorted(glob.glob(f"{path}/level=L1/*.xml")):
+    for file in glob.glob(f"{path}/level=L1/file=*/*.txt"):
         root = ET.parse(file).getroot()
         assert root.tag == f"{{{NAMESPACE}}}log"
+        own = []
         for trace in root:
             name = trace.find(f"{{{NAMESPACE}}}string")
             assert name.get("key") == "concept:name"
-            cases.append(name.get("value"))
+            own.append(name.get("value"))
             times = [d.get("value") for d in trace.iter(f"{{{NAMESPACE}}}date")]
             assert times == sorted(times)
-    assert cases == sorted(set(cases))
+        assert own == sorted(set(own))
+        cases += own
+    wanted = {r.case_id for r in events.where("level = 'L1'").select("case_id").collect()}
+    assert len(cases) == len(wanted) and set(cases) == wanted
+
+
+def test_a_long_case_is_one_trace(spark, tmp_path):
+    rows = spark.range(60_000).select(
+        F.lit("L1").alias("level"), F.when(F.col("id") < 59_000, "long").otherwise(F.col("id").cast("string")).alias("case_id"),
+        (F.col("id") + 1).alias("event_pos"), F.lit("a").alias("activity_name"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"),
+    )
+    path = str(tmp_path / "log.xes")
+    write_xes(rows, path, files_per_level=1)
+    counts = read_xes(spark, path).groupBy("case_id").count().orderBy(F.desc("count")).collect()
+    assert len(counts) == 1001 and counts[0]["count"] == 59_000
+    text = "".join(open(f).read() for f in glob.glob(f"{path}/level=L1/file=0/*.txt"))
+    assert text.count("<trace>") == text.count("</trace>") == 1001 and "key=\"trace" not in text
+
+
+def test_attributes_count_by_key(spark, tmp_path):
+    file = tmp_path / "other.xes"
+    file.write_text(
+        f'<log xmlns="{NAMESPACE}"><trace><int key="priority" value="3"/>'
+        '<string key="note" value="n"/><string key="concept:name" value="C1"/>'
+        '<event><string key="concept:name" value="Act A"/><string key="org:resource" value="Bob"/>'
+        '<date key="time:timestamp" value="2025-01-01T00:00:00Z"/><int key="cost" value="9"/></event>'
+        '<event><string key="org:resource" value="Eve"/><date key="due" value="2026-01-01T00:00:00Z"/>'
+        '<date key="time:timestamp" value="2025-01-02T00:00:00Z"/></event></trace></log>'
+    )
+    rows = read_xes(spark, str(file)).orderBy("event_pos").collect()
+    assert [tuple(r) for r in rows] == [
+        ("C1", 1, "Act A", "2025-01-01T00:00:00Z"), ("C1", 2, None, "2025-01-02T00:00:00Z")]
 
 
 def test_markup_and_blanks_survive(spark, audit, tmp_path):
@@ -59,7 +90,7 @@ def test_markup_and_blanks_survive(spark, audit, tmp_path):
         ("A & <1>", "U", "statecode", "\"quoted\" 'text' → ü", "1/1/2025 2:00"),
     )
     path = str(tmp_path / "log.xes")
-    write_xes(traces(exported_events(log, rules)), path)
+    write_xes(exported_events(log, rules), path)
     rows = read_xes(spark, path).orderBy("event_pos").collect()
     assert [tuple(r) for r in rows] == [
         ("A & <1>", 1, "stepname → ", "2025-01-01T01:00:00Z"),
@@ -69,7 +100,7 @@ def test_markup_and_blanks_survive(spark, audit, tmp_path):
 
 def test_required_columns(events):
     with pytest.raises(ValueError, match="level"):
-        traces(events.drop("level"))
+        trace_events(events.drop("level"))
     require_columns(events, "case_id")
 
 

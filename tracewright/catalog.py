@@ -14,7 +14,7 @@ from .operators import (
     suggest, summary, temporal,
 )
 from .plans import event_log as log, forensic
-from .sinks.xes import flat_traces, traces
+from .sinks.xes import trace_events
 from .sources.audit import audit_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,7 +202,7 @@ def _profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _typed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/events.parquet").drop("ts")
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
     return profile.column_profile(table).withColumn("mean", F.round("mean", 4))
 
 
@@ -248,7 +248,7 @@ def queries() -> dict[str, Query]:
         "deduplicated_events": _deduplicated,
         "event_log": _event_log,
         "events_by_level": _events_by_level,
-        "xes_traces": lambda s, d: flat_traces(traces(_exported(s, d))),
+        "xes_traces": lambda s, d: trace_events(_exported(s, d)),
         "pipeline_step_counts": _step_counts,
         # cases
         "case_metrics": _on_events(
@@ -324,6 +324,10 @@ def queries() -> dict[str, Query]:
         "value_frequencies": lambda s, d: profile.value_frequencies(_profile_table(s, d)),
         "field_characteristics": _on_raw(suggest.field_characteristics),
         "bucket_suggestions": _on_raw(suggest.bucket_suggestions),
+        "field_characteristics_values": _on_raw(suggest.characteristic_values),
+        "suggested_bucket_fields": _on_raw(
+            lambda rows: suggest.suggested_fields(suggest.bucket_suggestions(rows))
+        ),
         "suggested_bucket_counts": _on_raw(
             lambda rows: suggest.suggested_counts(suggest.bucket_suggestions(rows))
         ),

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 # Fields by event type, picked by k.
 _FIELDS = {
-    "signup": ("statecode", "statuscode", "ownerid", "exchangerate"),
+    "signup": ("statecode", "statuscode", "ownerid", "exchangerate", "stepname"),
     "click": ("stepname",),
-    "view": ("statuscode", "statecode", "msdyn_forecastcategory"),
+    "view": (
+        "statuscode", "statecode", "msdyn_forecastcategory", "estimatedclosedate", "actualclosedate",
+    ),
     "purchase": ("developproposal", "the000g_revenuetype", "purchaseprocess"),
     "error": ("ownerid", "customerid", "exchangerate", "ExchangeRate", "zz_unmapped"),
 }
@@ -21,7 +23,7 @@ _TIMES = (
     "YYYY-MM-DDTHH:00:00Z", "YYYY-MM-DDTHH:00:00+05:30", "YYYY-MM-DDTHH:00:00",
 )
 _NO_TIMES = ("", "null", "garbage", "31/02/2024 10:00")
-_FORENSIC_TIMES = ("DD/MM/YYYY HH:00", "DD/MM/YY HH:00")
+_FORENSIC_TIMES = ("DD/MM/YYYY HH:00", "DD/MM/YY HH:00", "MM/DD/YY HH:00", "day/month/YY HH:00")
 
 
 def _pick(place: Column, values: tuple[str, ...]) -> Column:
@@ -47,6 +49,8 @@ def _written(template: Column) -> Column:
         "YY": F.substring("date", 3, 2),
         "MM": F.substring("date", 6, 2),
         "DD": F.substring("date", 9, 2),
+        "day": F.substring("date", 9, 2).cast("int").cast("string"),
+        "month": F.substring("date", 6, 2).cast("int").cast("string"),
         "HH": _pick(slot, ("00", "06", "12", "18")),
         "hh": _pick(slot, ("12", "06", "12", "06")),
         "PP": _pick(slot, ("AM", "AM", "PM", "PM")),
@@ -92,5 +96,5 @@ def audit_log(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame
         value.alias("new_value"),
         F.concat(F.lit("ACTOR-000"), (k % 9).cast("string")).alias("actor"),
         _written(template).alias("logged_at"),
-        _written(_pick(form % 2, _FORENSIC_TIMES)).alias("logged_at_forensic"),
+        _written(_pick(F.col("event_id") % 4, _FORENSIC_TIMES)).alias("logged_at_forensic"),
     )

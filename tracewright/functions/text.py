@@ -40,8 +40,10 @@ def contains_any(value: Column, words: Sequence[str]) -> Column:
     return F.lower(value).rlike("|".join(re.escape(word) for word in words))
 
 
-def clipped(value: Column, length: int, suffix: str = "") -> Column:
-    """Cut to ``length`` characters; ``suffix`` marks values that were cut."""
+def clipped(value: Column, length: int | None, suffix: str = "") -> Column:
+    """Cut to ``length`` characters, if given; ``suffix`` marks values that were cut."""
+    if length is None:
+        return value
     if not suffix:
         return F.substring(value, 1, length)
     cut = F.concat(F.substring(value, 1, length), F.lit(suffix))

@@ -85,13 +85,21 @@ SHOW_VALUE, COMPLETED, CHANGED = "value", "completed", "changed"
 class Rules:
     """The rule tables of one installation.
 
-    buckets: field (lower case, unique), bucket, level, style, label
-    codes:   field (lower case), code, label; unique by (field, code)
+    buckets: field (lower case), bucket, level, style, label
+    codes:   field (lower case), code, label
+    unique:  whether the keys (field; field and code) are known to occur once. If not, the
+             first rule of a key counts, by ``rule_order`` where a table has that column.
     """
 
     buckets: DataFrame
     codes: DataFrame
     kill_fields: Sequence[str] = KILL_FIELDS
+    unique: bool = False
+
+    def table(self, name: str, keys: Sequence[str]) -> DataFrame:
+        """A rule table with one row per key: a doubled rule must not double events."""
+        rules = getattr(self, name)
+        return rules if self.unique else first_rules(rules, keys)
 
 
 def rule_table(
@@ -108,12 +116,13 @@ def rule_table(
     return spark.createDataFrame(pa.Table.from_pylist(data, schema=fields))
 
 
-def require_unique(table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Check a rule table read from elsewhere; a doubled key would double events."""
-    twice = table.groupBy(*keys).count().where("count > 1").limit(5).collect()
-    if twice:
-        raise ValueError(f"rule keys occur twice, such as {[tuple(r)[:-1] for r in twice]}")
-    return table
+def first_rules(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first rule of each key, by ``rule_order`` or else as the rows come."""
+    order = F.col("rule_order") if "rule_order" in table.columns else F.monotonically_increasing_id()
+    rest = [c for c in table.columns if c not in keys]
+    first = table.withColumn("_order", order).groupBy(*keys).agg(
+        F.min_by(F.struct(*rest), F.struct("_order", *rest)).alias("_rule"))
+    return first.select(*keys, "_rule.*")
 
 
 def bucket_rules(
@@ -158,12 +167,12 @@ def code_rules(
 
 
 def default_rules(spark: SparkSession) -> Rules:
-    return Rules(bucket_rules(spark), code_rules(spark))
+    return Rules(bucket_rules(spark), code_rules(spark), unique=True)
 
 
 def classified(events: DataFrame, rules: Rules) -> DataFrame:
     """Add bucket and level (UNKNOWN where no rule fits) plus the naming style."""
-    table = rules.buckets.select(
+    table = rules.table("buckets", ["field"]).select(
         F.col("field").alias("_field"), "bucket", "level",
         F.col("style").alias("_style"), F.col("label").alias("_label"),
     )
@@ -181,7 +190,7 @@ def bucketed(events: DataFrame, rules: Rules) -> DataFrame:
 
 def translated(events: DataFrame, rules: Rules) -> DataFrame:
     """Add translated_value: the code's label, or the new value unchanged."""
-    table = rules.codes.select(
+    table = rules.table("codes", ["field", "code"]).select(
         F.col("field").alias("_field"), F.col("code").alias("_code"),
         F.col("label").alias("_text"),
     )

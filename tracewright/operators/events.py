@@ -86,11 +86,10 @@ def multi_event_rows(
 def single_event_rows(events: DataFrame) -> DataFrame:
     """The rows of cases with one row.
 
-    One aggregation: the only row of such a case is its first, so no join and
-    no window is needed, and rows of one case meet before the shuffle.
+    At most two rows of a case and task reach the shuffle, so cases of any size
+    will do; of what is left, cases with one row are the single ones.
     """
-    row = F.struct(*[c for c in events.columns if c != "case_id"])
-    cases = events.groupBy("case_id").agg(
-        F.count("*").alias("_size"), F.first(row).alias("_row")
-    )
-    return cases.where(F.col("_size") == 1).select("case_id", "_row.*").select(events.columns)
+    case = Window.partitionBy("case_id")
+    two = events.withColumn("_row", F.row_number().over(case.orderBy("ingest_ord"))).where("_row <= 2")
+    sized = two.withColumn("_size", F.count("*").over(case))
+    return sized.where(F.col("_size") == 1).select(events.columns)

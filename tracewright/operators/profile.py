@@ -89,14 +89,14 @@ def date_profile(
     )
 
 
-def value_frequencies(table: DataFrame, k: int = 20) -> DataFrame:
-    """The most frequent values per column with their share of all rows."""
+def value_frequencies(table: DataFrame, k: int = 20, chars: int | None = None) -> DataFrame:
+    """The most frequent values per column, cut to chars, with their share of all rows."""
     counts = column_values(table)
     top = top_per_group(counts.where("value is not null"), ["column"], ["value"], k)
     rows = table.agg(F.count("*")).scalar()
     return top.withColumn("_rows", rows).select(
         "column",
-        clipped(F.col("value"), 100).alias("value"),
+        clipped(F.col("value"), chars).alias("value"),
         F.col("count").alias("frequency"),
         percent(F.col("count"), F.col("_rows")).alias("percentage"),
         "rank",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio, rounded
@@ -11,19 +11,24 @@ from .ordering import CREATE
 from .topk import value_counts
 
 
-def single_fields(singles: DataFrame) -> DataFrame:
-    """Rows per field, their share and the first row as a sample."""
+# Fields whose lone events hint at an abandoned item and at a bulk assignment.
+ABANDONED_FIELD, ASSIGNED_FIELD = "the000g_revenuetype", "ownerid"
+
+
+def single_fields(singles: DataFrame, sample_chars: int | None = None) -> DataFrame:
+    """Rows per field, their share and the first row as a sample, cut to sample_chars."""
     place = F.struct("case_id", "ts", "ingest_ord")
-    fields = singles.where(F.col("field").isNotNull()).groupBy("field").agg(
+    fields = singles.groupBy("field").agg(
         F.count("*").alias("count"),
         F.min_by(F.struct("new_value", "actor"), place).alias("_sample"),
     )
-    rows = singles.agg(F.count("*")).scalar()
-    return fields.withColumn("_rows", rows).select(
+    # Rows without a field count in the share: they are a group of their own that is dropped.
+    rows = F.sum("count").over(Window.partitionBy())
+    return fields.withColumn("_rows", rows).where(F.col("field").isNotNull()).select(
         "field",
         "count",
         percent(F.col("count"), F.col("_rows")).alias("percentage_of_single_events"),
-        clipped(F.col("_sample.new_value"), 50, "...").alias("sample_value"),
+        clipped(F.col("_sample.new_value"), sample_chars, "...").alias("sample_value"),
         F.col("_sample.actor").alias("sample_actor"),
     )
 
@@ -38,33 +43,49 @@ def single_operations(singles: DataFrame) -> DataFrame:
     return value_counts(singles, ["operation"], nulls=False)
 
 
-def single_totals(singles: DataFrame, create: str = CREATE) -> DataFrame:
+def single_totals(
+    singles: DataFrame,
+    create: str = CREATE,
+    abandoned: str = ABANDONED_FIELD,
+    assigned: str = ASSIGNED_FIELD,
+) -> DataFrame:
     """Counts over the single-event rows that the summary and the hypotheses share."""
     return singles.agg(
         F.count("*").alias("total_events"),
         F.count_if(F.col("operation") == create).alias("creation_count"),
-        F.count_if(F.col("field") == "the000g_revenuetype").alias("revenue_rows"),
-        F.count_if(F.col("field") == "ownerid").alias("owner_rows"),
+        F.count_if(F.col("field") == abandoned).alias("revenue_rows"),
+        F.count_if(F.col("field") == assigned).alias("owner_rows"),
         F.countDistinct("actor").alias("unique_actors"),
     )
 
 
 def single_summary(events: DataFrame, singles: DataFrame, create: str = CREATE) -> DataFrame:
-    """Totals, share of cases, creation counts and the busiest actor."""
+    """Totals, share of cases, creation counts and the busiest actor.
+
+    The single-event rows are aggregated once, by actor; the rest follows from that.
+    """
+    created = F.count_if(F.col("operation") == create)
+    by_actor = singles.groupBy("actor").agg(F.count("*").alias("rows"), created.alias("creates"))
     # Among equally busy actors the first by name counts.
-    busiest = single_actors(singles).orderBy(F.desc("count"), "actor").limit(1)
-    totals = single_totals(singles, create)
+    order = F.struct((-F.col("rows")).alias("rows"), "actor")
+    busiest = F.min(F.when(F.col("actor").isNotNull(), order))
+    totals = by_actor.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_events"),
+        F.coalesce(F.sum("creates"), F.lit(0)).alias("creation_count"),
+        F.count("actor").alias("unique_actors"),
+        busiest.alias("_busiest"),
+    )
     cases = events.agg(F.countDistinct("case_id")).scalar()
-    total, created = F.col("total_events"), F.col("creation_count")
+    total, creates = F.col("total_events"), F.col("creation_count")
     return totals.withColumn("_cases", cases).select(
         total.alias("total_cases"),
         percent(total, F.col("_cases")).alias("percentage_of_cases"),
         "total_events",
-        ((created > 0) & (created == total)).alias("is_creation_driven"),
+        ((creates > 0) & (creates == total)).alias("is_creation_driven"),
         "creation_count",
-        (total - created).alias("non_creation_count"),
-        busiest.select("count").scalar().alias("top_actor"),
-        busiest.select("actor").scalar().alias("top_actor_name"),
+        (total - creates).alias("non_creation_count"),
+        (-F.col("_busiest.rows")).alias("top_actor"),
+        F.col("_busiest.actor").alias("top_actor_name"),
         "unique_actors",
     )
 
@@ -75,10 +96,10 @@ def bulk_dates(singles: DataFrame, more_than: int = 5) -> DataFrame:
     return days.where(F.col("count") > more_than)
 
 
-def hypotheses(singles: DataFrame, create: str = CREATE) -> DataFrame:
-    """What the single-event cases may come from, as flags."""
+def hypotheses(singles: DataFrame, create: str = CREATE, **fields: str) -> DataFrame:
+    """What the single-event cases may come from, as flags. fields: abandoned, assigned."""
     total, created = F.col("total_events"), F.col("creation_count")
-    return single_totals(singles, create).select(
+    return single_totals(singles, create, **fields).select(
         ((F.col("revenue_rows") > 0) & (created == 0)).alias("abandoned_opportunities"),
         ((F.col("owner_rows") > 0) & (F.col("unique_actors") <= 2)).alias("bulk_assignment"),
         ((created > 0) & (created < total)).alias("incomplete_audit_trail"),
@@ -86,11 +107,11 @@ def hypotheses(singles: DataFrame, create: str = CREATE) -> DataFrame:
     )
 
 
-def single_samples(singles: DataFrame, n: int = 10) -> DataFrame:
-    """The first cases by id."""
+def single_samples(singles: DataFrame, n: int = 10, chars: int | None = None) -> DataFrame:
+    """The first cases by id, values cut to chars."""
     return singles.orderBy("case_id").limit(n).select(
         "case_id", "operation", "field",
-        clipped(F.col("new_value"), 50, "...").alias("new_value"),
+        clipped(F.col("new_value"), chars, "...").alias("new_value"),
         "actor", "ts",
     )
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,13 +63,15 @@ def by_group_size(
 
     n is the number of rows in large groups.
     counted: what to count instead of ``rows``, for callers with a cheaper frame
-    whose groups are at least as large.
+    whose groups are at least as large. With a large group the input is read twice:
+    once to count, once to write the rows that both branches read.
     """
     found = large_groups(rows if counted is None else counted, keys, limit)
     if found is None:
         return build(rows, 0)
     large, total = found
-    ordinary, rest = split_by_size(rows, keys, large)
+    # Both branches read the rows as they are now: parsed once.
+    ordinary, rest = split_by_size(durable(rows), keys, large)
     return build(ordinary, 0).unionByName(build(rest, total))
 
 
@@ -82,16 +85,22 @@ def first_per_key(
 
 
 def durable(rows: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder so that they never change again."""
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
-    return rows.checkpoint(eager=True)
+    """Write the rows to the folder in spark.checkpoint.dir and read them from there.
+
+    The rows never change again, also if executors are lost. The files go when the
+    application ends. A temporary folder is used only with a local master.
+    """
+    spark = rows.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="durable-")
+    path = f"{folder}/rows-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _sliced(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..functions.text import contains_any, trimmed
+from . import fields
 from .fields import with_totals
 
 # Words in a field name that point to a bucket.
@@ -46,7 +47,7 @@ def field_characteristics(events: DataFrame, *, count_empty: bool = True) -> Dat
         return F.col(name) if count_empty else F.nullif(F.col(name), F.lit(""))
 
     blank = trimmed(F.coalesce("old_value", F.lit(""))) == ""
-    fields = events.groupBy("field").agg(
+    found = events.groupBy("field").agg(
         F.count("*").alias("total_occurrences"),
         F.countDistinct("case_id").alias("cases_affected"),
         F.countDistinct(value("new_value")).alias("unique_new_values"),
@@ -54,7 +55,7 @@ def field_characteristics(events: DataFrame, *, count_empty: bool = True) -> Dat
         F.count_if(blank).alias("_blank"),
     )
     rows = F.col("total_occurrences")
-    return with_totals(fields, events).select(
+    return with_totals(found, events).select(
         "field", "total_occurrences", "cases_affected",
         percent(F.col("cases_affected"), F.col("_all.cases")).alias("case_coverage_pct"),
         "unique_new_values", "unique_old_values",
@@ -77,8 +78,28 @@ def suggested_bucket() -> Column:
 
 def bucket_suggestions(events: DataFrame, **options: bool) -> DataFrame:
     """Field characteristics with the suggested bucket."""
-    fields = field_characteristics(events, **options)
-    return fields.withColumn("suggested_bucket", suggested_bucket())
+    found = field_characteristics(events, **options)
+    return found.withColumn("suggested_bucket", suggested_bucket())
+
+
+def characteristic_values(events: DataFrame, k: int = 5) -> DataFrame:
+    """Per field all operations and the k most frequent new values, by rows."""
+    every = {
+        "operation": fields.field_operations(events).withColumnRenamed("operation", "value"),
+        "new_value": fields.field_top_values(events, k).drop("rank").withColumnRenamed("new_value", "value"),
+    }
+    parts = [part.select("field", F.lit(kind).alias("kind"), "value", "count") for kind, part in every.items()]
+    order = Window.partitionBy("field", "kind").orderBy(F.desc("count"), "value")
+    return parts[0].unionByName(parts[1]).withColumn("rank", F.row_number().over(order).cast("bigint"))
+
+
+def suggested_fields(suggestions: DataFrame) -> DataFrame:
+    """The fields of each suggested bucket with their place, most rows first."""
+    order = Window.partitionBy("suggested_bucket").orderBy(F.desc("total_occurrences"), "field")
+    return suggestions.select(
+        "suggested_bucket", F.row_number().over(order).cast("bigint").alias("place"),
+        "field", "total_occurrences", "case_coverage_pct", "cases_affected",
+    ).orderBy("suggested_bucket", "place")
 
 
 def suggested_counts(suggestions: DataFrame) -> DataFrame:

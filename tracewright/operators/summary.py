@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio, rounded
 from ..functions.text import contains_any
-from . import quality, stages
+from . import stages
+from .actors import whole_days
 from .ordering import CREATE
 from .skew import LARGE_GROUP_ROWS
 
@@ -18,11 +19,10 @@ SIGNAL_FIELDS = (
     "stepname", "statuscode", "statecode", "msdyn_forecastcategory",
     "ownerid", "estimatedclosedate", "the000g_revenuetype",
 )
-# Words, coverage limit and number of fields for noise candidates.
+# Words and coverage limit for noise candidates.
 NOISE_WORDS = ("discount", "base", "currency", "exchange", "price", "total")
 NOISE_BELOW_PCT = 30
-NOISE_AMONG = 50
-# Fields and words of the recommended buckets, and list lengths.
+# Fields and words of the recommended buckets.
 STRATEGY_FIELDS = {
     "L1_STAGE": ("stepname", "statecode", "statuscode", "msdyn_forecastcategory"),
     "L3_ADMIN": (
@@ -33,11 +33,15 @@ STRATEGY_FIELDS = {
 STRATEGY_WORDS = (
     "proposal", "develop", "qualify", "identify", "complete", "review", "decision",
 )
-STRATEGY_MILESTONES = 15
-STRATEGY_NOISE = 20
 # Shares in per cent above which a recommendation changes.
 FILTER_ABOVE_PCT = 20
 PREFIX_ABOVE_PCT = 90
+# What a recommendation says if its condition holds, and if not.
+RECOMMENDED = {
+    "timestamp_handler": ("dual_format_required", "single_format"),
+    "case_filtering": ("filter_2plus_events_recommended", "keep_all_cases"),
+    "sequence_tiebreaker": ("prefix_primary_with_timestamp_fallback", "timestamp_only"),
+}
 
 
 def overview(
@@ -50,57 +54,64 @@ def overview(
     """One row with the headline numbers.
 
     timed: all rows, ts null where it could not be read; events: those with ts.
-    Each number is a scalar of its own small aggregate.
+    One aggregation by case gives all counts; the distinct values and the steps back
+    are one scalar each.
     """
-    times = quality.timestamp_summary(timed)
-    # Size and create rows of each case, in one aggregation.
-    cases = events.groupBy("case_id").agg(
-        F.count("*").alias("rows"), F.count_if(F.col("operation") == create).alias("creates")
+    valid = F.col("ts").isNotNull()
+    step = valid & (F.col("field") == "stepname")
+    prefixed = step & F.regexp_extract("new_value", r"^(\d+)-", 1).try_cast("bigint").isNotNull()
+    cases = timed.groupBy("case_id").agg(
+        F.count("ts").alias("rows"),
+        F.count("*").alias("read"),
+        F.count_if(valid & (F.col("operation") == create)).alias("creates"),
+        F.min("ts").alias("first"),
+        F.max("ts").alias("last"),
+        F.count_if(step).alias("steps"),
+        F.count_if(prefixed).alias("prefixed"),
     )
     single = F.col("rows") == 1
-    by_case = cases.agg(
-        F.sum("rows").alias("total_events"),
-        F.count("*").alias("total_cases"),
+
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0).cast("bigint"))
+
+    heads = cases.agg(
+        total("rows").alias("total_events"),
+        F.count_if(F.col("rows") > 0).alias("total_cases"),
         F.count_if(single).alias("single_event_cases"),
         F.count_if(single & (F.col("creates") == 1)).alias("single_event_creations"),
+        F.min("first").alias("min_timestamp"),
+        F.max("last").alias("max_timestamp"),
+        (total("read") - total("rows")).alias("rows_dropped_invalid"),
+        percent(total("prefixed"), total("steps")).alias("_prefix"),
     )
-    kinds = events.agg(
-        F.countDistinct("actor").alias("total_actors"),
-        F.countDistinct("field").alias("total_fields"),
-    )
-    steps = stages.violation_summary(stages.stage_violations(events, limit, timed))
-    prefix = stages.stepname_totals(events).select("prefix_coverage_pct").scalar()
-    kept, dropped = F.col("rows_after_parse"), F.col("rows_dropped_invalid")
-    lost = ratio(dropped, dropped + kept)
-
-    def scalar(frame: DataFrame, name: str) -> Column:
-        return frame.select(name).scalar().alias(name)
-
-    one = times.select(
-        *[scalar(by_case, c) for c in by_case.columns],
-        *[scalar(kinds, c) for c in kinds.columns],
-        "timespan_days", "min_timestamp", "max_timestamp", "rows_dropped_invalid",
-        rounded((1 - lost) * 100).alias("parse_success_rate"),
-        F.coalesce(prefix, F.lit(0.0)).alias("prefix_coverage"),
-        *[scalar(steps, c) for c in steps.columns],
-    )
+    kinds = events.agg(F.struct(
+        F.countDistinct("actor").alias("total_actors"), F.countDistinct("field").alias("total_fields")))
+    steps = stages.violation_summary(stages.stage_violations(events, limit, timed)).select(F.struct("*"))
+    one = heads.withColumns({"_kinds": kinds.scalar(), "_steps": steps.scalar()})
+    kept, dropped = F.col("total_events"), F.col("rows_dropped_invalid")
     singles, created = F.col("single_event_cases"), F.col("single_event_creations")
-    return one.withColumns(
-        {
-            "single_event_pct": percent(singles, F.col("total_cases")),
-            "single_event_non_creations": singles - created,
-        }
-    ).withColumnRenamed("cases_affected", "violation_cases")
+    days = whole_days("min_timestamp", "max_timestamp")
+    return one.select(
+        "total_events", "total_cases", "single_event_cases", "single_event_creations",
+        "_kinds.total_actors", "_kinds.total_fields",
+        F.coalesce(days, F.lit(0).cast("bigint")).alias("timespan_days"),
+        "min_timestamp", "max_timestamp", "rows_dropped_invalid",
+        rounded((1 - ratio(dropped, dropped + kept)) * 100).alias("parse_success_rate"),
+        F.coalesce("_prefix", F.lit(0.0)).alias("prefix_coverage"),
+        "_steps.violation_count", F.col("_steps.cases_affected").alias("violation_cases"),
+        percent(singles, F.col("total_cases")).alias("single_event_pct"),
+        (singles - created).alias("single_event_non_creations"),
+    )
 
 
 def noise_candidates(
     semantics: DataFrame,
     words: Sequence[str] = NOISE_WORDS,
     below_pct: float = NOISE_BELOW_PCT,
-    among: int = NOISE_AMONG,
+    among: int | None = None,
 ) -> DataFrame:
-    """Of the most frequent fields those that sound like noise and are rare by case."""
-    frequent = semantics.orderBy(F.desc("occurrence_count"), "field").limit(among)
+    """Fields that sound like noise and are rare by case; with ``among`` only of so many frequent ones."""
+    frequent = _first(semantics, among, F.desc("occurrence_count"), "field")
     noisy = contains_any(F.col("field"), words) & (F.col("percentage_of_cases") < below_pct)
     return frequent.where(noisy).select("field", "occurrence_count", "percentage_of_cases")
 
@@ -116,32 +127,39 @@ def high_signal_fields(
 def recommendations(overview: DataFrame) -> DataFrame:
     """Pipeline settings that follow from the headline numbers, as (setting, value)."""
     share = ratio(F.col("single_event_cases"), F.col("total_cases")) * 100
-    settings = {
-        "timestamp_handler": F.when(
-            F.col("rows_dropped_invalid") > 0, "dual_format_required"
-        ).otherwise("single_format"),
-        "case_filtering": F.when(
-            share > FILTER_ABOVE_PCT, "filter_2plus_events_recommended"
-        ).otherwise("keep_all_cases"),
-        "sequence_tiebreaker": F.when(
-            F.col("prefix_coverage") > PREFIX_ABOVE_PCT, "prefix_primary_with_timestamp_fallback"
-        ).otherwise("timestamp_only"),
+    conditions = {
+        "timestamp_handler": F.col("rows_dropped_invalid") > 0,
+        "case_filtering": share > FILTER_ABOVE_PCT,
+        "sequence_tiebreaker": F.col("prefix_coverage") > PREFIX_ABOVE_PCT,
     }
-    row = overview.select(*[value.alias(name) for name, value in settings.items()])
-    return row.unpivot([], list(settings), "setting", "value")
+    row = overview.select(*[
+        F.when(holds, RECOMMENDED[name][0]).otherwise(RECOMMENDED[name][1]).alias(name)
+        for name, holds in conditions.items()
+    ])
+    return row.unpivot([], list(conditions), "setting", "value")
+
+
+def _first(rows: DataFrame, n: int | None, *order: Column | str) -> DataFrame:
+    """The first n rows, or all."""
+    return rows if n is None else rows.orderBy(*order).limit(n)
 
 
 def bucket_strategy(
     coverage: DataFrame,
     noise: DataFrame,
     named: Mapping[str, Sequence[str]] = STRATEGY_FIELDS,
+    milestones_among: int | None = None,
+    noise_fields: int | None = None,
 ) -> DataFrame:
-    """Recommended fields per bucket: fixed lists, milestones by words, noise candidates."""
+    """Recommended fields per bucket: fixed lists, milestones by words, noise candidates.
+
+    milestones_among, noise_fields: look at the first fields only, by name and by rows.
+    """
     middle = coverage.where(F.col("band") == "fields_25_to_50pct")
-    milestones = middle.orderBy("field").limit(STRATEGY_MILESTONES).where(
+    milestones = _first(middle, milestones_among, "field").where(
         contains_any(F.col("field"), STRATEGY_WORDS)
     )
-    kills = noise.orderBy(F.desc("occurrence_count"), "field").limit(STRATEGY_NOISE)
+    kills = _first(noise, noise_fields, F.desc("occurrence_count"), "field")
     fixed = [
         F.struct(F.lit(bucket).alias("bucket"), F.lit(name).alias("field"))
         for bucket, names in named.items()

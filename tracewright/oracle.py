@@ -1,7 +1,8 @@
 """The catalog's queries as SQL over the raw tables, written independently.
 
 Each query is a chain of common table expressions that ends in one SELECT; the
-shared steps are spelled out once below.
+shared steps are spelled out once below. Word lists, field lists and labels in them are
+fixed values, the same as in the operators.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ ev AS (
   FROM events),
 ev2 AS (
   SELECT *, CASE event_type
-    WHEN 'signup' THEN CASE k % 4 WHEN 0 THEN 'statecode' WHEN 1 THEN 'statuscode'
-                                  WHEN 2 THEN 'ownerid' ELSE 'exchangerate' END
+    WHEN 'signup' THEN CASE k % 5 WHEN 0 THEN 'statecode' WHEN 1 THEN 'statuscode'
+                                  WHEN 2 THEN 'ownerid' WHEN 3 THEN 'exchangerate'
+                                  ELSE 'stepname' END
     WHEN 'click' THEN 'stepname'
-    WHEN 'view' THEN CASE k % 3 WHEN 0 THEN 'statuscode' WHEN 1 THEN 'statecode'
-                                ELSE 'msdyn_forecastcategory' END
+    WHEN 'view' THEN CASE k % 5 WHEN 0 THEN 'statuscode' WHEN 1 THEN 'statecode'
+                                WHEN 2 THEN 'msdyn_forecastcategory'
+                                WHEN 3 THEN 'estimatedclosedate' ELSE 'actualclosedate' END
     WHEN 'purchase' THEN CASE k % 3 WHEN 0 THEN 'developproposal'
                                     WHEN 1 THEN 'the000g_revenuetype'
                                     ELSE 'purchaseprocess' END
@@ -56,8 +59,10 @@ audit AS (
       WHEN 8 THEN strftime(slot, '%Y-%m-%dT%H:%M:%S')
       ELSE CASE k % 4 WHEN 0 THEN '' WHEN 1 THEN 'null' WHEN 2 THEN 'garbage'
                       ELSE '31/02/2024 10:00' END END AS logged_at,
-    CASE event_id % 2 WHEN 0 THEN strftime(slot, '%d/%m/%Y %H:%M')
-                      ELSE strftime(slot, '%d/%m/%y %H:%M') END AS logged_at_forensic
+    CASE event_id % 4 WHEN 0 THEN strftime(slot, '%d/%m/%Y %H:%M')
+                      WHEN 1 THEN strftime(slot, '%d/%m/%y %H:%M')
+                      WHEN 2 THEN strftime(slot, '%m/%d/%y %H:%M')
+                      ELSE strftime(slot, '%-d/%-m/%y %H:%M') END AS logged_at_forensic
   FROM ev2)"""
 
 
@@ -108,6 +113,7 @@ def _local(column: str) -> str:
 
 _BUCKET = """CASE lower(field) WHEN 'statecode' THEN 'L1_STAGE' WHEN 'statuscode' THEN 'L1_STAGE'
   WHEN 'stepname' THEN 'L1_STAGE' WHEN 'msdyn_forecastcategory' THEN 'L1_STAGE'
+  WHEN 'estimatedclosedate' THEN 'L1_STAGE' WHEN 'actualclosedate' THEN 'L1_STAGE'
   WHEN 'developproposal' THEN 'L2_MILESTONE' WHEN 'the000g_revenuetype' THEN 'L2_MILESTONE'
   WHEN 'purchaseprocess' THEN 'L2_MILESTONE' WHEN 'ownerid' THEN 'L3_ADMIN'
   WHEN 'customerid' THEN 'L3_ADMIN' WHEN 'exchangerate' THEN 'KILL_NOISE'
@@ -217,8 +223,7 @@ sem AS (SELECT field, count(*) AS occurrence_count,
     CASE WHEN field = 'stepname' THEN bool_or(regexp_matches(new_value, '^[0-9]+-')) END
       AS has_prefix
   FROM f GROUP BY field),
-noise AS (SELECT field, occurrence_count, percentage_of_cases FROM (
-    SELECT * FROM sem ORDER BY occurrence_count DESC, field LIMIT 50)
+noise AS (SELECT field, occurrence_count, percentage_of_cases FROM sem
   WHERE regexp_matches(lower(field), 'discount|base|currency|exchange|price|total')
     AND percentage_of_cases < 30)"""
 _COVERAGE = f"""
@@ -396,7 +401,9 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
         "event_log": timed(
             f"""SELECT ingest_ord, case_key, operation, field, old_value, new_value, actor,
               logged_at, case_id, bucket, level, translated_value,
-              CAST(sequence AS VARCHAR) AS sequence, activity_name, {_UTC} FROM log""", *in_log
+              CAST(sequence AS VARCHAR) AS sequence, activity_name, {_UTC},
+              row_number() OVER (PARTITION BY case_id ORDER BY {_ORDER}) AS event_pos
+              FROM log""", *in_log
         ),
         "events_by_level": timed(
             """SELECT level, count(*) AS events, count(DISTINCT case_id) AS cases
@@ -616,12 +623,10 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
               UNION ALL SELECT 'L3_ADMIN', unnest(['ownerid', 'owningbusinessunit', 'customerid',
                 'estimatedclosedate', 'actualclosedate', 'closeprobability', 'new_contractterm',
                 'pricelevelid'])
-              UNION ALL SELECT 'L2_MILESTONE', field FROM (
-                SELECT field FROM cov WHERE band = 'fields_25_to_50pct' ORDER BY field LIMIT 15)
-                WHERE regexp_matches(field,
+              UNION ALL SELECT 'L2_MILESTONE', field FROM cov
+                WHERE band = 'fields_25_to_50pct' AND regexp_matches(field,
                   'proposal|develop|qualify|identify|complete|review|decision')
-              UNION ALL SELECT 'KILL_NOISE', field FROM (
-                SELECT field FROM noise ORDER BY occurrence_count DESC, field LIMIT 20)""",
+              UNION ALL SELECT 'KILL_NOISE', field FROM noise""",
             _SEMANTICS, _COVERAGE,
         ),
         "column_profile": sql(
@@ -630,12 +635,13 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
             _cells("audit", _AUDIT_COLUMNS),
         ),
         "column_profile_typed": "WITH " + _cells(
-            "events", ("event_id", "user_id", "event_type", "value", "props")
+            "events", ("event_id", "ts", "user_id", "event_type", "value", "props")
         ) + """,
 numbers AS (
   SELECT 'event_id' AS "column", 'bigint' AS dtype, CAST(min(event_id) AS DOUBLE) AS "min",
     CAST(max(event_id) AS DOUBLE) AS "max", avg(event_id) AS mean FROM events
   UNION ALL SELECT 'user_id', 'bigint', min(user_id), max(user_id), avg(user_id) FROM events
+  UNION ALL SELECT 'ts', 'timestamp_ntz', NULL, NULL, NULL
   UNION ALL SELECT 'value', 'double', min(value), max(value), avg(value) FROM events)
 SELECT profile.*, coalesce(dtype, 'string') AS dtype, "min", "max", round(mean, 4) AS mean
 FROM profile LEFT JOIN numbers USING ("column")""",
@@ -647,13 +653,28 @@ FROM profile LEFT JOIN numbers USING ("column")""",
               SELECT {_DAY_FIRST} AS ts FROM audit)"""
         ),
         "value_frequencies": sql(
-            f"""SELECT "column", left(value, 100) AS value, "count" AS frequency,
+            f"""SELECT "column", value, "count" AS frequency,
               {_pct('"count"', "(SELECT count(*) FROM audit)")} AS percentage, rank
               FROM ranked WHERE rank <= 20""",
             _cells("audit", _AUDIT_COLUMNS), _FREQUENT,
         ),
         "field_characteristics": sql("SELECT * FROM chars", _CHARACTERISTICS),
         "bucket_suggestions": sql("SELECT * FROM suggested", _CHARACTERISTICS),
+        "field_characteristics_values": sql(
+            """SELECT field, kind, value, "count", row_number() OVER (
+                PARTITION BY field, kind ORDER BY "count" DESC, value) AS rank
+              FROM (SELECT field, 'operation' AS kind, operation AS value, count(*) AS "count"
+                  FROM audit GROUP BY ALL
+                UNION ALL SELECT field, 'new_value', new_value, count(*)
+                  FROM audit WHERE new_value IS NOT NULL GROUP BY ALL)
+              QUALIFY kind = 'operation' OR rank <= 5"""
+        ),
+        "suggested_bucket_fields": sql(
+            """SELECT suggested_bucket, row_number() OVER (PARTITION BY suggested_bucket
+                ORDER BY total_occurrences DESC, field) AS place,
+              field, total_occurrences, case_coverage_pct, cases_affected FROM suggested""",
+            _CHARACTERISTICS,
+        ),
         "suggested_bucket_counts": sql(
             "SELECT suggested_bucket, count(*) AS fields FROM suggested GROUP BY ALL",
             _CHARACTERISTICS,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ..functions.timestamps import PIPELINE_FORMATS, utc_parser
 from ..operators import classify, events as ev, ordering
 from ..operators.classify import EXPORT_LEVELS, Rules
 from ..operators.skew import LARGE_GROUP_ROWS, by_group_size, positions
+from ..sources.audit import audit_rows, event_sources
 
 
 def timed_events(
@@ -37,7 +38,7 @@ def event_log(
     timezone: str = "UTC",
     limit: int = LARGE_GROUP_ROWS,
 ) -> DataFrame:
-    """The cleaned event log of all levels.
+    """The cleaned event log of all levels; event_pos is the place in the case.
 
     Ordinary cases are shuffled once, by case, and every step runs on that one
     partitioning. Cases above ``limit`` rows take a second branch in which each
@@ -51,12 +52,24 @@ def event_log(
     def build(part: DataFrame, large: int) -> DataFrame:
         named = named_events(part, rules, large=large)
         log = ordering.deduplicated(ordering.collapse_creates(named, large=large))
-        return log.drop("is_create")
+        order = [*ordering.order_keys().values()]
+        placed = positions(log, ["case_id"], order, "event_pos", large=large, limit=limit)
+        return placed.drop("is_create")
 
     # Counting the unparsed rows reads one column and bounds the sizes from above.
     return by_group_size(rows, ["case_id"], build, limit, ev.with_case_ids(audit))
 
 
+def event_log_of(sources: Mapping[str, DataFrame], rules: Rules, **options) -> DataFrame:
+    """The event log of a set of named sources, of which the audit log is used.
+
+    The sources are checked by ``event_sources``; the audit log may be raw, with its
+    own headers, or already have the canonical columns.
+    """
+    audit = event_sources(sources)
+    return event_log(audit if "case_key" in audit.columns else audit_rows(audit), rules, **options)
+
+
 def exported_events(
     audit: DataFrame, rules: Rules, *, limit: int = LARGE_GROUP_ROWS, **options
 ) -> DataFrame:

@@ -14,6 +14,7 @@ from ..operators import (
     temporal,
 )
 from ..operators.skew import LARGE_GROUP_ROWS
+from .event_log import timed_events
 
 
 @dataclass(frozen=True)
@@ -110,11 +111,43 @@ def bucket_reports(audit: DataFrame) -> dict[str, DataFrame]:
     return {
         "bucket_suggestions": suggestions,
         "suggested_bucket_counts": suggest.suggested_counts(suggestions),
-        "field_operations": fields.field_operations(rows),
-        "field_top_values": fields.field_top_values(rows),
+        "suggested_bucket_fields": suggest.suggested_fields(suggestions),
+        "field_characteristics_values": suggest.characteristic_values(rows),
     }
 
 
+def abandoned_cases(audit: DataFrame, **options) -> DataFrame:
+    """The rows of the cases that the event log drops as single-event cases."""
+    return ev.single_event_rows(timed_events(audit, **options))
+
+
+# The reports of each document.
+DOCUMENTS = {
+    "timestamp_analysis": ("timestamp_summary", "timestamp_shapes"),
+    "case_lifecycle": ("case_size_bands", "case_duration_stats", "case_field_presence"),
+    "field_semantics": ("field_semantics", "field_operations", "field_top_values", "field_coverage"),
+    "actor_behavior": ("actor_behavior", "actor_operations", "actor_top_fields", "actor_concentration"),
+    "sequence_analysis": ("stage_order", "stepname_totals", "stage_violation_summary"),
+    "temporal_patterns": (
+        "temporal_hour", "temporal_weekday", "temporal_month", "temporal_daily_volume", "temporal_shares",
+    ),
+    "single_event_forensics": (
+        "single_event_summary", "single_event_fields", "single_event_actors", "single_event_operations",
+        "single_event_hypotheses", "single_event_samples", "bulk_dates",
+    ),
+    "creation_patterns": ("creation_summary", "creation_fields", "creation_actors"),
+    "transition_matrix": ("transition_totals", "top_transitions"),
+    "master_summary": (
+        "master_overview", "high_signal_fields", "noise_candidates", "pipeline_recommendations", "bucket_strategy",
+    ),
+}
+
+
+def documents(reports: dict[str, DataFrame]) -> dict[str, dict[str, DataFrame]]:
+    """The ten documents of ``forensic_reports``, each as its named reports."""
+    return {name: {part: reports[part] for part in parts} for name, parts in DOCUMENTS.items()}
+
+
 def profile_reports(table: DataFrame, date_column: str | None = None) -> dict[str, DataFrame]:
     """Column profile, frequent values and the profile of a date column."""
     reports = {

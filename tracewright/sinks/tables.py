@@ -18,10 +18,11 @@ def with_utc_text(events: DataFrame) -> DataFrame:
 def write_event_log(log: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Write the cleaned log, all columns and levels, as Parquet or CSV.
 
-    Parquet is partitioned by level, so that readers of one level skip the rest.
+    CSV is sorted by case and place in the case, over all files. Parquet is
+    partitioned by level, so that readers of one level skip the rest.
     """
     if file_format == "csv":
-        with_utc_text(log).write.mode("overwrite").option("header", True).csv(path)
+        with_utc_text(log).orderBy("case_id", "event_pos").write.mode("overwrite").option("header", True).csv(path)
     elif file_format == "parquet":
         log.write.mode("overwrite").partitionBy("level").parquet(path)
     else:
@@ -49,3 +50,23 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str) -> None:
     """Write each report as JSON lines into a folder of its own."""
     for name, report in reports.items():
         report.write.mode("overwrite").json(f"{folder}/{name}")
+
+
+def document(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """Small reports as one JSON document (column ``value``), an array of rows per part.
+
+    The parts are reports: their size follows the number of fields, actors or bands
+    and not that of the events. Reports by case belong into files of their own.
+    """
+    arrays = [
+        part.agg(F.coalesce(F.collect_list(F.struct("*")), F.array()).alias(name)).scalar().alias(name)
+        for name, part in parts.items()
+    ]
+    spark = next(iter(parts.values())).sparkSession
+    return spark.range(1).select(F.to_json(F.struct(*arrays)).alias("value"))
+
+
+def write_documents(documents: Mapping[str, Mapping[str, DataFrame]], folder: str) -> None:
+    """Write each document as a text file of its own folder."""
+    for name, parts in documents.items():
+        document(parts).write.mode("overwrite").text(f"{folder}/{name}")

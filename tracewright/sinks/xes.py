@@ -1,13 +1,19 @@
-"""XES logs: nested traces and writing them with Spark's XML source."""
+"""XES logs as text lines."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import is_strict_utc, iso_utc
 from ..operators.classify import EXPORT_LEVELS
-from ..sources.xes import NAME_KEY, NAMESPACE, PART_KEY, TIME_KEY, TRACE_EVENTS
+from ..sources.xes import NAME_KEY, NAMESPACE, TIME_KEY
+
+# Characters that XML attributes write as entities, the ampersand first.
+XML_ENTITIES = {
+    "&": "&amp;", "<": "&lt;", ">": "&gt;", '"': "&quot;", "\t": "&#9;", "\n": "&#10;", "\r": "&#13;",
+}
+
 
 def require_columns(table: DataFrame, *names: str) -> None:
     """Fail early when a column is missing."""
@@ -16,61 +22,59 @@ def require_columns(table: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns {missing}; the table has {table.columns}")
 
 
-def traces(events: DataFrame, trace_events: int = TRACE_EVENTS) -> DataFrame:
-    """One row per level, case and part with its events in order.
-
-    Needs level, case_id, event_pos, activity_name and ts. Events that are
-    partitioned by case stay where they are.
-    """
+def trace_events(events: DataFrame) -> DataFrame:
+    """The events of the exported levels with the attributes that XES shows."""
     require_columns(events, "level", "case_id", "event_pos", "activity_name", "ts")
-    part = F.floor((F.col("event_pos") - 1) / trace_events).cast("bigint")
-    event = F.struct("event_pos", "activity_name", iso_utc(F.col("ts")).alias("timestamp_utc"))
-    kept = events.where(F.col("level").isin(*EXPORT_LEVELS))
-    return kept.groupBy("level", "case_id", part.alias("part")).agg(
-        F.sort_array(F.collect_list(event)).alias("events")
+    return events.where(F.col("level").isin(*EXPORT_LEVELS)).select(
+        "level", "case_id", "event_pos", "activity_name", iso_utc(F.col("ts")).alias("timestamp_utc")
     )
 
 
-def flat_traces(nested: DataFrame) -> DataFrame:
-    """The events of nested traces, one per row."""
-    return nested.select("level", "case_id", F.inline("events"))
+def _escaped(text: Column) -> Column:
+    """Text as an XML attribute value; characters that XML cannot hold go."""
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]", "")
+    for plain, entity in XML_ENTITIES.items():
+        text = F.replace(text, F.lit(plain), F.lit(entity))
+    return text
 
 
-def _attribute(key: str, value: Column) -> Column:
-    return F.struct(F.lit(key).alias("_key"), value.alias("_value"))
+def _attribute(kind: str, key: str, value: Column) -> Column:
+    return F.concat(F.lit(f'<{kind} key="{key}" value="'), _escaped(value), F.lit('"/>'))
 
 
-def write_xes(nested: DataFrame, path: str, files_per_level: int | None = None) -> None:
-    """Write the traces as XES, one folder per level, sorted by case.
+def write_xes(events: DataFrame, path: str, files_per_level: int | None = None) -> None:
+    """Write the events as XES, one folder per level, one trace per case of any size.
 
-    Files are cut by ranges of (level, case), so a big level spreads over many
-    well-formed files whose names follow the order of the cases.
+    A case belongs to one file, by a hash of its id. Rows are sorted by file, case
+    and position, and each becomes the lines that it needs beside its neighbours, so
+    no row holds a case. Files are well-formed logs of their own.
     """
-    named = nested.select(
-        "level", "case_id", "part",
-        _attribute(NAME_KEY, F.col("case_id")).alias("string"),
-        F.when(F.col("part") > 0, _attribute(PART_KEY, F.col("part").cast("string"))).alias("int"),
-        F.transform(
-            "events",
-            lambda e: F.struct(
-                _attribute(NAME_KEY, e["activity_name"]).alias("string"),
-                _attribute(TIME_KEY, e["timestamp_utc"]).alias("date"),
-            ),
-        ).alias("event"),
+    spark = events.sparkSession
+    files = files_per_level or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = trace_events(events).withColumn("file", F.pmod(F.xxhash64("case_id"), F.lit(files)))
+    place = Window.partitionBy("level", "file").orderBy("case_id", "event_pos")
+    first_of_file = F.row_number().over(place) == 1
+    last_of_file = F.lead(F.lit(1)).over(place).isNull()
+    opens = first_of_file | ~F.lag("case_id").over(place).eqNullSafe(F.col("case_id"))
+    closes = last_of_file | ~F.lead("case_id").over(place).eqNullSafe(F.col("case_id"))
+    event = F.concat(
+        F.lit("    <event>"), _attribute("string", NAME_KEY, F.col("activity_name")),
+        _attribute("date", TIME_KEY, F.col("timestamp_utc")), F.lit("</event>"),
     )
-    keys = ["level", "case_id", "part"]
-    count = [files_per_level * len(EXPORT_LEVELS)] if files_per_level else []
-    ranged = named.repartitionByRange(*count, *keys).sortWithinPartitions(*keys)
-    (
-        ranged.select("level", "string", "int", "event")
-        .write.mode("overwrite")
-        .partitionBy("level")
-        .format("xml")
-        .option("rowTag", "trace")
-        .option("rootTag", f'log xmlns="{NAMESPACE}"')
-        .option("declaration", 'version="1.0" encoding="UTF-8"')
-        .save(path)
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n' + f'<log xmlns="{NAMESPACE}">'
+    lines = rows.withColumns({"_first": first_of_file, "_last": last_of_file, "_opens": opens, "_closes": closes}).select(
+        "level", "file",
+        F.concat_ws(
+            "\n",
+            F.when(F.col("_first"), head),
+            F.when(F.col("_opens"), F.concat(F.lit("  <trace>\n    "), _attribute("string", NAME_KEY, F.col("case_id")))),
+            event,
+            F.when(F.col("_closes"), "  </trace>"),
+            F.when(F.col("_last"), "</log>"),
+        ).alias("value"),
     )
+    # The text writer knows no other suffix; readers go by the content.
+    lines.write.mode("overwrite").partitionBy("level", "file").text(path)
 
 
 def checked_utc(events: DataFrame, column: str = "timestamp_utc") -> DataFrame:

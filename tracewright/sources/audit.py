@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +46,26 @@ CANONICAL = {
 
 def clean_header(name: str) -> str:
     """A header without byte-order mark and surplus white space."""
-    return " ".join(name.replace("\ufeff", "").split())
+    return re.sub(r"\s+", " ", name.replace("\ufeff", "")).strip()
 
 
-def _match_key(name: str) -> str:
-    return re.sub(r"[^a-z0-9]", "", clean_header(name).lower())
+def _likeness(header: str, alias: str) -> int:
+    """2 for the alias itself, 1 if only case, blanks or punctuation differ, else 0."""
+    if clean_header(header) == clean_header(alias):
+        return 2
+    letters = [re.findall("[a-z0-9]", text.lower()) for text in (header, alias)]
+    return int(letters[0] == letters[1])
+
+
+def _best(columns: Sequence[str], names: Sequence[str]) -> str | None:
+    """The column of the first alias that any column resembles, the closest of them."""
+    scores = [
+        (-rank, _likeness(column, name), place, column)
+        for rank, name in enumerate(names)
+        for place, column in enumerate(columns)
+    ]
+    found = [score for score in scores if score[1]]
+    return max(found)[-1] if found else None
 
 
 def resolve_columns(
@@ -56,26 +73,16 @@ def resolve_columns(
 ) -> dict[str, str]:
     """Map each role to the column that plays it; works on the header alone.
 
-    Per alias an exact header wins over one that differs in case or punctuation.
-    A missing timestamp falls back to the only header with "date" and "log" in it.
+    Earlier aliases come first; of the columns that resemble one, an exact header
+    wins. A timestamp without an alias is the one header that speaks of a date and
+    a log, if there is only one.
     """
-    exact = {clean_header(c): c for c in columns}
-    loose = {_match_key(c): c for c in columns}
-    roles = {}
-    for role, names in aliases.items():
-        options = (
-            found
-            for name in names
-            for found in (exact.get(clean_header(name)), loose.get(_match_key(name)))
-        )
-        column = next((c for c in options if c is not None), None)
-        if column is not None:
-            roles[role] = column
-    if "timestamp" in aliases and "timestamp" not in roles:
-        dated = [c for n, c in exact.items() if "date" in n.lower() and "log" in n.lower()]
-        if len(dated) == 1:
-            roles["timestamp"] = dated[0]
-    missing = [role for role in aliases if role not in roles]
+    roles = {role: _best(columns, names) for role, names in aliases.items()}
+    if roles.get("timestamp", "") is None:
+        spoken = {clean_header(c).lower(): c for c in columns}
+        dated = [c for text, c in spoken.items() if all(word in text for word in ("date", "log"))]
+        roles["timestamp"] = dated[0] if len(dated) == 1 else None
+    missing = [role for role, column in roles.items() if column is None]
     if missing:
         raise ValueError(f"no column found for {missing}; the table has {list(columns)}")
     return roles
@@ -128,35 +135,67 @@ def audit_rows(
     return table.select(*cells)
 
 
+def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their first line. Only the first row of each file's first block is looked at."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        "value",
+    )
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    found: dict[str, list[str]] = {}
+    for file, header in first.orderBy("file").collect():
+        found.setdefault(header.lstrip("\ufeff").rstrip("\r"), []).append(file)
+    return found
+
+
+def _place(files: Sequence[str]) -> Column:
+    """The row's place among all files, in their order: file, block (in units of 1 KiB), row."""
+    if len(files) >= 1 << 15:
+        raise ValueError("too many files for one place number; read them in groups")
+    number = F.lit(0).cast("bigint")
+    if len(files) > 1:
+        ranks = F.create_map(*[F.lit(x) for pair in zip(files, range(len(files))) for x in pair])
+        number = F.element_at(ranks, F.col("_metadata.file_path")).cast("bigint")
+    # 15 bits for the file, 48 for block and row. A block of n KiB leaves n << 20 numbers
+    # free before the next one, far more than a task, which is no larger, has rows.
+    block = F.shiftright(F.col("_metadata.file_block_start"), 10)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return F.shiftleft(number, 48) + F.shiftleft(block, 20) + row
+
+
 def read_audit_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     *,
     nulls: str = "empty",
     null_words: Sequence[str] = NULL_WORDS,
-    multi_line: bool = True,
+    multi_line: bool = False,
     **options: Mapping[str, Sequence[str]] | Sequence[str],
 ) -> DataFrame:
     """Scan audit-log CSV files, all columns as strings.
 
-    Quoted cells may hold line breaks. A file is then read by one task; give
-    ``multi_line=False`` for exports without such cells so that big files split.
-    With several files the place in the input is (file, block, row).
+    Files may differ in their headers; the roles are resolved for each header.
+    Large files are split. Give ``multi_line=True`` if quoted cells hold line
+    breaks; a file is then read by one task. ingest_ord is the row's place in the
+    input, the files by name.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
-    order = None
-    if len(raw.inputFiles()) > 1:
-        order = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
+    paths = [path] if isinstance(path, str) else list(path)
+    groups = _headers(spark, paths)
+    files = sorted(file for group in groups.values() for file in group)
+    parts = []
+    for group in groups.values():
+        raw = (
+            spark.read.option("header", True)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .csv([unquote(file) for file in group])
         )
-    return audit_rows(raw, nulls=nulls, null_words=null_words, ingest_ord=order, **options)
+        parts.append(audit_rows(raw, nulls=nulls, null_words=null_words, ingest_ord=_place(files), **options))
+    if not parts:
+        raise ValueError(f"no rows in {paths}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def event_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
@@ -172,6 +211,7 @@ def event_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
         raise ValueError(f"no event source given; one of {list(EVENT_KINDS)} is needed")
     if "audit_log" not in sources:
         raise ValueError("event logs are built from an audit_log")
-    keys = {role: COLUMN_ALIASES[role] for role in ("case_id", "timestamp")}
-    resolve_columns(sources["audit_log"].columns, keys)
+    columns = sources["audit_log"].columns
+    if not {"case_key", "logged_at"} <= set(columns):
+        resolve_columns(columns, {role: COLUMN_ALIASES[role] for role in ("case_id", "timestamp")})
     return sources["audit_log"]

@@ -2,34 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Name space and attribute keys of the format.
 NAMESPACE = "http://www.xes-standard.org/"
 NAME_KEY, TIME_KEY = "concept:name", "time:timestamp"
-# Key of the number that marks the second and later parts of a long trace.
-PART_KEY = "trace:part"
-# Events per trace element. A longer trace is written as several elements of the
-# same name, so that no row holds an unbounded case.
-TRACE_EVENTS = 50_000
-
-_ATTRIBUTE = T.StructType(
-    [T.StructField("_key", T.StringType()), T.StructField("_value", T.StringType())]
+
+_ATTRIBUTES = T.ArrayType(
+    T.StructType([T.StructField("_key", T.StringType()), T.StructField("_value", T.StringType())])
 )
-_EVENT = T.StructType([T.StructField("string", _ATTRIBUTE), T.StructField("date", _ATTRIBUTE)])
+_EVENT = T.StructType([T.StructField("string", _ATTRIBUTES), T.StructField("date", _ATTRIBUTES)])
 _TRACE = T.StructType(
-    [
-        T.StructField("string", _ATTRIBUTE),
-        T.StructField("int", _ATTRIBUTE),
-        T.StructField("event", T.ArrayType(_EVENT)),
-    ]
+    [T.StructField("string", _ATTRIBUTES), T.StructField("event", T.ArrayType(_EVENT))]
 )
 
 
-def read_xes(spark: SparkSession, path: str, trace_events: int = TRACE_EVENTS) -> DataFrame:
-    """Read XES files as (case_id, event_pos, activity_name, timestamp_utc)."""
+def _value(attributes: Column, key: str) -> Column:
+    """The value of the first attribute with the key, or null."""
+    return F.get(F.filter(attributes, lambda a: a["_key"] == key), F.lit(0))["_value"]
+
+
+def read_xes(spark: SparkSession, path: str) -> DataFrame:
+    """Read XES files as (case_id, event_pos, activity_name, timestamp_utc).
+
+    Attributes count by their key; other attributes are skipped.
+    """
     raw = (
         spark.read.format("xml")
         .option("rowTag", "trace")
@@ -37,15 +36,13 @@ def read_xes(spark: SparkSession, path: str, trace_events: int = TRACE_EVENTS) -
         .schema(_TRACE)
         .load(path)
     )
-    part = F.coalesce(F.col("int._value").cast("bigint"), F.lit(0))
     events = raw.select(
-        F.col("string._value").alias("case_id"),
-        (part * trace_events).alias("before"),
+        _value(F.col("string"), NAME_KEY).alias("case_id"),
         F.posexplode("event").alias("place", "event"),
     )
     return events.select(
         "case_id",
-        (F.col("before") + F.col("place") + 1).alias("event_pos"),
-        F.col("event.string._value").alias("activity_name"),
-        F.col("event.date._value").alias("timestamp_utc"),
+        (F.col("place") + F.lit(1).cast("bigint")).alias("event_pos"),
+        _value(F.col("event.string"), NAME_KEY).alias("activity_name"),
+        _value(F.col("event.date"), TIME_KEY).alias("timestamp_utc"),
     )
