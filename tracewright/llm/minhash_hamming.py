@@ -12,8 +12,9 @@ are looked at once. Within a key's members pairs are not all formed: each member
 is first compared with the least one; what that leaves unlinked is compared with
 the members of other components, so links that could join two components are
 never skipped. Pairs are dropped before the full comparison only if their sizes
-exclude the similarity, or if a sketch of 120 bits differs in over 36 bits
-(probability below 1e-6 at similarity 0.8).
+exclude the similarity, if the shingles that each shares with any other member do
+(at most those can be common), or if a sketch of 120 bits differs in over 36 bits or
+one of 2048 bits in over 273 (probability below 1e-6 each at similarity 0.8).
 
 Defined results: words are split at ASCII white space with A-Z lower-cased; fewer
 words than a shingle form one shingle; null and empty texts have no shingles and
@@ -34,6 +35,8 @@ from .common import WordHashes, staged, whole_text
 from .components import components
 
 SYMBOLS, CHUNK, SKETCH_BITS = 40, 5, 36
+# Long sketches of one bit a hash, as so many 64-bit words, and the bits in which they may differ.
+LONG_WORDS, LONG_BITS = 32, 273
 # Ids up to this number are broadcast (8 bytes each), more are joined.
 BROADCAST_IDS = 1_000_000
 _U = np.uint64
@@ -139,17 +142,45 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame, number: int, width: int, id_
     return rows.join(wanted, "node", "left_semi").mapInPandas(run, "node bigint, shingles array<bigint>")
 
 
-def _possible(a: str, b: str, percent: int) -> Column:
+def long_sketch(shingles: np.ndarray) -> np.ndarray:
+    """One bit of each of 64 x LONG_WORDS minima."""
+    count = 64 * LONG_WORDS
+    bits = _mixed(minhashes(shingles, _odd(count, 5), _odd(count, 6))) & _U(1)
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _possible(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     """Whether sizes and sketches of two members leave the similarity possible."""
-    low, high = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    bits = [F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("sketch_a", "sketch_b")]
+    low, high = F.least(a["n"], b["n"]), F.greatest(a["n"], b["n"])
+    bits = [F.bit_count(a[c].bitwiseXOR(b[c])) for c in ("sketch_a", "sketch_b")]
     return (low * 100 >= high * percent) & (bits[0] + bits[1] <= SKETCH_BITS)
 
 
+def _shared_with_others(docs: DataFrame, rows: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, shared, long): how many shingles of a node any other node of the rows has too; its long sketch."""
+
+    def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["long"] = [long_sketch(s.astype(np.int64).view(np.uint64)) for s in batch["shingles"]]
+            yield batch
+
+    nodes = staged(rows.select("node", "n").distinct(), "rest-nodes")
+    sets = _shingles_of(docs, nodes.select("node").distinct(), nodes.count(), width, id_col, text_col)
+    sets = staged(
+        sets.dropDuplicates(["node"]).mapInPandas(
+            sketched, "node bigint, shingles array<bigint>, long array<bigint>"), "rest-sets")
+    alone = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.count("*").alias("holders"), F.min("node").alias("node")).where("holders = 1")
+    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
+    own = F.size("shingles") - F.coalesce("alone", F.lit(0))
+    return staged(sets.join(alone, "node", "left").select("node", own.alias("shared"), "long"), "shared")
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    nodes = staged(
-        pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired-nodes")
+    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(
+        pairs.select(F.col("b").alias("node")).distinct())
+    nodes = staged(ends.distinct(), "paired-nodes")
     sets = _shingles_of(docs, nodes, nodes.count(), width, id_col, text_col)
     # Rows that share an id: one of their sets stands for the id.
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
@@ -160,6 +191,51 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_c
     return both.where(shared * 100 >= union * percent).select("a", "b")
 
 
+def _split_keys(members: DataFrame, reached: DataFrame) -> DataFrame:
+    """Members of keys that hold several components, with theirs and the key's largest (main)."""
+    placed = staged(
+        members.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("rows", "component")).alias("main"), F.count("*").alias("parts"))
+    return staged(placed.join(main.where("parts > 1").drop("parts"), "key"), "split")
+
+
+MEMBER = ("component", "node", "n", "shared", "sketch_a", "sketch_b", "long")
+
+
+def _pairs(left: DataFrame, right: DataFrame, percent: int, once: Column) -> DataFrame:
+    """Distinct pairs (a, b) of different components of a key that may be similar enough."""
+    other = right.select("key", *[F.col(c).alias(f"_{c}") for c in right.columns if c != "key"])
+    most = F.least("shared", "_shared")
+    differ = sum(F.bit_count(F.col("long")[i].bitwiseXOR(F.col("_long")[i])) for i in range(LONG_WORDS))
+    found = left.join(other, "key").where(
+        (F.col("component") != F.col("_component"))
+        & (most * 100 >= (F.col("n") + F.col("_n") - most) * percent)
+        & _possible({c: F.col(c) for c in MEMBER}, {c: F.col(f"_{c}") for c in MEMBER}, percent)
+        & (differ <= LONG_BITS) & once)
+    return found.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
+
+
+def _to_center(rest: DataFrame, percent: int) -> DataFrame:
+    """Each member with the one of its key that shares most with the others."""
+    order = F.struct((F.col("shared") / F.col("n")).alias("share"), "n", (-F.col("node")).alias("node"))
+    centers = rest.groupBy("key").agg(F.max_by(F.struct(*MEMBER), order).alias("c")).select("key", "c.*")
+    return _pairs(rest, centers, percent, F.lit(True))
+
+
+def _across(rest: DataFrame, percent: int) -> DataFrame:
+    """The members outside the main component of their key with all of other components.
+
+    A pair with several keys in common is formed for the least one only.
+    """
+    # At most SYMBOLS keys a node.
+    keys = rest.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    known = staged(rest.join(keys, "node"), "keyed-rest")
+    once = F.array_min(F.array_intersect("keys", "_keys")) == F.col("key")
+    return _pairs(known.where("component <> main"), known, percent, once)
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -184,40 +260,30 @@ def near_duplicates(
     keys = keys.groupBy("head", "members", "print").agg(F.min("key").alias("key"))
     members = staged(keyed.join(keys.select("key", "head", "members"), "key"), "members")
 
+    columns = ("node", "n", "sketch_a", "sketch_b")
     first = members.where("node = head").dropDuplicates(["key"]).select(
-        "key", F.struct("node", "n", "sketch_a", "sketch_b").alias("y"))
-    star = members.where("node <> head").join(first, "key").withColumn(
-        "x", F.struct("node", "n", "sketch_a", "sketch_b"))
-    star = star.where(_possible("x", "y", percent)).select(
-        F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        "key", *[F.col(c).alias(f"_{c}") for c in columns])
+    star = members.where("node <> head").join(first, "key").where(
+        _possible({c: F.col(c) for c in columns}, {c: F.col(f"_{c}") for c in columns}, percent))
+    star = star.select(F.col("node").alias("a"), F.col("_node").alias("b"))
     star = staged(star.distinct(), "star-pairs")
     links = staged(_confirmed(docs, star, percent, width, id_col, text_col), "links")
 
-    # Members that are not in the largest component of their key.
     reached = components(links, "a", "b")
-    placed = members.where("members > 2").join(reached, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    placed = staged(placed, "placed")
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("rows"))
-    main = sizes.groupBy("key").agg(
-        F.max_by("component", F.struct("rows", "component")).alias("main"), F.count("*").alias("parts"))
-    main = main.where("parts > 1")
-    stray = placed.join(main, "key").where("component <> main")
-    whole = placed.select("key", *[F.col(c).alias(f"_{c}") for c in ("component", "node", "n", "sketch_a", "sketch_b")])
-    crossed = stray.join(whole, "key").where(
-        (F.col("component") != F.col("_component")) & (F.col("node") != F.col("head")) & (F.col("_node") != F.col("head")))
-    crossed = crossed.withColumns({
-        "x": F.struct("node", "n", "sketch_a", "sketch_b"),
-        "y": F.struct(*[F.col(f"_{c}").alias(c) for c in ("node", "n", "sketch_a", "sketch_b")]),
-    }).where(_possible("x", "y", percent))
-    crossed = crossed.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b"))
-    crossed = staged(crossed.distinct(), "cross-pairs")
-    if not crossed.isEmpty():
-        more = staged(_confirmed(docs, crossed, percent, width, id_col, text_col), "links")
+    # Keys whose members are not all linked, with what each member shares with any other.
+    rest = _split_keys(members.where("members > 2"), reached)
+    shared = _shared_with_others(docs, rest, width, id_col, text_col)
+    rest = staged(rest.join(shared, "node").where(F.col("shared") * 100 >= F.col("n") * percent), "rest")
+    for kind in ("center", "cross"):
+        pairs = staged((_to_center if kind == "center" else _across)(rest, percent), f"{kind}-pairs")
+        if pairs.isEmpty():
+            continue
+        more = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
         if not more.isEmpty():
             stars = reached.where("node <> component").select(
                 F.col("node").alias("a"), F.col("component").alias("b"))
             reached = components(stars.unionByName(more), "a", "b")
+            rest = _split_keys(rest.drop("component", "main"), reached)
 
     found = signed.select("node", *same).join(heads, same, "left")
     found = found.join(
