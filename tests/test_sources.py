@@ -85,6 +85,18 @@ def test_files_with_headers_of_their_own(spark, tmp_path):
     assert spark.read.option("header", True).csv(out).count() == 0  # three cases of one event each
 
 
+def test_same_headers_are_read_once_and_checked(spark, tmp_path):
+    for name, case in (("b", "2"), ("a", "1")):
+        (tmp_path / f"{name}.csv").write_text(",".join(HEADER) + f"\n{case},Update,f,,v,A,1/1/2025 1:00\n")
+    rows = read_audit_csv(spark, str(tmp_path), headers="same").orderBy("ingest_ord").collect()
+    assert [r.case_key for r in rows] == ["1", "2"]
+    (tmp_path / "c.csv").write_text(",".join(reversed(HEADER)) + "\n1/1/2025 1:00,A,v,,f,Update,3\n")
+    with pytest.raises(Exception, match="header"):
+        read_audit_csv(spark, str(tmp_path), headers="same").collect()
+    with pytest.raises(ValueError, match="headers"):
+        read_audit_csv(spark, str(tmp_path), headers="none")
+
+
 def test_large_files_are_split_in_order(spark, tmp_path):
     lines = [f"C{i},Update,f,,v{i},A,1/1/2025 1:00" for i in range(20_000)]
     for name, part in (("x", lines[:12_000]), ("y", lines[12_000:])):

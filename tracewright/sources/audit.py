@@ -136,7 +136,7 @@ def audit_rows(
 
 
 def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Files by their first line. Only the first row of each file's first block is looked at."""
+    """Files by their first line, found in one pass over the text."""
     lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -172,26 +172,35 @@ def read_audit_csv(
     nulls: str = "empty",
     null_words: Sequence[str] = NULL_WORDS,
     multi_line: bool = False,
+    headers: str = "each",
     **options: Mapping[str, Sequence[str]] | Sequence[str],
 ) -> DataFrame:
     """Scan audit-log CSV files, all columns as strings.
 
-    Files may differ in their headers; the roles are resolved for each header.
+    headers: ``"each"`` lets files differ in their headers and resolves the roles for
+    each of them, at the price of one more pass over the text. ``"same"`` reads the
+    files once and fails if a header differs from the first.
     Large files are split. Give ``multi_line=True`` if quoted cells hold line
     breaks; a file is then read by one task. ingest_ord is the row's place in the
     input, the files by name.
     """
+    if headers not in ("each", "same"):
+        raise ValueError("headers must be 'each' or 'same'")
     paths = [path] if isinstance(path, str) else list(path)
-    groups = _headers(spark, paths)
-    files = sorted(file for group in groups.values() for file in group)
+
+    def table(names: Sequence[str]) -> DataFrame:
+        reader = spark.read.option("header", True).option("multiLine", multi_line)
+        return reader.option("escape", '"').option("enforceSchema", False).csv(list(names))
+
+    if headers == "same":
+        raws = [table(paths)]
+        files = sorted(raws[0].inputFiles())
+    else:
+        groups = _headers(spark, paths)
+        raws = [table([unquote(file) for file in group]) for group in groups.values()]
+        files = sorted(file for group in groups.values() for file in group)
     parts = []
-    for group in groups.values():
-        raw = (
-            spark.read.option("header", True)
-            .option("multiLine", multi_line)
-            .option("escape", '"')
-            .csv([unquote(file) for file in group])
-        )
+    for raw in raws:
         parts.append(audit_rows(raw, nulls=nulls, null_words=null_words, ingest_ord=_place(files), **options))
     if not parts:
         raise ValueError(f"no rows in {paths}")
