@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embedding_dedup, license_scan, minhash_hamming, pitman_yor, sharding, suffix_dedup, toxicity, url_filter
+from . import (
+    bpe, decontaminate, embedding_dedup, license_scan, minhash_hamming, pitman_yor,
+    sharding, suffix_dedup, toxicity, url_filter,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
