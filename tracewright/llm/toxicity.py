@@ -9,7 +9,8 @@ Labelled tokens come from labelled documents: in toxic documents, words are mark
 if they, or their first characters, occur there in many more distinct surroundings
 than elsewhere (distinct, so that copies do not count twice). The chain is fitted
 on a bounded sample of labelled rows (``FIT_TOXIC``, ``FIT_OTHER``, texts up to
-``FIT_CHARACTERS``); scoring takes whole texts. Forward-backward marginals p give
+``FIT_CHARACTERS``, of which the chain sees those up to ``CHAIN_CHARACTERS``); scoring
+takes whole texts. Forward-backward marginals p give
 the document's features, the sum of p squared and the length, which a logistic
 curve turns into a score; tokens with p of at least one half are the offending
 spans.
@@ -24,8 +25,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -36,10 +37,14 @@ from pyspark.sql import functions as F
 
 from .common import whole_text
 
-FIT_TOXIC, FIT_OTHER, FIT_CHARACTERS = 1800, 2700, 1 << 18
+FIT_TOXIC, FIT_OTHER, FIT_CHARACTERS = 1600, 2400, 1 << 18
+# The chain learns from texts of the sample up to this length, the curve from longer ones as well.
+CHAIN_CHARACTERS = 1 << 13
 TABLE, ROUNDS, PRIOR, PACE = 1 << 20, 30, 1.0, 0.4
 # A word is marked if toxic documents have it, with this many deviations to spare, so many times as often.
 DEVIATIONS, TIMES = 2.5, 3.0
+# What missing a toxic document costs against rejecting another.
+MISS_COST = 2.5
 STEMS = (3, 4, 5, 6)
 LANE = 128
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -68,27 +73,30 @@ class Words(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.places: list[tuple[int, ...]] = []
-        self.plain: list[str] = []
+        self.flat = array("i")
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.places)
-        text = plain(word)
-        self.plain.append(text)
-        self.places.append(places(text))
+        number = self[word] = len(self)
+        self.flat.extend(places(plain(word)))
         return number
 
-    def trimmed(self, most: int = 400_000) -> "Words":
+    @property
+    def places(self) -> np.ndarray:
+        """Table places by word number."""
+        return np.array(self.flat, dtype=np.int32).reshape(len(self), -1)
+
+    def trimmed(self, most: int = 100_000) -> "Words":
         return Words() if len(self) > most else self
 
 
 def tokens(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all texts and how many each text has."""
-    split = [t.encode("utf-8").lower().split() for t in texts]
-    counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    numbers = np.fromiter(
-        (n for s in split for n in map(words.__getitem__, s)), dtype=np.int64, count=int(counts.sum()))
-    return numbers, counts
+    parts = []
+    for text in texts:
+        own = text.encode("utf-8").lower().split()
+        parts.append(np.fromiter(map(words.__getitem__, own), dtype=np.int32, count=len(own)))
+    counts = np.array([len(p) for p in parts], dtype=np.int64)
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32), counts
 
 
 def chain(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -163,14 +171,16 @@ def bounds(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def marked_words(numbers: np.ndarray, counts: np.ndarray, toxic: np.ndarray, words: Words) -> np.ndarray:
     """Whether each word number is one that toxic documents have in many more surroundings."""
+    numbers = numbers.astype(np.int64)
     before = np.append(-1, numbers[:-1]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     after = np.append(numbers[1:], -1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
     label = np.repeat(toxic, counts)
-    marked = np.zeros(len(words.plain), dtype=bool)
+    marked = np.zeros(len(words), dtype=bool)
+    texts = [plain(w) for w in words]  # in the order of their numbers
     for size in (None, *STEMS):
         units: dict[str, int] = {"": 0}
         unit = np.array([
-            units.setdefault(w[:size] if size is None or len(w) > size else "", len(units)) for w in words.plain
+            units.setdefault(w[:size] if size is None or len(w) > size else "", len(units)) for w in texts
         ], dtype=np.int64)
         own = unit[numbers]
         around = (before ^ after) + own.astype(np.uint64) * np.uint64(0xFF51AFD7ED558CCD)
@@ -186,27 +196,44 @@ def marked_words(numbers: np.ndarray, counts: np.ndarray, toxic: np.ndarray, wor
     return marked
 
 
-def fitted(texts: list[str], toxic: list[int]) -> tuple[Field, np.ndarray]:
-    """The chain, fitted on two thirds of the texts, and the curve, fitted on the rest."""
+def fitted(texts: list[str], toxic: list[int], share: float | None = None) -> tuple[Field, np.ndarray]:
+    """The chain, fitted on two thirds of the texts, and the curve, fitted on the rest.
+
+    share: that of toxic texts among all that the sample stands for.
+    """
     field, label = Field(), np.array(toxic, dtype=np.int64)
-    part = np.arange(len(texts)) % 3 < 2
+    learn = np.arange(len(texts)) % 3 < 2
+    short = learn & np.array([len(t) <= CHAIN_CHARACTERS for t in texts], dtype=bool)
     words = Words()
-    numbers, counts = tokens([t for t, p in zip(texts, part) if p], words)
-    if not len(numbers) or len({*label[part]}) < 2:
-        share = float(label.mean()) if len(label) else 0.0
+    numbers, counts = tokens([t for t, p in zip(texts, short) if p], words)
+    if not len(numbers) or len({*label[short]}) < 2:
+        share = float(label.mean() if share is None else share) if len(label) else 0.0
         field.start[1] = -25.0  # no token is known to offend
         return field, np.array([0.0, 0.0, np.log((share + 1e-9) / (1 - share + 1e-9))])
-    _descend(field, numbers, counts, label[part], words)
-    rest = ~part if len({*label[~part]}) == 2 else part
-    numbers, counts = tokens([t for t, p in zip(texts, rest) if p], words)
-    table = np.array(words.places, dtype=np.int64)
-    p = field.marginals(field.emission(numbers, counts, table), counts)[0]
-    return field, logistic(features(p, counts), label[rest])
+    _descend(field, numbers, counts, label[short], words)
+    rest = ~learn if len({*label[~learn]}) == 2 else short
+    rows = [
+        text_features(field, block, Words())
+        for block in text_blocks([t for t, p in zip(texts, rest) if p], CHAIN_CHARACTERS << 7)
+    ]
+    own = label[rest].mean()
+    share = own if share is None else share
+    weight = np.where(label[rest] == 1, MISS_COST * share / own, (1 - share) / (1 - own))
+    return field, logistic(np.concatenate([r for r, _, _ in rows]), label[rest], weight)
+
+
+def text_features(field: Field, texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of the texts, marginals of all their tokens, tokens of each text."""
+    numbers, counts = tokens(texts, words)
+    p = np.zeros(0)
+    if len(numbers):
+        p = field.marginals(field.emission(numbers, counts, words.places), counts)[0]
+    return features(p, counts), p, counts
 
 
 def _descend(field: Field, numbers: np.ndarray, counts: np.ndarray, label: np.ndarray, words: Words) -> None:
     """Damped diagonal Newton steps on the likelihood of the marked tokens, with a normal prior."""
-    table = np.array(words.places, dtype=np.int64)
+    table = words.places
     marked = marked_words(numbers, counts, label, words)
     y = (marked[numbers] & (np.repeat(label, counts) == 1)).astype(np.int64)
     first, last = bounds(counts)
@@ -230,8 +257,10 @@ def _descend(field: Field, numbers: np.ndarray, counts: np.ndarray, label: np.nd
         error, curve = p - y, p * (1 - p)
         ahead = np.exp(emission[inner + 1]) * backward[inner + 1]
         step = np.exp(field.steps)
+        here = forward[inner]
         pair = np.stack([np.full(len(inner), step[0, 0]), step[0, 1] * ahead,
-                         step[1, 0] * forward[inner], step[1, 1] * forward[inner] * ahead])
+                         step[1, 0] * here, step[1, 1] * here * ahead])
+        del emission, forward, backward, here, ahead
         pair /= pair.sum(axis=0)
         for value, slope, bend in (
             (field.table, by_place(error), by_place(curve)),
@@ -248,14 +277,14 @@ def features(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([np.log(sums + 1e-3), np.log(counts + 20.0), np.ones(len(counts))], axis=1)
 
 
-def logistic(rows: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Weights of a logistic curve."""
+def logistic(rows: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Coefficients of a logistic curve."""
     value = np.zeros(rows.shape[1])
     prior = np.diag([0.1, 0.1, 0.01])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(rows @ value, -30, 30)))
-        slope = rows.T @ (p - label) + prior @ value
-        curve = (rows * (p * (1 - p))[:, None]).T @ rows + prior
+        slope = rows.T @ (weight * (p - label)) + prior @ value
+        curve = (rows * (weight * p * (1 - p))[:, None]).T @ rows + prior
         value = value - np.clip(np.linalg.solve(curve, slope), -2, 2)
     return value
 
@@ -274,7 +303,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     text = whole_text(text_col).alias("_text")
     sample = docs.select(F.col(id_col), text).where(F.length("_text") <= FIT_CHARACTERS).join(picked, id_col)
     found = sample.groupBy("_text").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_text")).toPandas()
-    field, curve = fitted(found["_text"].tolist(), found["toxic"].tolist())
+    share = named.agg(F.avg("toxic")).first()[0]
+    field, curve = fitted(found["_text"].tolist(), found["toxic"].tolist(), share)
     return field.table, field.steps, field.start, curve
 
 
@@ -290,12 +320,8 @@ def scored(docs: DataFrame, model: tuple, text_col: str = "text") -> DataFrame:
             out = []
             for texts in text_blocks(batch):
                 words = words.trimmed()
-                numbers, counts = tokens(texts, words)
-                p = np.zeros(0)
-                if len(numbers):
-                    emission = field.emission(numbers, counts, np.array(words.places, dtype=np.int64))
-                    p = field.marginals(emission, counts)[0]
-                scores = 1 / (1 + np.exp(-np.clip(features(p, counts) @ curve, -500, 500)))
+                rows, p, counts = text_features(field, texts, words)
+                scores = 1 / (1 + np.exp(-np.clip(rows @ curve, -500, 500)))
                 ends = np.cumsum(counts)
                 hits = np.flatnonzero(p >= 0.5)
                 low, high = np.searchsorted(hits, ends - counts), np.searchsorted(hits, ends)
@@ -327,7 +353,7 @@ def _spans(text: str, places: np.ndarray, p: np.ndarray) -> list[dict]:
     return out
 
 
-def text_blocks(texts: pd.Series, characters: int = 4 << 20) -> Iterator[list[str]]:
+def text_blocks(texts: Iterable[str], characters: int = 2 << 20) -> Iterator[list[str]]:
     block, size = [], 0
     for text in texts:
         block.append(text)
