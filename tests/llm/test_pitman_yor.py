@@ -3,7 +3,6 @@ import random
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,8 +49,8 @@ def test_probabilities_of_a_context_sum_to_one():
     learnt = ["a b", "a b", "a c", "b a c", "c", "a b c a b", "a b"]
     asked = ["a a b a c a unseen a", "b b c b a b unseen b", "c c a c b c unseen c", "unseen a unseen b unseen c unseen",
              "a", "b", "c", "unseen", ""]
-    block = pd.DataFrame({"text": learnt + asked, "train": [True] * len(learnt) + [False] * len(asked)})
-    (_, blob), = m.routed(block, m.Numbers(), 1, {})
+    numbers, train = m.Numbers(), np.array([1] * len(learnt) + [0] * len(asked), dtype=np.uint8)
+    (_, blob), = m.routed(*m.tokens(learnt + asked, numbers), train, numbers, 1, {})
     (_, sent), = m.seat(0, [blob], 1, [])
     (_, told), = m.menu(0, [0], [sent], 1)
     shard = m.Shard([blob])

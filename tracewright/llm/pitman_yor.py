@@ -19,7 +19,7 @@ documents to learn from and of all documents to score together. There
 Frequent contexts are spread over several shards by the word that follows; their
 totals travel with the words. What a task holds is bounded by the number of
 shards, which follows the size of the corpus. Hot contexts are the only values
-that pass through the driver: fewer than four for each shard.
+that pass through the driver: fewer than two for each shard.
 
 Defined results: null and empty texts have one token, the end; a corpus without
 documents to learn from gives the probability 1 to every token (both scores 0);
@@ -40,13 +40,17 @@ from pyspark.sql import functions as F
 
 from .common import pack, partitions, unpack, whole_text
 
-BLOCK_CHARACTERS, SHARD_BYTES = 6 << 20, 16 << 20
+BLOCK_CHARACTERS, SHARD_BYTES = 8 << 20, 16 << 20
+# Words whose numbers a task keeps from block to block.
+KNOWN_WORDS = 250_000
 DISCOUNT, STRENGTH = 0.8, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
 SWEEPS = 3
 # Customers that are seated one by one; further ones in blocks that double.
 SINGLY = 48
-END = 0x2545F4914F6CDD1D
+# Words are known by 48 bits of their hash, two of a billion words alike in about 2,000 cases.
+HASH_BITS = 48
+END = 0x4914F6CDD1D
 _U = np.uint64
 
 
@@ -59,7 +63,7 @@ class Numbers(dict):
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self.hashes)
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        self.hashes.append(xxhash.xxh3_64_intdigest(word) >> (64 - HASH_BITS))
         return number
 
 
@@ -69,13 +73,12 @@ def spread(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 def tokens(texts: list[str], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers with an end (0) after each text; tokens of each text."""
-    split = [t.encode("utf-8").lower().split() for t in texts]
-    counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split)) + 1
-    out = np.zeros(int(counts.sum()), dtype=np.int32)
-    inner = np.ones(len(out), dtype=bool)
-    inner[np.cumsum(counts) - 1] = False
-    out[inner] = np.fromiter((n for s in split for n in map(numbers.__getitem__, s)), dtype=np.int32)
-    return out, counts
+    parts, end = [], np.zeros(1, dtype=np.int32)
+    for text in texts:
+        words = text.encode("utf-8").lower().split()
+        parts += [np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words)), end]
+    counts = np.array([len(p) + 1 for p in parts[::2]], dtype=np.int64)
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32), counts
 
 
 def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -94,12 +97,12 @@ def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held)
 
 
-def routed(block: pd.DataFrame, numbers: Numbers, shards: int, hot: dict[int, int]) -> Iterator[tuple[int, bytes]]:
-    """(shard, packed tokens). A token: context, word, document of the block."""
-    word, counts = tokens(block["text"].tolist(), numbers)
+def routed(
+    word: np.ndarray, counts: np.ndarray, train: np.ndarray, numbers: Numbers, shards: int, hot: dict[int, int]
+) -> Iterator[tuple[int, bytes]]:
+    """(shard, packed tokens) of a block. A token: context, word, document of the block."""
     context = np.concatenate([[0], word[:-1]]).astype(np.int32)
     doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-    train = block["train"].to_numpy(dtype=np.uint8)
     hashes = np.frombuffer(numbers.hashes, dtype=np.uint64).copy()
     place = hashes[context]
     for key, ways in hot.items():
@@ -137,9 +140,13 @@ class Shard:
             keys.append(own_u[ui].astype(np.int64) << 32 | own_w[wi])
             trains.append(np.repeat(train.astype(bool), many))
             self.docs.append((docs, many))
+        del parts, w, u
         key, train = np.concatenate(keys), np.concatenate(trains)
+        del keys, trains
         self.pairs, self.pair_of = np.unique(key, return_inverse=True)
         self.counts = np.bincount(self.pair_of, train, len(self.pairs)).astype(np.int64)
+        self.pair_of = self.pair_of.astype(np.int32)
+        del key, train
         self.context, self.word = self.pairs >> 32, self.pairs & 0xFFFFFFFF
         self.word_counts = np.bincount(self.word, self.counts, len(self.words)).astype(np.int64)
         self.customers = np.bincount(self.context, self.counts, len(self.contexts))
@@ -324,15 +331,15 @@ def scored(
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, numbers = pyspark.TaskContext.get().partitionId(), Numbers()
         for number, block in enumerate(blocks(batches)):
-            if len(numbers) > 500_000:
+            if len(numbers) > KNOWN_WORDS:
                 numbers = Numbers()
             name = f"{task}-{number}"
-            sent = list(routed(block, numbers, shards, hot))
-            counts = block["text"].map(lambda t: len(t.encode("utf-8").split()) + 1)
+            word, counts = tokens(block["text"].tolist(), numbers)
+            learnt = block["train"].to_numpy(dtype=np.uint8)
             ids = block["id"].astype("Int64")
-            about = pack(ids.isna().to_numpy(dtype=np.uint8), ids.fillna(0).to_numpy(dtype=np.int64),
-                         block["train"].to_numpy(dtype=np.uint8), counts.to_numpy(dtype=np.int64))
-            sent = [(s, name, False, b) for s, b in sent] + [(number % shards, name, True, about)]
+            about = pack(ids.isna().to_numpy(dtype=np.uint8), ids.fillna(0).to_numpy(dtype=np.int64), learnt, counts)
+            sent = [(s, name, False, b) for s, b in routed(word, counts, learnt, numbers, shards, hot)]
+            sent.append((number % shards, name, True, about))
             yield pd.DataFrame(sent, columns=["shard", "block", "about", "body"])
 
     def run_seat(part: pd.DataFrame) -> pd.DataFrame:
