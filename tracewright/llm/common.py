@@ -12,7 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Rows that travel to a Python worker at once. Texts are large and their lengths differ.
+BATCH_ROWS = 500
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Sets the session's Arrow batches to at most BATCH_ROWS rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,7 +64,7 @@ class WordHashes(dict):
     """64-bit hashes of words, computed once each; forgets all beyond a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found

@@ -88,7 +88,7 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
         known, words = WordHashes(), _odd(width, 1)
         seeds, factors = _odd(SYMBOLS, 2), _odd(SYMBOLS, 3)
         shifts = (np.arange(SYMBOLS // 2) * 3).astype(np.uint64)
-        for batch in batches:
+        for batch in _parts(batches):
             out = []
             for node, text in zip(batch["node"], batch["text"]):
                 found = shingle_set(text, width, known, words)
@@ -128,12 +128,19 @@ def masked_keys(signed: DataFrame) -> DataFrame:
     return signed.mapInPandas(run, "key bigint, node bigint, n bigint, sketch_a bigint, sketch_b bigint")
 
 
+def _parts(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
+    """Few rows at a time, as what is made of a text may be larger than the text."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start : start + rows].copy()
+
+
 def _shingles_of(docs: DataFrame, nodes: DataFrame, number: int, width: int, id_col: str, text_col: str) -> DataFrame:
     """(node, shingles) of the nodes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, words = WordHashes(), _odd(width, 1)
-        for batch in batches:
+        for batch in _parts(batches):
             sets = [shingle_set(t, width, known, words).astype(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"node": batch["node"], "shingles": sets})
 
@@ -160,7 +167,7 @@ def _shared_with_others(docs: DataFrame, rows: DataFrame, width: int, id_col: st
     """(node, shared, long): how many shingles of a node any other node of the rows has too; its long sketch."""
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _parts(batches):
             batch["long"] = [long_sketch(s.astype(np.int64).view(np.uint64)) for s in batch["shingles"]]
             yield batch
 
