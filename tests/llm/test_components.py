@@ -40,6 +40,18 @@ def test_components(spark, kind):
     assert {r.node: r.component for r in found} == plain(edges)
 
 
+@pytest.mark.parametrize("stars", [0, 300])
+@pytest.mark.parametrize("path", [
+    [1, 5, 6, 7, 2], [12, 21, 24, 39, 17], [18, 30, 23, 27, 19, 36], [11, 33, 20, 16, 2, 34, 27],
+    [11, 21, 5, 23, 25, 35, 20, 24],
+])
+def test_short_path_is_one_component(spark, path, stars):
+    """After a round some children have two parents, though no child is a parent."""
+    edges = list(zip(path, path[1:])) + [(1000 + 4 * i, 1001 + 4 * i + j) for i in range(stars) for j in (0, 1)]
+    found = components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()
+    assert sorted((r.node, r.component) for r in found) == sorted(plain(edges).items())
+
+
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b").count() == 0
 

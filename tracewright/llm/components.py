@@ -33,16 +33,17 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node reachable, for each node with an edge.
 
     Alternates large-star and small-star steps until every node points at its
-    root; each round is written to the shared folder. Null ends and loops are
+    root alone; each round is written to the shared folder. Null ends and loops are
     dropped. No edges give no rows.
     """
     edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
     edges = staged(edges.where(F.col("u") > F.col("v")).distinct(), "edges")
     while True:
         after = staged(_small_star(_large_star(edges)), "edges")
-        # A forest of stars: no node is at the same time a child and a parent.
+        # A forest of stars: each child has one parent, and no node is at the same time a child and a parent.
         parents = after.select(F.col("v").alias("u")).distinct()
-        if after.join(parents, "u", "left_semi").isEmpty():
+        several = after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
+        if several.isEmpty() and after.join(parents, "u", "left_semi").isEmpty():
             break
         edges = after
     roots = after.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
