@@ -1,3 +1,4 @@
+import inspect
 import random
 
 import numpy as np
@@ -48,6 +49,38 @@ def test_against_all_windows(spark, options):
     assert own == plain([(d, t.encode()) for d, t in rows])
 
 
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 300}])
+def test_hot_grams_against_all_windows(spark, options):
+    rows = corpus(7)
+    rows += [(200 + i, "a common phrase of more than sixteen bytes, then " + t) for i, (_, t) in enumerate(rows)]
+    rows += [(400, "ab" * 300), (401, "ab" * 90 + "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = s.without_repeats(docs, shard_bytes=2000, hot_windows=40, **options).collect()
+    own = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found)
+    assert own == plain([(d, t.encode()) for d, t in rows])
+
+
+def test_phrase_before_differing_text_is_spread(spark, monkeypatch):
+    """A phrase in all documents with other text behind it: no shard takes all the windows over it."""
+    rng = random.Random(4)
+    texts = ["Copyright notice of all pages of the site | " + "".join(rng.choice("abcdefghij") for _ in range(80)) for _ in range(600)]
+    texts += texts[:5]
+    spans_of, kinds, unpacked = s.spans_of, s.KINDS, s.unpack
+
+    def bounded(blocks, blobs, most):
+        windows = sum(int(unpacked(b, *kinds)[5].sum()) for b in blobs)
+        if windows > 2000:
+            raise ValueError(f"{windows} windows in one shard")
+        return spans_of(blocks, blobs, most)
+
+    monkeypatch.setattr(s, "spans_of", bounded)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    options = {"shard_bytes": 4000, "block_bytes": 8000, "hot_windows": 1000}
+    known = inspect.signature(s.without_repeats).parameters
+    found = s.without_repeats(docs, **{k: v for k, v in options.items() if k in known}).collect()
+    assert {r.doc_id: r.n_removed for r in found if r.n_removed} == {600 + i: len(texts[0]) for i in range(5)}
+
+
 def test_nulls_and_repeated_ids(spark):
     long = "the same passage of more than fifty bytes stands in all of these rows"
     rows = [(None, long), (1, long), (1, long), (1, long + " x"), (2, None), (3, ""), (4, "new " + long + " new")]

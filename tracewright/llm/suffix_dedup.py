@@ -14,11 +14,14 @@ documents meet in one shard; runs of windows with the same gram are one segment.
    gives the common prefixes of neighbours, and those of 50 or more join a group,
    which has the least id of its members. A shard of more than ``SHARD_WINDOWS``
    windows is cut into several suffix arrays, whose sorted distinct strings are
-   merged by binary search.
+   merged by binary search. A gram whose distinct segments have more than
+   ``HOT_WINDOWS`` windows is hot: its windows go by a hash of their own 50 bytes
+   to other shards, so equal ones still meet.
 3. The spans go back to their block.
 
-Inside a task everything is bounded: long documents are cut into overlapping
-slices, blocks and shards have a fixed size.
+Long documents are cut into overlapping slices; blocks have a fixed size, and what a
+shard holds of the texts follows from the shards, as no gram brings more than
+``HOT_WINDOWS``. The places of equal segments are not bounded (a few bytes each).
 
 Defined results: null and empty texts, and texts under 50 bytes, lose nothing;
 rows with a null id neither lose bytes nor make others lose any; rows that share
@@ -46,6 +49,8 @@ LENGTH, GRAM = 50, 16
 BLOCK_BYTES, SHARD_BYTES, GRAM_BYTES = 4 << 20, 12 << 20, 64 << 20
 # Windows that one suffix array takes, and texts that one block takes.
 SHARD_WINDOWS, BLOCK_ROWS = 8 << 20, 20_000
+# Windows of the distinct segments of one gram beyond which it is hot, and shards of hot windows per shard.
+HOT_WINDOWS, HOT_SHARDS = 1 << 20, 2
 _U = np.uint64
 C1, C2, C3 = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0xFF51AFD7ED558CCD)
 
@@ -129,9 +134,28 @@ class Segments:
         self.starts, self.counts, self.part = starts[good], counts[good], part[good]
         self.keys = keys[self.starts] * C1
 
-    def packed(self, shards: int, wanted: np.ndarray) -> Iterator[tuple[int, bytes]]:
-        """(shard, packed segments) of the wanted ones. Of equal ones only those of the least id have text."""
+    def split(self, hot: np.ndarray, shards: int) -> tuple[np.ndarray, ...]:
+        """Starts, counts, slices and shards of runs of windows, from segments of hot grams: a window's
+        shard is a function of its bytes."""
+        counts = self.counts[hot]
+        ends = np.cumsum(counts)
+        windows = np.repeat(self.starts[hot] - (ends - counts), counts)
+        windows += np.arange(len(windows))
+        hashed = segment_hashes(self.data, windows, np.full(len(windows), LENGTH))
+        shard = shards + ((hashed >> _U(33)) % _U(HOT_SHARDS * shards)).astype(np.int64)
+        new = np.append(True, shard[1:] != shard[:-1])
+        new[(ends - counts)] = True
+        at = np.flatnonzero(new)
+        return windows[at], np.diff(np.append(at, len(windows))), np.repeat(self.part[hot], counts)[at], shard[at]
+
+    def packed(self, shards: int, wanted: np.ndarray, hot: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        """(shard, packed segments) of the wanted ones, of the hot ones by window. Of equal ones only those
+        of the least id have text."""
         starts, counts, part = self.starts[wanted], self.counts[wanted], self.part[wanted]
+        shard = ((self.keys[wanted] >> _U(33)) % _U(shards)).astype(np.int64)
+        if len(hot):
+            both = zip((starts, counts, part, shard), self.split(hot, shards))
+            starts, counts, part, shard = map(np.concatenate, both)
         if not len(starts):
             return
         lengths = counts + (LENGTH - 1)
@@ -141,7 +165,6 @@ class Segments:
         least = np.empty(len(order), dtype=np.int64)
         least[order] = self.ids[part][order[new]][np.cumsum(new) - 1]
         later = self.ids[part] > least
-        shard = ((self.keys[wanted] >> _U(33)) % _U(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.append(True, shard[order][1:] != shard[order][:-1]))
         for a, b in zip(cuts, np.append(cuts[1:], len(order))):
@@ -173,11 +196,24 @@ def gram_sets(found: list[Segments], shards: int) -> tuple[list[np.ndarray], lis
             [several[a:b] for a, b in zip(ends, ends[1:])], np.split(place, cuts) if found else [])
 
 
-def shared_grams(blobs: list[bytes]) -> list[bytes]:
-    """For each block's grams the bits that say whether several documents have them."""
-    parts, flags = [], []
+def distinct_windows(found: list[Segments], places: list[np.ndarray], names: list[np.ndarray]) -> list[np.ndarray]:
+    """Per shard the windows that the distinct segments of each gram of a block have."""
+    cuts = np.cumsum([len(n) for n in names])
+    if not found:
+        return np.split(np.empty(0, dtype=np.uint32), cuts[:-1])
+    hashes = np.concatenate([segment_hashes(f.data, f.starts, f.counts + (LENGTH - 1)) for f in found])
+    one = np.unique(hashes, return_index=True)[1]
+    counts = np.concatenate([f.counts for f in found])[one]
+    sums = np.bincount(np.concatenate(places)[one], counts, cuts[-1])
+    return np.split(sums.astype(np.uint32), cuts[:-1])
+
+
+def shared_grams(blobs: list[bytes], most: int = HOT_WINDOWS) -> tuple[list[bytes], list[bytes]]:
+    """For each block's grams the bits that say whether several documents have them, and whether they are hot."""
+    parts, flags, windows = [], [], []
     for blob in blobs:
-        raw, several = unpack(blob, "u1", "u1")
+        raw, several, counts = unpack(blob, "u1", "u1", "u4")
+        windows.append(counts)
         wide = np.zeros((len(raw) // 5, 8), dtype=np.uint8)
         wide[:, :5] = raw.reshape(-1, 5)
         parts.append(wide.view(np.uint64).ravel())
@@ -185,8 +221,9 @@ def shared_grams(blobs: list[bytes]) -> list[bytes]:
     names, place, number = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
     shared = number > 1
     shared[place[np.concatenate(flags)]] = True
-    found = np.split(shared[place], np.cumsum([len(p) for p in parts])[:-1])
-    return [np.packbits(f).tobytes() for f in found]
+    hot = np.bincount(place, np.concatenate(windows), len(names)) > most
+    cuts = np.cumsum([len(p) for p in parts])[:-1]
+    return tuple([np.packbits(f).tobytes() for f in np.split(bits[place], cuts)] for bits in (shared, hot))
 
 
 def refined(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -410,6 +447,7 @@ def without_repeats(
     shard_windows: int = SHARD_WINDOWS,
     block_bytes: int = BLOCK_BYTES,
     decode: bool = False,
+    hot_windows: int = HOT_WINDOWS,
 ) -> DataFrame:
     """The documents with n_bytes, n_removed, n_spans, and kept: the bytes that stay.
 
@@ -429,29 +467,31 @@ def without_repeats(
     def send_grams(part: pd.DataFrame) -> pd.DataFrame:
         out = []
         # Equal blocks have one name and the same ids: one of them is enough.
-        names, several, _ = gram_sets(segments_of(part["body"].iloc[0]), gram_shards)
-        for shard, (values, flags) in enumerate(zip(names, several)):
+        found = segments_of(part["body"].iloc[0])
+        names, several, places = gram_sets(found, gram_shards)
+        windows = distinct_windows(found, places, names)
+        for shard, (values, flags, counts) in enumerate(zip(names, several, windows)):
             raw = values.view(np.uint8).reshape(-1, 8)[:, :5].ravel()
             if len(raw):
-                out.append((shard, part["block"].iloc[0], pack(raw, np.packbits(flags))))
+                out.append((shard, part["block"].iloc[0], pack(raw, np.packbits(flags), counts)))
         return pd.DataFrame(out, columns=["shard", "block", "body"])
 
     def answer(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"block": part["block"], "shard": part["shard"], "bits": shared_grams(part["body"].tolist())})
+        bits, hot = shared_grams(part["body"].tolist(), hot_windows)
+        return pd.DataFrame({"block": part["block"], "shard": part["shard"], "bits": bits, "hot": hot})
 
     def send_segments(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
             found = segments_of(left["body"].iloc[0])
             names, _, places = gram_sets(found, gram_shards)
-            bits = dict(zip(right["shard"].tolist(), right["bits"].tolist()))
-            shared = np.concatenate([
+            shared, hot = (np.concatenate([
                 np.unpackbits(np.frombuffer(bits[n], dtype=np.uint8), count=len(v)) if len(v) else np.empty(0, np.uint8)
                 for n, v in enumerate(names)
-            ]).astype(bool)
+            ]).astype(bool) for bits in (dict(zip(right["shard"].tolist(), right[c].tolist())) for c in ("bits", "hot")))
             for part, place in zip(found, places):
-                out += [(s, left["block"].iloc[0], b) for s, b in part.packed(shards, np.flatnonzero(shared[place]))]
+                whole, split = (np.flatnonzero(shared[place] & (hot[place] == h)) for h in (False, True))
+                out += [(s, left["block"].iloc[0], b) for s, b in part.packed(shards, whole, split)]
         return pd.DataFrame(out, columns=["shard", "block", "body"])
 
     def match(part: pd.DataFrame) -> pd.DataFrame:
@@ -478,7 +518,7 @@ def without_repeats(
     names = names.add("n_spans", "long").add("kept", "string" if decode else "binary")
     packed = docs.mapInArrow(lambda b: packed_blocks(b, text_col, block_bytes), "block bigint, body binary")
     grams = packed.groupBy("block").applyInPandas(send_grams, "shard int, block bigint, body binary")
-    answers = grams.groupBy("shard").applyInPandas(answer, "block bigint, shard int, bits binary")
+    answers = grams.groupBy("shard").applyInPandas(answer, "block bigint, shard int, bits binary, hot binary")
     segments = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         send_segments, "shard int, block bigint, body binary")
     found = segments.groupBy("shard").applyInPandas(match, "block bigint, spans binary")
