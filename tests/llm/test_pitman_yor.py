@@ -83,6 +83,15 @@ def test_seating_follows_the_restaurant_process():
     assert m.reseated(np.array([0, 1, 2]), np.ones(3), 0.5, rng)[:2].tolist() == [0, 1]
 
 
+@pytest.mark.parametrize("texts", [["x " * 20000, "y"], ["x x y"] * 500])
+def test_frequent_pairs_send_few_counts(texts):
+    numbers, train = m.Numbers(), np.ones(len(texts), dtype=np.uint8)
+    word, counts = m.tokens(texts, numbers)
+    blobs = [b for _, b in m.routed(word, counts, train, numbers, 3, {})]
+    assert sum(len(m.unpack(b, *m.TOKENS)[2]) for b in blobs) < 20
+    assert sum(int(m.Shard([b]).counts.sum()) for b in blobs) == len(word)
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None), (None, "a b"), (1, "a b"), (1, "a b"), (2, "x " * 50000)],
                                  "doc_id bigint, text string")

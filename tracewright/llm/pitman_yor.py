@@ -6,8 +6,11 @@ of a context's restaurant are customers of the parent. Gibbs sweeps reseat all
 customers of a dish, given the tables of the other dishes; the predictive
 probabilities are averaged over the sweeps after the first.
 
-Tokens move once, in packed blocks, to the shard of their context, those of the
-documents to learn from and of all documents to score together. There
+Tokens move once, in packed blocks and as counts of a word pair in a document, to
+the shard of their context, those of the documents to learn from and of all
+documents to score together. A pair in more than ``PAIR_DOCS`` documents of a block
+moves as one count; the block keeps the counts of its documents and takes the pair's
+score from the answer, so a pair brings at most ``PAIR_DOCS`` counts a block. There
 
 1. ``seat`` samples the context restaurants and sends each word's tables and
    count to the word's own shard,
@@ -48,6 +51,8 @@ PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
 SWEEPS = 3
 # Customers that are seated one by one; further ones in blocks that double.
 SINGLY = 48
+# Documents of a block of which a word pair sends counts one by one.
+PAIR_DOCS = 16
 # Words are known by 48 bits of their hash, two of a billion words alike in about 2,000 cases.
 HASH_BITS = 48
 END = 0x4914F6CDD1D
@@ -97,12 +102,39 @@ def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held)
 
 
+def counted(word: np.ndarray, counts: np.ndarray, train: np.ndarray) -> tuple[tuple, tuple]:
+    """What a block sends: contexts, words, documents, times and times learnt from; and what it keeps.
+
+    A pair in many documents is sent as one time of a document of its own, numbered behind the
+    others; kept are the documents and times of these pairs, and how many documents each has.
+    """
+    n = len(counts)
+    context = np.concatenate([[0], word[:-1]]).astype(np.int64)
+    pairs, pair = np.unique(context << 32 | word, return_inverse=True)
+    del context
+    key, times = np.unique(pair * n + np.repeat(np.arange(n), counts), return_counts=True)
+    pair, doc = key // n, key % n
+    del key
+    learnt = times * (train[doc] != 0)
+    of_pair = np.bincount(pair, minlength=len(pairs))
+    many = of_pair > PAIR_DOCS
+    often = many[pair]
+    rare, names = np.flatnonzero(~often), np.flatnonzero(many)
+    rare = rare[np.argsort(doc[rare], kind="stable")]
+    sums = np.bincount(pair[often], learnt[often], len(pairs)).astype(np.int64)[names]
+    pair_, doc_ = np.concatenate([pair[rare], names]), np.concatenate([doc[rare], n + np.arange(len(names))])
+    times_ = np.concatenate([times[rare], np.ones(len(names), dtype=np.int64)])
+    sent = (pairs[pair_] >> 32, pairs[pair_] & 0xFFFFFFFF, doc_, times_, np.concatenate([learnt[rare], sums]))
+    kept = tuple(a.astype(np.uint32) for a in (doc[often], times[often], of_pair[names]))
+    return sent, kept
+
+
 def routed(
-    word: np.ndarray, counts: np.ndarray, train: np.ndarray, numbers: Numbers, shards: int, hot: dict[int, int]
+    word: np.ndarray, counts: np.ndarray, train: np.ndarray, numbers: Numbers, shards: int, hot: dict[int, int],
+    sent: tuple | None = None,
 ) -> Iterator[tuple[int, bytes]]:
-    """(shard, packed tokens) of a block. A token: context, word, document of the block."""
-    context = np.concatenate([[0], word[:-1]]).astype(np.int32)
-    doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    """(shard, packed counts) of a block, from what ``counted`` sends."""
+    context, word, doc, times, learnt = counted(word, counts, train)[0] if sent is None else sent
     hashes = np.frombuffer(numbers.hashes, dtype=np.uint64).copy()
     place = hashes[context]
     for key, ways in hot.items():
@@ -120,26 +152,27 @@ def routed(
         docs, many = np.unique(doc[part], return_counts=True)
         yield int(shard[part[0]]), pack(
             hashes[words], hashes[contexts], w.astype(np.uint32), u.astype(np.uint32),
-            docs.astype(np.uint32), many.astype(np.uint32), train[docs])
+            docs.astype(np.uint32), many.astype(np.uint32), times[part].astype(np.uint32),
+            learnt[part].astype(np.uint32))
 
 
-TOKENS = ("u8", "u8", "u4", "u4", "u4", "u4", "u1")
+TOKENS = ("u8", "u8", "u4", "u4", "u4", "u4", "u4", "u4")
 
 
 class Shard:
-    """The tokens of one shard and the counts of those to learn from."""
+    """The pairs of one shard by document and the counts of those to learn from."""
 
     def __init__(self, blobs: list[bytes]) -> None:
         parts = [unpack(b, *TOKENS) for b in blobs]
         self.words, w = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         self.contexts, u = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
         keys, trains, self.docs, at_w, at_u = [], [], [], 0, 0
-        for words, contexts, wi, ui, docs, many, train in parts:
+        for words, contexts, wi, ui, docs, many, times, learnt in parts:
             own_w, own_u = w[at_w : at_w + len(words)], u[at_u : at_u + len(contexts)]
             at_w, at_u = at_w + len(words), at_u + len(contexts)
             keys.append(own_u[ui].astype(np.int64) << 32 | own_w[wi])
-            trains.append(np.repeat(train.astype(bool), many))
-            self.docs.append((docs, many))
+            trains.append(learnt)
+            self.docs.append((docs, many, times))
         del parts, w, u
         key, train = np.concatenate(keys), np.concatenate(trains)
         del keys, trains
@@ -282,11 +315,11 @@ def score(
     own = Shard(blobs)
     *values, learnt = pair_logs(own, shard, answers, shards, hot)
     at = 0
-    for name, (docs, many) in zip(names, own.docs):
+    for name, (docs, many, times) in zip(names, own.docs):
         pair = own.pair_of[at : at + int(many.sum())]
         at += len(pair)
         first = np.cumsum(many, dtype=np.int64) - many
-        yield name, pack(docs, *[np.add.reduceat(v[pair], first) for v in values], np.array([learnt]))
+        yield name, pack(docs, *[np.add.reduceat(v[pair] * times, first) for v in values], np.array([learnt]))
 
 
 def contexts_above(rows: DataFrame, shards: int) -> dict[int, int]:
@@ -337,8 +370,10 @@ def scored(
             word, counts = tokens(block["text"].tolist(), numbers)
             learnt = block["train"].to_numpy(dtype=np.uint8)
             ids = block["id"].astype("Int64")
-            about = pack(ids.isna().to_numpy(dtype=np.uint8), ids.fillna(0).to_numpy(dtype=np.int64), learnt, counts)
-            sent = [(s, name, False, b) for s, b in routed(word, counts, learnt, numbers, shards, hot)]
+            found, kept = counted(word, counts, learnt)
+            about = pack(
+                ids.isna().to_numpy(dtype=np.uint8), ids.fillna(0).to_numpy(dtype=np.int64), learnt, counts, *kept)
+            sent = [(s, name, False, b) for s, b in routed(word, counts, learnt, numbers, shards, hot, found)]
             sent.append((number % shards, name, True, about))
             yield pd.DataFrame(sent, columns=["shard", "block", "about", "body"])
 
@@ -367,13 +402,16 @@ def scored(
         return pd.DataFrame(out, columns=["block", "about", "body"])
 
     def run_sum(part: pd.DataFrame) -> pd.DataFrame:
-        missing, ids, learnt, tokens_ = unpack(part["body"][part["about"]].iloc[0], "u1", "i8", "u1", "i8")
-        sums, total = np.zeros((3, len(ids))), 0.0
+        missing, ids, learnt, tokens_, docs_, times, many = unpack(
+            part["body"][part["about"]].iloc[0], "u1", "i8", "u1", "i8", "u4", "u4", "u4")
+        sums, total = np.zeros((3, len(ids) + len(many))), 0.0
         for blob in sorted(part["body"][~part["about"]]):
             found, *values, learnt_from = unpack(blob, "u4", "f8", "f8", "f8", "f8")
             for row, value in zip(sums, values):
                 row[found] += value
             total = float(learnt_from[0])
+        # Behind the documents: the scores of the pairs that the block kept the counts of.
+        sums = [row[: len(ids)] + np.bincount(docs_, times * np.repeat(row[len(ids) :], many), len(ids)) for row in sums]
         return pd.DataFrame({
             id_col: pd.Series(ids).astype("Int64").mask(missing.astype(bool)),
             "learnt": learnt.astype(bool), "n_tokens": tokens_, "n_known": sums[2].astype(np.int64),
