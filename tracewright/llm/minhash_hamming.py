@@ -13,8 +13,8 @@ is first compared with the least one; what that leaves unlinked is compared with
 the members of other components, so links that could join two components are
 never skipped. Pairs are dropped before the full comparison only if their sizes
 exclude the similarity, if the shingles that each shares with any other member do
-(at most those can be common), or if a sketch of 120 bits differs in over 36 bits or
-one of 2048 bits in over 273 (probability below 1e-6 each at similarity 0.8).
+(at most those can be common), or if a sketch of 120 bits differs in over 36 bits
+(probability 4.3e-6 at similarity 0.8) or one of 2048 bits in over 273 (6.2e-7).
 
 Defined results: words are split at ASCII white space with A-Z lower-cased; fewer
 words than a shingle form one shingle; null and empty texts have no shingles and
