@@ -64,7 +64,8 @@ def test_packed_arrays():
 
 def test_staged_rows_and_sizes(spark):
     rows = spark.range(10).selectExpr("id", "cast(null as string) as text")
-    assert staged(rows, "x").schema == rows.schema and staged(rows.limit(0), "x").count() == 0
+    # Parquet keeps names and types; every column may hold nulls then.
+    assert staged(rows, "x").dtypes == rows.dtypes and staged(rows.limit(0), "x").count() == 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert partitions(spark, 0, 10) == least and partitions(spark, 10_001, 10) == 1001
 

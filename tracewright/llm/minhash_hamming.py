@@ -7,11 +7,13 @@ there masked: 40 keys a document. All pairs below that distance, and most beyond
 share a key; a pair of similarity 0.8 misses all keys with probability 2e-5.
 Candidates are confirmed on their full shingle sets.
 
-Documents with equal sets are one node from the start. Keys with the same members
-are looked at once. Within a key's members pairs are not all formed: each member
-is first compared with the least one; what that leaves unlinked is compared with
-the members of other components, so links that could join two components are
-never skipped. Pairs are dropped before the full comparison only if their sizes
+Documents with equal sets are one node from the start. Within a key's members pairs
+are not all formed. The eight plain chunks come first: each member is compared with
+the least one of its chunk, which links most of a group of copies. Masked keys carry
+the component found so far, and only those that hold several components are looked
+at: first against the least member, then against the member that shares most, then
+against all members of other components, so links that could join two components are
+never skipped and a group that is linked already adds no rows. Pairs are dropped before the full comparison only if their sizes
 exclude the similarity, if the shingles that each shares with any other member do
 (at most those can be common), or if a sketch of 120 bits differs in over 36 bits
 (probability 4.3e-6 at similarity 0.8) or one of 2048 bits in over 273 (6.2e-7).
@@ -107,11 +109,14 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
         run, "node bigint, n bigint, set_a bigint, set_b bigint, sketch_a bigint, sketch_b bigint, symbols binary")
 
 
-def masked_keys(signed: DataFrame) -> DataFrame:
-    """(key, node, n, sketch_a, sketch_b): each chunk of symbols with each place masked."""
+CARRIED = ("component", "node", "n", "sketch_a", "sketch_b")
+
+
+def chunk_keys(placed: DataFrame, masked: bool) -> DataFrame:
+    """(key, component, node, n, sketch_a, sketch_b): each chunk of symbols, whole or with each place masked."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        factors = _odd(SYMBOLS, 4)
+        factors, chunks = _odd(SYMBOLS, 4), _odd(SYMBOLS // CHUNK, 7)
         for batch in batches:
             if not len(batch):
                 continue
@@ -119,13 +124,33 @@ def masked_keys(signed: DataFrame) -> DataFrame:
             parts = (symbols.astype(np.uint64) + _U(1)) * factors
             sums = parts.reshape(len(batch), SYMBOLS // CHUNK, CHUNK).sum(axis=2, dtype=np.uint64)
             # The factor of the masked place also tells the chunk and the mask apart.
-            keys = _mixed(np.repeat(sums, CHUNK, axis=1) - parts + factors * _U(0x9E3779B9))
+            keys = _mixed(np.repeat(sums, CHUNK, axis=1) - parts + factors * _U(0x9E3779B9)) if masked else _mixed(
+                sums + chunks)
             yield pd.DataFrame({
                 "key": keys.astype(np.int64).ravel(),
-                **{c: np.repeat(batch[c].to_numpy(), SYMBOLS) for c in ("node", "n", "sketch_a", "sketch_b")},
+                **{c: np.repeat(batch[c].to_numpy(), keys.shape[1]) for c in CARRIED},
             })
 
-    return signed.mapInPandas(run, "key bigint, node bigint, n bigint, sketch_a bigint, sketch_b bigint")
+    return placed.select(*CARRIED, "symbols").mapInPandas(
+        run, "key bigint, " + ", ".join(f"{c} bigint" for c in CARRIED))
+
+
+def _to_head(placed: DataFrame, masked: bool, percent: int) -> DataFrame:
+    """Distinct pairs (a, b): members of a key with its least node, if that is of another component."""
+    keyed = chunk_keys(placed, masked)
+    heads = _split_keys(keyed).join(
+        placed.select(*[F.col(c).alias("head" if c == "node" else f"_{c}") for c in CARRIED]), "head")
+    near = _possible({c: F.col(c) for c in CARRIED}, {c: F.col(f"_{c}") for c in CARRIED}, percent)
+    pairs = keyed.alias("k").join(
+        heads.alias("h"), (F.col("k.key") == F.col("h.key")) & (F.col("component") != F.col("_component")) & near)
+    return pairs.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+
+
+def _split_keys(keyed: DataFrame) -> DataFrame:
+    """(key, head): the keys that hold several components, with their least node."""
+    return keyed.groupBy("key").agg(
+        F.min("node").alias("head"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low < high").select("key", "head")
 
 
 def _parts(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
@@ -198,14 +223,34 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_c
     return both.where(shared * 100 >= union * percent).select("a", "b")
 
 
-def _split_keys(members: DataFrame, reached: DataFrame) -> DataFrame:
-    """Members of keys that hold several components, with theirs and the key's largest (main)."""
-    placed = staged(
-        members.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("rows"))
+def _unlinked(placed: DataFrame) -> DataFrame:
+    """Members of the masked keys that hold several components, with the key's largest one (main)."""
+    keyed = chunk_keys(placed, True)
+    rest = staged(keyed.join(_split_keys(keyed).select("key"), "key"), "split")
+    return _with_main(rest)
+
+
+def _with_main(rest: DataFrame) -> DataFrame:
+    sizes = rest.groupBy("key", "component").agg(F.count("*").alias("rows"))
     main = sizes.groupBy("key").agg(
         F.max_by("component", F.struct("rows", "component")).alias("main"), F.count("*").alias("parts"))
-    return staged(placed.join(main.where("parts > 1").drop("parts"), "key"), "split")
+    return staged(rest.join(main.where("parts > 1").drop("parts"), "key"), "split-main")
+
+
+def _placed(nodes: DataFrame, reached: DataFrame | None) -> DataFrame:
+    """The nodes with their component."""
+    if reached is None:
+        return nodes.withColumn("component", F.col("node"))
+    return staged(
+        nodes.join(reached, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+
+
+def _merged(reached: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components by the links found so far and the new ones."""
+    if reached is not None:
+        links = reached.where("node <> component").select(
+            F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+    return components(links, "a", "b")
 
 
 MEMBER = ("component", "node", "n", "shared", "sketch_a", "sketch_b", "long")
@@ -259,26 +304,15 @@ def near_duplicates(
         .dropDuplicates(["node", *same]),
         "nodes",
     )
-    keyed = masked_keys(nodes)
-    keys = keyed.groupBy("key").agg(
-        F.min("node").alias("head"), F.count("*").alias("members"),
-        F.bit_xor(F.xxhash64("node")).alias("print")).where("members > 1")
-    # Of the keys with the same members one is enough.
-    keys = keys.groupBy("head", "members", "print").agg(F.min("key").alias("key"))
-    members = staged(keyed.join(keys.select("key", "head", "members"), "key"), "members")
-
-    columns = ("node", "n", "sketch_a", "sketch_b")
-    first = members.where("node = head").dropDuplicates(["key"]).select(
-        "key", *[F.col(c).alias(f"_{c}") for c in columns])
-    star = members.where("node <> head").join(first, "key").where(
-        _possible({c: F.col(c) for c in columns}, {c: F.col(f"_{c}") for c in columns}, percent))
-    star = star.select(F.col("node").alias("a"), F.col("_node").alias("b"))
-    star = staged(star.distinct(), "star-pairs")
-    links = staged(_confirmed(docs, star, percent, width, id_col, text_col), "links")
-
-    reached = components(links, "a", "b")
-    # Keys whose members are not all linked, with what each member shares with any other.
-    rest = _split_keys(members.where("members > 2"), reached)
+    reached = None
+    for masked in (False, True):
+        placed = _placed(nodes, reached)
+        pairs = staged(_to_head(placed, masked, percent), "head-pairs")
+        links = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
+        reached = _merged(reached, links)
+
+    # Masked keys whose members are not all linked, with what each member shares with any other.
+    rest = _unlinked(_placed(nodes, reached))
     shared = _shared_with_others(docs, rest, width, id_col, text_col)
     rest = staged(rest.join(shared, "node").where(F.col("shared") * 100 >= F.col("n") * percent), "rest")
     for kind in ("center", "cross"):
@@ -287,10 +321,8 @@ def near_duplicates(
             continue
         more = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
         if not more.isEmpty():
-            stars = reached.where("node <> component").select(
-                F.col("node").alias("a"), F.col("component").alias("b"))
-            reached = components(stars.unionByName(more), "a", "b")
-            rest = _split_keys(rest.drop("component", "main"), reached)
+            reached = _merged(reached, more)
+            rest = _with_main(_placed(rest.drop("component", "main"), reached))
 
     found = signed.select("node", *same).join(heads, same, "left")
     found = found.join(
