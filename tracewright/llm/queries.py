@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, decontaminate, embedding_dedup, license_scan, minhash_hamming, pitman_yor,
-    sharding, suffix_dedup, toxicity, url_filter,
+    bpe, conversation_repair, decontaminate, embedding_dedup, license_scan, minhash_hamming, pitman_yor,
+    quality, sharding, suffix_dedup, toxicity, url_filter, vector_codes,
 )
 from .common import table
 
@@ -87,11 +87,27 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(docs, items)
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(remainder("doc_id") != 0)
+    found = quality.scored(docs, quality.fit(docs, labels))
+    held_out = F.coalesce(remainder("doc_id") == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     """All queries of the operators."""
     return {q.__name__: q for q in (
         op1_license_scan, op2_suffix_dedup, op3_toxicity, op4_url_filter, op5_sharding, op6_pitman_yor, op7_bpe,
-        op8_minhash_dedup, op9_embedding_dedup, op10_decontaminate,
+        op8_minhash_dedup, op9_embedding_dedup, op10_decontaminate, op11_quality, op12_vector_codes, op13_conversation_repair,
     )}
 
 
