@@ -146,11 +146,12 @@ def _to_head(placed: DataFrame, masked: bool, percent: int) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
 
 
-def _split_keys(keyed: DataFrame) -> DataFrame:
+def _split_keys(keyed: DataFrame, more_than: int = 1) -> DataFrame:
     """(key, head): the keys that hold several components, with their least node."""
     return keyed.groupBy("key").agg(
-        F.min("node").alias("head"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("key", "head")
+        F.min("node").alias("head"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.count("*").alias("members"),
+    ).where((F.col("low") < F.col("high")) & (F.col("members") > more_than)).select("key", "head")
 
 
 def _parts(batches: Iterator[pd.DataFrame], rows: int = 500) -> Iterator[pd.DataFrame]:
@@ -224,9 +225,12 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_c
 
 
 def _unlinked(placed: DataFrame) -> DataFrame:
-    """Members of the masked keys that hold several components, with the key's largest one (main)."""
+    """Members of the masked keys that hold several components, with the key's largest one (main).
+
+    Two members of a key have met already, as one of them is its head.
+    """
     keyed = chunk_keys(placed, True)
-    rest = staged(keyed.join(_split_keys(keyed).select("key"), "key"), "split")
+    rest = staged(keyed.join(_split_keys(keyed, 2).select("key"), "key"), "split")
     return _with_main(rest)
 
 
