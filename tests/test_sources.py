@@ -3,8 +3,11 @@ from pyspark.sql import functions as F
 
 from tracewright.operators.classify import default_rules
 from tracewright.plans.event_log import event_log
+from tests.test_plans import plan
 from tracewright.sinks.tables import write_event_log
-from tracewright.sources.audit import audit_rows, event_sources, read_audit_csv, resolve_columns
+from tracewright.sources.audit import (
+    audit_rows, event_sources, file_ranks, read_audit_csv, read_bad_lines, resolve_columns,
+)
 
 HEADER = ["Anon Item ID", "Operation", "Field", "Previous value", "New value", "Anon Actor", "Date logged"]
 
@@ -109,6 +112,52 @@ def test_large_files_are_split_in_order(spark, tmp_path):
     assert [r[0] for r in rows] == [f"C{i}" for i in range(20_000)]
 
 
+def test_broken_lines(spark, tmp_path):
+    good = "I{},Update,f,,v,A,1/1/2025 1:00"
+    lines = [",".join(HEADER), good.format(1), "I2,Update", good.format(3) + ",more", '"I4,Update,f,,v,A,1/1/2025 1:00',
+             "", good.format(5)]
+    (tmp_path / "a b.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "c.csv").write_text(",".join(reversed(HEADER)) + "\n1/1/2025 1:00,A,v,,f,Update,I6\nI7\n")
+    rows = read_audit_csv(spark, str(tmp_path), bad_lines="drop").orderBy("ingest_ord")
+    assert [r.case_key for r in rows.collect()] == ["I1", "I5", "I6"]
+    # Also if only some columns are wanted.
+    assert [r[0] for r in rows.select("case_key").collect()] == ["I1", "I5", "I6"] and rows.count() == 3
+    bad = read_bad_lines(spark, str(tmp_path)).orderBy("ingest_ord").collect()
+    assert [r.line for r in bad] == [lines[2], lines[3], lines[4], "I7"]
+    assert [r.file.rsplit("/", 1)[1] for r in bad] == ["a%20b.csv"] * 3 + ["c.csv"]
+    kept = read_audit_csv(spark, str(tmp_path), bad_lines="keep").collect()
+    assert {r.case_key for r in kept} >= {"I1", "I2", "I3", "I5", "I6"} and len(kept) == 7
+    with pytest.raises(Exception, match="broken line in .*a%20b.csv: I2,Update"):
+        read_audit_csv(spark, str(tmp_path / "a b.csv")).collect()
+    with pytest.raises(ValueError, match="bad_lines"):
+        read_audit_csv(spark, str(tmp_path), bad_lines="skip")
+    # Rows and broken lines are all lines in their order.
+    every = sorted([(r.ingest_ord, r.case_key) for r in rows.collect()] + [(r.ingest_ord, r.line) for r in bad])
+    assert [x for _, x in every] == ["I1", *lines[2:5], "I5", "I6", "I7"]
+
+
+def test_broken_lines_of_one_header(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text(",".join(HEADER) + f"\n{name},Update,f,,v,A,1/1/2025 1:00\n{name}\n")
+    rows = read_audit_csv(spark, str(tmp_path), headers="same", bad_lines="drop").orderBy("ingest_ord")
+    assert [r.case_key for r in rows.collect()] == ["a", "b"]
+    assert [r.line for r in read_bad_lines(spark, str(tmp_path), headers="same").collect()] == ["a", "b"]
+    # One pass over the files, the names by a join.
+    text = plan(read_audit_csv(spark, str(tmp_path), headers="same"))
+    assert text.count("FileScan csv") == 1 and "BroadcastHashJoin" in text
+
+
+def test_any_number_of_files(spark):
+    files = [f"file:/x/{i:06}.csv" for i in range(70_000)]
+    ranks = file_ranks(spark, files, 1 << 30).orderBy("_file").collect()
+    starts = [r._start for r in ranks]
+    assert starts[0] == 0 and all(b - a == 1 << 41 for a, b in zip(starts, starts[1:]))
+    with pytest.raises(ValueError, match="place numbers"):
+        file_ranks(spark, files, 1 << 50)
+    few = file_ranks(spark, files[:3]).collect()
+    assert sorted(r._start for r in few) == [0, 1 << 48, 2 << 48]
+
+
 def test_null_policy_is_checked(spark):
     table = spark.createDataFrame([("",) * 7], HEADER)
     with pytest.raises(ValueError, match="nulls"):

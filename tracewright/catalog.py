@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .fixtures import audit_log
+from .fixtures import audit_log, write_audit_csv
 from .functions.timestamps import iso_local, iso_utc, utc_parser
 from .operators import (
     actors, cases, classify, events as ev, fields, ordering, profile, quality, singles, stages,
@@ -15,7 +15,8 @@ from .operators import (
 )
 from .plans import event_log as log, forensic
 from .sinks.xes import trace_events
-from .sources.audit import audit_rows
+from .operators.skew import shared_path
+from .sources.audit import audit_rows, read_audit_csv, read_bad_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +115,21 @@ def _audit_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_rows(_raw_audit(spark, sf_dir), ingest_ord=order)
 
 
+def _csv_files(spark: SparkSession, sf_dir: str) -> str:
+    """The log as CSV files of two kinds of header, some lines broken."""
+    return write_audit_csv(spark, sf_dir, shared_path(spark, "audit-csv"))
+
+
+def _audit_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the CSV files without the broken lines."""
+    rows = read_audit_csv(spark, _csv_files(spark, sf_dir), bad_lines="drop")
+    return rows.drop("ingest_ord", "file").withColumnRenamed("Event", "event")
+
+
+def _audit_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_bad_lines(spark, _csv_files(spark, sf_dir)).select("line")
+
+
 def _parse_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     timed = ev.with_time(_audit(spark, sf_dir), utc_parser())
     return _utc(timed.select("ingest_ord", "logged_at", "ts"))
@@ -222,6 +238,8 @@ def queries() -> dict[str, Query]:
     return {
         # sources and timestamps
         "audit_scan": _audit_scan,
+        "audit_scan_csv": _audit_scan_csv,
+        "audit_bad_lines": _audit_bad_lines,
         "ts_parse_pipeline": _parse_pipeline,
         "ts_parse_forensic": _parse_forensic,
         "ts_valid_rows": lambda s, d: _utc(_timed(s, d).select("ingest_ord", "case_id", "ts")),

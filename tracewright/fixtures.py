@@ -98,3 +98,44 @@ def audit_log(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame
         _written(template).alias("logged_at"),
         _written(_pick(F.col("event_id") % 4, _FORENSIC_TIMES)).alias("logged_at_forensic"),
     )
+
+
+# Files of the rendered log and what makes a line broken, by event id.
+CSV_FILES, CUT_EVERY, LONG_EVERY, OPEN_EVERY = 6, 97, 89, 83
+# Headers of even and of odd files.
+CSV_HEADERS = (
+    "Anon Item ID,Operation,Field,Previous value,New value,Anon Actor,Date logged,Event,Note",
+    "Event,Timestamp,Old value,NEW VALUE,Field Name,Action,Item ID,Anon Actor,Note",
+)
+
+
+def audit_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, event_id, value): the log as lines of CSV files, some of them broken; event -1 is the header."""
+    rows = audit_log(spark, sf_dir)
+    text = {c: F.coalesce(c, F.lit("")) for c in rows.columns if c not in ("ingest_ord", "logged_at_forensic")}
+    event = F.col("ingest_ord").cast("string")
+    note = F.concat(F.lit('"a ""b"", '), event, F.lit('"'))
+    names = ("case_key", "operation", "field", "old_value", "new_value", "actor", "logged_at")
+    even = [*[text[c] for c in names], event, note]
+    odd = [event, *[text[c] for c in ("logged_at", "old_value", "new_value", "field", "operation", "case_key", "actor")], note]
+    line = F.when(F.col("file") % 2 == 0, F.concat_ws(",", *even)).otherwise(F.concat_ws(",", *odd))
+    event_id = F.col("ingest_ord")
+    broken = (
+        F.when(event_id % CUT_EVERY == 0, F.concat_ws(",", text["case_key"], text["field"], event))
+        .when(event_id % LONG_EVERY == 0, F.concat(line, F.lit(",surplus")))
+        .when(event_id % OPEN_EVERY == 0, F.concat(F.lit('"open '), line))
+        .otherwise(line)
+    )
+    lines = rows.withColumn("file", event_id % CSV_FILES).select(
+        "file", event_id.alias("event_id"), broken.alias("value"))
+    heads = spark.range(CSV_FILES).select(
+        F.col("id").alias("file"), F.lit(-1).cast("bigint").alias("event_id"),
+        F.when(F.col("id") % 2 == 0, CSV_HEADERS[0]).otherwise(CSV_HEADERS[1]).alias("value"))
+    return lines.unionByName(heads)
+
+
+def write_audit_csv(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """Write the lines as files, one folder each, sorted by event behind the header."""
+    lines = audit_csv_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file", "event_id")
+    lines.select("file", "value").write.partitionBy("file").text(path)
+    return path

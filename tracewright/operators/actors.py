@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from ..functions.timestamps import seconds_between
-from .fields import with_totals
+from .facts import ALL, distinct_of, rows_of, value_facts, with_totals
 from .topk import top_per_group, value_counts
 
 
@@ -18,14 +18,19 @@ def whole_days(first: str, last: str) -> Column:
 
 def actor_behavior(events: DataFrame) -> DataFrame:
     """Rows, cases, fields and active span per actor. Rows without actor form a group."""
-    actors = events.groupBy("actor").agg(
-        F.count("*").alias("event_count"),
-        F.countDistinct("case_id").alias("cases_handled"),
-        F.countDistinct("field").alias("unique_fields_modified"),
-        F.min("ts").alias("first_activity"),
-        F.max("ts").alias("last_activity"),
+    facts = value_facts(
+        events,
+        {"case": ("actor", "case_id"), "field": ("actor", "field"), ALL: (None, "case_id")},
+        {"first": ("field", F.col("ts"), F.min), "last": ("field", F.col("ts"), F.max)},
     )
-    return with_totals(actors, events).select(
+    actors = facts.groupBy(F.col("key").alias("actor")).agg(
+        rows_of("case").alias("event_count"),
+        distinct_of("case").alias("cases_handled"),
+        distinct_of("field").alias("unique_fields_modified"),
+        F.min("first").alias("first_activity"),
+        F.max("last").alias("last_activity"),
+    ).where(F.col("event_count").isNotNull())
+    return with_totals(actors, facts).select(
         "actor",
         "event_count",
         percent(F.col("event_count"), F.col("_all.rows")).alias("percentage_of_events"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import rounded
 from ..functions.timestamps import seconds_between
+from .facts import count_of, distinct_of, rows_of, value_facts
 from .ordering import CREATE
 
 # Fields whose presence is flagged and fields whose rows are counted.
@@ -31,17 +32,24 @@ def case_metrics(
     changes: Mapping[str, str] = CHANGE_COUNTS,
 ) -> DataFrame:
     """Size, breadth, duration and watched fields of every case."""
-    is_create = F.col("operation").eqNullSafe(F.lit(create))
-    field = F.col("field")
-    cases = events.groupBy("case_id").agg(
-        F.count("*").alias("event_count"),
-        F.countDistinct("field").alias("unique_fields"),
-        F.countDistinct("actor").alias("unique_actors"),
-        F.min("ts").alias("first_timestamp"),
-        F.max("ts").alias("last_timestamp"),
-        F.min(F.when(is_create, F.col("ts"))).alias("create_timestamp"),
-        *[F.count_if(field == name).alias(f"_rows_{name}") for name in presence],
-        *[F.count_if(field == name).alias(label) for label, name in changes.items()],
+    created = F.when(F.col("operation").eqNullSafe(F.lit(create)), F.col("ts"))
+    facts = value_facts(
+        events,
+        {"field": ("case_id", "field"), "actor": ("case_id", "actor")},
+        {
+            "first": ("field", F.col("ts"), F.min), "last": ("field", F.col("ts"), F.max),
+            "created": ("field", created, F.min),
+        },
+    )
+    cases = facts.groupBy(F.col("key").alias("case_id")).agg(
+        rows_of("field").alias("event_count"),
+        distinct_of("field").alias("unique_fields"),
+        distinct_of("actor").alias("unique_actors"),
+        F.min("first").alias("first_timestamp"),
+        F.max("last").alias("last_timestamp"),
+        F.min("created").alias("create_timestamp"),
+        *[count_of("field", F.col("value") == name).alias(f"_rows_{name}") for name in presence],
+        *[count_of("field", F.col("value") == name).alias(label) for label, name in changes.items()],
     )
     seconds = seconds_between(F.col("first_timestamp"), F.col("last_timestamp"))
     return cases.select(

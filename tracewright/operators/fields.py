@@ -6,30 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio
+from .facts import ALL, count_of, distinct_of, rows_of, value_facts, with_totals
 from .topk import top_per_group, value_counts
 
 PREFIX = r"^\d+-"
 
 
-def with_totals(report: DataFrame, events: DataFrame) -> DataFrame:
-    """Add _all: the number of rows and cases of the events, from a scalar subquery."""
-    both = F.struct(F.count("*").alias("rows"), F.countDistinct("case_id").alias("cases"))
-    return report.withColumn("_all", events.agg(both).scalar())
+# What the distinct counts per field are made of.
+FIELD_FACTS = {
+    "case": ("field", "case_id"), "old": ("field", "old_value"), "new": ("field", "new_value"), ALL: (None, "case_id"),
+}
 
 
 def field_semantics(events: DataFrame, prefix_field: str = "stepname") -> DataFrame:
     """Rows, cases, values and blanks per field. An empty value counts as a value."""
-    prefixed = F.bool_or(F.col("new_value").rlike(PREFIX))
-    fields = events.groupBy("field").agg(
-        F.count("*").alias("occurrence_count"),
-        F.countDistinct("case_id").alias("cases_affected"),
-        F.countDistinct("old_value").alias("unique_old_values"),
-        F.countDistinct("new_value").alias("unique_new_values"),
-        F.count_if(F.col("old_value") == "").alias("empty_old_count"),
-        F.count_if(F.col("new_value") == "").alias("empty_new_count"),
-        prefixed.alias("_prefixed"),
-    )
-    return with_totals(fields, events).select(
+    facts = value_facts(events, FIELD_FACTS)
+    blank = F.col("value") == ""
+    fields = facts.groupBy(F.col("key").alias("field")).agg(
+        rows_of("case").alias("occurrence_count"),
+        distinct_of("case").alias("cases_affected"),
+        distinct_of("old").alias("unique_old_values"),
+        distinct_of("new").alias("unique_new_values"),
+        count_of("old", blank).alias("empty_old_count"),
+        count_of("new", blank).alias("empty_new_count"),
+        F.bool_or(F.when(F.col("kind") == "new", F.col("value").rlike(PREFIX))).alias("_prefixed"),
+    ).where(F.col("occurrence_count").isNotNull())
+    return with_totals(fields, facts).select(
         "field",
         "occurrence_count",
         percent(F.col("occurrence_count"), F.col("_all.rows")).alias("percentage_of_events"),
@@ -54,7 +56,9 @@ def field_top_values(events: DataFrame, k: int = 5) -> DataFrame:
 def field_coverage(events: DataFrame) -> DataFrame:
     """Share of cases per field and its band; rows without a field do not count."""
     known = events.where(F.col("field").isNotNull())
-    cases = known.groupBy("field").agg(F.countDistinct("case_id").alias("cases"))
+    facts = value_facts(known, {"case": ("field", "case_id"), ALL: (None, "case_id")})
+    cases = facts.groupBy(F.col("key").alias("field")).agg(
+        rows_of("case").alias("_rows"), distinct_of("case").alias("cases")).where(F.col("_rows").isNotNull())
     share = ratio(F.col("cases"), F.col("_all.cases")) * 100
     band = (
         F.when(F.col("case_pct") > 50, "fields_above_50pct")
@@ -62,5 +66,5 @@ def field_coverage(events: DataFrame) -> DataFrame:
         .when(F.col("case_pct") > 10, "fields_10_to_25pct")
         .otherwise("fields_below_10pct")
     )
-    shares = with_totals(cases, known).select("field", "cases", share.alias("case_pct"))
+    shares = with_totals(cases, facts).select("field", "cases", share.alias("case_pct"))
     return shares.withColumn("band", band)

@@ -13,11 +13,12 @@ groups above a row limit first and give them another, exact way:
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Rows above which a group no longer goes to one task.
@@ -84,23 +85,30 @@ def first_per_key(
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
-def durable(rows: DataFrame) -> DataFrame:
-    """Write the rows to the folder in spark.checkpoint.dir and read them from there.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of spark.checkpoint.dir, deleted when the application ends.
 
-    The rows never change again, also if executors are lost. The files go when the
-    application ends. A temporary folder is used only with a local master.
+    A temporary folder is used only with a local master.
     """
-    spark = rows.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="durable-")
-    path = f"{folder}/rows-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(rows.schema).parquet(path)
+    return path
+
+
+def durable(rows: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and read them from there.
+
+    The rows never change again, also if executors are lost.
+    """
+    path = shared_path(rows.sparkSession, "rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _sliced(

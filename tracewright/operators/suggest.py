@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import percent
 from ..functions.text import contains_any, trimmed
 from . import fields
-from .fields import with_totals
+from .facts import count_of, distinct_of, rows_of, value_facts, with_totals
 
 # Words in a field name that point to a bucket.
 KILL_WORDS = (
@@ -43,19 +43,17 @@ def field_characteristics(events: DataFrame, *, count_empty: bool = True) -> Dat
     count_empty: count an empty text as a distinct value.
     """
 
-    def value(name: str) -> Column:
-        return F.col(name) if count_empty else F.nullif(F.col(name), F.lit(""))
-
-    blank = trimmed(F.coalesce("old_value", F.lit(""))) == ""
-    found = events.groupBy("field").agg(
-        F.count("*").alias("total_occurrences"),
-        F.countDistinct("case_id").alias("cases_affected"),
-        F.countDistinct(value("new_value")).alias("unique_new_values"),
-        F.countDistinct(value("old_value")).alias("unique_old_values"),
-        F.count_if(blank).alias("_blank"),
-    )
+    counted = None if count_empty else F.col("value") != ""
+    facts = value_facts(events, fields.FIELD_FACTS)
+    found = facts.groupBy(F.col("key").alias("field")).agg(
+        rows_of("case").alias("total_occurrences"),
+        distinct_of("case").alias("cases_affected"),
+        distinct_of("new", counted).alias("unique_new_values"),
+        distinct_of("old", counted).alias("unique_old_values"),
+        count_of("old", trimmed(F.coalesce("value", F.lit(""))) == "").alias("_blank"),
+    ).where(F.col("total_occurrences").isNotNull())
     rows = F.col("total_occurrences")
-    return with_totals(found, events).select(
+    return with_totals(found, facts).select(
         "field", "total_occurrences", "cases_affected",
         percent(F.col("cases_affected"), F.col("_all.cases")).alias("case_coverage_pct"),
         "unique_new_values", "unique_old_values",

@@ -301,6 +301,16 @@ freq AS (SELECT "column", value, count(*) AS "count" FROM cells WHERE value IS N
 ranked AS (SELECT *, {_RANKED.format(group='"column"', value='value')} FROM freq)"""
 
 
+_BAD_LINES = """
+  SELECT CASE WHEN ingest_ord % 97 = 0 THEN case_key || ',' || field || ',' || ingest_ord
+      WHEN ingest_ord % 89 = 0 THEN line || ',surplus' ELSE '"open ' || line END AS line
+  FROM (SELECT *, CASE WHEN ingest_ord % 2 = 0
+      THEN concat_ws(',', case_key, operation, field, old, new_value, actor, logged_at, ingest_ord, note)
+      ELSE concat_ws(',', ingest_ord, logged_at, old, new_value, field, operation, case_key, actor, note) END AS line
+    FROM (SELECT *, coalesce(old_value, '') AS old, '"a ""b"", ' || ingest_ord || '"' AS note FROM audit))
+  WHERE ingest_ord % 97 = 0 OR ingest_ord % 89 = 0 OR ingest_ord % 83 = 0"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Name to SQL."""
 
@@ -336,6 +346,13 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
               new_value, actor, CASE WHEN logged_at = 'null' THEN 'null' ELSE logged_at END
               AS logged_at, logged_at_forensic AS "Extra Note" FROM audit"""
         ),
+        "audit_scan_csv": sql(
+            """SELECT case_key, operation, field, coalesce(old_value, '') AS old_value, new_value, actor,
+              CASE WHEN logged_at = 'null' THEN '' ELSE logged_at END AS logged_at,
+              CAST(ingest_ord AS VARCHAR) AS event, 'a "b", ' || ingest_ord AS "Note"
+              FROM audit WHERE ingest_ord % 97 <> 0 AND ingest_ord % 89 <> 0 AND ingest_ord % 83 <> 0"""
+        ),
+        "audit_bad_lines": sql(_BAD_LINES),
         "ts_parse_pipeline": timed(f"SELECT ingest_ord, logged_at, {_UTC} FROM parsed"),
         "ts_parse_forensic": report(
             f"SELECT ingest_ord, logged_at_forensic, {_local('ts')} FROM parsed"

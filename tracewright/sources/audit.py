@@ -7,8 +7,10 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import trimmed
 
@@ -135,34 +137,108 @@ def audit_rows(
     return table.select(*cells)
 
 
-def _headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
-    """Files by their first line, found in one pass over the text."""
+def _headers(spark: SparkSession, paths: Sequence[str]) -> tuple[dict[str, list[str]], int]:
+    """Files by their first line, and the size of the largest, found in one pass over the text."""
     lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
         "value",
     )
-    first = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    first = lines.where("block = 0").groupBy("file").agg(
+        F.min_by("value", "row").alias("header"), F.first("size").alias("size"))
     found: dict[str, list[str]] = {}
-    for file, header in first.orderBy("file").collect():
+    largest = 0
+    # One row per file; Spark's own listing of the files is on the driver as well.
+    for file, header, size in first.orderBy("file").toLocalIterator():
         found.setdefault(header.lstrip("\ufeff").rstrip("\r"), []).append(file)
-    return found
-
-
-def _place(files: Sequence[str]) -> Column:
-    """The row's place among all files, in their order: file, block (in units of 1 KiB), row."""
-    if len(files) >= 1 << 15:
-        raise ValueError("too many files for one place number; read them in groups")
-    number = F.lit(0).cast("bigint")
-    if len(files) > 1:
-        ranks = F.create_map(*[F.lit(x) for pair in zip(files, range(len(files))) for x in pair])
-        number = F.element_at(ranks, F.col("_metadata.file_path")).cast("bigint")
-    # 15 bits for the file, 48 for block and row. A block of n KiB leaves n << 20 numbers
-    # free before the next one, far more than a task, which is no larger, has rows.
+        largest = max(largest, size)
+    return found, largest
+
+
+def _largest(spark: SparkSession, files: Sequence[str]) -> int:
+    """Size of the largest file."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    places = (path(spark._jvm.java.net.URI(file)) for file in files)
+    return max(p.getFileSystem(conf).getFileStatus(p).getLen() for p in places)
+
+
+# Bits of a place number for the rows of 1 KiB, and those for a file when there are few files.
+_ROW_BITS, _FILE_BITS = 20, 48
+
+
+def file_ranks(spark: SparkSession, files: Sequence[str], largest: int | None = None) -> DataFrame:
+    """(_file, _start): the place number at which each file starts, the files by name.
+
+    A table to join with, so that any number of files will do; Spark broadcasts it if
+    it is small. A block of n KiB leaves n << 20 numbers free, far more than a task,
+    which is no larger, has rows. Up to 32768 files each has room for 2^28 KiB; with
+    more of them the room follows from the largest file.
+    """
+    # Rows name local files with one slash, Spark's listing with three.
+    files = sorted(re.sub("^file:/+", "file:/", file) for file in files)
+    bits = _FILE_BITS
+    if len(files) > 1 << (63 - bits):
+        size = _largest(spark, files) if largest is None else largest
+        bits = _ROW_BITS + max(1, (size >> 10).bit_length())
+        if len(files) > 1 << (63 - bits):
+            raise ValueError(f"{len(files)} files of up to {size} bytes have no common place numbers")
+    table = pa.table({
+        "_file": pa.array(files, pa.string()), "_start": pa.array((i << bits for i in range(len(files))), pa.int64())})
+    return spark.createDataFrame(table)
+
+
+def _placed(raw: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Add _place, the row's place among all files: file, block (in units of 1 KiB), row."""
     block = F.shiftright(F.col("_metadata.file_block_start"), 10)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return F.shiftleft(number, 48) + F.shiftleft(block, 20) + row
+    inside = F.shiftleft(block, _ROW_BITS) + row
+    file = F.regexp_replace("_metadata.file_path", "^file:/+", "file:/")
+    lines = raw.withColumns({"_inside": inside, "_file": file})
+    placed = lines.join(ranks, "_file").withColumn("_place", F.col("_start") + F.col("_inside"))
+    return placed.select(*raw.columns, "_file", "_place")
+
+
+# Name of the column that holds a line that could not be read.
+BAD_LINE = "_bad_line"
+BAD_LINES = ("fail", "drop", "keep")
+
+
+def _scanned(
+    spark: SparkSession, path: str | Sequence[str], multi_line: bool, headers: str
+) -> list[DataFrame]:
+    """The files by header: cells as strings, _bad_line, _file and _place."""
+    if headers not in ("each", "same"):
+        raise ValueError("headers must be 'each' or 'same'")
+    paths = [path] if isinstance(path, str) else list(path)
+
+    def table(names: Sequence[str]) -> DataFrame:
+        reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+        reader = reader.option("enforceSchema", False)
+        # Only the first line of a file is read for the names.
+        schema = reader.csv(list(names)).schema
+        # All cells must be read for a line to be known as broken.
+        checked = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", BAD_LINE)
+        return checked.schema(T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])).csv(list(names))
+
+    if headers == "same":
+        raws, largest = [table(paths)], None
+        files = raws[0].inputFiles()
+    else:
+        groups, largest = _headers(spark, paths)
+        raws = [table([unquote(file) for file in group]) for group in groups.values()]
+        files = [file for group in groups.values() for file in group]
+    if not raws or not files:
+        raise ValueError(f"no rows in {paths}")
+    ranks = file_ranks(spark, files, largest)
+    return [_placed(raw, ranks) for raw in raws]
+
+
+def _broken(raw: DataFrame) -> Column:
+    """Whether a line could not be read. Spark wants a cell to be looked at besides."""
+    cell = F.length(F.col("`" + raw.columns[0].replace("`", "``") + "`"))
+    return F.col(BAD_LINE).isNotNull() & (cell.isNull() | (cell >= 0))
 
 
 def read_audit_csv(
@@ -173,6 +249,7 @@ def read_audit_csv(
     null_words: Sequence[str] = NULL_WORDS,
     multi_line: bool = False,
     headers: str = "each",
+    bad_lines: str = "fail",
     **options: Mapping[str, Sequence[str]] | Sequence[str],
 ) -> DataFrame:
     """Scan audit-log CSV files, all columns as strings.
@@ -180,33 +257,42 @@ def read_audit_csv(
     headers: ``"each"`` lets files differ in their headers and resolves the roles for
     each of them, at the price of one more pass over the text. ``"same"`` reads the
     files once and fails if a header differs from the first.
+    bad_lines: what happens to a line with more or fewer cells than its header, which
+    is also what an open quote leads to. ``"fail"`` ends the job at the first one,
+    ``"drop"`` leaves them to ``read_bad_lines``, ``"keep"`` fills up or cuts the row.
     Large files are split. Give ``multi_line=True`` if quoted cells hold line
     breaks; a file is then read by one task. ingest_ord is the row's place in the
     input, the files by name.
     """
-    if headers not in ("each", "same"):
-        raise ValueError("headers must be 'each' or 'same'")
-    paths = [path] if isinstance(path, str) else list(path)
-
-    def table(names: Sequence[str]) -> DataFrame:
-        reader = spark.read.option("header", True).option("multiLine", multi_line)
-        return reader.option("escape", '"').option("enforceSchema", False).csv(list(names))
-
-    if headers == "same":
-        raws = [table(paths)]
-        files = sorted(raws[0].inputFiles())
-    else:
-        groups = _headers(spark, paths)
-        raws = [table([unquote(file) for file in group]) for group in groups.values()]
-        files = sorted(file for group in groups.values() for file in group)
+    if bad_lines not in BAD_LINES:
+        raise ValueError(f"bad_lines must be one of {BAD_LINES}")
     parts = []
-    for raw in raws:
-        parts.append(audit_rows(raw, nulls=nulls, null_words=null_words, ingest_ord=_place(files), **options))
-    if not parts:
-        raise ValueError(f"no rows in {paths}")
+    for raw in _scanned(spark, path, multi_line, headers):
+        good = ~_broken(raw)
+        if bad_lines == "fail":
+            message = F.concat(F.lit("broken line in "), F.col("_file"), F.lit(": "), F.col(BAD_LINE))
+            raw = raw.where(F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        elif bad_lines == "drop":
+            raw = raw.where(good)
+        place = raw["_place"]
+        rows = audit_rows(
+            raw.drop(BAD_LINE, "_file"), nulls=nulls, null_words=null_words, ingest_ord=place, **options)
+        parts.append(rows.drop("_place"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def read_bad_lines(
+    spark: SparkSession, path: str | Sequence[str], *, multi_line: bool = False, headers: str = "each"
+) -> DataFrame:
+    """(file, ingest_ord, line): the lines that ``read_audit_csv`` calls broken, as they are."""
+    parts = [
+        raw.where(_broken(raw)).select(
+            F.col("_file").alias("file"), F.col("_place").alias("ingest_ord"), F.col(BAD_LINE).alias("line"))
+        for raw in _scanned(spark, path, multi_line, headers)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def event_sources(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Pick the audit log among the sources of an event log.
 
