@@ -1,10 +1,14 @@
 """Analyses on hand-made rows."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.test_plans import plan
+from tracewright import catalog
+from tracewright.fixtures import audit_log
 from tracewright.functions.timestamps import iso_local
 from tracewright.operators import (
     actors, cases, events as ev, fields, profile, quality, singles, stages, suggest, summary,
@@ -230,14 +234,14 @@ def test_date_profile(spark):
 
 
 def test_every_report_on_nothing(nothing):
-    for name, report in forensic.forensic_reports(nothing).items():
+    for name, report in forensic.forensic_reports(forensic.forensic_facts(nothing)).items():
         assert report.count() >= 0, name
     assert summary.overview(nothing.timed, nothing.events).first()["parse_success_rate"] == 0.0
 
 
 def test_reports_reach_files(spark, source, tmp_path):
     staged = forensic.staged(source, str(tmp_path / "staged"))
-    reports = forensic.forensic_reports(staged)
+    reports = forensic.forensic_reports(forensic.staged_facts(staged, str(tmp_path / "facts")))
     chosen = {k: reports[k] for k in ("temporal_shares", "case_metrics", "transition_totals")}
     tables.write_reports(chosen, str(tmp_path / "reports"))
     text = "".join(p.read_text() for p in (tmp_path / "reports/temporal_shares").glob("*.json"))
@@ -255,6 +259,85 @@ def test_reports_reach_files(spark, source, tmp_path):
     ]
 
 
+def direct(events, timed, raw):
+    """Every report by its own reads of the rows."""
+    case_rows, single = cases.case_metrics(events), ev.single_event_rows(events)
+    semantics, coverage = fields.field_semantics(events), fields.field_coverage(events)
+    back, moves = stages.stage_violations(events), stages.transition_counts(events)
+    overview, noise = summary.overview(timed, events), summary.noise_candidates(semantics)
+    return {
+        "timestamp_summary": quality.timestamp_summary(timed), "timestamp_shapes": quality.shape_counts(events, raw),
+        "case_metrics": case_rows, "case_size_bands": cases.size_bands(case_rows),
+        "case_duration_stats": cases.duration_stats(case_rows), "case_field_presence": cases.field_presence(case_rows),
+        "field_semantics": semantics, "field_operations": fields.field_operations(events),
+        "field_top_values": fields.field_top_values(events), "field_coverage": coverage,
+        "actor_behavior": actors.actor_behavior(events), "actor_operations": actors.actor_operations(events),
+        "actor_top_fields": actors.actor_top_fields(events), "actor_concentration": actors.actor_concentration(events),
+        "stage_order": stages.stage_order(events), "stepname_totals": stages.stepname_totals(events),
+        "stage_violations": back, "stage_violation_summary": stages.violation_summary(back),
+        "temporal_hour": temporal.by_hour(events), "temporal_weekday": temporal.by_weekday(events),
+        "temporal_month": temporal.by_month(events), "temporal_daily_volume": temporal.daily_volume(events),
+        "temporal_shares": temporal.activity_shares(events), "single_event_summary": singles.single_summary(events, single),
+        "single_event_fields": singles.single_fields(single), "single_event_actors": singles.single_actors(single),
+        "single_event_operations": singles.single_operations(single),
+        "single_event_hypotheses": singles.hypotheses(single), "single_event_samples": singles.single_samples(single),
+        "bulk_dates": singles.bulk_dates(single), "creation_summary": singles.creation_summary(events),
+        "creation_fields": singles.creation_top(events, "field", 20),
+        "creation_actors": singles.creation_top(events, "actor", 10),
+        "transition_totals": stages.transition_totals(moves), "top_transitions": stages.top_transitions(moves),
+        "master_overview": overview, "high_signal_fields": summary.high_signal_fields(coverage),
+        "noise_candidates": noise, "pipeline_recommendations": summary.recommendations(overview),
+        "bucket_strategy": summary.bucket_strategy(coverage, noise),
+    }
+
+
+@pytest.mark.parametrize("grain", ["day", "user"])
+def test_reports_from_facts_are_the_direct_ones(spark, tmp_path, grain):
+    """Forty reports from four reads of the parsed rows."""
+    log = audit_log(spark, "/root/testdata/sf0.001", grain).drop("logged_at")
+    gap = F.col("ingest_ord") % 41 == 0  # some rows without a field, actor or operation
+    log = log.withColumns({c: F.when(~gap, F.col(c)) for c in ("field", "operation")})
+    log = log.withColumn("actor", F.when(F.col("ingest_ord") % 43 > 0, F.col("actor")))
+    source = forensic.forensic_input(log, raw="logged_at_forensic")
+    rows_path = str(tmp_path / "rows")
+    source = forensic.staged(source, rows_path)
+    for frame in vars(forensic.forensic_facts(source)).values():
+        assert plan(frame).count("FileScan") == 1
+    found = forensic.forensic_reports(forensic.staged_facts(source, str(tmp_path / "facts")))
+    wanted = direct(source.events, source.timed, source.raw)
+    assert set(found) == set(wanted)
+    for name, report in found.items():
+        text = report._jdf.queryExecution().toString()
+        assert rows_path not in text, name
+        assert sorted(report.columns) == sorted(wanted[name].columns), name
+        columns = sorted(report.columns)
+        assert rows(report, *columns) == rows(wanted[name], *columns), name
+
+
+@pytest.mark.parametrize("name", [
+    "field_semantics", "actor_behavior", "field_characteristics", "bucket_suggestions", "case_metrics",
+    "field_coverage_bands",
+])
+def test_distinct_counts_and_totals_from_one_read(spark, name):
+    query = catalog.queries()[name](spark, "/root/testdata/sf0.001")
+    assert "Expand" not in plan(query)
+    query.collect()
+    assert scans_that_ran(query) == 1
+
+
+def scans_that_ran(frame):
+    """Scans in the final plan of a frame and of its subqueries, after it has run."""
+    count, hidden = 0, None
+    for line in frame._jdf.queryExecution().executedPlan().toString().splitlines():
+        branch = re.match(r"[ :|]*\+- ", line)
+        if branch and hidden is not None and branch.end() <= hidden:
+            hidden = None
+        if "== Initial Plan ==" in line and hidden is None:
+            hidden = branch.end()
+        count += line.count("FileScan") if hidden is None else 0
+    return count
+
+
 def test_latest_single_events(audit):
     log = audit(
         ("1", "U", "f", "v", "1/1/2025 1:00"), ("1", "U", "f", "v", "2025-01-01T00:00:00Z"),
@@ -276,7 +359,7 @@ def test_other_jobs(audit):
 
 
 def test_documents_and_abandoned_cases(source, audit, tmp_path):
-    reports = forensic.forensic_reports(source)
+    reports = forensic.forensic_reports(forensic.forensic_facts(source))
     made = forensic.documents(reports)
     assert len(made) == 10 and all(parts for parts in made.values())
     wanted = {"creation_patterns": made["creation_patterns"], "temporal_patterns": made["temporal_patterns"]}

@@ -16,19 +16,23 @@ def whole_days(first: str, last: str) -> Column:
     return F.floor(seconds_between(F.col(first), F.col(last)) / 86400).cast("bigint")
 
 
+# What the distinct counts per actor are made of.
+ACTOR_FACTS = {"case": ("actor", "case_id"), "field": ("actor", "field"), ALL: (None, "case_id")}
+
+
 def actor_behavior(events: DataFrame) -> DataFrame:
     """Rows, cases, fields and active span per actor. Rows without actor form a group."""
-    facts = value_facts(
-        events,
-        {"case": ("actor", "case_id"), "field": ("actor", "field"), ALL: (None, "case_id")},
-        {"first": ("field", F.col("ts"), F.min), "last": ("field", F.col("ts"), F.max)},
-    )
+    return behavior_of(value_facts(events, ACTOR_FACTS, ("first", "last")))
+
+
+def behavior_of(facts: DataFrame) -> DataFrame:
+    """``actor_behavior`` from the facts of the actors."""
     actors = facts.groupBy(F.col("key").alias("actor")).agg(
         rows_of("case").alias("event_count"),
         distinct_of("case").alias("cases_handled"),
         distinct_of("field").alias("unique_fields_modified"),
-        F.min("first").alias("first_activity"),
-        F.max("last").alias("last_activity"),
+        F.min(F.when(F.col("kind") != ALL, F.col("first"))).alias("first_activity"),
+        F.max(F.when(F.col("kind") != ALL, F.col("last"))).alias("last_activity"),
     ).where(F.col("event_count").isNotNull())
     return with_totals(actors, facts).select(
         "actor",
@@ -53,7 +57,11 @@ def actor_top_fields(events: DataFrame, k: int = 5) -> DataFrame:
 
 def actor_concentration(events: DataFrame) -> DataFrame:
     """Share of the busiest and of the three busiest actors, and how many there are."""
-    counts = value_counts(events, ["actor"])
+    return concentration_of(value_counts(events, ["actor"]))
+
+
+def concentration_of(counts: DataFrame) -> DataFrame:
+    """``actor_concentration`` from the rows per actor."""
     three = counts.orderBy(F.desc("count"), "actor").limit(3).agg(F.sum("count"))
     sums = counts.agg(
         F.sum("count").alias("rows"), F.max("count").alias("top"), F.count("*").alias("actors")

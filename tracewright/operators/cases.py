@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import rounded
 from ..functions.timestamps import seconds_between
-from .facts import count_of, distinct_of, rows_of, value_facts
+from .facts import TIMES, count_of, distinct_of, rows_of, value_facts
 from .ordering import CREATE
 
 # Fields whose presence is flagged and fields whose rows are counted.
@@ -24,23 +24,22 @@ CHANGE_COUNTS = {
 SIZE_BANDS = (("1_event", 1), ("2_5_events", 5), ("6_10_events", 10), ("11_plus_events", None))
 
 
-def case_metrics(
-    events: DataFrame,
+# What the distinct counts per case are made of.
+CASE_FACTS = {"field": ("case_id", "field"), "actor": ("case_id", "actor")}
+
+
+def case_metrics(events: DataFrame, *, create: str = CREATE, **options: Sequence[str] | Mapping[str, str]) -> DataFrame:
+    """Size, breadth, duration and watched fields of every case. options: presence, changes."""
+    return metrics_of(value_facts(events, CASE_FACTS, TIMES, create), **options)
+
+
+def metrics_of(
+    facts: DataFrame,
     *,
-    create: str = CREATE,
     presence: Sequence[str] = PRESENCE_FIELDS,
     changes: Mapping[str, str] = CHANGE_COUNTS,
 ) -> DataFrame:
-    """Size, breadth, duration and watched fields of every case."""
-    created = F.when(F.col("operation").eqNullSafe(F.lit(create)), F.col("ts"))
-    facts = value_facts(
-        events,
-        {"field": ("case_id", "field"), "actor": ("case_id", "actor")},
-        {
-            "first": ("field", F.col("ts"), F.min), "last": ("field", F.col("ts"), F.max),
-            "created": ("field", created, F.min),
-        },
-    )
+    """``case_metrics`` from the facts of the cases."""
     cases = facts.groupBy(F.col("key").alias("case_id")).agg(
         rows_of("field").alias("event_count"),
         distinct_of("field").alias("unique_fields"),

@@ -8,39 +8,62 @@ and the distinct counts per key and the totals follow from the counted values.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import CREATE
+
 # The kind that counts a value over all rows.
 ALL = "all"
+# Times of a value that can be kept beside its rows: the first, the last, the first creation.
+TIMES = ("first", "last", "created")
 
+Kinds = Mapping[str, tuple[str | None, str]]
+
+
+def _cells(kind: str, key: str | None, value: str) -> list[Column]:
+    return [
+        F.lit(kind).alias("kind"),
+        (F.lit(None) if key is None else F.col(key)).cast("string").alias("key"),
+        F.col(value).cast("string").alias("value"),
+    ]
+
+
+def _counted(events: DataFrame, parts: list[Column], names: Sequence[str], times: Sequence[str], create: str) -> DataFrame:
+    created = F.when(F.col("operation").eqNullSafe(F.lit(create)), F.col("ts"))
+    sources = {"first": (F.col("ts"), F.min), "last": (F.col("ts"), F.max), "created": (created, F.min)}
+    melted = events.select(*[sources[t][0].alias(t) for t in times], F.inline(F.array(*parts)))
+    return melted.groupBy(*names).agg(F.count("*").alias("rows"), *[sources[t][1](t).alias(t) for t in times])
 
-def value_facts(
-    events: DataFrame,
-    kinds: Mapping[str, tuple[str | None, str]],
-    measures: Mapping[str, tuple[str, Column, Callable[[str], Column]]] | None = None,
-) -> DataFrame:
-    """(kind, key, value, rows): how many rows have a value beside a key.
+
+def value_facts(events: DataFrame, kinds: Kinds, times: Sequence[str] = (), create: str = CREATE) -> DataFrame:
+    """(kind, key, value, rows and times): how many rows have a value beside a key.
 
     kinds: name to (key column or None for one group of all rows, value column).
-    measures: further columns, name to (kind that carries it, what, aggregate); null
-    for the other kinds. The aggregate must combine with itself, as min, max and sum do.
     """
-    measures = measures or {}
-    parts = []
-    for kind, (key, value) in kinds.items():
-        cells = [
-            F.lit(kind).alias("kind"),
-            (F.lit(None) if key is None else F.col(key)).cast("string").alias("key"),
-            F.col(value).cast("string").alias("value"),
-        ]
-        cells += [F.when(F.lit(kind == own), what).alias(name) for name, (own, what, _) in measures.items()]
-        parts.append(F.struct(*cells))
-    melted = events.select(F.inline(F.array(*parts)))
-    return melted.groupBy("kind", "key", "value").agg(
-        F.count("*").alias("rows"), *[combine(name).alias(name) for name, (_, _, combine) in measures.items()])
+    parts = [F.struct(*_cells(kind, *columns)) for kind, columns in kinds.items()]
+    return _counted(events, parts, ["kind", "key", "value"], times, create)
+
+
+def subject_facts(
+    events: DataFrame, subjects: Mapping[str, Kinds], times: Sequence[str] = TIMES, create: str = CREATE
+) -> DataFrame:
+    """The facts of several subjects from one read, with the subject in front."""
+    parts = [
+        F.struct(F.lit(subject).alias("subject"), *_cells(kind, *columns))
+        for subject, kinds in subjects.items() for kind, columns in kinds.items()
+    ]
+    return _counted(events, parts, ["subject", "kind", "key", "value"], times, create)
+
+
+def counts_of(facts: DataFrame, kind: str, key: str, value: str, *, nulls: bool = False) -> DataFrame:
+    """Rows per key and value of a kind, under the names of their columns."""
+    found = facts.where(F.col("kind") == kind)
+    if not nulls:
+        found = found.where(F.col("value").isNotNull())
+    return found.select(F.col("key").alias(key), F.col("value").alias(value), F.col("rows").alias("count"))
 
 
 def rows_of(kind: str, condition: Column | None = None) -> Column:
@@ -64,8 +87,8 @@ def with_totals(report: DataFrame, facts: DataFrame) -> DataFrame:
     """Add _all: rows and distinct values over all events, from the same facts.
 
     The totals are a scalar subquery over the shuffled facts, which Spark reuses if both
-    need the same columns; so the subquery looks at the measures too.
+    need the same columns; so the subquery looks at the times too.
     """
-    measures = [F.count(c).alias(c) for c in facts.columns if c not in ("kind", "key", "value", "rows")]
-    both = F.struct(F.coalesce(rows_of(ALL), F.lit(0)).alias("rows"), distinct_of(ALL).alias("cases"), *measures)
+    times = [F.count(c).alias(c) for c in facts.columns if c in TIMES]
+    both = F.struct(F.coalesce(rows_of(ALL), F.lit(0)).alias("rows"), distinct_of(ALL).alias("cases"), *times)
     return report.withColumn("_all", facts.agg(both).scalar())

@@ -20,7 +20,11 @@ FIELD_FACTS = {
 
 def field_semantics(events: DataFrame, prefix_field: str = "stepname") -> DataFrame:
     """Rows, cases, values and blanks per field. An empty value counts as a value."""
-    facts = value_facts(events, FIELD_FACTS)
+    return semantics_of(value_facts(events, FIELD_FACTS), prefix_field)
+
+
+def semantics_of(facts: DataFrame, prefix_field: str = "stepname") -> DataFrame:
+    """``field_semantics`` from the facts of the fields."""
     blank = F.col("value") == ""
     fields = facts.groupBy(F.col("key").alias("field")).agg(
         rows_of("case").alias("occurrence_count"),
@@ -56,7 +60,11 @@ def field_top_values(events: DataFrame, k: int = 5) -> DataFrame:
 def field_coverage(events: DataFrame) -> DataFrame:
     """Share of cases per field and its band; rows without a field do not count."""
     known = events.where(F.col("field").isNotNull())
-    facts = value_facts(known, {"case": ("field", "case_id"), ALL: (None, "case_id")})
+    return coverage_of(value_facts(known, {"case": ("field", "case_id"), ALL: (None, "case_id")}))
+
+
+def coverage_of(facts: DataFrame) -> DataFrame:
+    """``field_coverage`` from the facts of the rows that have a field."""
     cases = facts.groupBy(F.col("key").alias("field")).agg(
         rows_of("case").alias("_rows"), distinct_of("case").alias("cases")).where(F.col("_rows").isNotNull())
     share = ratio(F.col("cases"), F.col("_all.cases")) * 100

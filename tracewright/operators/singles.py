@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio, rounded
 from ..functions.text import clipped
+from .facts import count_of
 from .ordering import CREATE
 from .topk import value_counts
 
@@ -123,10 +124,20 @@ def latest_singles(singles: DataFrame, n: int = 10) -> DataFrame:
 
 def creation_summary(events: DataFrame, create: str = CREATE) -> DataFrame:
     """Create rows, cases with one, and rows per such case."""
-    totals = events.where(F.col("operation") == create).agg(
+    return _per_case(events.where(F.col("operation") == create).agg(
         F.count("*").alias("total_create_events"),
         F.countDistinct("case_id").alias("cases_with_create"),
-    )
+    ))
+
+
+def creation_of(fields: DataFrame, cases: DataFrame, create: str = CREATE) -> DataFrame:
+    """``creation_summary`` from the facts of the fields and those of the cases."""
+    rows = fields.agg(count_of("operation", F.col("value") == create)).scalar()
+    found = cases.where(F.col("created").isNotNull()).agg(F.countDistinct("key").alias("cases_with_create"))
+    return _per_case(found.select(rows.alias("total_create_events"), "cases_with_create"))
+
+
+def _per_case(totals: DataFrame) -> DataFrame:
     rows, cases = F.col("total_create_events"), F.col("cases_with_create")
     return totals.withColumn("create_events_per_case", rounded(ratio(rows, cases)))
 
@@ -134,5 +145,9 @@ def creation_summary(events: DataFrame, create: str = CREATE) -> DataFrame:
 def creation_top(events: DataFrame, column: str, k: int, create: str = CREATE) -> DataFrame:
     """The most frequent values of a column among the create rows."""
     rows = events.where(F.col("operation") == create)
-    counts = value_counts(rows, [column], nulls=False)
+    return first_counts(value_counts(rows, [column], nulls=False), column, k)
+
+
+def first_counts(counts: DataFrame, column: str, k: int) -> DataFrame:
+    """The k largest counts, ties by value."""
     return counts.orderBy(F.desc("count"), column).limit(k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from ..functions.numbers import percent, ratio, rounded
 from ..functions.text import contains_any
 from . import stages
 from .actors import whole_days
+from .facts import ALL
 from .ordering import CREATE
 from .skew import LARGE_GROUP_ROWS
 
@@ -87,7 +88,43 @@ def overview(
     kinds = events.agg(F.struct(
         F.countDistinct("actor").alias("total_actors"), F.countDistinct("field").alias("total_fields")))
     steps = stages.violation_summary(stages.stage_violations(events, limit, timed)).select(F.struct("*"))
-    one = heads.withColumns({"_kinds": kinds.scalar(), "_steps": steps.scalar()})
+    return headline(heads.withColumns({"_kinds": kinds.scalar(), "_steps": steps.scalar()}))
+
+
+def overview_of(
+    values: Callable[[str], DataFrame], steps: DataFrame, violations: DataFrame, singles: DataFrame,
+    parsed: DataFrame, create: str = CREATE,
+) -> DataFrame:
+    """``overview`` from facts.
+
+    values: the facts of a subject; steps: the rows of the stage field; violations,
+    singles: the steps back and the single-event rows; parsed: ``timestamp_summary``.
+    """
+    cases = values("cases")
+    heads = cases.where(F.col("kind") == ALL).agg(
+        F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("total_events"),
+        F.count("*").alias("total_cases"),
+        F.count_if(F.col("rows") == 1).alias("single_event_cases"),
+        F.min("first").alias("min_timestamp"),
+        F.max("last").alias("max_timestamp"),
+    )
+    totals = stages.stepname_totals(steps)
+    creations = singles.agg(F.count_if(F.col("operation") == create))
+
+    def keys(subject: str) -> Column:
+        return values(subject).where(F.col("kind") == "operation").agg(F.countDistinct("key")).scalar()
+
+    return headline(heads.withColumns({
+        "single_event_creations": creations.scalar(),
+        "rows_dropped_invalid": parsed.select("rows_dropped_invalid").scalar(),
+        "_prefix": totals.select("prefix_coverage_pct").scalar(),
+        "_kinds": F.struct(keys("actors").alias("total_actors"), keys("fields").alias("total_fields")),
+        "_steps": stages.violation_summary(violations).select(F.struct("*")).scalar(),
+    }))
+
+
+def headline(one: DataFrame) -> DataFrame:
+    """The row of ``overview`` with what follows from its counts."""
     kept, dropped = F.col("total_events"), F.col("rows_dropped_invalid")
     singles, created = F.col("single_event_cases"), F.col("single_event_creations")
     days = whole_days("min_timestamp", "max_timestamp")

@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timestamps import DAY_FIRST_FORMATS, FORENSIC_FORMATS, local_parser
+from ..functions.timestamps import DAY_FIRST_FORMATS, FORENSIC_FORMATS, local_parser, shape_label
 from ..operators import (
-    actors, cases, events as ev, fields, profile, quality, singles, stages, suggest, summary,
+    actors, cases, events as ev, facts, fields, profile, quality, singles, stages, suggest, summary,
     temporal,
 )
+from ..operators.ordering import CREATE
 from ..operators.skew import LARGE_GROUP_ROWS
+from ..operators.topk import top_per_group
 from .event_log import timed_events
 
 
@@ -38,68 +40,142 @@ def forensic_input(
 
 
 def staged(source: ForensicInput, path: str) -> ForensicInput:
-    """Write the parsed rows once and read them from there.
-
-    Every report is a job of its own. Over raw text each would parse all times
-    again; over the written table it reads the few columns it needs.
-    """
+    """Write the parsed rows once and read them from there; ``staged_facts`` reads them four times."""
     source.timed.write.mode("overwrite").parquet(path)
     timed = source.timed.sparkSession.read.parquet(path)
     return ForensicInput(timed, timed.where(F.col("ts").isNotNull()), source.raw)
 
 
-def forensic_reports(
-    source: ForensicInput, *, limit: int = LARGE_GROUP_ROWS
-) -> dict[str, DataFrame]:
-    """All analyses; run them over a ``staged`` input."""
+# What is counted in one pass over the rows, by subject.
+SUBJECTS = {
+    "fields": {"case": ("field", "case_id"), "old": ("field", "old_value"), "new": ("field", "new_value"),
+               "operation": ("field", "operation")},
+    "actors": {"case": ("actor", "case_id"), "field": ("actor", "field"), "operation": ("actor", "operation")},
+    "cases": {**cases.CASE_FACTS, facts.ALL: (None, "case_id")},
+    "known": {facts.ALL: ("_known", "_known_case")},
+    "times": {"hour": (None, "_hour")},
+    "shapes": {"shape": (None, "_shape")},
+}
+
+
+@dataclass(frozen=True)
+class ForensicFacts:
+    """All that the reports need, counted.
+
+    values: rows per subject, kind, key and value; steps: the rows of the tracked
+    fields; singles: the single-event rows; parsed: the timestamp summary.
+    """
+
+    values: DataFrame
+    steps: DataFrame
+    singles: DataFrame
+    parsed: DataFrame
+
+    def of(self, *subjects: str) -> DataFrame:
+        return self.values.where(F.col("subject").isin(*subjects)).drop("subject")
+
+    def with_all(self, subject: str) -> DataFrame:
+        """The facts of a subject and, for the totals, the rows per case."""
+        every = self.of("cases").where(F.col("kind") == facts.ALL)
+        return self.of(subject).unionByName(every)
+
+    def counts(self, subject: str, kind: str, key: str, value: str) -> DataFrame:
+        return facts.counts_of(self.of(subject), kind, key, value)
+
+
+def forensic_facts(source: ForensicInput) -> ForensicFacts:
+    """The facts as frames that are not computed yet: one read of the rows for each of the four."""
     events = source.events
-    case_rows = cases.case_metrics(events)
-    semantics, coverage = fields.field_semantics(events), fields.field_coverage(events)
-    single = ev.single_event_rows(events)
-    steps = stages.stage_violations(events, limit, source.timed)
-    moves = stages.transition_counts(events, limit=limit, counted=source.timed)
-    headline = summary.overview(source.timed, events, limit=limit)
+    known = F.col("field").isNotNull()
+    shown = events.withColumns({
+        "_hour": F.date_trunc("hour", "ts"), "_shape": shape_label(F.col(source.raw)),
+        "_known": F.when(known, "known"), "_known_case": F.when(known, F.col("case_id")),
+    })
+    tracked = F.col("field").isin(*{*stages.TRANSITION_FIELDS, "stepname"})
+    return ForensicFacts(
+        facts.subject_facts(shown, SUBJECTS),
+        events.where(tracked).select("case_id", "ts", "ingest_ord", "field", "new_value"),
+        ev.single_event_rows(events),
+        quality.timestamp_summary(source.timed),
+    )
+
+
+def staged_facts(source: ForensicInput, path: str) -> ForensicFacts:
+    """Write the facts and read them from there.
+
+    That is four reads of the rows; the forty reports read only the facts.
+    """
+    spark = source.timed.sparkSession
+    found = forensic_facts(source)
+    found.values.write.mode("overwrite").partitionBy("subject").parquet(f"{path}/values")
+    for name in ("steps", "singles", "parsed"):
+        getattr(found, name).write.mode("overwrite").parquet(f"{path}/{name}")
+    return ForensicFacts(*[spark.read.parquet(f"{path}/{n}") for n in ("values", "steps", "singles", "parsed")])
+
+
+def forensic_reports(found: ForensicFacts, *, limit: int = LARGE_GROUP_ROWS) -> dict[str, DataFrame]:
+    """All analyses; run them over ``staged_facts``."""
+    case_rows = cases.metrics_of(found.of("cases").where(F.col("kind") != facts.ALL))
+    semantics = fields.semantics_of(found.with_all("fields"))
+    # Cases count for the coverage by their rows that have a field.
+    covered = found.of("fields").where((F.col("kind") == "case") & F.col("key").isNotNull())
+    known = found.of("known").where(F.col("key").isNotNull()).withColumn("key", F.lit(None).cast("string"))
+    coverage = fields.coverage_of(covered.unionByName(known))
+    hours = found.of("times").select(F.col("value").cast("timestamp").alias("ts"), "rows")
+    single, steps = found.singles, found.steps
+    back = stages.stage_violations(steps, limit)
+    moves = stages.transition_counts(steps, limit=limit)
+    overview = summary.overview_of(found.of, steps, back, single, found.parsed)
     noise = summary.noise_candidates(semantics)
+    operations = {c: found.counts(f"{c}s", "operation", c, "operation") for c in ("field", "actor")}
+    by_actor = found.of("actors").where(F.col("kind") == "operation").groupBy(F.col("key").alias("actor"))
+
+    def created(column: str, k: int) -> DataFrame:
+        rows = operations[column].where((F.col("operation") == CREATE) & F.col(column).isNotNull())
+        return singles.first_counts(rows.select(column, "count"), column, k)
+
+    every_case = found.of("cases").where(F.col("kind") == facts.ALL).select(F.col("value").alias("case_id"))
     return {
-        "timestamp_summary": quality.timestamp_summary(source.timed),
-        "timestamp_shapes": quality.shape_counts(events, source.raw),
+        "timestamp_summary": found.parsed,
+        "timestamp_shapes": found.of("shapes").select(F.col("value").alias("shape"), F.col("rows").alias("count")),
         "case_metrics": case_rows,
         "case_size_bands": cases.size_bands(case_rows),
         "case_duration_stats": cases.duration_stats(case_rows),
         "case_field_presence": cases.field_presence(case_rows),
         "field_semantics": semantics,
-        "field_operations": fields.field_operations(events),
-        "field_top_values": fields.field_top_values(events),
+        "field_operations": operations["field"],
+        "field_top_values": top_per_group(
+            found.counts("fields", "new", "field", "new_value"), ["field"], ["new_value"], 5),
         "field_coverage": coverage,
-        "actor_behavior": actors.actor_behavior(events),
-        "actor_operations": actors.actor_operations(events),
-        "actor_top_fields": actors.actor_top_fields(events),
-        "actor_concentration": actors.actor_concentration(events),
-        "stage_order": stages.stage_order(events),
-        "stepname_totals": stages.stepname_totals(events),
-        "stage_violations": steps,
-        "stage_violation_summary": stages.violation_summary(steps),
-        "temporal_hour": temporal.by_hour(events),
-        "temporal_weekday": temporal.by_weekday(events),
-        "temporal_month": temporal.by_month(events),
-        "temporal_daily_volume": temporal.daily_volume(events),
-        "temporal_shares": temporal.activity_shares(events),
-        "single_event_summary": singles.single_summary(events, single),
+        "actor_behavior": actors.behavior_of(found.with_all("actors").drop("created")),
+        "actor_operations": operations["actor"],
+        "actor_top_fields": top_per_group(found.counts("actors", "field", "actor", "field"), ["actor"], ["field"], 5),
+        "actor_concentration": actors.concentration_of(by_actor.agg(F.sum("rows").alias("count"))),
+        "stage_order": stages.stage_order(steps),
+        "stepname_totals": stages.stepname_totals(steps),
+        "stage_violations": back,
+        "stage_violation_summary": stages.violation_summary(back),
+        "temporal_hour": temporal.by_hour(hours),
+        "temporal_weekday": temporal.by_weekday(hours),
+        "temporal_month": temporal.by_month(hours),
+        "temporal_daily_volume": temporal.daily_volume(hours),
+        "temporal_shares": temporal.activity_shares(hours),
+        "single_event_summary": singles.single_summary(every_case, single),
         "single_event_fields": singles.single_fields(single),
         "single_event_actors": singles.single_actors(single),
         "single_event_operations": singles.single_operations(single),
         "single_event_hypotheses": singles.hypotheses(single),
         "single_event_samples": singles.single_samples(single),
         "bulk_dates": singles.bulk_dates(single),
-        "creation_summary": singles.creation_summary(events),
-        "creation_fields": singles.creation_top(events, "field", 20),
-        "creation_actors": singles.creation_top(events, "actor", 10),
+        "creation_summary": singles.creation_of(found.of("fields"), found.of("cases")),
+        "creation_fields": created("field", 20),
+        "creation_actors": created("actor", 10),
         "transition_totals": stages.transition_totals(moves),
         "top_transitions": stages.top_transitions(moves),
-        "master_overview": headline,
+        "master_overview": overview,
         "high_signal_fields": summary.high_signal_fields(coverage),
         "noise_candidates": noise,
-        "pipeline_recommendations": summary.recommendations(headline),
+        "pipeline_recommendations": summary.recommendations(overview),
         "bucket_strategy": summary.bucket_strategy(coverage, noise),
     }
 
