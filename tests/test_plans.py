@@ -22,9 +22,20 @@ def plan(frame):
     return text.getvalue()
 
 
+def plan_that_ran(frame):
+    """The final plan of the branch for ordinary cases; the other one reads nothing, as no case is large."""
+    frame.collect()
+    text = plan(frame).split("== Initial Plan ==")[0]
+    lines = text.splitlines()
+    place = min(line.index(":- ") for line in lines if re.match(r" *:- ", line))
+    last = next(i for i, line in enumerate(lines) if line[:place].isspace() and line[place : place + 3] == "+- ")
+    assert "EmptyRelation" in "".join(lines[last:])
+    return "\n".join(lines[:last])
+
+
 @pytest.fixture(scope="module")
 def event_log_plan(spark):
-    return plan(log.event_log(audit_log(spark, SF), classify.default_rules(spark)))
+    return plan_that_ran(log.event_log(audit_log(spark, SF), classify.default_rules(spark)))
 
 
 def test_event_log_shuffles_once(event_log_plan):
@@ -61,7 +72,7 @@ def test_times_are_parsed_once(event_log_plan):
 
 
 def test_traces_add_no_shuffle(spark):
-    assert plan(catalog.queries()["xes_traces"](spark, SF)).count("Exchange hashpartitioning") == 1
+    assert plan_that_ran(catalog.queries()["xes_traces"](spark, SF)).count("Exchange hashpartitioning") == 1
 
 
 def test_duplicates_shrink_before_the_shuffle(spark):

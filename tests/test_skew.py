@@ -30,9 +30,8 @@ def rows(spark):
 
 
 def test_large_groups(rows):
-    found, total = skew.large_groups(rows, ["g"], 1000)
-    assert [r.g for r in found.collect()] == ["hot"] and total == 2000
-    assert skew.large_groups(rows, ["g"], 10_000) is None
+    assert [r.g for r in skew.large_groups(rows, ["g"], 1000).collect()] == ["hot"]
+    assert skew.large_groups(rows, ["g"], 10_000).isEmpty()
 
 
 @pytest.mark.parametrize("limit", [90, 150, 1000])
@@ -92,13 +91,26 @@ def test_input_partitions_do_not_matter(spark):
     same(log.event_log(shuffled, rules), log.event_log(audit, rules))
 
 
-def test_a_large_case_is_read_twice_and_parsed_once(spark, tmp_path):
+def scans_and_parsers(frame):
+    """How often the final plan of a frame that has run reads a file and reads a time."""
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    return final.count("FileScan"), final.count("explode(")
+
+
+@pytest.mark.parametrize("limit", [25, 10**6])
+def test_building_runs_no_job_and_the_large_branch_only_if_needed(spark, tmp_path, limit):
     path = str(tmp_path / "audit")
     audit_log(spark, SF, "user").write.parquet(path)
     audit, rules = spark.read.parquet(path), classify.default_rules(spark)
-    found = log.event_log(audit, rules, limit=25)
-    text = found._jdf.queryExecution().toString()
-    assert path not in text and "rows-" in text  # only the written rows are read from here on
+    spark.sparkContext.setJobGroup(f"build-{limit}", "")
+    found = log.event_log(audit, rules, limit=limit)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{limit}")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    found.collect()
+    if limit > 10**5:
+        # The cases have been counted; nothing is left of that and of the branch for large cases.
+        assert scans_and_parsers(found) == (1, 1)
     same(found, log.event_log(audit, rules))
 
 

@@ -48,10 +48,8 @@ def not_strict_utc(events: DataFrame, column: str) -> DataFrame:
     return events.where(~t.is_strict_utc(F.col(column)))
 
 
-def multi_event(
-    rows: DataFrame, *, large: int = 0, order: Sequence[str] = ()
-) -> DataFrame:
-    """Keep the rows of cases with two rows or more.
+def case_sized(rows: DataFrame, *, large: bool = False, order: Sequence[str] = ()) -> DataFrame:
+    """Add single, whether a row is the only one of its case.
 
     ``order`` sorts the rows inside a case for the benefit of a following window,
     which then needs no sort of its own.
@@ -61,15 +59,18 @@ def multi_event(
     """
     if large:
         sizes = rows.groupBy(F.col("case_id").alias("_case")).agg(F.count("*").alias("_size"))
-        kept = F.broadcast(sizes.where(F.col("_size") >= 2))
-        return rows.join(kept, F.col("case_id").eqNullSafe(F.col("_case")), "left_semi")
-    case = Window.partitionBy("case_id")
-    if order:
-        case = case.orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing
-        )
-    sized = rows.withColumn("_size", F.count("*").over(case))
-    return sized.where(F.col("_size") >= 2).drop("_size")
+        sized = rows.join(F.broadcast(sizes), F.col("case_id").eqNullSafe(F.col("_case"))).drop("_case")
+    else:
+        case = Window.partitionBy("case_id")
+        if order:
+            case = case.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        sized = rows.withColumn("_size", F.count("*").over(case))
+    return sized.withColumn("single", F.col("_size") == 1).drop("_size")
+
+
+def multi_event(rows: DataFrame, *, large: bool = False, order: Sequence[str] = ()) -> DataFrame:
+    """Keep the rows of cases with two rows or more."""
+    return case_sized(rows, large=large, order=order).where("not single").drop("single")
 
 
 def multi_event_rows(
@@ -77,7 +78,7 @@ def multi_event_rows(
 ) -> DataFrame:
     """``multi_event`` for cases of any size."""
 
-    def build(rows: DataFrame, large: int) -> DataFrame:
+    def build(rows: DataFrame, large: bool) -> DataFrame:
         return multi_event(rows, large=large)
 
     return by_group_size(events, ["case_id"], build, limit, counted)

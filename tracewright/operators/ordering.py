@@ -23,7 +23,7 @@ def with_create_flag(events: DataFrame, create: str = CREATE) -> DataFrame:
     return events.withColumn("is_create", F.col("operation").eqNullSafe(F.lit(create)))
 
 
-def collapse_creates(events: DataFrame, *, large: int = 0) -> DataFrame:
+def collapse_creates(events: DataFrame, *, large: bool = False) -> DataFrame:
     """Reduce the create rows (is_create) of each case to one "Case Created" event.
 
     The earliest row is kept. If it has a sequence it takes the smallest one
@@ -60,7 +60,7 @@ def create_aggregated(
 ) -> DataFrame:
     """``collapse_creates`` for cases of any size."""
 
-    def build(rows: DataFrame, large: int) -> DataFrame:
+    def build(rows: DataFrame, large: bool) -> DataFrame:
         return collapse_creates(rows, large=large)
 
     return by_group_size(events, ["case_id"], build, limit, counted)

@@ -1,18 +1,20 @@
 """Windows over groups of any size.
 
 A window sends each group to one task. That is right for ordinary cases and
-wrong for one that holds a large share of all rows. The helpers here find the
-groups above a row limit first and give them another, exact way:
+wrong for one that holds a large share of all rows. The helpers here give the
+groups above a row limit another, exact way, in one plan that is the same for all
+sizes and runs nothing while it is built:
 
 * ``by_group_size`` runs the window form on ordinary groups and a form of your
-  choice (aggregation, group limit, slices) on the large ones.
-* ``with_previous`` and ``with_position`` cut large groups into sorted slices,
+  choice (aggregation, group limit, slices) on the large ones. Which groups are
+  large is an aggregation inside the plan; its few keys are broadcast, and if there
+  are none Spark drops the second branch before it reads anything.
+* ``with_previous`` and ``with_position`` cut large groups into slices of time,
   run the window per slice and carry the boundary from slice to slice.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import tempfile
 import uuid
@@ -20,32 +22,27 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows above which a group no longer goes to one task.
 LARGE_GROUP_ROWS = 5_000_000
 
 
-def large_groups(
-    rows: DataFrame, keys: Sequence[str], limit: int
-) -> tuple[DataFrame, int] | None:
-    """The keys with more than ``limit`` rows as a local table, and their rows.
+def large_groups(rows: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """The keys with more than ``limit`` rows.
 
-    One aggregation with map-side partial counts. The answer has fewer than
-    (all rows / limit) keys, which bounds what passes through the driver.
+    One aggregation with map-side partial counts. There are fewer than
+    (all rows / limit) such keys, which bounds what is broadcast.
     """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    found = counts.where(F.col("_rows") > limit).toArrow()
-    if not found.num_rows:
-        return None
-    total = sum(found.column("_rows").to_pylist())
-    return rows.sparkSession.createDataFrame(found.select(list(keys))), total
+    return counts.where(F.col("_rows") > limit).select(*keys)
 
 
 def split_by_size(
     rows: DataFrame, keys: Sequence[str], large: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary and of large groups. Null keys form a group of their own."""
-    table = large.select(*[F.col(k).alias(f"_large_{k}") for k in keys])
+    table = F.broadcast(large.select(*[F.col(k).alias(f"_large_{k}") for k in keys]))
     same = None
     for k in keys:
         match = rows[k].eqNullSafe(table[f"_large_{k}"])
@@ -56,24 +53,19 @@ def split_by_size(
 def by_group_size(
     rows: DataFrame,
     keys: Sequence[str],
-    build: Callable[[DataFrame, int], DataFrame],
+    build: Callable[[DataFrame, bool], DataFrame],
     limit: int = LARGE_GROUP_ROWS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """``build(rows, 0)`` on ordinary groups, ``build(rows, n)`` on large ones.
+    """``build(rows, False)`` on ordinary groups, ``build(rows, True)`` on large ones.
 
-    n is the number of rows in large groups.
     counted: what to count instead of ``rows``, for callers with a cheaper frame
-    whose groups are at least as large. With a large group the input is read twice:
-    once to count, once to write the rows that both branches read.
+    whose groups are at least as large. Pass rows that are cheap to read again and do
+    the costly steps in ``build``: the rows of each branch go through them once.
     """
-    found = large_groups(rows if counted is None else counted, keys, limit)
-    if found is None:
-        return build(rows, 0)
-    large, total = found
-    # Both branches read the rows as they are now: parsed once.
-    ordinary, rest = split_by_size(durable(rows), keys, large)
-    return build(ordinary, 0).unionByName(build(rest, total))
+    large = large_groups(rows if counted is None else counted, keys, limit)
+    ordinary, rest = split_by_size(rows, keys, large)
+    return build(ordinary, False).unionByName(build(rest, True))
 
 
 def first_per_key(
@@ -111,21 +103,15 @@ def durable(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _sliced(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    total: int,
-    limit: int,
-) -> DataFrame:
-    """Cut the groups into contiguous slices of about ``limit`` rows.
+def _with_slice(rows: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Add _slice, which follows the order: the hour of the first key, or the key itself.
 
-    Range partitioning splits inside a group, also between rows of one instant,
-    as ``order`` is unique. The slice numbers are fixed by the checkpoint.
+    The number of slices of a group follows the time span of the log and not its rows.
     """
-    slices = max(2, math.ceil(total / limit))
-    ranged = rows.repartitionByRange(slices, *keys, *order)
-    return durable(ranged.withColumn("_slice", F.spark_partition_id()))
+    first = rows.select(order[0] if isinstance(order[0], Column) else F.col(order[0])).schema[0]
+    key = order[0] if isinstance(order[0], Column) else F.col(order[0])
+    hours = isinstance(first.dataType, (T.TimestampType, T.TimestampNTZType))
+    return rows.withColumn("_slice", F.date_trunc("hour", key) if hours else key)
 
 
 def _joined_to_slices(rows: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -151,18 +137,16 @@ def with_previous(
     """Add a struct of the previous row's columns; null on the first row of a group."""
     value = F.struct(*columns)
 
-    def build(part: DataFrame, large: int) -> DataFrame:
+    def build(part: DataFrame, large: bool) -> DataFrame:
         if not large:
             window = Window.partitionBy(*keys).orderBy(*order)
             return part.withColumn(name, F.lag(value).over(window))
-        part = _sliced(part, keys, order, large, limit)
+        part = _with_slice(part, order)
         window = Window.partitionBy(*keys, "_slice").orderBy(*order)
         inside = part.withColumn(name, F.lag(value).over(window))
-        last = part.groupBy(*keys, "_slice").agg(
-            F.max_by(value, F.struct(*order)).alias("_last")
-        )
+        last = first_per_key(part, [*keys, "_slice"], [F.desc(c) for c in order])
         by_slice = Window.partitionBy(*keys).orderBy("_slice")
-        carry = last.select(*keys, "_slice", F.lag("_last").over(by_slice).alias("_carried"))
+        carry = last.select(*keys, "_slice", F.lag(value).over(by_slice).alias("_carried"))
         return (
             _joined_to_slices(inside, carry, keys)
             .withColumn(name, F.coalesce(name, "_carried"))
@@ -173,19 +157,13 @@ def with_previous(
 
 
 def positions(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    name: str,
-    *,
-    large: int,
-    limit: int = LARGE_GROUP_ROWS,
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str, *, large: bool
 ) -> DataFrame:
     """Add the 1-based position in the group, by window or, for large groups, by slices."""
     if not large:
         window = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
-    rows = _sliced(rows, keys, order, large, limit)
+    rows = _with_slice(rows, order)
     window = Window.partitionBy(*keys, "_slice").orderBy(*order)
     inside = rows.withColumn("_inside", F.row_number().over(window))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
@@ -210,7 +188,7 @@ def with_position(
 ) -> DataFrame:
     """Add the 1-based position of each row in its group."""
 
-    def build(part: DataFrame, large: int) -> DataFrame:
-        return positions(part, keys, order, name, large=large, limit=limit)
+    def build(part: DataFrame, large: bool) -> DataFrame:
+        return positions(part, keys, order, name, large=large)
 
     return by_group_size(rows, keys, build, limit, counted)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,21 @@ def named_events(
     return classify.named(classify.without_kill_fields(kept, rules), rules)
 
 
+def by_case_size(
+    audit: DataFrame, build: Callable[[DataFrame, bool], DataFrame], limit: int, **parsing: Sequence[str] | str
+) -> DataFrame:
+    """Run the steps on the timed rows of ordinary and of large cases.
+
+    Cases are told apart before their times are read, so each row is parsed once.
+    """
+    rows = ev.with_case_ids(audit)
+
+    def parsed(part: DataFrame, large: bool) -> DataFrame:
+        return build(timed_events(part.drop("case_id"), **parsing), large)
+
+    return by_group_size(rows, ["case_id"], parsed, limit)
+
+
 def event_log(
     audit: DataFrame,
     rules: Rules,
@@ -41,23 +56,20 @@ def event_log(
     """The cleaned event log of all levels; event_pos is the place in the case.
 
     Ordinary cases are shuffled once, by case, and every step runs on that one
-    partitioning. Cases above ``limit`` rows take a second branch in which each
-    step reduces its rows before they are shuffled by a finer key.
+    partitioning. Cases above ``limit`` rows take a second branch of the same plan in
+    which each step reduces its rows before they are shuffled by a finer key.
 
     The single-event filter looks at the rows before noise fields, create rows
     and duplicates go; a case may therefore end with one event or none.
     """
-    rows = timed_events(audit, formats=formats, timezone=timezone)
 
-    def build(part: DataFrame, large: int) -> DataFrame:
-        named = named_events(part, rules, large=large)
+    def build(rows: DataFrame, large: bool) -> DataFrame:
+        named = named_events(rows, rules, large=large)
         log = ordering.deduplicated(ordering.collapse_creates(named, large=large))
         order = [*ordering.order_keys().values()]
-        placed = positions(log, ["case_id"], order, "event_pos", large=large, limit=limit)
-        return placed.drop("is_create")
+        return positions(log, ["case_id"], order, "event_pos", large=large).drop("is_create")
 
-    # Counting the unparsed rows reads one column and bounds the sizes from above.
-    return by_group_size(rows, ["case_id"], build, limit, ev.with_case_ids(audit))
+    return by_case_size(audit, build, limit, formats=formats, timezone=timezone)
 
 
 def event_log_of(sources: Mapping[str, DataFrame], rules: Rules, **options) -> DataFrame:
@@ -74,10 +86,9 @@ def exported_events(
     audit: DataFrame, rules: Rules, *, limit: int = LARGE_GROUP_ROWS, **options
 ) -> DataFrame:
     """The events of the exported levels with their place in the level's trace."""
-    rows = timed_events(audit, **options)
 
-    def build(part: DataFrame, large: int) -> DataFrame:
-        named = named_events(part, rules, large=large)
+    def build(rows: DataFrame, large: bool) -> DataFrame:
+        named = named_events(rows, rules, large=large)
         log = ordering.deduplicated(ordering.collapse_creates(named, large=large))
         return positions(
             log.where(F.col("level").isin(*EXPORT_LEVELS)),
@@ -85,11 +96,9 @@ def exported_events(
             [*ordering.order_keys().values()],
             "event_pos",
             large=large,
-            limit=limit,
         )
 
-    # Counting the unparsed rows reads one column and bounds the sizes from above.
-    return by_group_size(rows, ["case_id"], build, limit, ev.with_case_ids(audit))
+    return by_case_size(audit, build, limit, **options)
 
 
 def step_counts(
@@ -131,12 +140,11 @@ def step_counts(
         total(collapsed, multi).alias("rows_creates_collapsed"),
     )
     # The names of all events before creates collapse, and the finished log.
-    rows = timed_events(audit, **options)
 
-    def named(part: DataFrame, large: int) -> DataFrame:
-        return named_events(part, rules, large=large)
+    def named(rows: DataFrame, large: bool) -> DataFrame:
+        return named_events(rows, rules, large=large)
 
-    names = by_group_size(rows, ["case_id"], named, limit, ev.with_case_ids(audit))
+    names = by_case_size(audit, named, limit, **options)
     middle = names.agg(F.countDistinct("activity_name").alias("distinct_activities"))
     log = event_log(audit, rules, limit=limit, **options)
     late = log.agg(F.count("*").alias("rows_deduplicated"))
