@@ -1,9 +1,13 @@
 import pytest
 
 from tracewright.operators import classify, events as ev, ordering
+from tests.test_reports import scans_that_ran
+from tracewright.fixtures import audit_log
+from tracewright.plans import event_log as plans
 from tracewright.plans.event_log import (
     event_log, event_log_of, exported_events, step_counts, timed_events,
 )
+from tracewright.plans.forensic import abandoned_cases
 from tracewright.functions.timestamps import utc_parser
 
 
@@ -207,3 +211,33 @@ def test_log_of_named_sources(spark, audit):
     assert names(event_log_of({"audit_log": raw, "main_case_table": log}, rules)) == wanted
     with pytest.raises(ValueError, match="audit_log"):
         event_log_of({"activity_table": log}, rules)
+
+
+@pytest.mark.parametrize("limit", [4, 10**6])
+def test_log_removed_cases_and_counts_from_one_job(spark, rules, tmp_path, limit):
+    audit, path = audit_log(spark, "/root/testdata/sf0.001"), str(tmp_path / "clean")
+    counts = plans.clean(audit, rules, path, limit=limit)
+    wanted = {r.step: r.rows for r in step_counts(audit, rules).collect()}
+    # No bounded observer holds all names.
+    assert wanted.pop("distinct_activities") > 0 and counts == wanted
+    for found, direct in (
+        (plans.cleaned_log(spark, path), event_log(audit, rules)),
+        (plans.removed_cases(spark, path), abandoned_cases(audit)),
+    ):
+        columns = sorted(direct.columns)
+        assert sorted(found.columns) == columns
+        assert found.select(columns).exceptAll(direct.select(columns)).isEmpty()
+        assert found.count() == direct.count()
+
+
+def test_cleaning_reads_and_parses_once(spark, rules):
+    rows = plans.cleaned_rows(audit_log(spark, "/root/testdata/sf0.001"), rules)
+    rows.collect()
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert scans_that_ran(rows) == 1 and text.split("== Initial Plan ==")[0].count("explode(") == 1
+
+
+def test_cleaning_nothing(spark, rules, tmp_path):
+    audit = audit_log(spark, "/root/testdata/sf0.001").limit(0)
+    counts = plans.clean(audit, rules, str(tmp_path / "clean"))
+    assert set(counts.values()) == {0} and len(counts) == 8

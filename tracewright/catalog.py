@@ -229,6 +229,25 @@ def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _cleaned(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    """The log and the removed cases, written in one job, and the counts of that job."""
+    path = shared_path(spark, "cleaned")
+    return path, log.clean(_audit(spark, sf_dir), classify.default_rules(spark), path)
+
+
+def _removed_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _utc(log.removed_cases(spark, _cleaned(spark, sf_dir)[0]))
+
+
+def _cleaned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_utc(log.cleaned_log(spark, _cleaned(spark, sf_dir)[0])))
+
+
+def _step_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the writing job made on its way."""
+    return spark.createDataFrame(list(_cleaned(spark, sf_dir)[1].items()), "step string, rows bigint")
+
+
 def _step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.step_counts(_audit(spark, sf_dir), classify.default_rules(spark))
 
@@ -268,6 +287,9 @@ def queries() -> dict[str, Query]:
         "events_by_level": _events_by_level,
         "xes_traces": lambda s, d: trace_events(_exported(s, d)),
         "pipeline_step_counts": _step_counts,
+        "cleaned_log": _cleaned_log,
+        "removed_cases": _removed_cases,
+        "pipeline_step_metrics": _step_metrics,
         # cases
         "case_metrics": _on_events(
             cases.case_metrics, "first_timestamp", "last_timestamp", "create_timestamp"

@@ -340,7 +340,7 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
         'ORDER BY "count" DESC, actor LIMIT 1)'
     )
     hours = "date_diff('second', min(ts), max(ts))"
-    return {
+    found = {
         "audit_scan": sql(
             """SELECT ingest_ord, case_key, operation, field, coalesce(old_value, '') AS old_value,
               new_value, actor, CASE WHEN logged_at = 'null' THEN 'null' ELSE logged_at END
@@ -697,3 +697,8 @@ FROM profile LEFT JOIN numbers USING ("column")""",
             _CHARACTERISTICS,
         ),
     }
+    # The same rows by other ways.
+    found["cleaned_log"] = found["event_log"]
+    found["removed_cases"] = found["single_event_rows"]
+    found["pipeline_step_metrics"] = f"SELECT * FROM ({found['pipeline_step_counts']}) WHERE step <> 'distinct_activities'"
+    return found

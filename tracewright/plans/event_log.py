@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import PIPELINE_FORMATS, utc_parser
@@ -31,16 +32,18 @@ def named_events(
 
 
 def by_case_size(
-    audit: DataFrame, build: Callable[[DataFrame, bool], DataFrame], limit: int, **parsing: Sequence[str] | str
+    audit: DataFrame, build: Callable[[DataFrame, bool], DataFrame], limit: int,
+    loaded: Callable[[DataFrame], DataFrame] = lambda rows: rows, **parsing: Sequence[str] | str,
 ) -> DataFrame:
     """Run the steps on the timed rows of ordinary and of large cases.
 
     Cases are told apart before their times are read, so each row is parsed once.
+    loaded: what to do with the rows before that.
     """
     rows = ev.with_case_ids(audit)
 
     def parsed(part: DataFrame, large: bool) -> DataFrame:
-        return build(timed_events(part.drop("case_id"), **parsing), large)
+        return build(timed_events(loaded(part.drop("case_id")), **parsing), large)
 
     return by_group_size(rows, ["case_id"], parsed, limit)
 
@@ -72,6 +75,95 @@ def event_log(
     return by_case_size(audit, build, limit, formats=formats, timezone=timezone)
 
 
+class StepMetrics:
+    """Counts that a job makes on its way, by ``DataFrame.observe``.
+
+    They cost no read and no job of their own. Rows that Spark computes again after a
+    lost executor may count again; ``step_counts`` gives the exact figures then.
+    """
+
+    def __init__(self) -> None:
+        self._parts: list[tuple[tuple[str, ...], Observation]] = []
+
+    def on(self, rows: DataFrame, **counts: Column) -> DataFrame:
+        """Count the rows that pass here."""
+        part = Observation()
+        self._parts.append((tuple(counts), part))
+        return rows.observe(part, *[count.alias(name) for name, count in counts.items()])
+
+    def get(self) -> dict[str, int]:
+        """The sums over all places, once the job has run."""
+        found: dict[str, int] = {}
+        for names, part in self._parts:
+            try:
+                counts = part.get
+            except Py4JJavaError:
+                # Spark has dropped a branch that no row reaches, and its counts with it.
+                counts = dict.fromkeys(names, 0)
+            for name, count in counts.items():
+                found[name] = found.get(name, 0) + (count or 0)
+        return found
+
+
+def cleaned_rows(
+    audit: DataFrame, rules: Rules, *, limit: int = LARGE_GROUP_ROWS, metrics: StepMetrics | None = None,
+    **parsing: Sequence[str] | str,
+) -> DataFrame:
+    """The event log and, marked as ``removed``, the rows of single-event cases, from one read and one shuffle.
+
+    A removed row is named like the others and has the place 1. ``removed`` is the
+    last column; the rest are those of ``event_log``.
+    """
+    metrics = metrics or StepMetrics()
+    stays = ~F.col("removed")
+
+    def build(rows: DataFrame, large: bool) -> DataFrame:
+        rows = metrics.on(ordering.with_create_flag(rows), rows_with_time=F.count(F.lit(1)))
+        sized = ev.case_sized(rows, large=large, order=ordering.CREATE_ORDER).withColumnRenamed("single", "removed")
+        sized = metrics.on(sized, cases_removed=F.count_if("removed"), rows_multi_event=F.count_if(stays))
+        noise = F.coalesce("field", F.lit("")).isin(list(rules.kill_fields))
+        kept = sized.where(F.col("removed") | ~noise) if rules.kill_fields else sized
+        named = metrics.on(
+            classify.named(kept, rules),
+            rows_without_noise=F.count_if(stays), rows_with_sequence=F.count_if(stays & F.col("sequence").isNotNull()))
+        collapsed = metrics.on(
+            ordering.collapse_creates(named, large=large), rows_creates_collapsed=F.count_if(stays))
+        log = metrics.on(ordering.deduplicated(collapsed), rows_deduplicated=F.count_if(stays))
+        order = [*ordering.order_keys().values()]
+        return positions(log, ["case_id"], order, "event_pos", large=large).drop("is_create")
+
+    def loaded(rows: DataFrame) -> DataFrame:
+        return metrics.on(rows, rows_loaded=F.count(F.lit(1)))
+
+    found = by_case_size(audit, build, limit, loaded, **parsing)
+    return found.select(*[c for c in found.columns if c != "removed"], "removed")
+
+
+def clean(
+    audit: DataFrame, rules: Rules, path: str, *, limit: int = LARGE_GROUP_ROWS, **parsing: Sequence[str] | str
+) -> dict[str, int]:
+    """Write ``cleaned_rows`` as Parquet by removed and level, and return the step counts of that very job.
+
+    The input is read and parsed once for the log, the removed cases and the counts.
+    ``cleaned_log`` and ``removed_cases`` read the two halves.
+    """
+    metrics = StepMetrics()
+    rows = cleaned_rows(audit, rules, limit=limit, metrics=metrics, **parsing)
+    rows.write.mode("overwrite").partitionBy("removed", "level").parquet(path)
+    return metrics.get()
+
+
+def cleaned_log(spark: SparkSession, path: str) -> DataFrame:
+    """The event log that ``clean`` wrote."""
+    return spark.read.parquet(path).where(F.col("removed") == "false").drop("removed")
+
+
+def removed_cases(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the single-event cases that ``clean`` wrote, with the columns of the audit log."""
+    made = ("removed", "level", "bucket", "translated_value", "sequence", "activity_name", "event_pos")
+    return spark.read.parquet(path).where(F.col("removed") == "true").drop(*made)
+
+
 def event_log_of(sources: Mapping[str, DataFrame], rules: Rules, **options) -> DataFrame:
     """The event log of a set of named sources, of which the audit log is used.
 
