@@ -155,3 +155,22 @@ def test_seconds_between_ignores_the_session_zone(spark):
         assert rows.select(t.seconds_between(F.col("a"), F.col("b"))).first()[0] == 91810
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_iso_week_dates(spark):
+    """As the standard library reads them."""
+    rng = random.Random(9)
+    texts = ["2024-W05-3T10:00:00Z", "2024W053T1000", "2024-W05", "2024W05", "2024-W05-10:30", "2024-W05-3 10:30+05:30",
+             "2020-W53-7", "2021-W53-1", "2021-W00-1", "2021-W54-1", "2021-W01-0", "2021-W01-8", "2021W018", "2021-W1-1",
+             "0001-W01-1", "9999-W52-7", "0000-W10-1", "2024-W05-", "2024-W05Z", "2024-W05-3Z", "2024-w05-3", "2024W05-3"]
+    texts += [f"{rng.randrange(1, 9999):04}-W{rng.randrange(1, 54):02}-{rng.randrange(1, 8)}" for _ in range(300)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select("t", t.parsed(F.col("t"), t.utc_parser()).alias("ts")).collect()
+    for text, moment in found:
+        want = None
+        try:
+            want = datetime.fromisoformat(text[:-1] + "+00:00" if text.endswith("Z") else text)
+            want = want.astimezone(timezone.utc).replace(tzinfo=None) if want.tzinfo else want
+        except ValueError:
+            pass
+        assert moment == want, text

@@ -14,6 +14,7 @@ from .operators import (
     suggest, summary, temporal,
 )
 from .plans import event_log as log, forensic
+from .sinks.tables import document
 from .sinks.xes import trace_events
 from .operators.skew import shared_path
 from .sources.audit import audit_rows, read_audit_csv, read_bad_lines
@@ -140,6 +141,26 @@ def _parse_forensic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(timed.select("ingest_ord", "logged_at_forensic", "ts"), "ts")
 
 
+def _iso_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days of the events as ISO week dates, some of weeks that do not exist."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    year, number = F.extract(F.lit("YEAROFWEEK"), "ts").cast("string"), F.lpad(F.weekofyear("ts").cast("string"), 2, "0")
+    day, form = (F.weekday("ts") + 1).cast("string"), F.col("event_id") % 8
+    clock = F.date_format("ts", "HH:mm:ss")
+    text = (
+        F.when(form == 0, F.concat(year, F.lit("-W"), number, F.lit("-"), day, F.lit("T"), clock, F.lit("Z")))
+        .when(form == 1, F.concat(year, F.lit("W"), number, day, F.lit(" "), F.replace(clock, F.lit(":"), F.lit(""))))
+        .when(form == 2, F.concat(year, F.lit("-W"), number))
+        .when(form == 3, F.concat(year, F.lit("W"), number, F.lit("T"), clock, F.lit("+05:30")))
+        .when(form == 4, F.concat(year, F.lit("-W"), number, F.lit("-"), F.substring(clock, 1, 5)))
+        .when(form == 5, F.concat(year, F.lit("-W53-4")))
+        .when(form == 6, F.concat(year, F.lit("W"), number, F.lit("8")))
+        .otherwise(F.concat(year, F.lit("W"), number, day))
+    )
+    timed = ev.with_time(events.select("event_id", text.alias("logged_at")), utc_parser())
+    return _utc(timed)
+
+
 def _case_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat(F.lit("  "), F.replace("case_key", F.lit("-"), F.lit(" \t ")), F.lit("\n"))
     rows = _audit(spark, sf_dir).select("ingest_ord", key.alias("case_key"))
@@ -202,6 +223,17 @@ def _strategy(events: DataFrame) -> DataFrame:
     return summary.bucket_strategy(fields.field_coverage(events), _noise(events))
 
 
+def _report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three of the report documents as JSON text, made from the written facts."""
+    source = forensic.staged(_forensic(spark, sf_dir), shared_path(spark, "forensic-rows"))
+    made = forensic.documents(forensic.forensic_reports(
+        forensic.staged_facts(source, shared_path(spark, "forensic-facts"))))
+    names = ("creation_patterns", "transition_matrix", "temporal_counts")
+    made["temporal_counts"] = {n: made["temporal_patterns"][n] for n in ("temporal_hour", "temporal_weekday", "temporal_month")}
+    texts = [document(made[name]).select(F.lit(name).alias("name"), "value") for name in names]
+    return texts[0].unionByName(texts[1]).unionByName(texts[2])
+
+
 def _on_raw(build: Callable[[DataFrame], DataFrame]) -> Query:
     """A report over all rows, unparsed."""
     return lambda spark, sf: build(_filled(spark, sf))
@@ -261,6 +293,7 @@ def queries() -> dict[str, Query]:
         "audit_bad_lines": _audit_bad_lines,
         "ts_parse_pipeline": _parse_pipeline,
         "ts_parse_forensic": _parse_forensic,
+        "ts_iso_weeks": _iso_weeks,
         "ts_valid_rows": lambda s, d: _utc(_timed(s, d).select("ingest_ord", "case_id", "ts")),
         "ts_drop_reasons": lambda s, d: ev.invalid_time(_audit(s, d), utc_parser()).select(
             "ingest_ord", "logged_at", "drop_reason"
@@ -353,6 +386,7 @@ def queries() -> dict[str, Query]:
             lambda e: summary.high_signal_fields(fields.field_coverage(e)), grain="user"
         ),
         "noise_candidates": _on_events(_noise),
+        "report_documents": _report_documents,
         "pipeline_recommendations": lambda s, d: summary.recommendations(_overview(s, d)),
         "bucket_strategy": _on_events(_strategy),
         # profiles

@@ -106,10 +106,7 @@ def _with_colons(digits: Column, start: int) -> Column:
 
 
 def _iso(value: Column, timezone: str) -> Column:
-    """ISO-8601 calendar dates, extended or basic; null where it does not fit.
-
-    ISO week dates are not supported.
-    """
+    """ISO-8601 calendar dates, extended or basic; null where it does not fit."""
     digits = F.regexp_replace(value, _ISO_PARTS, "$1-$2-$3 $4$5$6")
     moment = _with_colons(digits, 12).try_cast("timestamp_ntz")
     offset = _with_colons(F.regexp_replace(value, _ISO_OFFSET, "$1$2$3$4"), 2)
@@ -121,6 +118,32 @@ def _iso(value: Column, timezone: str) -> Column:
     )
 
 
+# Year, week, day of the week if there is one, and what follows the date.
+_WEEK = r"(?s)^(?!0000)(\d{4})(?:-W(\d{2})(?:-(\d)(?!\d))?|W(\d{2})(?:(\d)(?!\d))?)(\D.*)?\z"
+
+
+def _week_date(value: Column) -> Column:
+    """The day of an ISO week date; null if there is no such week or day."""
+
+    def part(*groups: int) -> Column:
+        texts = [F.nullif(F.regexp_extract(value, _WEEK, group), F.lit("")) for group in groups]
+        return F.coalesce(*texts).cast("int")
+
+    year, week, day = part(1), part(2, 4), F.coalesce(part(3, 5), F.lit(1))
+    fourth = F.make_date(year, F.lit(1), F.lit(4))  # always in the first week
+    monday = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (week - 1) * 7)
+    # A week belongs to the year of its Thursday: so the 53rd is one only in long years.
+    real = (week >= 1) & (F.year(F.date_add(monday, 3)) == year) & day.between(1, 7)
+    return F.when(real, F.date_add(monday, day - 1))
+
+
+def _iso_week(value: Column, timezone: str) -> Column:
+    """ISO-8601 week dates, extended or basic, with or without a time; null where it does not fit."""
+    dated = F.concat(_week_date(value).cast("string"), F.regexp_extract(value, _WEEK, 6))
+    found = F.transform(F.array(dated), lambda text: _iso(text, timezone))
+    return F.when(value.rlike(_WEEK), F.get(found, F.lit(0)))
+
+
 def _to_utc(moment: Column, timezone: str) -> Column:
     if timezone == "UTC":
         return moment
@@ -136,11 +159,11 @@ def local_parser(formats: Sequence[str] = FORENSIC_FORMATS) -> Parser:
 
 
 def utc_parser(formats: Sequence[str] = PIPELINE_FORMATS, timezone: str = "UTC") -> Parser:
-    """UTC time in whole seconds: ISO-8601 first, then the formats in order."""
+    """UTC time in whole seconds: ISO-8601 first, then the formats in order; week dates fit none of these."""
 
     def parse(text: Column) -> Column:
         local = [_to_utc(strptime(text, fmt), timezone) for fmt in formats]
-        return F.coalesce(_iso(text, timezone), *local)
+        return F.coalesce(_iso(text, timezone), *local, _iso_week(text, timezone))
 
     return parse
 

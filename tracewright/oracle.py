@@ -301,6 +301,31 @@ freq AS (SELECT "column", value, count(*) AS "count" FROM cells WHERE value IS N
 ranked AS (SELECT *, {_RANKED.format(group='"column"', value='value')} FROM freq)"""
 
 
+_ISO_WEEKS = """
+WITH days AS (
+  SELECT event_id, event_id % 8 AS form, CAST(ts AS TIMESTAMP) AS ts, isoyear(ts) AS year, weekofyear(ts) AS week,
+    date_trunc('week', ts) AS monday, strftime(ts, '%H:%M:%S') AS clock,
+    date_trunc('second', ts) - CAST(date_trunc('day', ts) AS TIMESTAMP) AS since FROM events),
+texts AS (
+  SELECT *, lpad(CAST(week AS VARCHAR), 2, '0') AS number, isodow(ts) AS day FROM days)
+SELECT event_id, CASE form
+    WHEN 0 THEN year || '-W' || number || '-' || day || 'T' || clock || 'Z'
+    WHEN 1 THEN year || 'W' || number || day || ' ' || replace(clock, ':', '')
+    WHEN 2 THEN year || '-W' || number
+    WHEN 3 THEN year || 'W' || number || 'T' || clock || '+05:30'
+    WHEN 4 THEN year || '-W' || number || '-' || left(clock, 5)
+    WHEN 5 THEN year || '-W53-4'
+    WHEN 6 THEN year || 'W' || number || '8'
+    ELSE year || 'W' || number || day END AS logged_at,
+  strftime(CASE form
+    WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts)
+    WHEN 2 THEN CAST(monday AS TIMESTAMP)
+    WHEN 3 THEN CAST(monday AS TIMESTAMP) + since - INTERVAL 330 MINUTE
+    WHEN 4 THEN CAST(monday AS TIMESTAMP) + to_hours(hour(ts)) + to_minutes(minute(ts))
+    WHEN 5 THEN CASE WHEN weekofyear(make_date(year, 12, 28)) = 53
+      THEN CAST(date_trunc('week', make_date(year, 1, 4)) AS TIMESTAMP) + to_days(52 * 7 + 3) END
+    WHEN 6 THEN NULL ELSE CAST(date_trunc('day', ts) AS TIMESTAMP) END, '%Y-%m-%dT%H:%M:%SZ') AS timestamp_utc
+FROM texts"""
 _BAD_LINES = """
   SELECT CASE WHEN ingest_ord % 97 = 0 THEN case_key || ',' || field || ',' || ingest_ord
       WHEN ingest_ord % 89 = 0 THEN line || ',surplus' ELSE '"open ' || line END AS line
@@ -357,6 +382,7 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
         "ts_parse_forensic": report(
             f"SELECT ingest_ord, logged_at_forensic, {_local('ts')} FROM parsed"
         ),
+        "ts_iso_weeks": _ISO_WEEKS,
         "ts_valid_rows": timed(f"SELECT ingest_ord, case_id, {_UTC} FROM timed"),
         "ts_drop_reasons": timed(
             """SELECT ingest_ord, logged_at, CASE WHEN logged_at IN ('', 'null')
@@ -701,4 +727,39 @@ FROM profile LEFT JOIN numbers USING ("column")""",
     found["cleaned_log"] = found["event_log"]
     found["removed_cases"] = found["single_event_rows"]
     found["pipeline_step_metrics"] = f"SELECT * FROM ({found['pipeline_step_counts']}) WHERE step <> 'distinct_activities'"
+    by_day = {
+        "transition_totals": report(
+            """SELECT field, CAST(sum("count") AS BIGINT) AS total_transitions,
+              count(*) AS unique_transitions FROM moves GROUP BY field""", _MOVES),
+        "top_transitions": report(
+            f"""SELECT * FROM (SELECT *, {top(group="field", value="from_value, to_value")}
+              FROM moves) WHERE rank <= 10""", _MOVES),
+    }
+    documents = {
+        "creation_patterns": {
+            "creation_summary": ("creation_summary", "total_create_events, cases_with_create, create_events_per_case"),
+            "creation_fields": ("creation_fields", "field, count"),
+            "creation_actors": ("creation_actors", "actor, count"),
+        },
+        "transition_matrix": {
+            "transition_totals": ("transition_totals", "field, total_transitions, unique_transitions"),
+            "top_transitions": ("top_transitions", "field, from_value, to_value, count, rank"),
+        },
+        "temporal_counts": {
+            "temporal_hour": ("temporal_hour", "hour, count"),
+            "temporal_weekday": ("temporal_weekday", "day_name, count"),
+            "temporal_month": ("temporal_month", "month, count"),
+        },
+    }
+    found["report_documents"] = " UNION ALL ".join(
+        f"""SELECT '{name}' AS name, '{{' || {" || ',' || ".join(
+            _json_array(part, (found | by_day)[key], columns) for part, (key, columns) in parts.items())} || '}}'
+            AS value""" for name, parts in documents.items())
     return found
+
+
+def _json_array(name: str, query: str, columns: str) -> str:
+    """The rows of a query as a JSON array, sorted by their columns."""
+    return f"""'"{name}":[' || (SELECT coalesce(string_agg(CAST(to_json(r) AS VARCHAR), ',' ORDER BY r), '')
+      FROM (SELECT {{{", ".join(f"'{c}': {c}" for c in columns.replace(" ", "").split(","))}}} AS r
+        FROM ({query}))) || ']'"""

@@ -55,11 +55,13 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str) -> None:
 def document(parts: Mapping[str, DataFrame]) -> DataFrame:
     """Small reports as one JSON document (column ``value``), an array of rows per part.
 
-    The parts are reports: their size follows the number of fields, actors or bands
-    and not that of the events. Reports by case belong into files of their own.
+    Rows are sorted by their columns from left to right, so that a report is the same
+    text on every run. The parts are reports: their size follows the number of fields,
+    actors or bands and not that of the events. Reports by case belong into files of
+    their own.
     """
     arrays = [
-        part.agg(F.coalesce(F.collect_list(F.struct("*")), F.array()).alias(name)).scalar().alias(name)
+        part.agg(F.sort_array(F.coalesce(F.collect_list(F.struct("*")), F.array())).alias(name)).scalar().alias(name)
         for name, part in parts.items()
     ]
     spark = next(iter(parts.values())).sparkSession
