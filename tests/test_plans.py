@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tracewright import catalog
 from tracewright.fixtures import audit_log
-from tracewright.operators import classify, events as ev, ordering, topk
+from tracewright.operators import cases, classify, events as ev, ordering, stages, topk
 from tracewright.plans import event_log as log
+from tracewright.sinks.tables import write_case_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -100,3 +101,16 @@ def test_sizing_cases_needs_no_parsing(spark):
     audit = ev.with_case_ids(audit_log(spark, SF))
     counted = audit.groupBy("case_id").agg(F.count("*"))
     assert "explode" not in plan(counted) and "event_type" not in plan(counted)
+
+
+@pytest.mark.parametrize("build", [cases.case_metrics, stages.stage_violations])
+def test_jobs_over_the_case_table_do_not_shuffle_events(spark, tmp_path, build):
+    made = log.event_log(audit_log(spark, SF, "user"), classify.default_rules(spark))
+    table = write_case_table(made, f"t_{build.__name__}", str(tmp_path / "table"))
+    found = build(table)
+    found.collect()
+    text = plan(found).split("== Initial Plan ==")[0]
+    assert "Bucketed: true" in text and "Exchange hashpartitioning" not in text.split("EmptyRelation")[0]
+    wanted = build(spark.read.parquet(str(tmp_path / "table")))
+    columns = wanted.columns
+    assert found.exceptAll(wanted.select(columns)).isEmpty() and found.count() == wanted.count() > 0

@@ -8,7 +8,7 @@ from tracewright.fixtures import audit_log
 from tracewright.operators import classify
 from tracewright.plans.event_log import exported_events
 from tracewright.sinks.xes import checked_utc, require_columns, trace_events, write_xes
-from tracewright.sources.xes import NAMESPACE, read_xes
+from tracewright.sources.xes import NAMESPACE, read_long_xes, read_xes
 
 SF = "/root/testdata/sf0.001"
 
@@ -112,3 +112,46 @@ def test_bad_utc_text_fails_the_job(spark):
     assert checked_utc(rows.limit(1)).count() == 1
     with pytest.raises(Exception, match="not a strict UTC time: 2025-01-01 00:00 in case 2"):
         checked_utc(rows).collect()
+
+
+HAND_MADE = """<?xml version="1.0" encoding="UTF-8"?>
+<log xes.version="1.0"><string key="concept:name" value="the log"/>
+<trace><string key="concept:name" value="a &amp; &#60;b&gt;"/><int key="n" value="1"/>
+  <event><string key="org:resource" value="x>y"/><string value='say "hi"' key='concept:name'/>
+    <date key="time:timestamp" value="2025-01-01T00:00:00Z"/></event>
+  <event ><date key="time:timestamp" value="2025-01-01T00:00:01Z"></date></event></trace>
+<trace><string key="concept:name" value="no events"/></trace>
+<trace ><event><string key="concept:name" value="unnamed trace"/></event>
+</trace><trace><string key="other" value="o"/><string key="concept:name" value="last"/><event></event>
+<event><string key="concept:name" value="&#228;&#x20AC;"/></event></trace>
+</log>
+"""
+
+
+def test_events_as_records(spark, tmp_path):
+    (tmp_path / "log.xes").write_text(HAND_MADE, encoding="utf-8")
+    found = sorted((tuple(r) for r in read_long_xes(spark, str(tmp_path / "log.xes")).collect()), key=repr)
+    assert found == sorted((tuple(r) for r in read_xes(spark, str(tmp_path / "log.xes")).collect()), key=repr)
+    assert ("a & <b>", 1, 'say "hi"', "2025-01-01T00:00:00Z") in found and ("last", 2, "ä€", None) in found
+    assert (None, 1, "unnamed trace", None) in found and len(found) == 5
+
+
+@pytest.mark.parametrize("block", [3_000, 70_000])
+def test_a_trace_over_many_blocks(spark, tmp_path, block):
+    """Blocks without a trace start, and blocks with several."""
+    rows = spark.range(9_000).select(
+        F.lit("L1").alias("level"),
+        F.when(F.col("id") < 6_000, "long").otherwise((F.col("id") / 7).cast("int").cast("string")).alias("case_id"),
+        (F.col("id") + 1).alias("event_pos"), F.concat(F.lit("a"), F.col("id")).alias("activity_name"),
+        F.lit("2025-01-01 00:00:00").cast("timestamp_ntz").alias("ts"))
+    path = str(tmp_path / "log.xes")
+    write_xes(rows, path, files_per_level=1)
+    wanted = sorted(tuple(r) for r in read_xes(spark, path).select("case_id", "event_pos", "activity_name").collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        found = read_long_xes(spark, path)
+        parts = spark.read.text(path).rdd.getNumPartitions()
+        got = sorted(tuple(r) for r in found.select("case_id", "event_pos", "activity_name").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert parts > 9 and got == wanted and len(got) == 9_000

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +15,11 @@ from .operators import (
     suggest, summary, temporal,
 )
 from .plans import event_log as log, forensic
-from .sinks.tables import document
-from .sinks.xes import trace_events
+from .sinks.tables import document, write_case_table
+from .sinks.xes import trace_events, write_xes
 from .operators.skew import shared_path
 from .sources.audit import audit_rows, read_audit_csv, read_bad_lines
+from .sources.xes import read_long_xes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -223,6 +225,31 @@ def _strategy(events: DataFrame) -> DataFrame:
     return summary.bucket_strategy(fields.field_coverage(events), _noise(events))
 
 
+def _case_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log as a table bucketed by case."""
+    path = shared_path(spark, "case-table")
+    name = f"case_table_{path.rsplit('-', 1)[1]}"
+    made = log.event_log(_audit(spark, sf_dir), classify.default_rules(spark))
+    return write_case_table(made, name, path)
+
+
+def _metrics_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cases.case_metrics(_case_table(spark, sf_dir))
+    return _text(found, "first_timestamp", "last_timestamp", "create_timestamp")
+
+
+def _violations_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text(stages.stage_violations(_case_table(spark, sf_dir)), "ts")
+
+
+def _xes_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exported events as the XES reader finds them in the written files."""
+    path = shared_path(spark, "log-xes")
+    write_xes(_exported(spark, sf_dir), path)
+    parts = [read_long_xes(spark, f"{path}/level={x}").withColumn("level", F.lit(x)) for x in classify.EXPORT_LEVELS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three of the report documents as JSON text, made from the written facts."""
     source = forensic.staged(_forensic(spark, sf_dir), shared_path(spark, "forensic-rows"))
@@ -319,6 +346,7 @@ def queries() -> dict[str, Query]:
         "event_log": _event_log,
         "events_by_level": _events_by_level,
         "xes_traces": lambda s, d: trace_events(_exported(s, d)),
+        "xes_read_back": _xes_read_back,
         "pipeline_step_counts": _step_counts,
         "cleaned_log": _cleaned_log,
         "removed_cases": _removed_cases,
@@ -327,6 +355,8 @@ def queries() -> dict[str, Query]:
         "case_metrics": _on_events(
             cases.case_metrics, "first_timestamp", "last_timestamp", "create_timestamp"
         ),
+        "case_metrics_of_table": _metrics_of_table,
+        "stage_violations_of_table": _violations_of_table,
         "case_size_bands": _on_cases(cases.size_bands),
         "case_size_bands_by_user": _on_cases(cases.size_bands, grain="user"),
         "case_duration_stats": _on_cases(cases.duration_stats, grain="user"),

@@ -31,10 +31,13 @@ def _cells(kind: str, key: str | None, value: str) -> list[Column]:
     ]
 
 
-def _counted(events: DataFrame, parts: list[Column], names: Sequence[str], times: Sequence[str], create: str) -> DataFrame:
+def _counted(
+    events: DataFrame, parts: list[Column], names: Sequence[str], times: Sequence[str], create: str,
+    beside: Sequence[Column] = (),
+) -> DataFrame:
     created = F.when(F.col("operation").eqNullSafe(F.lit(create)), F.col("ts"))
     sources = {"first": (F.col("ts"), F.min), "last": (F.col("ts"), F.max), "created": (created, F.min)}
-    melted = events.select(*[sources[t][0].alias(t) for t in times], F.inline(F.array(*parts)))
+    melted = events.select(*beside, *[sources[t][0].alias(t) for t in times], F.inline(F.array(*parts)))
     return melted.groupBy(*names).agg(F.count("*").alias("rows"), *[sources[t][1](t).alias(t) for t in times])
 
 
@@ -43,8 +46,15 @@ def value_facts(events: DataFrame, kinds: Kinds, times: Sequence[str] = (), crea
 
     kinds: name to (key column or None for one group of all rows, value column).
     """
-    parts = [F.struct(*_cells(kind, *columns)) for kind, columns in kinds.items()]
-    return _counted(events, parts, ["kind", "key", "value"], times, create)
+    keys = {key for key, _ in kinds.values()}
+    shared = next(iter(keys)) if len(keys) == 1 else None
+    parts = []
+    for kind, columns in kinds.items():
+        name, key, value = _cells(kind, *columns)
+        # A key that all kinds share stays a column, so that rows laid out by it need no shuffle.
+        parts.append(F.struct(name, value) if shared else F.struct(name, key, value))
+    beside = [F.col(shared).cast("string").alias("key")] if shared else []
+    return _counted(events, parts, ["kind", "key", "value"], times, create, beside)
 
 
 def subject_facts(

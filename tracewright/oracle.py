@@ -723,7 +723,13 @@ FROM profile LEFT JOIN numbers USING ("column")""",
             _CHARACTERISTICS,
         ),
     }
+    in_table = (*in_log, "f AS (SELECT * FROM log)")
+    found["case_metrics_of_table"] = timed(
+        f"""SELECT * REPLACE ({_local("first_timestamp")}, {_local("last_timestamp")},
+          {_local("create_timestamp")}) FROM cases""", *in_table, _CASES)
+    found["stage_violations_of_table"] = timed(f"SELECT * REPLACE ({_local('ts')}) FROM back", *in_table, _STAGES)
     # The same rows by other ways.
+    found["xes_read_back"] = found["xes_traces"]
     found["cleaned_log"] = found["event_log"]
     found["removed_cases"] = found["single_event_rows"]
     found["pipeline_step_metrics"] = f"SELECT * FROM ({found['pipeline_step_counts']}) WHERE step <> 'distinct_activities'"

@@ -29,6 +29,21 @@ def write_event_log(log: DataFrame, path: str, file_format: str = "parquet") ->
         raise ValueError("file_format must be 'parquet' or 'csv'")
 
 
+def write_case_table(log: DataFrame, table: str, path: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Write the log as a Parquet table bucketed and sorted by case, and return it.
+
+    Jobs by case over the table need no shuffle of the events. The log is already
+    partitioned by case, so with as many buckets as shuffle partitions (the default)
+    a task writes one file for each bucket it holds.
+    path: where the files go, by default the warehouse.
+    """
+    spark = log.sparkSession
+    number = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = log.write.mode("overwrite").format("parquet").bucketBy(number, "case_id").sortBy("case_id", "event_pos")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+    return spark.table(table)
+
+
 def write_removed_cases(singles: DataFrame, path: str) -> None:
     """Write the rows of removed single-event cases as CSV."""
     with_utc_text(singles).write.mode("overwrite").option("header", True).csv(path)

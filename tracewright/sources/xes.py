@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,3 +48,70 @@ def read_xes(spark: SparkSession, path: str) -> DataFrame:
         _value(F.col("event.string"), NAME_KEY).alias("activity_name"),
         _value(F.col("event.date"), TIME_KEY).alias("timestamp_utc"),
     )
+
+
+# What ends a record of ``read_long_xes``.
+_END_OF_EVENT = "</event>"
+# Inside of a tag: quoted values may hold any character but their quote.
+_INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
+
+
+def _attribute(text: Column, kind: str, key: str) -> Column:
+    """The value of the first attribute tag of a kind and key in a piece of XML, or null."""
+    named = rf"""\bkey\s*=\s*(?:"{re.escape(key)}"|'{re.escape(key)}')"""
+    tag = F.regexp_extract(text, rf"(?s)(<{kind}\s(?={_INSIDE}{named}){_INSIDE})>", 1)
+    # The tag alone is a document, so a parser resolves its entities.
+    alone = F.concat(F.regexp_replace(tag, r"/\z", ""), F.lit("/>"))
+    return F.when(tag != "", F.xpath_string(alone, F.lit(f"/{kind}/@value")))
+
+
+def read_long_xes(spark: SparkSession, path: str) -> DataFrame:
+    """``read_xes`` for traces of any size: an event is a record, and no row holds a trace.
+
+    Files are split at event ends, so several tasks read one trace. A window finds the
+    name of the trace and the place inside each block of a file; of every block one row,
+    with the last name and the events behind it, carries both on to the next block.
+    Attributes of an event are between its tags and not nested; an event without any
+    attribute needs an end tag. Traces without events give no rows.
+    """
+    records = spark.read.option("lineSep", _END_OF_EVENT).text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.regexp_extract("value", r"(?s).*<trace\b(.*?)<event\b.*", 1).alias("_head"),
+        F.regexp_like("value", F.lit(r"<trace\b")).alias("opens"),
+        F.regexp_extract("value", r"(?s).*<event\b(.*)", 1).alias("_event"),
+        F.regexp_like("value", F.lit(r"<event\b")).alias("is_event"),
+    ).where("is_event")
+    events = records.select(
+        "file", "block", "row", "opens",
+        # A trace may have no name; the struct tells that from no trace.
+        F.when(F.col("opens"), F.struct(_attribute(F.col("_head"), "string", NAME_KEY).alias("name"))).alias("trace"),
+        _attribute(F.col("_event"), "string", NAME_KEY).alias("activity_name"),
+        _attribute(F.col("_event"), "date", TIME_KEY).alias("timestamp_utc"),
+    )
+    inside = Window.partitionBy("file", "block").orderBy("row")
+    placed = events.withColumns({
+        "trace": F.last("trace", ignorenulls=True).over(inside),
+        "_row": F.row_number().over(inside),
+    })
+    # Rows of the block up to the one that opens the trace; null if an earlier block opened it.
+    opened = F.max(F.when(F.col("opens"), F.col("_row"))).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    placed = placed.withColumn("_opened", opened)
+    ends = placed.groupBy("file", "block").agg(
+        F.max_by("trace", "_row").alias("_last"), F.max("_row").alias("_rows"), F.max("_opened").alias("_at"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_total", F.sum("_rows").over(before))
+    # Events of the file up to the one that opens the last trace of earlier blocks.
+    start = F.max(F.coalesce("_total", F.lit(0)) + F.col("_at")).over(before)
+    carried = ends.select(
+        F.col("file").alias("_file"), F.col("block").alias("_block"),
+        F.last("_last", ignorenulls=True).over(before).alias("_carried"),
+        (F.coalesce("_total", F.lit(0)) - start + 1).alias("_behind"),
+    )
+    found = placed.join(carried, (F.col("file") == F.col("_file")) & (F.col("block") == F.col("_block")))
+    place = F.when(F.col("_opened").isNotNull(), F.col("_row") - F.col("_opened") + 1).otherwise(
+        F.col("_row") + F.coalesce("_behind", F.lit(0)))
+    return found.select(
+        F.coalesce("trace", "_carried")["name"].alias("case_id"), place.cast("bigint").alias("event_pos"),
+        "activity_name", "timestamp_utc")
