@@ -63,24 +63,121 @@ def test_probabilities_of_a_context_sum_to_one():
     assert np.allclose(sums[several & full], 1, atol=1e-6)
 
 
-def test_seating_follows_the_restaurant_process():
-    rng = np.random.default_rng(0)
-    counts = np.full(4000, 20)
-    tables = m.reseated(counts, np.full(4000, 0.8), 0.5, rng)
-    exact, size = 0.0, 4000
-    state = {1: 1.0}
-    for n in range(1, 20):
-        after = Counter()
-        for t, p in state.items():
-            new = 0.8 / (n - 0.5 * t + 0.8)
-            after[t + 1] += p * new
-            after[t] += p * (1 - new)
-        state = after
-    exact = sum(t * p for t, p in state.items())
-    assert abs(tables.mean() - exact) < 5 * tables.std() / math.sqrt(size)
-    many = m.reseated(np.full(50, 100_000), np.full(50, 0.8), 0.5, rng)
-    assert (many >= 1).all() and many.mean() < 200
-    assert m.reseated(np.array([0, 1, 2]), np.ones(3), 0.5, rng)[:2].tolist() == [0, 1]
+def seatings(c, d):
+    """S(c, t) by the partitions of c customers into blocks, for t from 1 to c."""
+    found = np.zeros(c)
+
+    def place(sizes, weight, left):
+        if not left:
+            found[len(sizes) - 1] += weight
+            return
+        for i, n in enumerate(sizes):
+            place([*sizes[:i], n + 1, *sizes[i + 1 :]], weight * (n - d), left - 1)
+        place([*sizes, 1], weight, left - 1)
+
+    place([], 1.0, c)
+    return found
+
+
+@pytest.mark.parametrize("d", [0.5, 0.8])
+def test_numbers_of_seatings(d):
+    rows = m.log_seatings([1, 3, 8, 600], d)
+    for c in (1, 3, 8):
+        assert np.allclose(np.exp(rows[c]), seatings(c, d))
+    t = np.arange(1, 601)
+    exact = rows[600] + t * np.log(d) + m.log_gamma(t + 1.0) - m.log_gamma(601.0)
+    got, few = m.log_sizes(t, 600, d), t <= m.SUMMED * 600**d
+    assert np.abs(got - exact)[few].max() < 1e-9 and np.abs(got - exact)[~few & (t < 300)].max(initial=0) < 0.1
+
+
+@pytest.mark.parametrize("c, d, w", [(8, 0.5, 0.8), (8, 0.8, 2.0), (6, 0.8, 0.05), (2, 0.5, 1.0)])
+def test_tables_follow_the_posterior(c, d, w):
+    """Against all partitions of the customers, each with its probability."""
+    chance = seatings(c, d) * w ** np.arange(1, c + 1)
+    chance /= chance.sum()
+    drawn = np.bincount(m.reseated(np.full(40_000, c), np.full(40_000, w), d, np.random.default_rng(1)), minlength=c + 1)
+    assert np.abs(drawn[1:] / 40_000 - chance).max() < 0.01
+    assert m.reseated(np.array([0, 1, 2]), np.ones(3), 0.5, np.random.default_rng(2))[:2].tolist() == [0, 1]
+
+
+@pytest.mark.parametrize("w", [0.3, 20.0, 900.0])
+def test_many_customers_like_the_table(w):
+    rng, c = np.random.default_rng(4), 2500
+    row = m.log_seatings([c], 0.8)[c] + np.log(w) * np.arange(1, c + 1)
+    chance = np.exp(row - row.max()) / np.exp(row - row.max()).sum()
+    mean = chance @ np.arange(1, c + 1)
+    deviation = math.sqrt(chance @ (np.arange(1, c + 1) - mean) ** 2)
+    drawn = [m.many_seated(c, w, 0.8, rng) for _ in range(400)]
+    assert abs(np.mean(drawn) - mean) < 5 * deviation / 20
+    assert 1 <= m.many_seated(10**9, 5.0, 0.8, rng) < 60
+
+
+def test_gibbs_sweeps_follow_the_joint_posterior():
+    """Two dishes of one restaurant: the scale makes them one draw."""
+    counts, parent = (3, 4), (0.3, 0.1)
+    joint = {}
+    for a, x in enumerate(seatings(3, m.DISCOUNT), 1):
+        for b, y in enumerate(seatings(4, m.DISCOUNT), 1):
+            rising = math.prod(m.STRENGTH + m.DISCOUNT * k for k in range(a + b))
+            joint[a, b] = x * y * parent[0] ** a * parent[1] ** b * rising
+    total = sum(joint.values())
+    rng, copies = np.random.default_rng(8), 6000
+    shard = m.Shard.__new__(m.Shard)
+    shard.counts = np.tile(np.array(counts), copies)
+    shard.context, shard.word = np.repeat(np.arange(copies), 2), np.tile(np.array([0, 1]), copies)
+    shard.contexts = np.arange(copies)
+    seen = Counter()
+    for sweep, tables in enumerate(shard.seated(np.array(parent), rng, 14)):
+        if sweep > 3:
+            seen.update(zip(tables[::2].tolist(), tables[1::2].tolist()))
+    for pair, weight in joint.items():
+        assert abs(seen[pair] / (10 * copies) - weight / total) < 0.01, pair
+
+
+def test_probabilities_of_a_context_in_several_shards_sum_to_one():
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(40)]
+    learnt = [" ".join(f"a {rng.choice(vocabulary[: rng.randrange(1, 41)])}" for _ in range(60)) for _ in range(30)]
+    asked = [" ".join(f"a {w}" for w in [*vocabulary, "a", "unseen"]), "a"]
+    numbers, train = m.Numbers(), np.array([1] * len(learnt) + [0] * len(asked), dtype=np.uint8)
+    tokens = m.tokens(learnt + asked, numbers)
+    name = int(np.frombuffer(numbers.hashes, dtype=np.uint64)[numbers[b"a"]])
+    shards, hot = 4, {name: 4}
+    sent = list(m.routed(*tokens, train, numbers, shards, hot))
+    held = {q: [b for s, b in sent if s == q] for q in range(shards)}
+    menus = {q: ([], []) for q in range(shards)}
+    for s in range(shards):
+        for q, b in m.seat(s, held[s], shards, [name]):
+            menus[q][0].append(s)
+            menus[q][1].append(b)
+    answers = {s: {} for s in range(shards)}
+    for q, (senders, blobs) in menus.items():
+        for s, b in m.menu(q, senders, blobs, shards):
+            answers[s][q] = b
+    total, unknown, words = 0.0, [], 0
+    for s in range(shards):
+        shard = m.Shard(held[s])
+        logs, _, known, _ = m.pair_logs(shard, s, answers[s], shards, [name])
+        own = shard.contexts[shard.context] == np.uint64(name)
+        total, words = total + (10 ** logs[own & (known > 0)]).sum(), words + own.sum()
+        unknown += (10 ** logs[own & (known == 0)]).tolist()
+    assert words == 43 and np.ptp(unknown) < 1e-12
+    assert abs(total + unknown[0] - 1) < 1e-6  # all known words, the end and one unknown
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    rows = corpus(120)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    key, found = "spark.sql.shuffle.partitions", []
+    before = spark.conf.get(key)
+    try:
+        for parts in (2, 17):
+            spark.conf.set(key, str(parts))
+            scored = m.scored(docs.repartition(parts), F.col("doc_id") % 5 != 1, shard_bytes=3000)
+            found.append({r.doc_id: r.score for r in scored.collect()})
+    finally:
+        spark.conf.set(key, before)
+    assert all(math.isclose(found[0][i], found[1][i], rel_tol=1e-9) for i in found[0])
 
 
 @pytest.mark.parametrize("texts", [["x " * 20000, "y"], ["x x y"] * 500])

@@ -2,9 +2,10 @@
 
 Each context (the word before) is a restaurant; all of them share one parent
 restaurant, whose base is uniform over the known words and one unknown word. Tables
-of a context's restaurant are customers of the parent. Gibbs sweeps reseat all
-customers of a dish, given the tables of the other dishes; the predictive
-probabilities are averaged over the sweeps after the first.
+of a context's restaurant are customers of the parent. A Gibbs sweep draws a scale
+for each restaurant and then, given it, the tables of every dish from their exact
+distribution (``reseated``); the predictive probabilities are averaged over the
+sweeps after the first.
 
 Tokens move once, in packed blocks and as counts of a word pair in a document, to
 the shard of their context, those of the documents to learn from and of all
@@ -20,8 +21,10 @@ score from the answer, so a pair brings at most ``PAIR_DOCS`` counts a block. Th
    sums of log probabilities per document.
 
 Frequent contexts are spread over several shards by the word that follows; their
-totals travel with the words. What a task holds is bounded by the number of
-shards, which follows the size of the corpus. Hot contexts are the only values
+totals travel with the words, and their probabilities use the sample that the totals
+belong to, so they add up to one. Each shard samples such a context with its own
+tables, and the parent's shards take their own totals for a share of all. What a task
+holds is bounded by the number of shards, which follows the size of the corpus. Hot contexts are the only values
 that pass through the driver: fewer than two for each shard.
 
 Defined results: null and empty texts have one token, the end; a corpus without
@@ -41,16 +44,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack, partitions, unpack, whole_text
+from .common import pack, unpack, whole_text
 
 BLOCK_CHARACTERS, SHARD_BYTES = 8 << 20, 16 << 20
 # Words whose numbers a task keeps from block to block.
 KNOWN_WORDS = 250_000
 DISCOUNT, STRENGTH = 0.8, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.5, 1.0
-SWEEPS = 3
-# Customers that are seated one by one; further ones in blocks that double.
-SINGLY = 48
+SWEEPS, FIRST_SWEEPS = 3, 2
 # Documents of a block of which a word pair sends counts one by one.
 PAIR_DOCS = 16
 # Words are known by 48 bits of their hash, two of a billion words alike in about 2,000 cases.
@@ -184,38 +185,147 @@ class Shard:
         self.word_counts = np.bincount(self.word, self.counts, len(self.words)).astype(np.int64)
         self.customers = np.bincount(self.context, self.counts, len(self.contexts))
 
-    def seated(self, parent: np.ndarray, rng: np.random.Generator, sweeps: int, elsewhere: np.ndarray):
-        """Tables per pair after each sweep. parent: probability of each word; elsewhere: tables of
-        the contexts in other shards."""
+    def seated(self, parent: np.ndarray, rng: np.random.Generator, sweeps: int):
+        """Tables per pair after each sweep. parent: probability of each word."""
         tables = (self.counts > 0).astype(np.int64)
         for _ in range(sweeps):
-            total = np.bincount(self.context, tables, len(self.contexts)) + elsewhere
-            weight = (STRENGTH + DISCOUNT * total)[self.context] * parent[self.word]
-            tables = reseated(self.counts, weight, DISCOUNT, rng)
+            total = np.bincount(self.context, tables, len(self.contexts))
+            scale = rng.gamma(STRENGTH / DISCOUNT + total)
+            tables = reseated(self.counts, DISCOUNT * scale[self.context] * parent[self.word], DISCOUNT, rng)
             yield tables
 
 
+# Customers up to which the numbers of seatings are tabled.
+TABLED = 2048
+# Tables, as a multiple of customers ** discount, up to which the alternating sum is exact in doubles.
+SUMMED = 2.0
+
+
+def log_seatings(wanted: list[int], discount: float) -> dict[int, np.ndarray]:
+    """By customers c the logs of the generalised Stirling numbers S(c, t) for t from 1 to c."""
+    row, found = np.zeros(1), {}
+    for c in range(1, max(wanted, default=0) + 1):
+        if c in wanted:
+            found[c] = row
+        longer = np.append(-np.inf, row)
+        longer[:-1] = np.logaddexp(longer[:-1], np.log(c - discount * np.arange(1, c + 1)) + row)
+        row = longer
+    return found
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Of positive values."""
+    x = np.asarray(x, dtype=np.float64)
+    shift = np.zeros_like(x)
+    for _ in range(8):
+        low = x < 8
+        shift = np.where(low, shift - np.log(np.where(low, x, 1)), shift)
+        x = np.where(low, x + 1, x)
+    r = 1 / (x * x)
+    return shift + (x - 0.5) * np.log(x) - x + 0.9189385332046727 + (
+        1 / 12 - r * (1 / 360 - r * (1 / 1260 - r / 1680))) / x
+
+
+def log_sizes(tables: np.ndarray, customers: int, discount: float) -> np.ndarray:
+    """Log of S(c, t) discount^t t! / c!: the chance that t independent Sibuya sizes add up to c.
+
+    S has the generating function (1 - (1 - x)^discount)^t. Its binomial expansion is an
+    alternating sum, exact in doubles for few tables. Beyond, where there are hundreds of
+    tables, the saddle point of the generating function stands in; it is close unless
+    nearly all customers sit alone, where the chances fall off in any case.
+    """
+    out = np.empty(len(tables))
+    few = tables <= SUMMED * customers**discount
+    t = tables[few].astype(np.float64)[:, None]
+    if len(t):
+        j = np.arange(1, min(int(t.max()), 200) + 1, dtype=np.float64)
+        # 1 / Gamma(-a) = a sin(pi a) Gamma(a) / pi up to the sign, which follows below.
+        sign = -np.sin(np.pi * j * discount) * np.where(j % 2 == 1, -1.0, 1.0)
+        size = log_gamma(j * discount + 1) - np.log(np.pi) + log_gamma(customers - j * discount) - log_gamma(customers + 1.0)
+        choose = log_gamma(t + 1) - log_gamma(j + 1)[None, :] - log_gamma(np.maximum(t - j, 0) + 1)
+        logs = np.where(j <= t, choose + size, -np.inf)
+        top = logs.max(axis=1, keepdims=True)
+        total = (np.exp(logs - top) * sign).sum(axis=1)
+        out[few] = np.log(np.maximum(total, 1e-300)) + top[:, 0]
+    t = tables[~few].astype(np.float64)
+    if len(t):
+        def log_rest(s: np.ndarray) -> np.ndarray:
+            """log(1 - exp(s))"""
+            return np.where(s < -0.7, np.log1p(-np.exp(s)), np.log(np.maximum(-np.expm1(s), 1e-300)))
+
+        def mean(s: np.ndarray) -> np.ndarray:
+            rest = log_rest(s)
+            return t * discount * np.exp(s + (discount - 1) * rest) / -np.expm1(discount * rest)
+
+        low, high = np.full(len(t), -50.0), np.full(len(t), -1e-13)
+        for _ in range(80):
+            middle = (low + high) / 2
+            above = mean(middle) > customers
+            low, high = np.where(above, low, middle), np.where(above, middle, high)
+        s = (low + high) / 2
+        step = -s * 1e-4
+        spread_ = (mean(s + step) - mean(s - step)) / (2 * step)
+        value = t * np.log(-np.expm1(discount * log_rest(s)))
+        out[~few] = value - s * customers - 0.5 * np.log(2 * np.pi * np.maximum(spread_, 1e-300))
+    return out
+
+
+def many_seated(customers: int, weight: float, discount: float, rng: np.random.Generator) -> int:
+    """Tables of one dish with many customers: all values of t that matter, by their chances."""
+
+    def logs(t: np.ndarray) -> np.ndarray:
+        return t * np.log(weight / discount) - log_gamma(t + 1.0) + log_sizes(t, customers, discount)
+
+    # The chances have one top: close in on it by ever finer grids.
+    low, high = 1, customers
+    while high - low > 64:
+        grid = np.unique(np.geomspace(low, high, 33).astype(np.int64))
+        best = int(logs(grid).argmax())
+        after = int(grid[max(0, best - 1)]), int(grid[min(len(grid) - 1, best + 1)])
+        if after == (low, high):
+            break
+        low, high = after
+    grid = np.arange(low, high + 1)
+    value = logs(grid)
+    top = int(grid[value.argmax()])
+    width = 16
+    peak = value.max()
+    while True:
+        grid = np.arange(max(1, top - width), min(customers, top + width) + 1)
+        value = logs(grid) - peak
+        if (value[0] < -40 or grid[0] == 1) and (value[-1] < -40 or grid[-1] == customers):
+            break
+        width *= 2
+    chance = np.cumsum(np.exp(value - value.max()))
+    return int(grid[min(np.searchsorted(chance, rng.random() * chance[-1]), len(grid) - 1)])
+
+
 def reseated(counts: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Seat the customers of each dish anew; weight: that of a new table."""
+    """Tables of each dish, drawn anew from their distribution given the customers: S(c, t) weight^t.
+
+    All dishes of a restaurant are independent of each other given the scale that
+    ``Shard.seated`` draws, a Gamma variable of the strength and of the number of
+    tables: both draws together are a Gibbs sampler of the restaurant.
+    """
     tables = (counts > 0).astype(np.int64)
-    at = np.flatnonzero(counts > 1)
-    for seated in range(1, SINGLY):
-        at = at[counts[at] > seated]
-        if not len(at):
-            return tables
-        new = weight[at]
-        tables[at] += rng.random(len(at)) * (seated - discount * tables[at] + new) < new
-    seated = SINGLY
-    while True:
-        at = at[counts[at] > seated]
-        if not len(at):
-            return tables
-        until = np.minimum(counts[at], 2 * seated)
-        new = weight[at]
-        low = np.maximum(seated - discount * tables[at], 0) + new
-        mean = new * np.log((low + until - seated) / low)
-        tables[at] += np.minimum(rng.poisson(mean), until - seated)
-        seated *= 2
+    order = np.argsort(counts, kind="stable")
+    values, first = np.unique(counts[order], return_index=True)
+    ends = np.append(first[1:], len(order))
+    rows = log_seatings([int(c) for c in values if 1 < c <= TABLED], discount)
+    for c, a, b in zip(values.tolist(), first, ends):
+        if c <= 1:
+            continue
+        if c > TABLED:
+            for i in order[a:b]:
+                tables[i] = many_seated(c, max(float(weight[i]), 1e-300), discount, rng)
+            continue
+        t, step = np.arange(1, c + 1), max(1, 2_000_000 // c)
+        for start in range(a, b, step):
+            own = order[start : min(b, start + step)]
+            logs = rows[c] + np.log(np.maximum(weight[own], 1e-300))[:, None] * t
+            chance = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+            tables[own] = 1 + (chance < (rng.random(len(own)) * chance[:, -1])[:, None]).sum(axis=1)
+    return tables
 
 
 def seat(shard: int, blobs: list[bytes], shards: int, hot: list[int]) -> Iterator[tuple[int, bytes]]:
@@ -224,7 +334,7 @@ def seat(shard: int, blobs: list[bytes], shards: int, hot: list[int]) -> Iterato
     total = max(1, int(own.word_counts.sum()))
     parent = (own.word_counts + 0.5) / (total + 0.5 * len(own.words))
     rng = np.random.default_rng(shard)
-    *_, tables = own.seated(parent, rng, 2, np.zeros(len(own.contexts)))
+    *_, tables = own.seated(parent, rng, FIRST_SWEEPS)
     of_word = np.bincount(own.word, tables, len(own.words)).astype(np.int64)
     of_context = np.bincount(own.context, tables, len(own.contexts)).astype(np.int64)
     hot_at = at_sorted(own.contexts, np.array(hot, dtype=np.uint64))
@@ -257,7 +367,8 @@ def menu(q: int, senders: list[int], blobs: list[bytes], shards: int) -> Iterato
     rng = np.random.default_rng(q + (1 << 32))
     tables, mean = (customers > 0).astype(np.int64), np.zeros(len(words))
     for sweep in range(SWEEPS + 1):
-        weight = (PARENT_STRENGTH + PARENT_DISCOUNT * tables.sum() * shards) / (known + 1)
+        scale = rng.gamma(PARENT_STRENGTH / PARENT_DISCOUNT + tables.sum() * shards)
+        weight = PARENT_DISCOUNT * scale / (known + 1)
         tables = reseated(customers, np.full(len(words), weight), PARENT_DISCOUNT, rng)
         mean += tables * (sweep > 0) / SWEEPS
     sums = np.array([counts.sum(), (counts > 0).sum(), customers.sum(), mean.sum()], dtype=np.float64)
@@ -286,20 +397,20 @@ def pair_logs(
     new = (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)
     parent = (weight + new) / (PARENT_STRENGTH + customers) if learnt else np.ones(len(own.words))
     total = own.customers.astype(np.float64)
-    elsewhere = np.zeros(len(own.contexts))
-    hot_at = at_sorted(own.contexts, np.array(hot, dtype=np.uint64))
-    here = np.flatnonzero(hot_at >= 0)
-    total[hot_at[here]] = hot_sums[0][here]
-    if len(here):  # the sample of ``seat`` again, for the tables that other shards hold
-        first = (own.word_counts + 0.5) / (max(1, int(own.word_counts.sum())) + 0.5 * len(own.words))
-        *_, before = own.seated(first, np.random.default_rng(shard), 2, np.zeros(len(own.contexts)))
-        mine = np.bincount(own.context, before, len(own.contexts))
-        elsewhere[hot_at[here]] = np.maximum(0, hot_sums[1][here] - mine[hot_at[here]])
     mean = np.zeros(len(own.pairs))
     rng = np.random.default_rng(shard + (1 << 40))
-    for sweep, tables in enumerate(own.seated(parent, rng, SWEEPS + 1, elsewhere)):
+    for sweep, tables in enumerate(own.seated(parent, rng, SWEEPS + 1)):
         mean += tables * (sweep > 0) / SWEEPS
-    of_context = np.bincount(own.context, mean, len(own.contexts)) + elsewhere
+    of_context = np.bincount(own.context, mean, len(own.contexts))
+    hot_at = at_sorted(own.contexts, np.array(hot, dtype=np.uint64))
+    here = np.flatnonzero(hot_at >= 0)
+    if len(here):
+        # Contexts in several shards: the sample of ``seat`` again, as its totals are known.
+        first = (own.word_counts + 0.5) / (max(1, int(own.word_counts.sum())) + 0.5 * len(own.words))
+        *_, before = own.seated(first, np.random.default_rng(shard), FIRST_SWEEPS)
+        total[hot_at[here]], of_context[hot_at[here]] = hot_sums[0][here], hot_sums[1][here]
+        spread_out = np.isin(own.context, hot_at[here])
+        mean[spread_out] = before[spread_out]
     back = (STRENGTH + DISCOUNT * of_context)[own.context] * parent[own.word]
     direct = np.maximum(own.counts - DISCOUNT * mean, 0)
     logs = np.log10((direct + back) / (STRENGTH + total[own.context]))
@@ -352,9 +463,9 @@ def scored(
     docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """id, learnt (whether ``train`` holds), n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    shards = partitions(spark, size, shard_bytes)
+    # By the data alone: the sample must not depend on the session's partitions.
+    shards = max(1, int(-(-size // shard_bytes)))
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.coalesce(train, F.lit(False)).alias("train"),
         whole_text(text_col).alias("text"))
