@@ -15,12 +15,17 @@ from .operators import (
     suggest, summary, temporal,
 )
 from .plans import event_log as log, forensic
-from .sinks.tables import document, write_case_table
+from .sinks.tables import document, write_case_metrics, write_case_table, write_value_frequencies
 from .sinks.xes import trace_events, write_xes
 from .operators.skew import shared_path
 from .sources.audit import audit_rows, read_audit_csv, read_bad_lines
 from .sources.xes import read_long_xes
 
+# Headers under which the sources hold the canonical columns.
+RAW_HEADERS = {
+    "Item ID": "case_key", "Action": "operation", "Attribute": "field", "Old value": "old_value",
+    "New value": "new_value", "Anon Actor": "actor", "Timestamp": "logged_at",
+}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -250,6 +255,34 @@ def _xes_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _through_csv(made: DataFrame, write: Callable[[DataFrame, str], None], columns: list[str]) -> DataFrame:
+    """The rows as they are read from the CSV files that a sink writes."""
+    spark = made.sparkSession
+    path = shared_path(spark, "csv")
+    write(made, path)
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    return reader.schema(made.select(columns).schema).csv(path)
+
+
+def _metrics_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = cases.case_metrics(_forensic(spark, sf_dir).events)
+    found = _through_csv(made, write_case_metrics, made.columns)
+    return _text(found, "first_timestamp", "last_timestamp", "create_timestamp")
+
+
+def _frequencies_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = profile.value_frequencies(_profile_table(spark, sf_dir))
+    return _through_csv(made, write_value_frequencies, [c for c in made.columns if c != "rank"])
+
+
+def _log_of_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log of a set of sources, the audit log under raw headers."""
+    table = _audit_scan(spark, sf_dir).withColumnsRenamed({v: k for k, v in RAW_HEADERS.items()})
+    sources = {"audit_log": table, "main_case_table": spark.range(1)}
+    found = log.event_log_of(sources, classify.default_rules(spark))
+    return _plain(_utc(found.drop("ingest_ord", "Extra Note")))
+
+
 def _report_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three of the report documents as JSON text, made from the written facts."""
     source = forensic.staged(_forensic(spark, sf_dir), shared_path(spark, "forensic-rows"))
@@ -348,6 +381,7 @@ def queries() -> dict[str, Query]:
         "xes_traces": lambda s, d: trace_events(_exported(s, d)),
         "xes_read_back": _xes_read_back,
         "pipeline_step_counts": _step_counts,
+        "event_log_of_sources": _log_of_sources,
         "cleaned_log": _cleaned_log,
         "removed_cases": _removed_cases,
         "pipeline_step_metrics": _step_metrics,
@@ -355,6 +389,7 @@ def queries() -> dict[str, Query]:
         "case_metrics": _on_events(
             cases.case_metrics, "first_timestamp", "last_timestamp", "create_timestamp"
         ),
+        "case_metrics_csv": _metrics_csv,
         "case_metrics_of_table": _metrics_of_table,
         "stage_violations_of_table": _violations_of_table,
         "case_size_bands": _on_cases(cases.size_bands),
@@ -426,6 +461,7 @@ def queries() -> dict[str, Query]:
             profile.date_profile(_audit(s, d), "logged_at"), "min_timestamp", "max_timestamp"
         ),
         "value_frequencies": lambda s, d: profile.value_frequencies(_profile_table(s, d)),
+        "value_frequencies_csv": _frequencies_csv,
         "field_characteristics": _on_raw(suggest.field_characteristics),
         "bucket_suggestions": _on_raw(suggest.bucket_suggestions),
         "field_characteristics_values": _on_raw(suggest.characteristic_values),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio, rounded
 from ..functions.text import clipped
 from .facts import count_of
 from .ordering import CREATE
+from .skew import first_per_key
 from .topk import value_counts
 
 
@@ -18,19 +19,16 @@ ABANDONED_FIELD, ASSIGNED_FIELD = "the000g_revenuetype", "ownerid"
 
 def single_fields(singles: DataFrame, sample_chars: int | None = None) -> DataFrame:
     """Rows per field, their share and the first row as a sample, cut to sample_chars."""
-    place = F.struct("case_id", "ts", "ingest_ord")
-    fields = singles.groupBy("field").agg(
-        F.count("*").alias("count"),
-        F.min_by(F.struct("new_value", "actor"), place).alias("_sample"),
-    )
-    # Rows without a field count in the share: they are a group of their own that is dropped.
-    rows = F.sum("count").over(Window.partitionBy())
-    return fields.withColumn("_rows", rows).where(F.col("field").isNotNull()).select(
+    first = first_per_key(singles, ["field"], ["case_id", "ts", "ingest_ord"]).where(F.col("field").isNotNull())
+    counts = singles.groupBy(F.col("field").alias("_field")).agg(F.count("*").alias("count"))
+    # Rows without a field count in the share.
+    found = first.join(counts, F.col("field") == F.col("_field")).withColumn("_rows", counts.agg(F.sum("count")).scalar())
+    return found.select(
         "field",
         "count",
         percent(F.col("count"), F.col("_rows")).alias("percentage_of_single_events"),
-        clipped(F.col("_sample.new_value"), sample_chars, "...").alias("sample_value"),
-        F.col("_sample.actor").alias("sample_actor"),
+        clipped(F.col("new_value"), sample_chars, "...").alias("sample_value"),
+        F.col("actor").alias("sample_actor"),
     )
 
 

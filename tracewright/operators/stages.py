@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import percent
 from .fields import PREFIX
-from .skew import LARGE_GROUP_ROWS, with_previous
+from .skew import LARGE_GROUP_ROWS, first_per_key, with_previous
 from .topk import top_per_group
 
 # Fields whose value changes are tracked.
@@ -28,11 +28,12 @@ def stage_rows(events: DataFrame, field: str = "stepname") -> DataFrame:
 
 def stage_order(events: DataFrame) -> DataFrame:
     """Per prefix the label of its first row, by case and time, and its row count."""
-    place = F.struct("case_id", "ts", "ingest_ord")
-    numbered = stage_rows(events).where(F.col("prefix").isNotNull())
-    return numbered.groupBy("prefix").agg(
-        F.min_by("stage", place).alias("stage"), F.count("*").alias("count")
-    )
+    rows = stage_rows(events).select("prefix", "stage", "case_id", "ts", "ingest_ord")
+    numbered = rows.where(F.col("prefix").isNotNull())
+    # One row per prefix and task is sorted out before the shuffle; counts are hashed.
+    first = first_per_key(numbered, ["prefix"], ["case_id", "ts", "ingest_ord"]).select("prefix", "stage")
+    counts = numbered.groupBy(F.col("prefix").alias("_prefix")).agg(F.count("*").alias("count"))
+    return first.join(counts, F.col("prefix") == F.col("_prefix")).drop("_prefix")
 
 
 def stepname_totals(events: DataFrame) -> DataFrame:

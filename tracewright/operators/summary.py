@@ -55,40 +55,46 @@ def overview(
     """One row with the headline numbers.
 
     timed: all rows, ts null where it could not be read; events: those with ts.
-    One aggregation by case gives all counts; the distinct values and the steps back
-    are one scalar each.
+    One read, melted to cases, actors and fields, gives all counts; another one the
+    steps back.
     """
     valid = F.col("ts").isNotNull()
     step = valid & (F.col("field") == "stepname")
     prefixed = step & F.regexp_extract("new_value", r"^(\d+)-", 1).try_cast("bigint").isNotNull()
-    cases = timed.groupBy("case_id").agg(
-        F.count("ts").alias("rows"),
-        F.count("*").alias("read"),
-        F.count_if(valid & (F.col("operation") == create)).alias("creates"),
-        F.min("ts").alias("first"),
-        F.max("ts").alias("last"),
-        F.count_if(step).alias("steps"),
-        F.count_if(prefixed).alias("prefixed"),
+    flags = {
+        "rows": valid, "creates": valid & (F.col("operation") == create), "steps": step, "prefixed": prefixed,
+    }
+    kinds = {"case": F.col("case_id"), "actor": F.when(valid, F.col("actor")), "field": F.when(valid, F.col("field"))}
+    melted = timed.select(
+        "ts", *[F.coalesce(flag, F.lit(False)).cast("int").alias(name) for name, flag in flags.items()],
+        F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), c.alias("value")) for k, c in kinds.items()])),
+    )
+    counted = melted.groupBy("kind", "value").agg(
+        F.count("*").alias("read"), F.min("ts").alias("first"), F.max("ts").alias("last"),
+        *[F.sum(name).alias(name) for name in flags],
     )
-    single = F.col("rows") == 1
+    case = F.col("kind") == "case"
+    single = case & (F.col("rows") == 1)
 
     def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0).cast("bigint"))
+        return F.coalesce(F.sum(F.when(case, F.col(name))), F.lit(0).cast("bigint"))
+
+    def distinct(kind: str) -> Column:
+        return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
 
-    heads = cases.agg(
+    heads = counted.agg(
         total("rows").alias("total_events"),
-        F.count_if(F.col("rows") > 0).alias("total_cases"),
+        F.count_if(case & (F.col("rows") > 0)).alias("total_cases"),
         F.count_if(single).alias("single_event_cases"),
         F.count_if(single & (F.col("creates") == 1)).alias("single_event_creations"),
         F.min("first").alias("min_timestamp"),
         F.max("last").alias("max_timestamp"),
         (total("read") - total("rows")).alias("rows_dropped_invalid"),
         percent(total("prefixed"), total("steps")).alias("_prefix"),
+        F.struct(distinct("actor").alias("total_actors"), distinct("field").alias("total_fields")).alias("_kinds"),
     )
-    kinds = events.agg(F.struct(
-        F.countDistinct("actor").alias("total_actors"), F.countDistinct("field").alias("total_fields")))
     steps = stages.violation_summary(stages.stage_violations(events, limit, timed)).select(F.struct("*"))
-    return headline(heads.withColumns({"_kinds": kinds.scalar(), "_steps": steps.scalar()}))
+    return headline(heads.withColumn("_steps", steps.scalar()))
 
 
 def overview_of(

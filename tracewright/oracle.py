@@ -730,6 +730,12 @@ FROM profile LEFT JOIN numbers USING ("column")""",
     found["stage_violations_of_table"] = timed(f"SELECT * REPLACE ({_local('ts')}) FROM back", *in_table, _STAGES)
     # The same rows by other ways.
     found["xes_read_back"] = found["xes_traces"]
+    found["case_metrics_csv"] = found["case_metrics"]
+    found["value_frequencies_csv"] = (
+        # A reader of the file takes an empty cell for a null.
+        f"SELECT * EXCLUDE (rank) REPLACE (nullif(value, '') AS value) FROM ({found['value_frequencies']})")
+    found["event_log_of_sources"] = (
+        f"SELECT * EXCLUDE (ingest_ord) REPLACE (coalesce(old_value, '') AS old_value) FROM ({found['event_log']})")
     found["cleaned_log"] = found["event_log"]
     found["removed_cases"] = found["single_event_rows"]
     found["pipeline_step_metrics"] = f"SELECT * FROM ({found['pipeline_step_counts']}) WHERE step <> 'distinct_activities'"
