@@ -58,3 +58,22 @@ def test_frames(spark):
     kept = d.clean(docs, items)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 7]
     assert d.matches(docs.limit(0), items).count() == 0 and d.clean(docs, items.limit(0)).count() == 9
+
+
+@pytest.mark.parametrize("group_bytes", [1, 400, 1 << 20])
+def test_large_benchmarks_take_several_passes(spark, group_bytes):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(500)]
+    wanted = [(f"item {i}", " ".join(rng.choice(words) for _ in range(25))) for i in range(12)]
+    texts = [" ".join(rng.choice(words) for _ in range(80)) for _ in range(40)]
+    held = {3: [0], 9: [11, 5], 17: [5], 30: [7]}
+    for doc, found in held.items():
+        texts[doc] += " " + " and ".join(wanted[i][1].upper() for i in found)
+    docs = spark.createDataFrame([(f"doc {i}", t, "x") for i, t in enumerate(texts)], "doc_id string, text string, _found string")
+    items = spark.createDataFrame(wanted, "item_id string, text string")
+    options = {"block_bytes": 150, "group_bytes": group_bytes}
+    rows = d.matches(docs, items, **options).collect()
+    assert sorted((r.doc_id, r.item_id, r.errors) for r in rows) == sorted(
+        (f"doc {k}", f"item {i}", 0) for k, v in held.items() for i in v)
+    kept = d.clean(docs.drop("_found"), items, **options)
+    assert {r.doc_id for r in kept.collect()} == {f"doc {i}" for i in range(40) if i not in held}

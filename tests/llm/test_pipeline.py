@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 import public_tokenizers
 
@@ -77,3 +78,15 @@ def test_run(spark, folder):
         assert r.token_ids == " ".join(map(str, ids)) and r.n_tokens == len(ids)
     assert len({r.doc_id for r in rows}) == len(rows) and 0 < len(rows) < len(texts)
     assert corpus_pipeline.ORACLE_SQL is None and [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
+
+
+def test_stages_keep_clashing_columns_apart(spark, folder):
+    place, _, _ = folder
+    docs = spark.read.parquet(f"{place}/documents.parquet").limit(20)
+    names = ("n_tokens", "token_ids", "score", "predicted", "spans", "kept", "item_id", "_found", "key", "node")
+    docs = docs.withColumns({n: F.lit("mine") for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, place).columns == docs.columns, name
+    found = corpus_pipeline.as_tokens(spark, docs, place)
+    assert len(set(found.columns)) == len(found.columns) and dict(found.dtypes)["n_tokens"] == "bigint"
+    assert found.count() == 20

@@ -36,3 +36,27 @@ def test_edges(spark):
     assert max(counts) - min(counts) <= 40
     assert sharding.sharded(docs.limit(0), 4).count() == 0
     assert sharding.sharded(docs.limit(1), 4).count() == 1
+
+
+@pytest.mark.parametrize("hot", [0, 400])
+def test_whole_law_against_plain_code(spark, hot):
+    """Sort all rows by their keys, cut them by bytes: shards must follow that order and be near equal."""
+    texts = ["copy " * 30 if i < hot else f"{i} " * (i * 7 % 90) for i in range(1200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    rows = sharding.sharded(docs, 24).collect()
+    plain = {i: (len(t.encode()) + 8, zlib.crc32(t.encode())) for i, t in enumerate(texts)}
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in rows} == plain and len(rows) == 1200
+    assert all(r.law == "bytes" and 0 <= r.shard < 24 and r.grown_shard is None for r in rows)
+    total, largest = sum(n for n, _ in plain.values()), max(n for n, _ in plain.values())
+    sums, slots = [0] * 24, {}
+    for r in rows:
+        sums[r.shard] += r["size"]
+        slots.setdefault(r.shard, []).append(r.slot)
+    # A cut may be off by the tolerance of the splitters and by a row on each side.
+    assert max(abs(n - total / 24) for n in sums) <= 0.02 * total / 24 + 2 * largest
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # Equal texts lie in consecutive shards: a group of copies is cut, not scattered.
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.text_crc32, set()).add(r.shard)
+    assert all(max(s) - min(s) + 1 == len(s) for s in groups.values())

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import xxhash
@@ -28,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share; a temporary one only with a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="staged-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -46,7 +48,20 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     frame.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(frame.schema).parquet(path)
+    found = spark.read.schema(frame.schema).parquet(path)
+    _PLACES[found] = place
+    return found
+
+
+# Where staged frames are, for ``discard``.
+_PLACES: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a staged frame that nothing reads any more."""
+    place = _PLACES.pop(frame, None)
+    if place is not None:
+        place.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def whole_text(column: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -40,6 +40,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     edges = staged(edges.where(F.col("u") > F.col("v")).distinct(), "edges")
     while True:
         after = staged(_small_star(_large_star(edges)), "edges")
+        discard(edges)  # the round is written: nothing goes back to the one before
         # A forest of stars: each child has one parent, and no node is at the same time a child and a parent.
         parents = after.select(F.col("v").alias("u")).distinct()
         several = after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")

@@ -6,30 +6,36 @@ into k + 1 pieces, at least one of them occurs unchanged in every occurrence
 (pigeonhole), so one automaton over all pieces finds the places to look at, and
 Myers' bit-parallel distance decides there.
 
-Items are broadcast in blocks of bounded size; the documents are read once and
-every block looks at the whole text.
+Items are broadcast in blocks of bounded size and looked for in the whole text, by up
+to ``GROUP_BYTES`` of items in one pass over the documents. A larger benchmark takes
+several passes, each written to the shared folder, so neither the driver nor a worker
+ever holds more than one pass needs.
 
 Defined results: null and empty texts match nothing; null and empty items are
 skipped; repeated documents are reported one by one; of equal distances the
-first place counts.
+first place counts. Ids may be of any type that is kept as it is; an empty table of
+documents or items gives no matches. Very long texts are looked through whole. Other
+columns of the documents stay in ``clean``, whatever their names; ``matches`` names
+its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import staged, whole_text
 
 BYTES_PER_EDIT = 15
 # Items that one broadcast holds; an automaton takes about 40 times as much.
 BLOCK_BYTES = 1 << 20
-
-MATCHES = "array<struct<item_id: bigint, errors: int, ends_at: bigint>>"
+# Items that one pass over the documents looks for.
+GROUP_BYTES = 8 << 20
 
 
 def normal(text: str) -> bytes:
@@ -118,36 +124,39 @@ class Finder:
         return found
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
-    block, size = [], 0
-    rows = items.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t"))
+def _groups(
+    items: DataFrame, id_col: str, text_col: str, block_bytes: int, group_bytes: int
+) -> Iterator[list[list[tuple]]]:
+    """Blocks of (id, text) in groups, each group of bounded size; at least one, maybe empty."""
+    group, block, in_group, in_block = [], [], 0, 0
+    rows = items.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     for item, text in rows.orderBy("i", "t").toLocalIterator():
         data = normal(text or "")
         if not data:
             continue
-        if block and size + len(data) > block_bytes:
-            yield block
-            block, size = [], 0
+        if block and in_block + len(data) > block_bytes:
+            group.append(block)
+            block, in_block = [], 0
+        if group and in_group + len(data) > group_bytes:
+            yield group
+            group, in_group = [], 0
         block.append((item, data))
-        size += len(data)
-    yield block
-
-
-def matches_column(
-    items: DataFrame,
-    text: Column,
-    bytes_per_edit: int = BYTES_PER_EDIT,
-    id_col: str = "item_id",
-    text_col: str = "text",
-    block_bytes: int = BLOCK_BYTES,
-) -> Column:
-    """The items that occur in a text, each with its least distance and where that ends."""
+        in_block, in_group = in_block + len(data), in_group + len(data)
+    if block:
+        group.append(block)
+    yield group
+
+
+def _matches_of(blocks: list[list[tuple]], items: DataFrame, id_col: str, text: Column, bytes_per_edit: int) -> Column:
+    """The items of the blocks that occur in a text, each with its least distance and where that ends."""
     context = items.sparkSession.sparkContext
+    kind = items.schema[id_col].dataType.simpleString()
+    schema = f"array<struct<item_id: {kind}, errors: int, ends_at: bigint>>"
 
-    def column(block: list) -> Column:
+    def column(block: list[tuple]) -> Column:
         held = context.broadcast(block)
 
-        @F.pandas_udf(MATCHES)
+        @F.pandas_udf(schema)
         def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             finder = Finder(held.value, bytes_per_edit)
             for texts in batches:
@@ -157,18 +166,33 @@ def matches_column(
 
         return find(text)
 
-    return F.concat(*(column(b) for b in _blocks(items, id_col, text_col, block_bytes)))
+    return F.concat(*[column(b) for b in blocks]) if blocks else F.array().cast(schema)
 
 
 def matches(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: str = "text",
+    bytes_per_edit: int = BYTES_PER_EDIT, item_id: str = "item_id", item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
     """doc id, item_id, errors, ends_at (in the compared text): one row per document and item."""
-    found = docs.select(F.col(doc_id), matches_column(items, whole_text(text_col), **options).alias("_found"))
-    return found.select(doc_id, F.inline("_found"))
-
-
-def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    parts, last = [], None
+    for blocks in _groups(items, item_id, item_text, block_bytes, group_bytes):
+        if last is not None:
+            parts.append(staged(last, "matches"))
+        column = _matches_of(blocks, items, item_id, whole_text(text_col), bytes_per_edit)
+        found = docs.select(F.col(doc_id).alias("_doc"), column.alias("_found"))
+        last = found.select("_doc", F.inline("_found")).withColumnRenamed("_doc", doc_id)
+    return reduce(DataFrame.unionByName, [*parts, last])
+
+
+def clean(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", bytes_per_edit: int = BYTES_PER_EDIT,
+    item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, group_bytes: int = GROUP_BYTES,
+) -> DataFrame:
     """The documents in which no item occurs."""
-    found = docs.withColumn("_found", matches_column(items, whole_text(text_col), **options))
-    return found.where(F.size("_found") == 0).drop("_found")
+    columns, kept = docs.columns, None
+    for blocks in _groups(items, item_id, item_text, block_bytes, group_bytes):
+        rows = docs if kept is None else staged(kept, "without-items")
+        column = _matches_of(blocks, items, item_id, whole_text(text_col), bytes_per_edit)
+        kept = rows.withColumn("_found", column).where(F.size("_found") == 0).select(columns)
+    return kept
