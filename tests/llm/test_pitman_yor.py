@@ -95,9 +95,9 @@ def test_tables_follow_the_posterior(c, d, w):
     """Against all partitions of the customers, each with its probability."""
     chance = seatings(c, d) * w ** np.arange(1, c + 1)
     chance /= chance.sum()
-    drawn = np.bincount(m.reseated(np.full(40_000, c), np.full(40_000, w), d, np.random.default_rng(1)), minlength=c + 1)
+    drawn = np.bincount(m.Dishes(np.full(40_000, c), d).reseated(np.full(40_000, w), np.random.default_rng(1)), minlength=c + 1)
     assert np.abs(drawn[1:] / 40_000 - chance).max() < 0.01
-    assert m.reseated(np.array([0, 1, 2]), np.ones(3), 0.5, np.random.default_rng(2))[:2].tolist() == [0, 1]
+    assert m.Dishes(np.array([0, 1, 2]), 0.5).reseated(np.ones(3), np.random.default_rng(2))[:2].tolist() == [0, 1]
 
 
 @pytest.mark.parametrize("w", [0.3, 20.0, 900.0])

@@ -4,7 +4,7 @@ Each context (the word before) is a restaurant; all of them share one parent
 restaurant, whose base is uniform over the known words and one unknown word. Tables
 of a context's restaurant are customers of the parent. A Gibbs sweep draws a scale
 for each restaurant and then, given it, the tables of every dish from their exact
-distribution (``reseated``); the predictive probabilities are averaged over the
+distribution (``Dishes.reseated``); the predictive probabilities are averaged over the
 sweeps after the first.
 
 Tokens move once, in packed blocks and as counts of a word pair in a document, to
@@ -185,13 +185,25 @@ class Shard:
         self.word_counts = np.bincount(self.word, self.counts, len(self.words)).astype(np.int64)
         self.customers = np.bincount(self.context, self.counts, len(self.contexts))
 
-    def seated(self, parent: np.ndarray, rng: np.random.Generator, sweeps: int):
-        """Tables per pair after each sweep. parent: probability of each word."""
-        tables = (self.counts > 0).astype(np.int64)
+    def in_contexts(self, names: list[int]) -> np.ndarray:
+        """Which pairs belong to one of the contexts."""
+        at = at_sorted(self.contexts, np.array(names, dtype=np.uint64))
+        return np.isin(self.context, at[at >= 0])
+
+    def seated(self, parent: np.ndarray, rng: np.random.Generator, sweeps: int, pairs: np.ndarray | None = None):
+        """Tables per pair after each sweep. parent: probability of each word.
+
+        pairs: all pairs of some contexts; contexts are independent given the parent.
+        """
+        pairs = np.arange(len(self.counts)) if pairs is None else np.flatnonzero(pairs)
+        counts, chance = self.counts[pairs], parent[self.word[pairs]]
+        contexts, context = np.unique(self.context[pairs], return_inverse=True)
+        dishes = Dishes(counts, DISCOUNT)
+        tables = (counts > 0).astype(np.int64)
         for _ in range(sweeps):
-            total = np.bincount(self.context, tables, len(self.contexts))
+            total = np.bincount(context, tables, len(contexts))
             scale = rng.gamma(STRENGTH / DISCOUNT + total)
-            tables = reseated(self.counts, DISCOUNT * scale[self.context] * parent[self.word], DISCOUNT, rng)
+            tables = dishes.reseated(DISCOUNT * scale[context] * chance, rng)
             yield tables
 
 
@@ -216,11 +228,11 @@ def log_seatings(wanted: list[int], discount: float) -> dict[int, np.ndarray]:
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Of positive values."""
     x = np.asarray(x, dtype=np.float64)
-    shift = np.zeros_like(x)
-    for _ in range(8):
-        low = x < 8
-        shift = np.where(low, shift - np.log(np.where(low, x, 1)), shift)
-        x = np.where(low, x + 1, x)
+    shift, low = 0.0, x < 8
+    if low.any():
+        y = np.where(low, x, 1)
+        product = y * (y + 1) * (y + 2) * (y + 3) * (y + 4) * (y + 5) * (y + 6) * (y + 7)
+        shift, x = np.where(low, -np.log(product), 0), np.where(low, x + 8, x)
     r = 1 / (x * x)
     return shift + (x - 0.5) * np.log(x) - x + 0.9189385332046727 + (
         1 / 12 - r * (1 / 360 - r * (1 / 1260 - r / 1680))) / x
@@ -300,41 +312,57 @@ def many_seated(customers: int, weight: float, discount: float, rng: np.random.G
     return int(grid[min(np.searchsorted(chance, rng.random() * chance[-1]), len(grid) - 1)])
 
 
-def reseated(counts: np.ndarray, weight: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of each dish, drawn anew from their distribution given the customers: S(c, t) weight^t.
+class Dishes:
+    """Dishes by their customers, with the numbers of seatings."""
 
-    All dishes of a restaurant are independent of each other given the scale that
-    ``Shard.seated`` draws, a Gamma variable of the strength and of the number of
-    tables: both draws together are a Gibbs sampler of the restaurant.
-    """
-    tables = (counts > 0).astype(np.int64)
-    order = np.argsort(counts, kind="stable")
-    values, first = np.unique(counts[order], return_index=True)
-    ends = np.append(first[1:], len(order))
-    rows = log_seatings([int(c) for c in values if 1 < c <= TABLED], discount)
-    for c, a, b in zip(values.tolist(), first, ends):
-        if c <= 1:
-            continue
-        if c > TABLED:
-            for i in order[a:b]:
-                tables[i] = many_seated(c, max(float(weight[i]), 1e-300), discount, rng)
-            continue
-        t, step = np.arange(1, c + 1), max(1, 2_000_000 // c)
-        for start in range(a, b, step):
-            own = order[start : min(b, start + step)]
-            logs = rows[c] + np.log(np.maximum(weight[own], 1e-300))[:, None] * t
-            chance = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
-            tables[own] = 1 + (chance < (rng.random(len(own)) * chance[:, -1])[:, None]).sum(axis=1)
-    return tables
+    def __init__(self, counts: np.ndarray, discount: float) -> None:
+        self.counts, self.discount = counts, discount
+        self.order = np.argsort(counts, kind="stable")
+        values, first = np.unique(counts[self.order], return_index=True)
+        self.groups = list(zip(values.tolist(), first.tolist(), [*first[1:].tolist(), len(counts)]))
+        self.rows = log_seatings([c for c in values.tolist() if 1 < c <= TABLED], discount)
+
+    def reseated(self, weight: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """Tables of each dish, drawn anew from their distribution given the customers: S(c, t) weight^t.
+
+        All dishes of a restaurant are independent of each other given the scale that
+        ``Shard.seated`` draws, a Gamma variable of the strength and of the number of
+        tables: both draws together are a Gibbs sampler of the restaurant.
+        """
+        tables = (self.counts > 0).astype(np.int64)
+        weight = np.maximum(weight, 1e-300)
+        for c, a, b in self.groups:
+            if c <= 1:
+                continue
+            if c > TABLED:
+                for i in self.order[a:b]:
+                    tables[i] = many_seated(c, float(weight[i]), self.discount, rng)
+                continue
+            t, step = np.arange(1, c + 1), max(1, 2_000_000 // c)
+            for start in range(a, b, step):
+                own = self.order[start : min(b, start + step)]
+                logs = self.rows[c] + np.log(weight[own])[:, None] * t
+                chance = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+                tables[own] = 1 + (chance < (rng.random(len(own)) * chance[:, -1])[:, None]).sum(axis=1)
+        return tables
+
+
+def first_tables(own: Shard, shard: int, hot: list[int], which: str) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of the hot or of all other contexts, and their tables in the first sample, always the same."""
+    spread_out = own.in_contexts(hot)
+    pairs = spread_out if which == "hot" else ~spread_out
+    parent = (own.word_counts + 0.5) / (max(1, int(own.word_counts.sum())) + 0.5 * len(own.words))
+    *_, tables = own.seated(parent, np.random.default_rng([shard, which == "hot"]), FIRST_SWEEPS, pairs)
+    return pairs, tables
 
 
 def seat(shard: int, blobs: list[bytes], shards: int, hot: list[int]) -> Iterator[tuple[int, bytes]]:
     """(shard of words, packed (words, tables, counts, of hot contexts: customers, tables))."""
     own = Shard(blobs)
-    total = max(1, int(own.word_counts.sum()))
-    parent = (own.word_counts + 0.5) / (total + 0.5 * len(own.words))
-    rng = np.random.default_rng(shard)
-    *_, tables = own.seated(parent, rng, FIRST_SWEEPS)
+    tables = np.zeros(len(own.pairs), dtype=np.int64)
+    for which in ("hot", "other"):
+        pairs, found = first_tables(own, shard, hot, which)
+        tables[pairs] = found
     of_word = np.bincount(own.word, tables, len(own.words)).astype(np.int64)
     of_context = np.bincount(own.context, tables, len(own.contexts)).astype(np.int64)
     hot_at = at_sorted(own.contexts, np.array(hot, dtype=np.uint64))
@@ -366,10 +394,11 @@ def menu(q: int, senders: list[int], blobs: list[bytes], shards: int) -> Iterato
     known = max(1, int((counts > 0).sum())) * shards  # of all shards, about
     rng = np.random.default_rng(q + (1 << 32))
     tables, mean = (customers > 0).astype(np.int64), np.zeros(len(words))
+    dishes = Dishes(customers, PARENT_DISCOUNT)
     for sweep in range(SWEEPS + 1):
         scale = rng.gamma(PARENT_STRENGTH / PARENT_DISCOUNT + tables.sum() * shards)
         weight = PARENT_DISCOUNT * scale / (known + 1)
-        tables = reseated(customers, np.full(len(words), weight), PARENT_DISCOUNT, rng)
+        tables = dishes.reseated(np.full(len(words), weight), rng)
         mean += tables * (sweep > 0) / SWEEPS
     sums = np.array([counts.sum(), (counts > 0).sum(), customers.sum(), mean.sum()], dtype=np.float64)
     own = np.where(customers > 0, customers - PARENT_DISCOUNT * mean, 0).astype(np.float32)
@@ -398,19 +427,16 @@ def pair_logs(
     parent = (weight + new) / (PARENT_STRENGTH + customers) if learnt else np.ones(len(own.words))
     total = own.customers.astype(np.float64)
     mean = np.zeros(len(own.pairs))
-    rng = np.random.default_rng(shard + (1 << 40))
-    for sweep, tables in enumerate(own.seated(parent, rng, SWEEPS + 1)):
-        mean += tables * (sweep > 0) / SWEEPS
+    # Contexts in several shards: the first sample again, as its totals are known.
+    spread_out, before = first_tables(own, shard, hot, "hot")
+    mean[spread_out] = before
+    rng = np.random.default_rng([shard, 2])
+    for sweep, tables in enumerate(own.seated(parent, rng, SWEEPS + 1, ~spread_out)):
+        mean[~spread_out] += tables * (sweep > 0) / SWEEPS
     of_context = np.bincount(own.context, mean, len(own.contexts))
     hot_at = at_sorted(own.contexts, np.array(hot, dtype=np.uint64))
     here = np.flatnonzero(hot_at >= 0)
-    if len(here):
-        # Contexts in several shards: the sample of ``seat`` again, as its totals are known.
-        first = (own.word_counts + 0.5) / (max(1, int(own.word_counts.sum())) + 0.5 * len(own.words))
-        *_, before = own.seated(first, np.random.default_rng(shard), FIRST_SWEEPS)
-        total[hot_at[here]], of_context[hot_at[here]] = hot_sums[0][here], hot_sums[1][here]
-        spread_out = np.isin(own.context, hot_at[here])
-        mean[spread_out] = before[spread_out]
+    total[hot_at[here]], of_context[hot_at[here]] = hot_sums[0][here], hot_sums[1][here]
     back = (STRENGTH + DISCOUNT * of_context)[own.context] * parent[own.word]
     direct = np.maximum(own.counts - DISCOUNT * mean, 0)
     logs = np.log10((direct + back) / (STRENGTH + total[own.context]))
