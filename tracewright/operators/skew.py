@@ -157,12 +157,18 @@ def with_previous(
 
 
 def positions(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str, *, large: bool
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column], name: str, *, large: bool, last: str = "_last"
 ) -> DataFrame:
-    """Add the 1-based position in the group, by window or, for large groups, by slices."""
+    """Add the 1-based position in the group, by window or, for large groups, by slices.
+
+    last: the name of a flag for the last row of a group; left out by default.
+    """
+    shown = [name] if last == "_last" else [name, last]
+    kept = [*rows.columns, *shown]
     if not large:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return rows.withColumn(name, F.row_number().over(window).cast("bigint"))
+        place = F.row_number().over(window).cast("bigint")
+        return rows.withColumns({name: place, last: F.lead(F.lit(1)).over(window).isNull()}).select(*kept)
     rows = _with_slice(rows, order)
     window = Window.partitionBy(*keys, "_slice").orderBy(*order)
     inside = rows.withColumn("_inside", F.row_number().over(window))
@@ -170,12 +176,10 @@ def positions(
         Window.unboundedPreceding, -1
     )
     sizes = rows.groupBy(*keys, "_slice").agg(F.count("*").alias("_size"))
-    offsets = sizes.select(*keys, "_slice", F.sum("_size").over(before).alias("_offset"))
-    return (
-        _joined_to_slices(inside, offsets, keys)
-        .withColumn(name, F.col("_inside") + F.coalesce("_offset", F.lit(0)))
-        .drop("_slice", "_inside", "_offset")
-    )
+    total = F.sum("_size").over(Window.partitionBy(*keys))
+    offsets = sizes.select(*keys, "_slice", F.sum("_size").over(before).alias("_offset"), total.alias("_total"))
+    placed = _joined_to_slices(inside, offsets, keys).withColumn(name, F.col("_inside") + F.coalesce("_offset", F.lit(0)))
+    return placed.withColumn(last, F.col(name) == F.col("_total")).select(*kept)
 
 
 def with_position(

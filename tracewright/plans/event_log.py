@@ -177,7 +177,7 @@ def event_log_of(sources: Mapping[str, DataFrame], rules: Rules, **options) -> D
 def exported_events(
     audit: DataFrame, rules: Rules, *, limit: int = LARGE_GROUP_ROWS, **options
 ) -> DataFrame:
-    """The events of the exported levels with their place in the level's trace."""
+    """The events of the exported levels with their place in the level's trace, the last one marked (is_last)."""
 
     def build(rows: DataFrame, large: bool) -> DataFrame:
         named = named_events(rows, rules, large=large)
@@ -188,6 +188,7 @@ def exported_events(
             [*ordering.order_keys().values()],
             "event_pos",
             large=large,
+            last="is_last",
         )
 
     return by_case_size(audit, build, limit, **options)

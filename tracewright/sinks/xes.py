@@ -22,11 +22,11 @@ def require_columns(table: DataFrame, *names: str) -> None:
         raise ValueError(f"missing columns {missing}; the table has {table.columns}")
 
 
-def trace_events(events: DataFrame) -> DataFrame:
-    """The events of the exported levels with the attributes that XES shows."""
+def trace_events(events: DataFrame, *more: str) -> DataFrame:
+    """The events of the exported levels with the attributes that XES shows, and further columns."""
     require_columns(events, "level", "case_id", "event_pos", "activity_name", "ts")
     return events.where(F.col("level").isin(*EXPORT_LEVELS)).select(
-        "level", "case_id", "event_pos", "activity_name", iso_utc(F.col("ts")).alias("timestamp_utc")
+        "level", "case_id", "event_pos", "activity_name", iso_utc(F.col("ts")).alias("timestamp_utc"), *more
     )
 
 
@@ -42,39 +42,48 @@ def _attribute(kind: str, key: str, value: Column) -> Column:
     return F.concat(F.lit(f'<{kind} key="{key}" value="'), _escaped(value), F.lit('"/>'))
 
 
+def _with_ends(events: DataFrame) -> DataFrame:
+    """Add is_first and is_last of each trace; the flags of ``exported_events`` are taken as they are."""
+    if "is_last" in events.columns:
+        return events.withColumn("is_first", F.col("event_pos") == 1)
+    trace = Window.partitionBy("level", "case_id").orderBy("event_pos")
+    return events.withColumns({
+        "is_first": F.lag(F.lit(1)).over(trace).isNull(), "is_last": F.lead(F.lit(1)).over(trace).isNull()})
+
+
 def write_xes(events: DataFrame, path: str, files_per_level: int | None = None) -> None:
     """Write the events as XES, one folder per level, one trace per case of any size.
 
-    A case belongs to one file, by a hash of its id. Rows are sorted by file, case
-    and position, and each becomes the lines that it needs beside its neighbours, so
-    no row holds a case. Files are well-formed logs of their own.
+    A case belongs to one file, by a hash of its id. Each event becomes the lines that
+    it needs, with the start of its trace before the first and the end behind the last;
+    head and foot of a file are rows of their own. Rows are sorted by file, case and
+    position, so no row and no window holds a case. Files are well-formed logs of their
+    own; one that no case belongs to is empty.
     """
     spark = events.sparkSession
     files = files_per_level or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = trace_events(events).withColumn("file", F.pmod(F.xxhash64("case_id"), F.lit(files)))
-    place = Window.partitionBy("level", "file").orderBy("case_id", "event_pos")
-    first_of_file = F.row_number().over(place) == 1
-    last_of_file = F.lead(F.lit(1)).over(place).isNull()
-    opens = first_of_file | ~F.lag("case_id").over(place).eqNullSafe(F.col("case_id"))
-    closes = last_of_file | ~F.lead("case_id").over(place).eqNullSafe(F.col("case_id"))
+    rows = trace_events(_with_ends(events), "is_first", "is_last")
     event = F.concat(
         F.lit("    <event>"), _attribute("string", NAME_KEY, F.col("activity_name")),
         _attribute("date", TIME_KEY, F.col("timestamp_utc")), F.lit("</event>"),
     )
-    head = '<?xml version="1.0" encoding="UTF-8"?>\n' + f'<log xmlns="{NAMESPACE}">'
-    lines = rows.withColumns({"_first": first_of_file, "_last": last_of_file, "_opens": opens, "_closes": closes}).select(
-        "level", "file",
-        F.concat_ws(
-            "\n",
-            F.when(F.col("_first"), head),
-            F.when(F.col("_opens"), F.concat(F.lit("  <trace>\n    "), _attribute("string", NAME_KEY, F.col("case_id")))),
-            event,
-            F.when(F.col("_closes"), "  </trace>"),
-            F.when(F.col("_last"), "</log>"),
-        ).alias("value"),
+    start = F.concat(F.lit("  <trace>\n    "), _attribute("string", NAME_KEY, F.col("case_id")))
+    lines = rows.select(
+        "level", F.pmod(F.xxhash64("case_id"), F.lit(files)).alias("file"), F.lit(1).alias("part"), "case_id", "event_pos",
+        F.concat_ws("\n", F.when(F.col("is_first"), start), event, F.when(F.col("is_last"), "  </trace>")).alias("value"),
     )
+    head = '<?xml version="1.0" encoding="UTF-8"?>\n' + f'<log xmlns="{NAMESPACE}">'
+    every = F.explode(F.array(*[F.lit(level) for level in EXPORT_LEVELS])).alias("level")
+    ends_of_files = spark.range(files).select(every, F.col("id").alias("file")).select(
+        "level", "file", F.inline(F.array(*[
+            F.struct(F.lit(part).alias("part"), F.lit(None).cast("string").alias("case_id"),
+                     F.lit(None).cast("bigint").alias("event_pos"), F.lit(text).alias("value"))
+            for part, text in ((0, head), (2, "</log>"))
+        ])))
+    sorted_lines = lines.unionByName(ends_of_files).repartition("level", "file").sortWithinPartitions(
+        "level", "file", "part", "case_id", "event_pos")
     # The text writer knows no other suffix; readers go by the content.
-    lines.write.mode("overwrite").partitionBy("level", "file").text(path)
+    sorted_lines.drop("part", "case_id", "event_pos").write.mode("overwrite").partitionBy("level", "file").text(path)
 
 
 def checked_utc(events: DataFrame, column: str = "timestamp_utc") -> DataFrame:
