@@ -20,5 +20,5 @@ def test_query(spark, name):
 
 def test_names():
     known = queries.queries()
-    assert [n.split("_")[0] for n in known] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in known] == [f"op{i}" for i in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(known)

@@ -46,7 +46,7 @@ LEGAL = {"su", "ua", "au"}
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
 # Conversations beyond these take the linear way; their texts are streamed a second time.
 ALIGNED_TURNS, HELD_BYTES = 64, 16 << 20
-FAR = 1 << 60
+FAR = 1 << 40
 
 
 def alignment(codes: str, target: str, most: int) -> tuple[int, str] | None:
@@ -376,3 +376,83 @@ def damaged_and_repaired(
 ) -> DataFrame:
     """One row per conversation of the table, after the damage."""
     return repaired(damaged(turns, conv_id, turn, role, text), **options).withColumnRenamed("conv", conv_id)
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(c, b), [0::BIGINT for z in range(8)]), lambda x, z : {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda d : CAST(ascii(d) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b : {byte}), 4294967295)"
+
+
+def repair_sql(table: str = "conversations") -> str:
+    """DuckDB SQL of ``damaged_and_repaired``: the grammar's states folded over the turns."""
+
+    def add(state: str, cost: str, letter: str) -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || {letter}}}"
+
+    def best(*states: str) -> str:
+        return f"list_sort([{', '.join(states)}])[1]"
+
+    def placed(state: int, wanted: str) -> str:
+        other = FAR if wanted == "s" else f"{REROLE} + cut"
+        cost = f"(CASE WHEN code = '-' THEN {FAR} WHEN lower(code) = '{wanted}' THEN cut ELSE {other} END)"
+        cost = cost.replace("code", "x.code").replace("cut", f"(CASE WHEN x.code <> lower(x.code) THEN {TRUNCATED} ELSE 0 END)")
+        return add(f"s.f[{state}]", cost, f"CASE WHEN lower(x.code) = '{wanted}' THEN 'K' ELSE 'R' END")
+
+    def into(state: int, *steps: str) -> str:
+        return best(add(f"s.f[{state}]", str(DELETE), "'D'"), *steps)
+
+    inserted = ", ".join([
+        "s.f[1]", "s.f[2]",
+        best("s.f[3]", *[add(f"s.f[{q}]", str(INSERT), "'I'") for q in (1, 2, 4)]),
+        best("s.f[4]", add("s.f[3]", str(INSERT), "'I'"))])
+    taken = ", ".join([
+        into(1), into(2, placed(1, "s")), into(3, *[placed(q, "u") for q in (1, 2, 4)]), into(4, placed(3, "a"))])
+    start = "[" + ", ".join(f"{{'c': {c}::BIGINT, 'a': ''}}" for c in (0, FAR, FAR, FAR)) + "]"
+    fold = f"""list_reduce(list_prepend({{'f': {start}, 'code': ''}},
+        list_transform(codes, lambda d : {{'f': {start}, 'code': d}})),
+        lambda s, x : {{'f': CASE WHEN x.code = 'i' THEN [{inserted}] ELSE [{taken}] END, 'code': ''}}).f"""
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    name = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    return f"""
+        WITH kinds AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            {_crc32_sql(name)} % 20 AS kind FROM {table}),
+        rows_ AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM kinds WHERE kind > 0),
+        placed AS (SELECT *, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS rn FROM rows_),
+        seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) AS nth,
+            rtrim(text, {space}) AS shown,
+            lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY rn) || left(role, 1) AS pair FROM placed),
+        faults AS (SELECT *, shown = '' AS blank, shown <> '' AND nth > 1 AS duplicate,
+            shown <> '' AND nth = 1 AND right(shown, 1) NOT IN ('.', '!', '?') AS truncated FROM seen),
+        coded AS (SELECT *, CASE WHEN blank OR duplicate THEN '-' WHEN truncated THEN upper(initial) ELSE initial END AS code
+            FROM (SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS initial
+                FROM faults)),
+        whole AS (SELECT conv_id, flatten(list(['i', 'i', code] ORDER BY rn)) || ['i', 'i'] AS codes,
+            coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+            count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+            count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal FROM coded GROUP BY conv_id),
+        ended AS (SELECT * EXCLUDE (codes), {fold} AS f FROM whole),
+        found AS (SELECT * EXCLUDE (f), {best("f[1]", "f[4]")} AS one FROM ended),
+        letters AS (SELECT conv_id, j, substr(audit, j, 1) AS letter,
+            length(replace(substr(audit, 1, j), 'I', '')) AS rn
+            FROM (SELECT conv_id, one.a AS audit, unnest(range(1, length(one.a) + 1)) AS j FROM found)),
+        stays AS (SELECT l.conv_id, letter, role, text, row_number() OVER (PARTITION BY l.conv_id ORDER BY j) AS o
+            FROM letters l LEFT JOIN coded c
+            ON c.conv_id IS NOT DISTINCT FROM l.conv_id AND c.rn = l.rn AND letter <> 'I' WHERE letter <> 'D'),
+        lines AS (SELECT *, max(CASE WHEN o = 1 AND letter = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END)
+            OVER (PARTITION BY conv_id) AS offset_ FROM stays),
+        texts AS (SELECT conv_id, string_agg(
+            CASE WHEN letter = 'K' THEN role WHEN (o - offset_) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+            || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY o) AS body FROM lines GROUP BY conv_id)
+        SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+            CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+            CAST(coalesce(one.c, 0) AS BIGINT) AS cost, coalesce(one.a, '') AS audit,
+            sha256(coalesce(body, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM {table}) a
+        LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM a.conv_id
+        LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM a.conv_id"""

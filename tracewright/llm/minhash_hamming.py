@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHashes, staged, whole_text
 from .components import components
+from .url_filter import LOWER, UPPER
 
 SYMBOLS, CHUNK, SKETCH_BITS = 40, 5, 36
 # Long sketches of one bit a hash, as so many 64-bit words, and the bits in which they may differ.
@@ -345,3 +346,22 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFra
     found = near_duplicates(docs, id_col=id_col, **options)
     gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+
+
+def groups_sql(table: str = "documents", width: int = 5, percent: int = 80) -> str:
+    """DuckDB SQL of ``near_duplicates`` by all pairs that share a shingle; for small tables."""
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    return f"""
+        WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+') AS w FROM {table}),
+        places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width - 1}, 1) + 1)) AS i FROM words WHERE len(w) > 0),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + {width - 1}], ' ') AS shingle FROM places),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a
+            JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * s.n >= {percent} * (x.n + y.n - s.n)),
+        reach(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM {table} UNION SELECT b, root FROM reach JOIN links ON a = reach.doc_id),
+        roots AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+        FROM roots LEFT JOIN sizes USING (doc_id)"""

@@ -116,6 +116,10 @@ def oracle_sql() -> dict[str, str]:
     files = """SELECT doc_id AS id, concat('/', source, '/', lang, '/', doc_id) AS path, text FROM documents"""
     rule, verdict = url_filter.rules_sql(URL_RULES)
     return {
+        "op8_minhash_dedup": minhash_hamming.groups_sql(width=4),
+        "op9_embedding_dedup": embedding_dedup.groups_sql(),
+        "op12_vector_codes": vector_codes.codes_sql(),
+        "op13_conversation_repair": conversation_repair.repair_sql(),
         "op1_license_scan": f"SELECT id AS doc_id, * EXCLUDE (id) FROM ({license_scan.scan_sql(files)})",
         "op4_url_filter": f"""
             WITH cut AS (

@@ -201,3 +201,37 @@ def coded(
     return found.join(totals, found["label"].eqNullSafe(totals["_label"])).select(
         F.col("node").alias(id_col), "code", "error", "label_error",
         F.lit(digest(books)).alias("codebooks_sha256"))
+
+
+def codes_sql(table: str = "embeddings", entries: int = ENTRIES, rounds: int = ROUNDS) -> str:
+    """DuckDB SQL of ``coded`` over a table of vec_id, embedding and label, all vectors of one length."""
+    steps = [f"""
+        kept AS (SELECT vec_id, label, list_transform(embedding, lambda x : floor({SCALE} * CAST(x AS DOUBLE))) AS v
+            FROM {table} WHERE len(embedding) > 0
+            AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS (SELECT vec_id, label, p, v[p * len(v) // {PARTS} + 1 : (p + 1) * len(v) // {PARTS}] AS x
+            FROM kept CROSS JOIN (SELECT unnest(range({PARTS})) AS p)),
+        book0 AS (SELECT * FROM (
+            SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS e FROM parts) WHERE k < {entries})"""]
+    for r in range(rounds + 1):
+        # Whole numbers in doubles: exact below 2^53.
+        steps.append(f"""
+        near{r} AS (SELECT vec_id, any_value(label) AS label, p, any_value(x) AS x, min({{'d': d, 'k': k}}) AS best FROM (
+            SELECT vec_id, label, p, x, k,
+                list_dot_product(x, x) - 2 * list_dot_product(x, e) + list_dot_product(e, e) AS d
+            FROM parts JOIN book{r} USING (p)) GROUP BY vec_id, p)""")
+        if r < rounds:
+            steps.append(f"""
+        mean{r} AS (SELECT p, k, list(m ORDER BY i) AS e FROM (
+            SELECT p, best.k AS k, i, floor(sum(x[i]) / count(*)) AS m
+            FROM near{r}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM parts) + 1)) AS i)
+            GROUP BY p, best.k, i) GROUP BY p, k),
+        book{r + 1} AS (SELECT p, k, coalesce(mean{r}.e, book{r}.e) AS e FROM book{r} LEFT JOIN mean{r} USING (p, k))""")
+    steps.append(f"""
+        digest AS (SELECT sha256(string_agg(CAST(CAST(e[i] AS BIGINT) AS VARCHAR), ',' ORDER BY p, k, i)) AS codebooks_sha256
+            FROM book{rounds}, (SELECT unnest(range(1, (SELECT max(len(e)) FROM book0) + 1)) AS i)),
+        codes AS (SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', best.k), '' ORDER BY p) AS code,
+            CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id)""")
+    return f"""WITH {",".join(steps)}
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM codes CROSS JOIN digest"""
