@@ -116,6 +116,7 @@ def oracle_sql() -> dict[str, str]:
     files = """SELECT doc_id AS id, concat('/', source, '/', lang, '/', doc_id) AS path, text FROM documents"""
     rule, verdict = url_filter.rules_sql(URL_RULES)
     return {
+        "op2_suffix_dedup": suffix_dedup.repeats_sql(),
         "op8_minhash_dedup": minhash_hamming.groups_sql(width=4),
         "op9_embedding_dedup": embedding_dedup.groups_sql(),
         "op12_vector_codes": vector_codes.codes_sql(),

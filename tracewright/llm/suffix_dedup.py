@@ -548,3 +548,28 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
     kept = without_repeats(docs, id_col, text_col, decode=True, **options)
     text = F.when(F.col("n_removed") == 0, F.col(text_col)).otherwise(F.col("kept"))
     return kept.withColumn(text_col, text).select(docs.columns)
+
+
+def repeats_sql(table: str = "documents", width: int = 50) -> str:
+    """DuckDB SQL of what is removed, by all windows of all texts; for small tables."""
+    return f"""
+        WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM {table}),
+        sized AS (SELECT *, length(h) // 2 AS n FROM docs),
+        starts AS (SELECT doc_id, h, unnest(range(0, n - {width - 1})) AS i FROM sized WHERE n >= {width}),
+        windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, {2 * width}) AS g FROM starts),
+        firsts AS (SELECT g, min(doc_id) AS first_doc FROM windows GROUP BY g HAVING min(doc_id) < max(doc_id)),
+        hits AS (SELECT doc_id, i FROM windows JOIN firsts USING (g) WHERE first_doc < doc_id),
+        marked AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER w + {width} THEN 1 ELSE 0 END AS new FROM hits
+            WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        runs AS (SELECT doc_id, min(i) AS a, max(i) + {width} AS b FROM (
+            SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run),
+        pieces AS (
+            SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS low FROM runs
+            UNION ALL SELECT s.doc_id, n, coalesce(max(b), 0) FROM sized s LEFT JOIN runs r ON r.doc_id = s.doc_id
+                GROUP BY s.doc_id, n),
+        kept AS (SELECT p.doc_id, string_agg(substr(h, 2 * low + 1, 2 * (a - low)), '' ORDER BY a) AS body
+            FROM pieces p JOIN sized s ON s.doc_id = p.doc_id GROUP BY p.doc_id),
+        sums AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+        SELECT s.doc_id, s.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+            sha256(unhex(coalesce(body, ''))) AS kept_sha256
+        FROM sized s LEFT JOIN sums ON sums.doc_id = s.doc_id LEFT JOIN kept ON kept.doc_id = s.doc_id"""
