@@ -306,7 +306,8 @@ def _filled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _audit(spark, sf_dir).drop("ingest_ord")
+    """The whole audit log, place numbers and both forms of the time included."""
+    return audit_log(spark, sf_dir)
 
 
 def _typed_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -673,9 +673,11 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY case_id, level ORDER BY {_O
             _SEMANTICS, _COVERAGE,
         ),
         "column_profile": sql(
-            """SELECT *, 'string' AS dtype, CAST(NULL AS DOUBLE) AS "min",
-              CAST(NULL AS DOUBLE) AS "max", CAST(NULL AS DOUBLE) AS mean FROM profile""",
-            _cells("audit", _AUDIT_COLUMNS),
+            """SELECT profile.*, CASE WHEN "column" = 'ingest_ord' THEN 'bigint' ELSE 'string' END AS dtype,
+              low AS "min", high AS "max", middle AS mean FROM profile LEFT JOIN (
+                SELECT 'ingest_ord' AS name, CAST(min(ingest_ord) AS DOUBLE) AS low,
+                  CAST(max(ingest_ord) AS DOUBLE) AS high, avg(ingest_ord) AS middle FROM audit) ON name = "column" """,
+            _cells("audit", (*_AUDIT_COLUMNS, "ingest_ord", "logged_at_forensic")),
         ),
         "column_profile_typed": "WITH " + _cells(
             "events", ("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -699,7 +701,7 @@ FROM profile LEFT JOIN numbers USING ("column")""",
             f"""SELECT "column", value, "count" AS frequency,
               {_pct('"count"', "(SELECT count(*) FROM audit)")} AS percentage, rank
               FROM ranked WHERE rank <= 20""",
-            _cells("audit", _AUDIT_COLUMNS), _FREQUENT,
+            _cells("audit", (*_AUDIT_COLUMNS, "ingest_ord", "logged_at_forensic")), _FREQUENT,
         ),
         "field_characteristics": sql("SELECT * FROM chars", _CHARACTERISTICS),
         "bucket_suggestions": sql("SELECT * FROM suggested", _CHARACTERISTICS),
