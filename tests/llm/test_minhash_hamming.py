@@ -66,3 +66,43 @@ def test_edges(spark):
     assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in rows) == [
         (0, 3, True), (0, 3, True), (3, 3, True), (3, 3, True)]
     assert m.near_duplicates(docs.limit(0)).count() == 0 and m.first_of_each(docs.limit(0)).count() == 0
+
+
+def edited(base, places):
+    return " ".join(w if i not in places else f"{w}x{places[i]}" for i, w in enumerate(base))
+
+
+def test_far_pairs_of_a_large_group_are_not_compared(spark, monkeypatch):
+    """Forty pairs of copies, each pair far from the 121 copies that are linked, share no rare shingle with these."""
+    base = [f"w{i}" for i in range(150)]
+    texts = [edited(base, {})] + [edited(base, {149: i}) for i in range(120)]
+    rng = random.Random(3)
+    for family in range(40):
+        places = dict.fromkeys(rng.sample(range(10, 140, 6), 4), f"f{family}")
+        texts += [edited(base, places | {0: f"m{family}.{i}"}) for i in range(2)]
+    rows = list(enumerate(texts))
+    counts, confirmed = [], m._confirmed
+
+    def counted(docs, pairs, *rest):
+        counts.append(pairs.count())
+        return confirmed(docs, pairs, *rest)
+
+    monkeypatch.setattr(m, "_confirmed", counted)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = m.near_duplicates(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == plain(rows, 5)
+    assert counts[-1] < len(rows)
+
+
+@pytest.mark.parametrize("holders", [2, 8])
+def test_links_by_rare_and_by_common_shingles(spark, monkeypatch, holders):
+    monkeypatch.setattr(m, "RARE_HOLDERS", holders)
+    base, rng, texts = [f"w{i}" for i in range(100)], random.Random(9), []
+    for _ in range(150):
+        old = rng.choice(texts)[1] if texts and rng.random() < 0.4 else {}
+        places = old | {rng.randrange(100): rng.randrange(1000) for _ in range(rng.choice((1, 2, 3)))}
+        texts.append((edited(base, places), places))
+    rows = [(i + 1, t) for i, (t, _) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = m.near_duplicates(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == plain(rows, 5)

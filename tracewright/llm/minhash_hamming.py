@@ -11,9 +11,14 @@ Documents with equal sets are one node from the start. Within a key's members pa
 are not all formed. The eight plain chunks come first: each member is compared with
 the least one of its chunk, which links most of a group of copies. Masked keys carry
 the component found so far, and only those that hold several components are looked
-at: first against the least member, then against the member that shares most, then
-against all members of other components, so links that could join two components are
-never skipped and a group that is linked already adds no rows. Pairs are dropped before the full comparison only if their sizes
+looked at: first against the least member, then against the member that shares most, then
+against members of other components, so links that could join two components are
+never skipped and a group that is linked already adds no rows. The last step goes by
+prefixes: in the order of their holders, two similar sets share one of the first fifth
+of their shingles. If fewer than RARE_HOLDERS nodes hold that one, the pair is found by
+it, which adds at most so many rows for each; else the two share none that is rarer, so
+both have as many common shingles as the similarity needs, and only such members of
+a key are paired. Pairs are dropped before the full comparison only if their sizes
 exclude the similarity, if the shingles that each shares with any other member do
 (at most those can be common), or if a sketch of 120 bits differs in over 36 bits
 (probability 4.3e-6 at similarity 0.8) or one of 2048 bits in over 273 (6.2e-7).
@@ -40,6 +45,8 @@ from .url_filter import LOWER, UPPER
 SYMBOLS, CHUNK, SKETCH_BITS = 40, 5, 36
 # Long sketches of one bit a hash, as so many 64-bit words, and the bits in which they may differ.
 LONG_WORDS, LONG_BITS = 32, 273
+# A shingle with so many holders is common, one with fewer leads from each holder to the others.
+RARE_HOLDERS = 100
 # Ids up to this number are broadcast (8 bytes each), more are joined.
 BROADCAST_IDS = 1_000_000
 _U = np.uint64
@@ -190,24 +197,40 @@ def _possible(a: dict[str, Column], b: dict[str, Column], percent: int) -> Colum
     return (low * 100 >= high * percent) & (bits[0] + bits[1] <= SKETCH_BITS)
 
 
-def _shared_with_others(docs: DataFrame, rows: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, shared, long): how many shingles of a node any other node of the rows has too; its long sketch."""
+def _shared_with_others(
+    docs: DataFrame, rows: DataFrame, percent: int, width: int, id_col: str, text_col: str
+) -> DataFrame:
+    """(node, shared, common, prefix, long) of the nodes of the rows.
+
+    shared: how many shingles of a node any other node has too; common: how many of them
+    RARE_HOLDERS nodes have or more; prefix: the rarer ones by which it is found, as two similar
+    sets share one of the first n - ceil(n * percent / 100) + 1 shingles in any order; long: its long sketch.
+    """
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _parts(batches):
             batch["long"] = [long_sketch(s.astype(np.int64).view(np.uint64)) for s in batch["shingles"]]
             yield batch
 
-    nodes = staged(rows.select("node", "n").distinct(), "rest-nodes")
-    sets = _shingles_of(docs, nodes.select("node").distinct(), nodes.count(), width, id_col, text_col)
+    nodes = staged(rows.select("node").distinct(), "rest-nodes")
+    sets = _shingles_of(docs, nodes, nodes.count(), width, id_col, text_col)
     sets = staged(
         sets.dropDuplicates(["node"]).mapInPandas(
             sketched, "node bigint, shingles array<bigint>, long array<bigint>"), "rest-sets")
-    alone = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
-        F.count("*").alias("holders"), F.min("node").alias("node")).where("holders = 1")
-    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
-    own = F.size("shingles") - F.coalesce("alone", F.lit(0))
-    return staged(sets.join(alone, "node", "left").select("node", own.alias("shared"), "long"), "shared")
+    held = sets.select("node", F.explode("shingles").alias("shingle"))
+    holders = held.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("node").alias("node"))
+    alone = holders.where("holders = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    few = holders.where((F.col("holders") > 1) & (F.col("holders") < RARE_HOLDERS)).select("shingle", "holders")
+    rare = held.join(few, "shingle").groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("rare"))
+    size = F.size("shingles")
+    own = F.coalesce("alone", F.lit(0)).cast("int")
+    many = F.coalesce(F.size("rare"), F.lit(0))
+    first = size - F.ceil(size * percent / 100).cast("int") + 1 - own
+    found = sets.join(alone, "node", "left").join(rare, "node", "left").select(
+        "node", (size - own).alias("shared"), (size - own - many).alias("common"),
+        F.slice(F.col("rare")["shingle"], F.lit(1), F.greatest(first, F.lit(0))).alias("prefix"), "long")
+    return staged(found, "shared")
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -226,20 +249,12 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_c
 
 
 def _unlinked(placed: DataFrame) -> DataFrame:
-    """Members of the masked keys that hold several components, with the key's largest one (main).
+    """Members of the masked keys that hold several components.
 
     Two members of a key have met already, as one of them is its head.
     """
     keyed = chunk_keys(placed, True)
-    rest = staged(keyed.join(_split_keys(keyed, 2).select("key"), "key"), "split")
-    return _with_main(rest)
-
-
-def _with_main(rest: DataFrame) -> DataFrame:
-    sizes = rest.groupBy("key", "component").agg(F.count("*").alias("rows"))
-    main = sizes.groupBy("key").agg(
-        F.max_by("component", F.struct("rows", "component")).alias("main"), F.count("*").alias("parts"))
-    return staged(rest.join(main.where("parts > 1").drop("parts"), "key"), "split-main")
+    return staged(keyed.join(_split_keys(keyed, 2), "key", "left_semi"), "split")
 
 
 def _placed(nodes: DataFrame, reached: DataFrame | None) -> DataFrame:
@@ -261,16 +276,27 @@ def _merged(reached: DataFrame | None, links: DataFrame) -> DataFrame:
 MEMBER = ("component", "node", "n", "shared", "sketch_a", "sketch_b", "long")
 
 
-def _pairs(left: DataFrame, right: DataFrame, percent: int, once: Column) -> DataFrame:
-    """Distinct pairs (a, b) of different components of a key that may be similar enough."""
-    other = right.select("key", *[F.col(c).alias(f"_{c}") for c in right.columns if c != "key"])
-    most = F.least("shared", "_shared")
-    differ = sum(F.bit_count(F.col("long")[i].bitwiseXOR(F.col("_long")[i])) for i in range(LONG_WORDS))
-    found = left.join(other, "key").where(
+def _joined(left: DataFrame, right: DataFrame, by: str, most: str, percent: int) -> DataFrame:
+    """Members of different components with the same value of a column that may be similar enough.
+
+    most: the column that bounds what a member has in common with the other. The
+    columns of the second member begin with a line.
+    """
+    other = right.select(by, *[F.col(c).alias(f"_{c}") for c in right.columns if c != by])
+    both = F.least(most, f"_{most}")
+    return left.join(other, by).where(
         (F.col("component") != F.col("_component"))
-        & (most * 100 >= (F.col("n") + F.col("_n") - most) * percent)
-        & _possible({c: F.col(c) for c in MEMBER}, {c: F.col(f"_{c}") for c in MEMBER}, percent)
-        & (differ <= LONG_BITS) & once)
+        & (both * 100 >= (F.col("n") + F.col("_n") - both) * percent)
+        & _possible({c: F.col(c) for c in CARRIED}, {c: F.col(f"_{c}") for c in CARRIED}, percent))
+
+
+def _alike() -> Column:
+    """Whether the long sketches leave the similarity possible."""
+    differ = sum(F.bit_count(F.col("long")[i].bitwiseXOR(F.col("_long")[i])) for i in range(LONG_WORDS))
+    return differ <= LONG_BITS
+
+
+def _ends(found: DataFrame) -> DataFrame:
     return found.select(F.greatest("node", "_node").alias("a"), F.least("node", "_node").alias("b")).distinct()
 
 
@@ -278,19 +304,43 @@ def _to_center(rest: DataFrame, percent: int) -> DataFrame:
     """Each member with the one of its key that shares most with the others."""
     order = F.struct((F.col("shared") / F.col("n")).alias("share"), "n", (-F.col("node")).alias("node"))
     centers = rest.groupBy("key").agg(F.max_by(F.struct(*MEMBER), order).alias("c")).select("key", "c.*")
-    return _pairs(rest, centers, percent, F.lit(True))
+    return _ends(_joined(rest.select("key", *MEMBER), centers, "key", "shared", percent).where(_alike()))
 
 
-def _across(rest: DataFrame, percent: int) -> DataFrame:
-    """The members outside the main component of their key with all of other components.
+def _by_rare(rest: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components with a shingle of their prefixes in common."""
+    members = rest.select(*CARRIED, "shared").distinct()
+    held = members.join(shared.select("node", F.explode("prefix").alias("shingle")), "node")
+    pairs = _ends(_joined(held, held, "shingle", "shared", percent).where(F.col("node") > F.col("_node")))
+    for end, name in (("a", "long"), ("b", "_long")):
+        pairs = pairs.join(shared.select(F.col("node").alias(end), F.col("long").alias(name)), end)
+    return pairs.where(_alike()).select("a", "b")
 
+
+def _by_common(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components of a key that may be similar by their common shingles alone.
+
+    The members outside the largest component of their key (main) are joined with all others,
+    if what they have in common is enough for the smallest member and if any has enough for them.
     A pair with several keys in common is formed for the least one only.
     """
+    rest = rest.where(F.col("common") * 100 >= F.col("n") * percent)
+    # The size of the other, times percent, up to which the common shingles suffice.
+    reach = F.col("common") * (100 + percent) - F.col("n") * percent
+    parts = rest.groupBy("key", "component").agg(
+        F.count("*").alias("rows"), F.min("n").alias("least"), F.max(reach).alias("reach"))
+    main = parts.groupBy("key").agg(
+        F.max_by("component", F.struct("rows", "component")).alias("main"), F.count("*").alias("parts"),
+        F.min("least").alias("least"), F.max("reach").alias("most"))
     # At most SYMBOLS keys a node.
     keys = rest.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    known = staged(rest.join(keys, "node"), "keyed-rest")
+    known = rest.join(keys, "node").select("key", "keys", *MEMBER, "common")
+    outside = rest.join(main.where("parts > 1"), "key").where(
+        (F.col("component") != F.col("main")) & (reach >= F.col("least") * percent)
+        & (F.col("most") >= F.col("n") * percent)).select("key", "node").distinct()
+    outside = staged(known.join(outside, ["key", "node"], "left_semi"), "outside")
     once = F.array_min(F.array_intersect("keys", "_keys")) == F.col("key")
-    return _pairs(known.where("component <> main"), known, percent, once)
+    return _ends(_joined(outside, known, "key", "common", percent).where(_alike() & once))
 
 
 def near_duplicates(
@@ -318,16 +368,20 @@ def near_duplicates(
 
     # Masked keys whose members are not all linked, with what each member shares with any other.
     rest = _unlinked(_placed(nodes, reached))
-    shared = _shared_with_others(docs, rest, width, id_col, text_col)
-    rest = staged(rest.join(shared, "node").where(F.col("shared") * 100 >= F.col("n") * percent), "rest")
-    for kind in ("center", "cross"):
-        pairs = staged((_to_center if kind == "center" else _across)(rest, percent), f"{kind}-pairs")
-        if pairs.isEmpty():
-            continue
-        more = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
-        if not more.isEmpty():
-            reached = _merged(reached, more)
-            rest = _with_main(_placed(rest.drop("component", "main"), reached))
+    shared = _shared_with_others(docs, rest, percent, width, id_col, text_col)
+    rest = staged(
+        rest.join(shared.drop("prefix"), "node").where(F.col("shared") * 100 >= F.col("n") * percent), "rest")
+    pairs = staged(_to_center(rest, percent), "center-pairs")
+    links = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
+    if not links.isEmpty():
+        reached = _merged(reached, links)
+        rest = _placed(rest.drop("component"), reached)
+        rest = staged(rest.join(_split_keys(rest), "key", "left_semi"), "rest")
+    pairs = staged(
+        _by_common(rest, percent).unionByName(_by_rare(rest, shared, percent)).distinct(), "cross-pairs")
+    links = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
+    if not links.isEmpty():
+        reached = _merged(reached, links)
 
     found = signed.select("node", *same).join(heads, same, "left")
     found = found.join(
