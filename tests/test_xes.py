@@ -1,4 +1,5 @@
 import glob
+import time
 import xml.etree.ElementTree as ET
 
 import pytest
@@ -155,3 +156,33 @@ def test_a_trace_over_many_blocks(spark, tmp_path, block):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert parts > 9 and got == wanted and len(got) == 9_000
+
+
+ODD_TAGS = """<log><trace><string key="note" value="concept:name"/><string key='concept:name' value='c'/>
+<event><string key="other" value="concept:name"/><string key="concept:name" value="late"/></event>
+<event><string value="x" key="concept:name"/><date key="time:timestamp" value=""/></event>
+<event><string key="concept:name" value="a &amp; b" /><date key="time:timestamp" value="t"></date></event>
+<event><string key="concept:name" value="two
+lines"/><date key="time:timestamp" value="u" more="v"/></event>
+<event><string key="concept:name" value="it's > →"/><string key="concept:name" value="second"/></event></trace></log>
+"""
+
+
+def test_usual_and_other_tags_read_alike(spark, tmp_path):
+    (tmp_path / "odd.xes").write_text(ODD_TAGS, encoding="utf-8")
+    found = sorted((tuple(r) for r in read_long_xes(spark, str(tmp_path / "odd.xes")).collect()), key=repr)
+    assert found == sorted((tuple(r) for r in read_xes(spark, str(tmp_path / "odd.xes")).collect()), key=repr)
+    assert found == [("c", 1, "late", None), ("c", 2, "x", ""), ("c", 3, "a & b", "t"), ("c", 4, "two lines", "u"),
+                     ("c", 5, "it's > →", None)]
+
+
+def test_records_without_a_trace_are_searched_once(spark, tmp_path):
+    """A search from every character of a long event behind the first takes the square of its length."""
+    long = "y" * 150_000
+    (tmp_path / "long.xes").write_text(
+        '<log><trace><string key="concept:name" value="c"/><event><date key="d" value="1"/></event>'
+        + f'<event><string key="concept:name" value="{long}"/></event>' * 4 + "</trace></log>")
+    begun = time.monotonic()
+    found = read_long_xes(spark, str(tmp_path / "long.xes")).where("event_pos > 1").collect()
+    assert len(found) == 4 and {r.activity_name for r in found} == {long}
+    assert time.monotonic() - begun < 20

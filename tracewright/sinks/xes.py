@@ -30,12 +30,18 @@ def trace_events(events: DataFrame, *more: str) -> DataFrame:
     )
 
 
+# Characters that XML cannot hold, and those written as entities.
+_NO_XML = r"\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF"
+_TO_ESCAPE = rf"[{_NO_XML}{''.join(XML_ENTITIES)}]"
+
+
 def _escaped(text: Column) -> Column:
     """Text as an XML attribute value; characters that XML cannot hold go."""
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]", "")
+    text = F.coalesce(text, F.lit(""))
+    found = F.regexp_replace(text, f"[{_NO_XML}]", "")
     for plain, entity in XML_ENTITIES.items():
-        text = F.replace(text, F.lit(plain), F.lit(entity))
-    return text
+        found = F.replace(found, F.lit(plain), F.lit(entity))
+    return F.when(F.regexp_like(text, F.lit(_TO_ESCAPE)), found).otherwise(text)
 
 
 def _attribute(kind: str, key: str, value: Column) -> Column:

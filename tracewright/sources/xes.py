@@ -56,7 +56,11 @@ _END_OF_EVENT = "</event>"
 _INSIDE = r"""(?:[^>"']|"[^"]*"|'[^']*')*"""
 
 
-def _attribute(text: Column, kind: str, key: str) -> Column:
+# Characters that an XML parser resolves, changes or refuses in an attribute value.
+_NOT_PLAIN = r"[&<\x00-\x1F\uFFFE\uFFFF]"
+
+
+def _parsed_attribute(text: Column, kind: str, key: str) -> Column:
     """The value of the first attribute tag of a kind and key in a piece of XML, or null."""
     named = rf"""\bkey\s*=\s*(?:"{re.escape(key)}"|'{re.escape(key)}')"""
     tag = F.regexp_extract(text, rf"(?s)(<{kind}\s(?={_INSIDE}{named}){_INSIDE})>", 1)
@@ -65,6 +69,24 @@ def _attribute(text: Column, kind: str, key: str) -> Column:
     return F.when(tag != "", F.xpath_string(alone, F.lit(f"/{kind}/@value")))
 
 
+def _attribute(text: Column, kind: str, key: str) -> Column:
+    """``_parsed_attribute``, without a parser for tags of the usual writing and plain values.
+
+    That is so if the key stands for the first time in a tag that has its key first, its
+    value next and nothing else.
+    """
+    before = f'<{kind} key="'
+    usual = f'{before}{key}" value="'
+    start = F.instr(text, usual)
+    behind = F.substr(text, start + len(usual))
+    value = F.substring_index(behind, '"', 1)
+    end = F.substr(behind, F.length(value) + 1, F.lit(3))
+    plain = (
+        (start > 0) & (F.instr(text, key) == start + len(before))
+        & ((end == '"/>') | F.startswith(end, F.lit('">'))) & ~F.regexp_like(value, F.lit(_NOT_PLAIN)))
+    return F.when(plain, value).otherwise(_parsed_attribute(text, kind, key))
+
+
 def read_long_xes(spark: SparkSession, path: str) -> DataFrame:
     """``read_xes`` for traces of any size: an event is a record, and no row holds a trace.
 
@@ -74,13 +96,14 @@ def read_long_xes(spark: SparkSession, path: str) -> DataFrame:
     Attributes of an event are between its tags and not nested; an event without any
     attribute needs an end tag. Traces without events give no rows.
     """
+    # Anchored: a search would try a record without a trace again from each of its characters.
     records = spark.read.option("lineSep", _END_OF_EVENT).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
-        F.regexp_extract("value", r"(?s).*<trace\b(.*?)<event\b.*", 1).alias("_head"),
+        F.regexp_extract("value", r"(?s)\A.*<trace\b(.*?)<event\b.*", 1).alias("_head"),
         F.regexp_like("value", F.lit(r"<trace\b")).alias("opens"),
-        F.regexp_extract("value", r"(?s).*<event\b(.*)", 1).alias("_event"),
+        F.regexp_extract("value", r"(?s)\A.*<event\b(.*)", 1).alias("_event"),
         F.regexp_like("value", F.lit(r"<event\b")).alias("is_event"),
     ).where("is_event")
     events = records.select(
