@@ -3,6 +3,7 @@ import random
 import pytest
 
 from tracewright.llm import minhash_hamming as m
+from tracewright.llm.common import staged_rows
 
 
 def plain(rows, width, percent=80):
@@ -106,3 +107,30 @@ def test_links_by_rare_and_by_common_shingles(spark, monkeypatch, holders):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = m.near_duplicates(docs).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == plain(rows, 5)
+
+
+def jobs_of(spark, group, docs):
+    """How many Spark jobs the query takes; each leaves threads and plans with the driver."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = m.first_of_each(docs).count()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_few_jobs(spark):
+    rng = random.Random(4)
+    far = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(80)]
+    near = [t + f" end{i}" for t in far for i in range(2)]
+    schema = "doc_id bigint, text string"
+    found, jobs = jobs_of(spark, "far", spark.createDataFrame(list(enumerate(far)), schema))
+    assert found == len(far) and jobs <= 40
+    found, jobs = jobs_of(spark, "near", spark.createDataFrame(list(enumerate(near)), schema))
+    assert found == len(far) and jobs <= 80
+
+
+def test_rows_are_counted_while_written(spark):
+    for rows in (spark.range(1000, numPartitions=7), spark.range(0), spark.range(9).where("id > 20").distinct()):
+        found, number = staged_rows(rows, "x")
+        assert number == found.count() == rows.count()

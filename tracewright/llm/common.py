@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -10,7 +11,7 @@ from weakref import WeakKeyDictionary
 import numpy as np
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -53,6 +54,17 @@ def staged(frame: DataFrame, label: str) -> DataFrame:
     return found
 
 
+def staged_rows(frame: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``staged`` with the number of rows, counted while they are written.
+
+    Rows that Spark computes again after a lost executor may count again.
+    """
+    seen = Observation()
+    found = staged(frame.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    rows = seen.get.get("rows")
+    return found, found.count() if rows is None else rows
+
+
 # Where staged frames are, for ``discard``.
 _PLACES: WeakKeyDictionary = WeakKeyDictionary()
 
@@ -64,6 +76,13 @@ def discard(frame: DataFrame) -> None:
         place.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def trim_memory() -> None:
+    """Give memory that this process has freed back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def whole_text(column: Column | str) -> Column:
     """The text as it is; null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -29,22 +29,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.where(F.col("u") > F.col("v")).unionByName(own).distinct()
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def _unfinished(edges: DataFrame) -> DataFrame:
+    """Nodes that keep the edges from being a forest of stars: children with several parents or that are parents."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+    seen = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+    return seen.where(F.col("child") + F.col("parent") > 1)
+
+
+def components(edges: DataFrame, a: str, b: str, written: bool = False) -> DataFrame:
     """(node, component): the smallest node reachable, for each node with an edge.
 
     Alternates large-star and small-star steps until every node points at its
     root alone; each round is written to the shared folder. Null ends and loops are
-    dropped. No edges give no rows.
+    dropped. No edges give no rows. written: the edges come from files and hardly repeat,
+    so the first round reads them from there.
     """
-    edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-    edges = staged(edges.where(F.col("u") > F.col("v")).distinct(), "edges")
+    edges = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col("u") > F.col("v"))
+    if not written:
+        edges = staged(edges.distinct(), "edges")
     while True:
         after = staged(_small_star(_large_star(edges)), "edges")
         discard(edges)  # the round is written: nothing goes back to the one before
-        # A forest of stars: each child has one parent, and no node is at the same time a child and a parent.
-        parents = after.select(F.col("v").alias("u")).distinct()
-        several = after.groupBy("u").agg(F.count("*").alias("n")).where("n > 1")
-        if several.isEmpty() and after.join(parents, "u", "left_semi").isEmpty():
+        if _unfinished(after).isEmpty():
             break
         edges = after
     roots = after.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, staged, whole_text
+from .common import WordHashes, staged, staged_rows, whole_text
 from .components import components
 from .url_filter import LOWER, UPPER
 
@@ -212,8 +212,8 @@ def _shared_with_others(
             batch["long"] = [long_sketch(s.astype(np.int64).view(np.uint64)) for s in batch["shingles"]]
             yield batch
 
-    nodes = staged(rows.select("node").distinct(), "rest-nodes")
-    sets = _shingles_of(docs, nodes, nodes.count(), width, id_col, text_col)
+    nodes, number = staged_rows(rows.select("node").distinct(), "rest-nodes")
+    sets = _shingles_of(docs, nodes, number, width, id_col, text_col)
     sets = staged(
         sets.dropDuplicates(["node"]).mapInPandas(
             sketched, "node bigint, shingles array<bigint>, long array<bigint>"), "rest-sets")
@@ -235,10 +235,8 @@ def _shared_with_others(
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(
-        pairs.select(F.col("b").alias("node")).distinct())
-    nodes = staged(ends.distinct(), "paired-nodes")
-    sets = _shingles_of(docs, nodes, nodes.count(), width, id_col, text_col)
+    nodes, number = staged_rows(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired-nodes")
+    sets = _shingles_of(docs, nodes, number, width, id_col, text_col)
     # Rows that share an id: one of their sets stands for the id.
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
@@ -248,13 +246,13 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int, id_c
     return both.where(shared * 100 >= union * percent).select("a", "b")
 
 
-def _unlinked(placed: DataFrame) -> DataFrame:
-    """Members of the masked keys that hold several components.
+def _unlinked(placed: DataFrame) -> tuple[DataFrame, int]:
+    """Members of the masked keys that hold several components, and how many there are.
 
     Two members of a key have met already, as one of them is its head.
     """
     keyed = chunk_keys(placed, True)
-    return staged(keyed.join(_split_keys(keyed, 2), "key", "left_semi"), "split")
+    return staged_rows(keyed.join(_split_keys(keyed, 2), "key", "left_semi"), "split")
 
 
 def _placed(nodes: DataFrame, reached: DataFrame | None) -> DataFrame:
@@ -270,7 +268,7 @@ def _merged(reached: DataFrame | None, links: DataFrame) -> DataFrame:
     if reached is not None:
         links = reached.where("node <> component").select(
             F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
-    return components(links, "a", "b")
+    return components(links, "a", "b", written=True)
 
 
 MEMBER = ("component", "node", "n", "shared", "sketch_a", "sketch_b", "long")
@@ -292,8 +290,8 @@ def _joined(left: DataFrame, right: DataFrame, by: str, most: str, percent: int)
 
 def _alike() -> Column:
     """Whether the long sketches leave the similarity possible."""
-    differ = sum(F.bit_count(F.col("long")[i].bitwiseXOR(F.col("_long")[i])) for i in range(LONG_WORDS))
-    return differ <= LONG_BITS
+    differ = F.zip_with("long", "_long", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differ, F.lit(0), lambda bits, more: bits + more) <= LONG_BITS
 
 
 def _ends(found: DataFrame) -> DataFrame:
@@ -340,7 +338,7 @@ def _by_common(rest: DataFrame, percent: int) -> DataFrame:
         & (F.col("most") >= F.col("n") * percent)).select("key", "node").distinct()
     outside = staged(known.join(outside, ["key", "node"], "left_semi"), "outside")
     once = F.array_min(F.array_intersect("keys", "_keys")) == F.col("key")
-    return _ends(_joined(outside, known, "key", "common", percent).where(_alike() & once))
+    return _ends(_joined(outside, known, "key", "common", percent).where(once & _alike()))
 
 
 def near_duplicates(
@@ -360,32 +358,36 @@ def near_duplicates(
         "nodes",
     )
     reached = None
+
+    def linked(pairs: DataFrame, label: str) -> bool:
+        """Merges the components that pairs of similar sets join; whether there are any."""
+        nonlocal reached
+        pairs, number = staged_rows(pairs, label)
+        if number:
+            links, number = staged_rows(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
+        if number:
+            reached = _merged(reached, links)
+        return number > 0
+
     for masked in (False, True):
-        placed = _placed(nodes, reached)
-        pairs = staged(_to_head(placed, masked, percent), "head-pairs")
-        links = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
-        reached = _merged(reached, links)
+        linked(_to_head(_placed(nodes, reached), masked, percent), "head-pairs")
 
     # Masked keys whose members are not all linked, with what each member shares with any other.
-    rest = _unlinked(_placed(nodes, reached))
-    shared = _shared_with_others(docs, rest, percent, width, id_col, text_col)
-    rest = staged(
-        rest.join(shared.drop("prefix"), "node").where(F.col("shared") * 100 >= F.col("n") * percent), "rest")
-    pairs = staged(_to_center(rest, percent), "center-pairs")
-    links = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
-    if not links.isEmpty():
-        reached = _merged(reached, links)
-        rest = _placed(rest.drop("component"), reached)
-        rest = staged(rest.join(_split_keys(rest), "key", "left_semi"), "rest")
-    pairs = staged(
-        _by_common(rest, percent).unionByName(_by_rare(rest, shared, percent)).distinct(), "cross-pairs")
-    links = staged(_confirmed(docs, pairs, percent, width, id_col, text_col), "links")
-    if not links.isEmpty():
-        reached = _merged(reached, links)
+    rest, number = _unlinked(_placed(nodes, reached))
+    if number:
+        shared = _shared_with_others(docs, rest, percent, width, id_col, text_col)
+        rest = staged(
+            rest.join(shared.drop("prefix"), "node").where(F.col("shared") * 100 >= F.col("n") * percent), "rest")
+        if linked(_to_center(rest, percent), "center-pairs"):
+            rest = _placed(rest.drop("component"), reached)
+            rest = staged(rest.join(_split_keys(rest), "key", "left_semi"), "rest")
+        linked(_by_common(rest, percent).unionByName(_by_rare(rest, shared, percent)).distinct(), "cross-pairs")
 
     found = signed.select("node", *same).join(heads, same, "left")
-    found = found.join(
-        reached.select(F.col("node").alias("head"), F.col("component")), "head", "left")
+    if reached is None:
+        found = found.withColumn("component", F.col("head"))
+    else:
+        found = found.join(reached.select(F.col("node").alias("head"), F.col("component")), "head", "left")
     component = F.coalesce("component", "head", "node")
     return found.select(
         F.col("node").alias(id_col),
@@ -398,7 +400,7 @@ def near_duplicates(
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents that are kept; rows of one id stay or go together."""
     found = near_duplicates(docs, id_col=id_col, **options)
-    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
+    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import trim_memory, whole_text
 
 FIT_TOXIC, FIT_OTHER, FIT_CHARACTERS = 1600, 2400, 1 << 18
 # The chain learns from texts of the sample up to this length, the curve from longer ones as well.
@@ -305,6 +305,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = sample.groupBy("_text").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_text")).toPandas()
     share = named.agg(F.avg("toxic")).first()[0]
     field, curve = fitted(found["_text"].tolist(), found["toxic"].tolist(), share)
+    # The driver stays while later stages run: it keeps the model, not the memory of the fit.
+    del found
+    trim_memory()
     return field.table, field.steps, field.start, curve
 
 
