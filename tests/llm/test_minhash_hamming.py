@@ -1,5 +1,7 @@
 import random
+import sys
 
+import numpy as np
 import pytest
 
 from tracewright.llm import minhash_hamming as m
@@ -134,3 +136,24 @@ def test_rows_are_counted_while_written(spark):
     for rows in (spark.range(1000, numPartitions=7), spark.range(0), spark.range(9).where("id > 20").distinct()):
         found, number = staged_rows(rows, "x")
         assert number == found.count() == rows.count()
+
+
+@pytest.mark.parametrize("size", [1, 250, 9000])
+def test_minima_are_taken_in_few_calls(size):
+    """A call for each of 2048 functions takes several times as long as the hashes themselves."""
+    shingles = np.unique(np.random.default_rng(size).integers(0, 1 << 64, size, dtype=np.uint64))
+    seeds, factors, calls = m._odd(2048, 5), m._odd(2048, 6), []
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        found = m.minhashes(shingles, seeds, factors)
+    finally:
+        sys.setprofile(None)
+    assert found.tolist() == [int(((shingles ^ s) * f).min()) for s, f in zip(seeds, factors)]
+    assert len(calls) <= 50 + 8 * size * 2048 // 32_768
+
+
+def test_shingle_sets_hold_each_shingle_once():
+    factors = m._odd(4, 1)
+    sets = [m.shingle_set(t, 4, factors) for t in ("a b c d a b c d a", "A b\tC d a\nb c", "a b c", "a b c a b c", " ")]
+    assert [len(s) for s in sets] == [4, 4, 1, 3, 0]
+    assert sets[0].tolist() == sets[1].tolist() == sorted(set(sets[0].tolist()))

@@ -35,16 +35,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, staged, staged_rows, whole_text
+from .common import staged, staged_rows, whole_text
 from .components import components
 from .url_filter import LOWER, UPPER
 
 SYMBOLS, CHUNK, SKETCH_BITS = 40, 5, 36
 # Long sketches of one bit a hash, as so many 64-bit words, and the bits in which they may differ.
 LONG_WORDS, LONG_BITS = 32, 273
+# Hashes that are made at once, few enough for the processor's cache.
+BLOCK_HASHES = 32_768
 # A shingle with so many holders is common, one with fewer leads from each holder to the others.
 RARE_HOLDERS = 100
 # Ids up to this number are broadcast (8 bytes each), more are joined.
@@ -63,12 +66,19 @@ def _odd(count: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 63, count, dtype=np.uint64) * _U(2) + _U(1)
 
 
-def shingle_set(text: str, width: int, known: WordHashes, factors: np.ndarray) -> np.ndarray:
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted; on short arrays several times as fast as np.unique."""
+    values = np.sort(values)
+    return values[np.concatenate(([True], values[1:] != values[:-1]))]
+
+
+def shingle_set(text: str, width: int, factors: np.ndarray) -> np.ndarray:
     """The distinct hashed shingles of a text, sorted."""
     words = text.encode("utf-8").lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    # Hashing a word takes less than looking it up among many.
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     if len(words) < width:
         parts = hashes * factors[: len(words)]
         return _mixed(parts.sum(keepdims=True) + _U(len(words)))
@@ -76,18 +86,20 @@ def shingle_set(text: str, width: int, known: WordHashes, factors: np.ndarray) -
     total = np.zeros(count, dtype=np.uint64)
     for place in range(width):
         total += hashes[place : place + count] * factors[place]
-    return np.unique(_mixed(total))
+    return _distinct(_mixed(total))
 
 
 def minhashes(shingles: np.ndarray, seeds: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The least hash of the set under each function, long sets in slices."""
+    """The least hash of the set under each function, in blocks of functions and shingles."""
     best = np.full(len(seeds), np.iinfo(np.uint64).max, dtype=np.uint64)
     for start in range(0, len(shingles), 4096):
         part = shingles[start : start + 4096]
-        for i in range(len(seeds)):
-            low = ((part ^ seeds[i]) * factors[i]).min()
-            if low < best[i]:
-                best[i] = low
+        step = BLOCK_HASHES // len(part)
+        for first in range(0, len(seeds), step):
+            some = slice(first, first + step)
+            hashes = part ^ seeds[some, None]
+            hashes *= factors[some, None]
+            best[some] = np.minimum(best[some], hashes.min(axis=1))
     return best
 
 
@@ -95,13 +107,13 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
     """node, n, set_a, set_b (equal for equal sets), sketch_a, sketch_b, symbols (16 bits each)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, words = WordHashes(), _odd(width, 1)
+        words = _odd(width, 1)
         seeds, factors = _odd(SYMBOLS, 2), _odd(SYMBOLS, 3)
         shifts = (np.arange(SYMBOLS // 2) * 3).astype(np.uint64)
         for batch in _parts(batches):
             out = []
             for node, text in zip(batch["node"], batch["text"]):
-                found = shingle_set(text, width, known, words)
+                found = shingle_set(text, width, words)
                 if not len(found):
                     out.append((node, 0, 0, 0, 0, 0, b""))
                     continue
@@ -173,9 +185,9 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame, number: int, width: int, id_
     """(node, shingles) of the nodes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, words = WordHashes(), _odd(width, 1)
+        words = _odd(width, 1)
         for batch in _parts(batches):
-            sets = [shingle_set(t, width, known, words).astype(np.int64) for t in batch["text"]]
+            sets = [shingle_set(t, width, words).astype(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"node": batch["node"], "shingles": sets})
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("node"), whole_text(text_col).alias("text"))
@@ -183,10 +195,9 @@ def _shingles_of(docs: DataFrame, nodes: DataFrame, number: int, width: int, id_
     return rows.join(wanted, "node", "left_semi").mapInPandas(run, "node bigint, shingles array<bigint>")
 
 
-def long_sketch(shingles: np.ndarray) -> np.ndarray:
+def long_sketch(shingles: np.ndarray, seeds: np.ndarray, factors: np.ndarray) -> np.ndarray:
     """One bit of each of 64 x LONG_WORDS minima."""
-    count = 64 * LONG_WORDS
-    bits = _mixed(minhashes(shingles, _odd(count, 5), _odd(count, 6))) & _U(1)
+    bits = _mixed(minhashes(shingles, seeds, factors)) & _U(1)
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -208,8 +219,9 @@ def _shared_with_others(
     """
 
     def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seeds, factors = _odd(64 * LONG_WORDS, 5), _odd(64 * LONG_WORDS, 6)
         for batch in _parts(batches):
-            batch["long"] = [long_sketch(s.astype(np.int64).view(np.uint64)) for s in batch["shingles"]]
+            batch["long"] = [long_sketch(s.astype(np.int64).view(np.uint64), seeds, factors) for s in batch["shingles"]]
             yield batch
 
     nodes, number = staged_rows(rows.select("node").distinct(), "rest-nodes")
@@ -223,11 +235,12 @@ def _shared_with_others(
     few = holders.where((F.col("holders") > 1) & (F.col("holders") < RARE_HOLDERS)).select("shingle", "holders")
     rare = held.join(few, "shingle").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("rare"))
-    size = F.size("shingles")
+    size = F.col("size")
     own = F.coalesce("alone", F.lit(0)).cast("int")
     many = F.coalesce(F.size("rare"), F.lit(0))
     first = size - F.ceil(size * percent / 100).cast("int") + 1 - own
-    found = sets.join(alone, "node", "left").join(rare, "node", "left").select(
+    sized = sets.select("node", F.size("shingles").alias("size"), "long")
+    found = sized.join(alone, "node", "left").join(rare, "node", "left").select(
         "node", (size - own).alias("shared"), (size - own - many).alias("common"),
         F.slice(F.col("rare")["shingle"], F.lit(1), F.greatest(first, F.lit(0))).alias("prefix"), "long")
     return staged(found, "shared")
