@@ -38,18 +38,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def staged(frame: DataFrame, label: str) -> DataFrame:
+def _new_place(spark: SparkSession, label: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def staged_folder(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one. Its files go when the application ends."""
+    place, files = _new_place(spark, label)
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return place.toString()
+
+
+def staged(frame: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them from there.
 
     Cuts the lineage: a lost executor costs only the tasks it ran. The files go
-    when the application ends.
+    when the application ends. by: a column whose values get a folder each.
     """
     spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    found = spark.read.schema(frame.schema).parquet(path)
+    place, files = _new_place(spark, label)
+    (frame.write.partitionBy(by) if by else frame.write).parquet(place.toString())
+    files.deleteOnExit(place)
+    found = spark.read.schema(frame.schema).parquet(place.toString())
     _PLACES[found] = place
     return found
 
